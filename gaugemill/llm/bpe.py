@@ -6,7 +6,7 @@ gives the state before each character, and from it the pieces, without a regular
 
 Edge cases: a null or empty text has no ids; a text that is one very long piece is merged with a
 heap, in n log n; null identifiers and repeated rows are carried through; columns that are not
-named are kept as they are.
+named are kept as they are; columns that have a result's name are replaced.
 """
 
 from __future__ import annotations
@@ -18,11 +18,10 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import small_batches
+from .common import adding
 
 # Kinds of character. An apostrophe counts as SHORT or LONG where a contraction of one or two
 # letters follows it; white space counts as GLUE (a single space that the next piece takes),
@@ -279,13 +278,6 @@ def ranks(path: str) -> Ranks:
     return Ranks(path)
 
 
-def _with(df: DataFrame, fields: dict[str, T.DataType]) -> T.StructType:
-    taken = [f for f in df.schema.fields if f.name in fields]
-    if taken:
-        raise ValueError(f"the table already has the column {taken[0].name}")
-    return T.StructType(df.schema.fields + [T.StructField(k, v) for k, v in fields.items()])
-
-
 def encode(df: DataFrame, path: str, text: str = "text", keep_text: bool = False, offsets: bool = True, ids: str = "ids", ends: str = "token_ends") -> DataFrame:
     """Adds ``ids`` (binary: little-endian unsigned 32-bit) and, if asked, ``token_ends``.
 
@@ -293,33 +285,25 @@ def encode(df: DataFrame, path: str, text: str = "text", keep_text: bool = False
     in the UTF-8 text, so that a span of tokens is found in the text without decoding. The text
     itself goes unless ``keep_text``. ``path`` is a vocabulary of ranks that every executor has.
     """
-    small_batches(df.sparkSession)
-    at = df.columns.index(text)
-    kept = df if keep_text else df.drop(text)
-    schema = _with(kept, {ids: T.BinaryType()} | ({ends: T.BinaryType()} if offsets else {}))
+    fields = {ids: T.BinaryType()} | ({ends: T.BinaryType()} if offsets else {})
 
-    def run(of: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         vocabulary = ranks(path)
-        for batch in of:
-            got = list(vocabulary.encode([x or "" for x in batch.column(at).to_pylist()]))
-            columns = [c for i, c in enumerate(batch.columns) if keep_text or i != at]
-            columns.append(pa.array(got, pa.binary()))
-            if offsets:
-                columns.append(pa.array([vocabulary.token_ends(np.frombuffer(x, "<u4")).tobytes() for x in got], pa.binary()))
-            yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    return df.mapInArrow(run, schema)
+        def use(texts):
+            got = list(vocabulary.encode([x or "" for x in texts]))
+            return [got, [vocabulary.token_ends(np.frombuffer(x, "<u4")).tobytes() for x in got]] if offsets else [got]
+
+        return use
+
+    return adding(df, [text], fields, make, () if keep_text else (text,))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
-    """Adds ``decoded`` (binary), the bytes that the ids stand for."""
-    at = df.columns.index(ids)
-    schema = _with(df, {to: T.BinaryType()})
+    """Adds ``decoded`` (binary), the bytes that the ids stand for; no ids give no bytes."""
 
-    def run(of: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         vocabulary = ranks(path)
-        for batch in of:
-            got = [vocabulary.decode(np.frombuffer(x or b"", "<u4")) for x in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(got, pa.binary())], schema.names)
+        return lambda rows: [[vocabulary.decode(np.frombuffer(x or b"", "<u4")) for x in rows]]
 
-    return df.mapInArrow(run, schema)
+    return adding(df, [ids], {to: T.BinaryType()}, make)

@@ -10,6 +10,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 #: Rows in one Arrow batch handed to Python; texts can be long, so batches stay small.
 BATCH_ROWS = 256
@@ -67,6 +69,32 @@ def put_file(uri: str, write: Callable) -> None:
     files.move(part, path)
 
 
-def batches(rows: Iterator[dict[str, list]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    for columns in rows:
-        yield pa.RecordBatch.from_pydict(columns, schema=schema)
+def others(df: DataFrame, names) -> list[str]:
+    """The columns of ``df`` but for those of the given names, in either case."""
+    taken = {n.lower() for n in names}
+    return [c for c in df.columns if c.lower() not in taken]
+
+
+def adding(df: DataFrame, inputs: list[str], fields: dict[str, T.DataType], make: Callable, without: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` with the columns ``fields``, computed by Arrow batches in Python.
+
+    ``make()`` is called once a task and gives a function from the input columns, as lists, to the
+    new columns, as lists or arrays. Columns of these names that the table has already are
+    replaced; those in ``without`` are dropped.
+    """
+    small_batches(df.sparkSession)
+    kept = others(df, [*fields, *without])
+    extra = [c for c in dict.fromkeys(inputs) if c not in kept]
+    rows = df.select(*[F.col(f"`{c}`") for c in kept], *[F.col(f"`{c}`").alias(f"__input_{c}") for c in extra])
+    places = [kept.index(c) if c in kept else len(kept) + extra.index(c) for c in inputs]
+    schema = T.StructType([f for f in rows.schema.fields[: len(kept)]] + [T.StructField(k, v) for k, v in fields.items()])
+    kinds = [to_arrow_type(v) for v in fields.values()]
+    names = schema.names
+
+    def run(of: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use = make()
+        for batch in of:
+            made = use(*[batch.column(i).to_pylist() for i in places])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *(pa.array(c, k) for c, k in zip(made, kinds))], names)
+
+    return rows.mapInArrow(run, schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, sstable, token_files, topk
+from . import bpe, mixing, near, pii, quality, secrets, sstable, token_files, topk, toxicity
 
 #: Id of the end-of-document token in byte_bpe_50k.json; op10's contract appends 0 instead.
 END_OF_DOCUMENT = 50256
@@ -24,6 +24,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def held_out(key: str = "doc_id"):
+    """Rows from which no labels are learnt."""
+    return F.coalesce(F.crc32(F.col(key).cast("string")) % 4 == 2, F.lit(False))
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held_out()))
+    scored = toxicity.score(docs, model, keep_text=False)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     found = topk.top_k(rows, F.col("vec_id") % 20 == 0, k=20, scale=64)
@@ -47,6 +59,13 @@ SELECT query_id, r::INTEGER AS rank, vec_id, score FROM ranked WHERE r <= 20
 """
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+    count = lambda kind: F.size(F.filter("pii", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+    base = pii.joined(F.filter("pii", lambda s: s.base))
+    return found.select("doc_id", *[count(k) for k in pii.KINDS[:4]], F.sha2(base, 256).alias("base_sha256"), pii.joined(F.col("pii")).alias("spans"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary("byte_bpe_multi_50k.tiktoken")
     encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, offsets=False)
@@ -54,6 +73,22 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_rules")
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+    count = lambda kind: F.size(F.filter("secrets", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+    base = pii.joined(F.filter("secrets", lambda s: s.kind != secrets.KINDS[3]))
+    return found.select("doc_id", *[count(k) for k in secrets.KINDS[:3]], F.sha2(base, 256).alias("base_sha256"), pii.joined(F.col("secrets")).alias("spans"), F.coalesce(F.array_max(F.transform("secrets", lambda s: s.log10_guesses)), F.lit(0.0)).alias("max_log10_guesses"))
+
+
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.link(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "class_id", "copy_id", "n_links")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
 
@@ -73,8 +108,13 @@ def op10_sstable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_topk": op2_topk,
+    "op3_pii": op3_pii,
     "op4_bpe": op4_bpe,
+    "op5_quality": op5_quality,
+    "op6_secrets": op6_secrets,
+    "op7_ngram_join": op7_ngram_join,
     "op8_mixing": op8_mixing,
     "op9_token_counts": op9_token_counts,
     "op10_sstable": op10_sstable,
