@@ -56,7 +56,7 @@ def write_flat(df: DataFrame, encode: Callable[[], Callable[[list[str]], list[by
         ordinal = 0
         for column in keys:
             n = len(column)
-            yield pa.RecordBatch.from_arrays([pa.array([path] * n), pa.array(range(ordinal, ordinal + n), pa.int64()), column], ["file", "ordinal", "key"])
+            yield pa.RecordBatch.from_arrays([pa.array([path.rpartition("/")[2]] * n), pa.array(range(ordinal, ordinal + n), pa.int64()), column], ["file", "ordinal", "key"])
             ordinal += n
 
     df.select(key, text).mapInArrow(run, f"file string, ordinal long, key {key_type.simpleString()}").write.parquet(f"{folder}/order")
@@ -83,6 +83,8 @@ def scan_blocks(blocks: DataFrame, end_id: int, width: int = 2) -> DataFrame:
 def token_counts(spark: SparkSession, folder: str, end_id: int, width: int = 2, block_ids: int = BLOCK_IDS) -> DataFrame:
     """(file, ordinal, start, n_tokens, ended) of every document in a folder of flat files.
 
+    ``file`` is the name within the folder.
+
     ``start`` counts ids from the file's beginning; ``n_tokens`` leaves the separator out.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "tokens-*.bin").load(folder).select(F.regexp_replace("path", "^file:/+", "file:///").alias("file"), (F.col("length") / width).cast("long").alias("ids"))
@@ -97,4 +99,5 @@ def token_counts(spark: SparkSession, folder: str, end_id: int, width: int = 2,
     whole = rows.select("file", (F.col("done") + F.col("i")).alias("ordinal"), (F.col("doc.a") + 1).alias("start"), (F.col("doc.b") - F.col("doc.a") - 1).alias("n_tokens"), F.lit(True).alias("ended"))
     at_end = F.coalesce(F.try_element_at("ends", F.lit(-1)), F.col("previous"))
     rest = carried.where("is_last").select("file", (F.col("done") + F.size("ends")).alias("ordinal"), (at_end + 1).alias("start"), (F.col("size") - at_end - 1).alias("n_tokens"), F.lit(False).alias("ended")).where("n_tokens > 0")
-    return whole.unionByName(rest)
+    counted = whole.unionByName(rest)
+    return counted.withColumn("file", F.element_at(F.split("file", "/"), -1))
