@@ -32,7 +32,7 @@ ORDERS = (3, 4, 5)
 BITS = 21
 SLICE = 1 << 15
 #: Fitting uses at most so many toxic and clean rows, and so many features.
-SAMPLE_TOXIC, SAMPLE_CLEAN, FEATURES = 4_000, 8_000, 20_000
+SAMPLE_TOXIC, SAMPLE_CLEAN, FEATURES = 4_000, 8_000, 8_000
 #: Tasks that count features of the sample.
 COUNTERS = 12
 
