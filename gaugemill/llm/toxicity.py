@@ -121,9 +121,9 @@ def count_features(rows: DataFrame, totals: dict[int, int], least: int = 3) -> D
 
 def logistic(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray, scale: np.ndarray, penalty: float = 1.0, steps: int = 120) -> tuple[np.ndarray, float]:
     """Weights on the scaled features and the bias, by accelerated gradient descent."""
-    place = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    value = scale[place]
+    place = np.concatenate(rows) if rows else np.zeros(0, np.int32)
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
+    value = scale.astype(np.float32)[place]
     w, b, n = np.zeros(len(scale)), 0.0, len(rows)
     share = np.clip(np.average(y, weights=weight), 1e-6, 1 - 1e-6)
     b = float(np.log(share / (1 - share)))
@@ -168,7 +168,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     got = sorted((r.y, bytes(r.places)) for r in rows.select("y", "text").mapInArrow(places, "y int, places binary").collect())
     y = np.array([r[0] for r in got], float)
     weight = np.where(y == 1, counts[1][0] / totals[1], counts[0][0] / totals[0])
-    w, b = logistic([np.frombuffer(r[1], np.int32).astype(np.int64) for r in got], y, weight / weight.mean(), scale)
+    w, b = logistic([np.frombuffer(r[1], np.int32) for r in got], y, weight / weight.mean(), scale)
     return Model(names, (w * scale).astype(np.float32), b)
 
 
