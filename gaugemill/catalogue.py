@@ -1,6 +1,410 @@
-"""The registered queries and their SQL."""
+"""The registered queries over the driver's tables, and the same in SQL.
+
+Replies and verdicts are arithmetic over identifiers, so that both engines can compute them.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import parse, template
+from .functions.contract import read_contract
+from .functions.scalars import duration, row_key, seeded, status_class
+from .operators import log, sampling, summary
+from .plans import plan as plans
+from .sources import items as sources
+from .streaming import streams
+
+VALUES = ["consistent", "inconsistent", "unsure"]
+CONTRACT = read_contract('{"verdict": "consistent" | "inconsistent" | "unsure", "short_reason": "<why>"}')
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def verdict(number):
+    """A verdict from a number: of seven, three are consistent, two inconsistent, one unsure, one none."""
+    return F.when(number % 7 == 0, F.lit(None)).when(number % 7 <= 3, "consistent").when(number % 7 <= 5, "inconsistent").otherwise("unsure")
+
+
+VERDICT_SQL = "CASE WHEN {n} % 7 = 0 THEN NULL WHEN {n} % 7 <= 3 THEN 'consistent' WHEN {n} % 7 <= 5 THEN 'inconsistent' ELSE 'unsure' END"
+
+
+def results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("doc_id")
+    error = F.when(n % 11 == 0, "length").when(n % 13 == 0, "timeout")
+    return table(spark, sf_dir, "documents").select(
+        n.alias("seq"), n.cast("string").alias("id"), F.when(n % 10 == 0, "").otherwise(F.col("lang")).alias("group"), F.col("source").alias("stratum"),
+        (n % 4 * 0.5).alias("weight"), F.get(F.array(F.lit("a"), F.lit("b"), F.lit("c")), (n % 3).cast("int")).alias("endpoint"), F.when(n % 2 == 0, "m1").otherwise("m2").alias("model"),
+        verdict(n).alias("verdict"), F.when(n % 7 != 0, F.lit("{}")).alias("answer_json"), F.when(n % 17 == 0, "not JSON").alias("parse_error"), F.struct(error.alias("class")).alias("error"),
+        F.when(n % 5 == 0, F.lit(None)).otherwise(n % 19 != 0).alias("key_order_ok"), F.when(n % 23 == 0, "so").otherwise("").alias("reasoning"), F.when(n % 29 == 0, parse.UNCLOSED).alias("parse_note"),
+        (n * 37 % 1000 / 100).alias("latency_s"), F.when(n % 6 != 0, n * 7 % 64).alias("completion_tokens"), F.col("n_chars").alias("prompt_tokens"), F.when(n % 7 != 0, "short").alias("short_reason"),
+    )
+
+
+RESULTS_SQL = f"""results AS (SELECT doc_id AS seq, CAST(doc_id AS VARCHAR) AS id, CASE WHEN doc_id % 10 = 0 THEN 'all' ELSE lang END AS grp, source AS stratum,
+  CASE WHEN doc_id % 4 = 0 THEN 1.0::DOUBLE ELSE (doc_id % 4) * 0.5::DOUBLE END AS w, CASE doc_id % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'c' END AS endpoint,
+  CASE WHEN doc_id % 2 = 0 THEN 'm1' ELSE 'm2' END AS model, {VERDICT_SQL.format(n="doc_id")} AS verdict, doc_id % 7 <> 0 AS judged, (doc_id * 37 % 1000)::DOUBLE / 100::DOUBLE AS latency_s,
+  CASE WHEN doc_id % 6 <> 0 THEN doc_id * 7 % 64 END AS completion_tokens, n_chars AS prompt_tokens, doc_id FROM documents)"""
+
+
+def compared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document at three endpoints."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), "doc_id")
+    endpoints = spark.createDataFrame([("a", "m"), ("b", "m"), ("c", "m")], "endpoint string, model string")
+    return plans.compare_plan(docs, endpoints).withColumn("verdict", verdict(F.col("doc_id") * (F.ascii("endpoint") - 96)))
+
+
+COMPARED_SQL = f"""compared AS (SELECT CAST(doc_id AS VARCHAR) AS id, doc_id, endpoint, {VERDICT_SQL.format(n="(doc_id * k)")} AS verdict
+  FROM documents CROSS JOIN (VALUES ('a', 1), ('b', 2), ('c', 3)) AS e(endpoint, k))"""
+
+
+def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three records of each document, some with errors."""
+    n = F.col("doc_id")
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("a")).where((n + F.col("a")) % 5 != 0)
+    return rows.select(n.cast("string").alias("key"), (F.col("a") * 1_000_000 + n).cast("long").alias("seq"), verdict(n + F.col("a")).alias("verdict"), F.struct(F.when((n + F.col("a")) % 4 == 0, "timeout").alias("class")).alias("error"))
+
+
+ATTEMPTS_SQL = f"""attempts AS (SELECT CAST(doc_id AS VARCHAR) AS key, a * 1000000 + doc_id AS seq, {VERDICT_SQL.format(n="(doc_id + a)")} AS verdict, CASE WHEN (doc_id + a) % 4 = 0 THEN 'timeout' END AS error_class
+  FROM documents CROSS JOIN (VALUES (0), (1), (2)) AS x(a) WHERE (doc_id + a) % 5 <> 0),
+last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY seq DESC) AS r FROM attempts) WHERE r = 1)"""
+
+
+def docs_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+
+
+def strata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pos"), F.lit("all").alias("group"), F.concat("lang", F.lit("/"), "source").alias("stratum"))
+
+
+STRATA_SQL = "strata AS (SELECT doc_id AS pos, 'all' AS grp, lang || '/' || source AS stratum FROM documents), counts AS (SELECT stratum, count(*) AS eligible FROM strata GROUP BY stratum)"
+PROPORTIONAL_SQL = f"""WITH {STRATA_SQL}, t AS (SELECT CAST(sum(eligible) AS BIGINT) AS total FROM counts),
+shares AS (SELECT stratum, eligible, 137 * eligible // total AS lo, 137 * eligible % total AS rest FROM counts CROSS JOIN t),
+ranked AS (SELECT *, row_number() OVER (ORDER BY rest DESC, stratum) AS r, CAST(sum(lo) OVER () AS BIGINT) AS s FROM shares),
+taken AS (SELECT stratum, eligible, lo + CASE WHEN r <= 137 - s THEN 1 ELSE 0 END AS take FROM ranked)"""
+EQUAL_SQL = f"""WITH {STRATA_SQL}, rows_ranked AS (SELECT stratum, row_number() OVER (PARTITION BY stratum ORDER BY pos) AS r FROM strata),
+first AS (SELECT stratum, row_number() OVER (ORDER BY r, stratum) AS o FROM rows_ranked)
+SELECT c.stratum AS stratum, eligible, CAST(count(o) AS BIGINT) AS take FROM counts c LEFT JOIN (SELECT * FROM first WHERE o <= 137) f ON c.stratum = f.stratum GROUP BY c.stratum, eligible"""
+
+
+def allocated(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    return sampling.allocate(sampling.stratum_counts(strata(spark, sf_dir)), F.lit(137), F.lit(kind))
+
+
+def sample_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = sampling.draw(strata(spark, sf_dir), allocated(spark, sf_dir, "proportional"))
+    return drawn.select(F.concat(F.lit("documents:"), "pos").alias("id"), "stratum", "weight")
+
+
+def weighted_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sample, weigh, judge by rule, keep the latest record, and take the rates by language."""
+    drawn = sampling.draw(strata(spark, sf_dir), allocated(spark, sf_dir, "proportional"))
+    judged = drawn.select(F.col("pos").cast("string").alias("key"), F.col("pos").alias("seq"), F.split("stratum", "/")[0].alias("group"), "weight", verdict(F.col("pos")).alias("verdict"), F.when(F.col("pos") % 7 != 0, "{}").alias("answer_json"))
+    return summary.rates(log.latest(judged), VALUES)
+
+
+RATES_SQL = """, cells AS (SELECT g.grp, v.verdict FROM (SELECT DISTINCT grp FROM results) g CROSS JOIN (VALUES ('consistent'), ('inconsistent'), ('unsure')) AS v(verdict)),
+whole AS (SELECT grp, count(*) AS judged, sum(w) AS w FROM results WHERE judged GROUP BY grp),
+hits AS (SELECT grp, verdict, count(*) AS n, sum(w) AS w FROM results WHERE judged GROUP BY grp, verdict)
+SELECT c.grp AS "group", c.verdict AS verdict, COALESCE(h.n, 0) AS "rows", COALESCE(t.judged, 0) AS judged, round(COALESCE(h.n, 0)::DOUBLE / greatest(1, COALESCE(t.judged, 0)), 4) AS rate,
+  round(COALESCE(h.w, 0.0::DOUBLE) / COALESCE(t.w, 1.0::DOUBLE), 4) AS rate_weighted
+FROM cells c LEFT JOIN whole t ON c.grp = t.grp LEFT JOIN hits h ON c.grp = h.grp AND c.verdict = h.verdict"""
+
+
+def select_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("string").alias("quality"), F.col("toxic").cast("string").alias("toxic"))
+    chosen = sampling.selection({"quality": ("1",), "toxic": ("0", "1")}, labels.columns)
+    return table(spark, sf_dir, "documents").join(labels, "doc_id").where(chosen).groupBy("lang", "toxic").agg(F.count("*").alias("n"))
+
+
+def stratum_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = docs_labels(spark, sf_dir)
+    return rows.select("doc_id", template.label("{lang}/quality={quality}", {c: F.col(c) for c in rows.columns}).alias("stratum"))
+
+
+def attrs_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    left = docs.select(F.col("doc_id").alias("pos"), F.struct("lang").alias("row"), F.lit(1).alias("in_rows"))
+    right = labels.select(F.col("doc_id").alias("pos"), F.struct(F.col("doc_id").alias("index")).alias("attr"), F.lit(1).alias("in_attrs"))
+    return sampling.mismatches(left.join(right, "pos", "full_outer"))
+
+
+def validate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    pool = turns.select(F.col("conv_id").cast("string").alias("id"), F.lit("{}").alias("fields_json"), F.lit(1.0).alias("weight"))
+    return sources.problems(pool).select("problem", "rows")
+
+
+def missing_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pool = table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("id"), F.col("props").alias("fields_json"), F.lit(1.0).alias("weight"))
+    return sources.problems(pool, ["no_such_column"]).select("problem", "rows")
+
+
+def render_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part")
+    text = template.render("Part {p_name} of {p_brand}, size {p_size}.", {c: F.col(c) for c in part.columns})
+    return part.select("p_partkey", text.alias("user"))
+
+
+def render_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = docs_labels(spark, sf_dir)
+    values = {"lang": F.col("lang"), "quality": F.col("quality").cast("double")}
+    return rows.select("doc_id", template.render("{lang}: {quality}", values).alias("user"))
+
+
+def documents_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plans.send_order(table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), "doc_id"))
+
+
+ORDER_SQL = "plan AS (SELECT CAST(doc_id AS VARCHAR) AS id, doc_id, row_number() OVER (ORDER BY sha256('42|order|' || CAST(doc_id AS VARCHAR)), CAST(doc_id AS VARCHAR)) - 1 AS ord FROM documents)"
+
+
+def part_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = documents_plan(spark, sf_dir)
+    return plans.part_of(order, "2/7", F.lit(table(spark, sf_dir, "documents").count())).select("id", "ord")
+
+
+def row_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"))
+    return docs.select("id", row_key(F.col("id"), F.lit("m"), "p", "s", F.lit("a")).alias("key"), row_key(F.col("id"), F.lit("m"), "p", None, F.lit("")).alias("shared_key"))
+
+
+def keyed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("key"), "doc_id")
+
+
+def resume_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = keyed_documents(spark, sf_dir)
+    return plans.remaining(plan, plan.where("doc_id % 3 = 0").select("key")).select("key")
+
+
+def resume_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = keyed_documents(spark, sf_dir)
+    return plans.already_done(plan, plan.where("doc_id % 3 = 0").select("key")).select("key")
+
+
+def planned_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = keyed_documents(spark, sf_dir)
+    return plans.planned_missing(plan, plan.where("doc_id % 3 = 0").select("key"))
+
+
+def parts_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = attempts(spark, sf_dir)
+    one, two = rows.where("seq < 1500000"), rows.where("seq >= 500000")
+    return log.latest(log.union_logs(one, two)).select("key", "verdict")
+
+
+def error_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = F.array(*[F.lit(c) for c in (200, 401, 429, 524, 503, 404, 530, 500)])
+    rows = table(spark, sf_dir, "events").select(status_class(F.get(codes, (F.col("event_id") % 8).cast("int"))).alias("class"))
+    return summary.histogram(rows, F.col("class"), "class")
+
+
+def failure_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = log.streaks(table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], F.col("event_type") == "error")
+    return rows.groupBy("user_id").agg(F.max("streak").alias("longest"))
+
+
+def first_n_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return log.first_all_failed(table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], F.col("event_type").isin("error", "view"), 3)
+
+
+def trailing_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = log.trailing(table(spark, sf_dir, "events"), ["event_type"], F.unix_micros(F.col("ts").cast("timestamp")), F.lit(100))
+    return rows.select("event_id", "last_60s", "last_300s", "eta_minutes")
+
+
+def sse_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chunks = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").alias("seq"), F.col("text").alias("delta"), F.when(F.col("role") == "assistant", F.concat(F.lit("stop"), "turn")).alias("finish"))
+    return log.assembled(chunks, ["conv_id"])
+
+
+def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good replies, a wrong label, a missing key, trailing text, and no JSON."""
+    n = F.col("doc_id")
+    good = F.concat(F.lit('{"verdict": " Consistent ", "short_reason": "r'), n, F.lit('"}'))
+    bad = F.when(n % 5 == 1, '{"verdict": "maybe", "short_reason": "x"}').when(n % 5 == 2, '{"verdict": "unsure"}').when(n % 5 == 3, F.concat(good, F.lit(" tail"))).when(n % 5 == 4, "none")
+    return table(spark, sf_dir, "documents").select("doc_id", F.coalesce(bad, good).alias("content"))
+
+
+def strict_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = replies(spark, sf_dir).withColumn("p", parse.parsed(F.col("content"), CONTRACT))
+    return rows.select("doc_id", "p.verdict", "p.short_reason", "p.key_order_ok", F.col("p.parse_error").isNotNull().alias("failed"))
+
+
+def tolerant_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.concat(F.lit("<unused94>think {}<unused95>I say "), F.col("content"))
+    rows = replies(spark, sf_dir).withColumn("p", parse.parsed(text, CONTRACT, guided=False))
+    return rows.select("doc_id", "p.verdict", "p.reasoning", F.col("p.parse_error").isNotNull().alias("failed"))
+
+
+def thought_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("doc_id")
+    text = F.concat(F.lit("a<unused94>b"), F.when(n % 2 == 0, "<unused95>c").otherwise("d"), n.cast("string"))
+    return table(spark, sf_dir, "documents").select("doc_id", parse.without_thoughts(text).alias("content"))
+
+
+def crosstab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summary.crosstab(results(spark, sf_dir))
+
+
+def endpoint_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summary.by_endpoint(results(spark, sf_dir)).withColumn("models", F.array_join("models", ","))
+
+
+def quantiles_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summary.small_quantiles(results(spark, sf_dir), ["endpoint"], "latency_s", (50, 90))
+
+
+def group_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return sampling.stratum_counts(docs.select(F.col("lang").alias("group"), F.col("source").alias("stratum")))
+
+
+def chat_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.sha2("text", 256).alias("sha"))
+    return log.without_copies(docs, "sha")
+
+
+def streaming_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return streams.progress(table(spark, sf_dir, "events"), ["event_type"])
+
+
+def durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select("event_id", duration(F.col("event_id") * 7).alias("took"))
+
+
+def planned_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = table(spark, sf_dir, "documents").groupBy(F.col("source").alias("file_name")).agg(F.count("*").alias("n"))
+    return plans.planned_total(files, 40)
+
+
+def recent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = log.recent_events(table(spark, sf_dir, "events"), ["event_type"], "event_id", "user_id")
+    return rows.select("event_type", F.array_join(F.transform("events", lambda x: x.cast("string")), ",").alias("events"))
+
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {
+    "select_groups": select_groups,
+    "stratum_label": stratum_label,
+    "stratum_counts": group_counts,
+    "alloc_proportional": lambda s, d: allocated(s, d, "proportional").select("stratum", "eligible", "take"),
+    "alloc_equal": lambda s, d: allocated(s, d, "equal").select("stratum", "eligible", "take"),
+    "sample_items": sample_items,
+    "attrs_alignment": attrs_alignment,
+    "validate_ids": validate_ids,
+    "missing_fields": missing_fields,
+    "render_prompt": render_prompt,
+    "render_missing": render_missing,
+    "send_order": lambda s, d: plans.limited(documents_plan(s, d), 100).select("id", "ord"),
+    "part_slices": part_slices,
+    "row_keys": row_keys,
+    "resume_anti": resume_anti,
+    "resume_semi": resume_semi,
+    "planned_missing": planned_missing,
+    "planned_total": planned_total,
+    "retry_errors": lambda s, d: plans.done_keys(attempts(s, d), retry_errors=True),
+    "compare_plan": lambda s, d: compared(s, d).select("id", "endpoint", "verdict"),
+    "agreement": lambda s, d: summary.agreement(compared(s, d)),
+    "agreement_table": lambda s, d: summary.confusion(compared(s, d)),
+    "latest_record": lambda s, d: log.latest(attempts(s, d)).select("key", "seq", "verdict"),
+    "totals": lambda s, d: summary.totals(results(s, d)),
+    "group_totals": lambda s, d: summary.by_group(results(s, d)),
+    "verdict_rates": lambda s, d: summary.rates(results(s, d), VALUES),
+    "weighted_rates": weighted_rates,
+    "verdict_counts": lambda s, d: summary.verdicts(results(s, d)),
+    "stratum_crosstab": crosstab,
+    "endpoint_stats": endpoint_stats,
+    "quantiles_list": quantiles_list,
+    "label_domain": lambda s, d: summary.label_domain(results(s, d)).select(F.array_join("values", ",").alias("values")),
+    "parse_notes": lambda s, d: summary.histogram(results(s, d), F.col("parse_note"), "note"),
+    "error_classes": error_classes,
+    "failure_streaks": failure_streaks,
+    "first_n_failed": first_n_failed,
+    "trailing_rate": trailing_rate,
+    "recent_events": recent,
+    "sse_assembly": sse_assembly,
+    "strict_parse": strict_parse,
+    "tolerant_parse": tolerant_parse,
+    "thought_strip": thought_strip,
+    "join_back": lambda s, d: summary.join_back(table(s, d, "documents").select(F.col("doc_id").cast("string").alias("id"), "lang"), results(s, d).where("verdict is not null")),
+    "parts_union": parts_union,
+    "chat_dedupe": chat_dedupe,
+    "durations": durations,
+    "streaming_summary": streaming_summary,
+}
+
+ORACLES: dict[str, str] = {
+    "select_groups": "SELECT lang, CAST(toxic AS VARCHAR) AS toxic, count(*) AS n FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE quality = 1 GROUP BY lang, toxic",
+    "stratum_label": "SELECT d.doc_id AS doc_id, lang || '/quality=' || COALESCE(CAST(quality AS VARCHAR), '') AS stratum FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id",
+    "stratum_counts": 'SELECT lang AS "group", source AS stratum, count(*) AS eligible FROM documents GROUP BY lang, source',
+    "alloc_proportional": f"{PROPORTIONAL_SQL} SELECT stratum, eligible, take FROM taken",
+    "alloc_equal": EQUAL_SQL,
+    "sample_items": f"""{PROPORTIONAL_SQL}, drawn AS (SELECT pos, stratum, row_number() OVER (PARTITION BY stratum ORDER BY sha256('42|all|' || stratum || '|' || CAST(pos AS VARCHAR)), pos) AS r FROM strata)
+SELECT 'documents:' || CAST(pos AS VARCHAR) AS id, d.stratum AS stratum, round(eligible::DOUBLE / take, 6) AS weight FROM drawn d JOIN taken t ON d.stratum = t.stratum WHERE r <= take""",
+    "attrs_alignment": "SELECT d.doc_id AS pos, 'no counterpart' AS problem FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE l.doc_id IS NULL",
+    "validate_ids": "SELECT 'id is repeated' AS problem, count(*) AS \"rows\" FROM (SELECT conv_id FROM conversations GROUP BY conv_id HAVING count(*) > 1)",
+    "missing_fields": "SELECT 'a placeholder''s column is missing' AS problem, count(*) AS \"rows\" FROM events",
+    "render_prompt": "SELECT p_partkey, 'Part ' || p_name || ' of ' || p_brand || ', size ' || CAST(p_size AS VARCHAR) || '.' AS \"user\" FROM part",
+    "render_missing": "SELECT d.doc_id AS doc_id, lang || ': ' || COALESCE(CAST(quality AS VARCHAR), '<missing>') AS \"user\" FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id",
+    "send_order": f"WITH {ORDER_SQL} SELECT id, ord FROM plan WHERE ord < 100",
+    "part_slices": f"WITH {ORDER_SQL}, n AS (SELECT count(*) AS n FROM documents) SELECT id, ord FROM plan CROSS JOIN n WHERE ord >= n * 1 // 7 AND ord < n * 2 // 7",
+    "row_keys": "SELECT CAST(doc_id AS VARCHAR) AS id, substr(sha256(CAST(doc_id AS VARCHAR) || '|m|p|s|a'), 1, 32) AS key, substr(sha256(CAST(doc_id AS VARCHAR) || '|m|p|guided=off|'), 1, 32) AS shared_key FROM documents",
+    "resume_anti": "SELECT CAST(doc_id AS VARCHAR) AS key FROM documents WHERE doc_id % 3 <> 0",
+    "resume_semi": "SELECT CAST(doc_id AS VARCHAR) AS key FROM documents WHERE doc_id % 3 = 0",
+    "planned_missing": "SELECT count(*) AS planned, CAST(sum(CASE WHEN doc_id % 3 <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS missing FROM documents",
+    "planned_total": "SELECT CAST(sum(least(n, 40)) AS BIGINT) AS planned FROM (SELECT source, count(*) AS n FROM documents GROUP BY source)",
+    "retry_errors": f"WITH {ATTEMPTS_SQL} SELECT key FROM last WHERE error_class IS NULL",
+    "compare_plan": f"WITH {COMPARED_SQL} SELECT id, endpoint, verdict FROM compared",
+    "agreement": f"WITH {COMPARED_SQL} SELECT x.endpoint AS a, y.endpoint AS b, count(*) AS \"rows\", CAST(sum(CASE WHEN x.verdict = y.verdict THEN 1 ELSE 0 END) AS BIGINT) AS agree FROM compared x JOIN compared y ON x.id = y.id AND x.endpoint < y.endpoint WHERE x.verdict IS NOT NULL AND y.verdict IS NOT NULL GROUP BY x.endpoint, y.endpoint",
+    "agreement_table": f"WITH {COMPARED_SQL} SELECT x.endpoint AS a, y.endpoint AS b, x.verdict || '|' || y.verdict AS verdicts, count(*) AS \"rows\" FROM compared x JOIN compared y ON x.id = y.id AND x.endpoint < y.endpoint WHERE x.verdict IS NOT NULL AND y.verdict IS NOT NULL GROUP BY x.endpoint, y.endpoint, x.verdict || '|' || y.verdict",
+    "latest_record": f"WITH {ATTEMPTS_SQL} SELECT key, seq, verdict FROM last",
+    "totals": """SELECT count(*) AS "rows", CAST(sum(CASE WHEN doc_id % 17 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS parse_errors, CAST(sum(CASE WHEN doc_id % 11 = 0 OR doc_id % 13 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS errors,
+  CAST(sum(CASE WHEN doc_id % 5 <> 0 AND doc_id % 19 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS key_order_violations, CAST(sum(CASE WHEN doc_id % 23 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS replies_with_reasoning,
+  CAST(sum(CASE WHEN doc_id % 11 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS truncated FROM documents""",
+    "group_totals": f'WITH {RESULTS_SQL} SELECT grp AS "group", count(*) AS "rows", CAST(sum(CASE WHEN judged THEN 1 ELSE 0 END) AS BIGINT) AS judged, CAST(sum(CASE WHEN judged THEN 0 ELSE 1 END) AS BIGINT) AS not_judged FROM results GROUP BY grp',
+    "verdict_rates": f"WITH {RESULTS_SQL}{RATES_SQL}",
+    "weighted_rates": f"""{PROPORTIONAL_SQL}, drawn AS (SELECT pos, stratum, row_number() OVER (PARTITION BY stratum ORDER BY sha256('42|all|' || stratum || '|' || CAST(pos AS VARCHAR)), pos) AS r FROM strata),
+results AS (SELECT split_part(d.stratum, '/', 1) AS grp, round(eligible::DOUBLE / take, 6) AS w, {VERDICT_SQL.format(n="pos")} AS verdict, pos % 7 <> 0 AS judged FROM drawn d JOIN taken t ON d.stratum = t.stratum WHERE r <= take){RATES_SQL}""",
+    "verdict_counts": f'WITH {RESULTS_SQL} SELECT grp AS "group", verdict, count(*) AS "rows" FROM results WHERE verdict IS NOT NULL GROUP BY grp, verdict',
+    "stratum_crosstab": f"""WITH {RESULTS_SQL}, r AS (SELECT grp, stratum, COALESCE(verdict, 'not_judged') AS verdict FROM results)
+SELECT CAST(NULL AS VARCHAR) AS "group", CAST(NULL AS VARCHAR) AS stratum, verdict, count(*) AS "rows" FROM r GROUP BY verdict
+UNION ALL SELECT grp, CAST(NULL AS VARCHAR), verdict, count(*) FROM r GROUP BY grp, verdict
+UNION ALL SELECT grp, stratum, verdict, count(*) FROM r GROUP BY grp, stratum, verdict""",
+    "endpoint_stats": f"""WITH {RESULTS_SQL}, agg AS (SELECT endpoint, count(*) AS n, max(latency_s) AS lm, max(completion_tokens) AS cm, CAST(sum(CASE WHEN doc_id % 11 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS truncated,
+  list_sort(list(latency_s)) AS l, list_sort(list(prompt_tokens)) AS p FROM results GROUP BY endpoint), tokens AS (SELECT endpoint, list_sort(list(completion_tokens)) AS c FROM results WHERE completion_tokens IS NOT NULL GROUP BY endpoint),
+models AS (SELECT endpoint, string_agg(model, ',' ORDER BY model) AS models FROM (SELECT DISTINCT endpoint, model FROM results) GROUP BY endpoint)
+SELECT a.endpoint AS endpoint, n AS "rows", models, lm AS latency_s_max, cm AS completion_tokens_max, truncated, l[CAST(round_even(0.5 * (len(l) - 1), 0) AS BIGINT) + 1] AS latency_s_p50, l[CAST(round_even(0.9 * (len(l) - 1), 0) AS BIGINT) + 1] AS latency_s_p90,
+  c[CAST(round_even(0.5 * (len(c) - 1), 0) AS BIGINT) + 1] AS completion_tokens_p50, p[CAST(round_even(0.5 * (len(p) - 1), 0) AS BIGINT) + 1] AS prompt_tokens_p50
+FROM agg a JOIN tokens t ON a.endpoint = t.endpoint JOIN models m ON a.endpoint = m.endpoint""",
+    "quantiles_list": f"WITH {RESULTS_SQL}, agg AS (SELECT endpoint, list_sort(list(latency_s)) AS l FROM results GROUP BY endpoint) SELECT endpoint, l[CAST(round_even(0.5 * (len(l) - 1), 0) AS BIGINT) + 1] AS latency_s_p50, l[CAST(round_even(0.9 * (len(l) - 1), 0) AS BIGINT) + 1] AS latency_s_p90 FROM agg",
+    "label_domain": "SELECT 'consistent,inconsistent,unsure' AS \"values\"",
+    "parse_notes": f"SELECT '{parse.UNCLOSED}' AS note, count(*) AS \"rows\" FROM documents WHERE doc_id % 29 = 0",
+    "error_classes": "SELECT class, count(*) AS \"rows\" FROM (SELECT CASE event_id % 8 WHEN 1 THEN 'auth' WHEN 2 THEN 'overload' WHEN 3 THEN 'timeout' WHEN 4 THEN 'down' WHEN 5 THEN 'bad_request' WHEN 6 THEN 'down' ELSE 'retry' END AS class FROM events) GROUP BY class",
+    "failure_streaks": """WITH e AS (SELECT *, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS bad, sum(CASE WHEN event_type = 'error' THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS island FROM events),
+runs AS (SELECT user_id, island, sum(bad) AS n FROM e GROUP BY user_id, island) SELECT user_id, CAST(max(n) AS BIGINT) AS longest FROM runs GROUP BY user_id""",
+    "first_n_failed": """WITH e AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r FROM events)
+SELECT user_id, count(*) = 3 AND sum(CASE WHEN event_type IN ('error', 'view') THEN 1 ELSE 0 END) = count(*) AS refuse FROM e WHERE r <= 3 GROUP BY user_id""",
+    "trailing_rate": """WITH e AS (SELECT event_id, event_type, epoch_us(ts) AS m FROM events), c AS (SELECT event_id, count(*) OVER (PARTITION BY event_type ORDER BY m RANGE BETWEEN 60000000 PRECEDING AND CURRENT ROW) AS last_60s,
+  count(*) OVER (PARTITION BY event_type ORDER BY m RANGE BETWEEN 300000000 PRECEDING AND CURRENT ROW) AS last_300s FROM e)
+SELECT event_id, last_60s, last_300s, round(100 / (last_300s::DOUBLE / 5), 3) AS eta_minutes FROM c""",
+    "recent_events": """WITH e AS (SELECT event_type, event_id, user_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id DESC) AS r FROM events)
+SELECT event_type, string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY event_id) AS events FROM e WHERE r <= 30 GROUP BY event_type""",
+    "sse_assembly": """WITH t AS (SELECT conv_id, string_agg(text, '' ORDER BY turn) AS content FROM conversations GROUP BY conv_id),
+f AS (SELECT conv_id, 'stop' || CAST(max(turn) AS VARCHAR) AS finish_reason FROM conversations WHERE role = 'assistant' GROUP BY conv_id) SELECT t.conv_id AS conv_id, content, finish_reason FROM t LEFT JOIN f ON t.conv_id = f.conv_id""",
+    "strict_parse": """SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'consistent' END AS verdict, CASE WHEN doc_id % 5 = 0 THEN 'r' || CAST(doc_id AS VARCHAR) END AS short_reason, CASE WHEN doc_id % 5 = 0 THEN TRUE END AS key_order_ok, doc_id % 5 <> 0 AS failed FROM documents""",
+    "tolerant_parse": """SELECT doc_id, CASE WHEN doc_id % 5 IN (0, 3) THEN 'consistent' END AS verdict, CASE WHEN doc_id % 5 <> 4 THEN 'I say' END AS reasoning, doc_id % 5 NOT IN (0, 3) AS failed FROM documents""",
+    "thought_strip": "SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'ac' || CAST(doc_id AS VARCHAR) ELSE 'a' END AS content FROM documents",
+    "join_back": f"SELECT CAST(doc_id AS VARCHAR) AS id, lang, {VERDICT_SQL.format(n='doc_id')} AS verdict, CASE WHEN doc_id % 7 <> 0 THEN 'short' END AS short_reason FROM documents",
+    "parts_union": f"WITH {ATTEMPTS_SQL} SELECT key, verdict FROM last",
+    "chat_dedupe": "SELECT DISTINCT sha256(text) AS sha FROM documents",
+    "durations": """WITH s AS (SELECT event_id, event_id * 7 AS s FROM events)
+SELECT event_id, CASE WHEN s >= 3600 THEN CAST(s // 3600 AS VARCHAR) || 'h' || lpad(CAST(s % 3600 // 60 AS VARCHAR), 2, '0') || 'm' ELSE CAST(s // 60 AS VARCHAR) || 'm' || lpad(CAST(s % 60 AS VARCHAR), 2, '0') || 's' END AS took FROM s""",
+}
