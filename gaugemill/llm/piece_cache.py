@@ -1,27 +1,26 @@
-"""Encoding with the tokenizers library, each distinct word once a worker.
+"""Encoding with the tokenizers library, each distinct piece of text once a worker.
 
-The byte-level model splits a text by a pattern before it merges anything. Three places always
-begin a new part of that pattern: a space before a character that isn't white space, a single
-line break between such characters (which is a part of its own), and punctuation after a letter
-or digit. Cutting there leaves the ids as they are, so the library sees each distinct word once,
-many of them laid end to end, and the ids of a text are the words' ids in order.
+The byte-level model splits a text by a pattern before it merges anything, and a space before a
+character that isn't white space always begins a new part of that pattern. Cutting there leaves
+the ids as they are, so the library sees each distinct piece once, many of them laid end to end
+with such spaces between, and the ids of a text are those of its pieces in order.
 """
 
 from __future__ import annotations
 
 import os
 from functools import lru_cache
-from itertools import chain, filterfalse
+from itertools import chain, compress, repeat
+from operator import is_
 
 import numpy as np
 
 #: A worker keeps two generations of this many pieces.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 600_000
 #: Longer pieces aren't kept.
 LONGEST = 200
-#: Words laid end to end in one call of the library.
+#: Pieces laid end to end in one call of the library.
 BLOCK = 2000
-PUNCTUATION = ".,;:!?%$&*#"
 
 
 class PieceEncoder:
@@ -37,107 +36,70 @@ class PieceEncoder:
             self.lengths[i] = len(token)  # one character of its alphabet stands for one byte
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.bare: dict[str, bytes] = {}  # of words without a space before them
 
-    @staticmethod
-    def words(piece: str) -> list[str]:
-        """A finer cut of a piece (which has a space before it): at line breaks and before
-        closing punctuation. The first word begins with that space."""
-        if "\n" not in piece:
-            core = piece.rstrip(PUNCTUATION)
-            if len(core) < len(piece) and core and core[-1] < "ɐ" and core[-1].isalnum():
-                return [" " + core, piece[len(core) :]]
-            return [" " + piece]
-        lines = piece.split("\n")
-        if any(not x or x[-1].isspace() or x[0].isspace() for x in lines):
-            return [" " + piece]
-        out = []
-        for line in lines:
-            core = line.rstrip(PUNCTUATION)
-            if len(core) < len(line) and core and core[-1] < "ɐ" and core[-1].isalnum():
-                out += core, line[len(core) :], "\n"
-            else:
-                out += line, "\n"
-        out[0] = " " + out[0]
-        return out[:-1]
+    def library(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def fresh(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words that no cache has, from the library."""
+    def fresh(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of pieces, each with the space before it."""
         out: dict[str, bytes] = {}
-        plain, odd = [], []
-        for w in words:
-            (odd if w[-1].isspace() or w[0].isspace() and (w[0] != " " or w[1].isspace()) else plain).append(w)
-        for i in range(0, len(plain), BLOCK):
-            block = plain[i : i + BLOCK]
-            # A line break before a word that begins without a space is one id, dropped below.
-            slots = [w if w[0] == " " else "\n" + w for w in block]
-            ids = np.array(self.tokenizer.encode("".join(slots), add_special_tokens=False).ids, "<u4")
-            ends = np.cumsum([len(s.encode()) for s in slots])
-            cuts = np.searchsorted(np.cumsum(self.lengths[ids]), ends, "left") + 1
+        blocks = [pieces[i : i + BLOCK] for i in range(0, len(pieces), BLOCK)]
+        for block, ids in zip(blocks, self.library([" " + " ".join(b) for b in blocks])):
+            ends = np.cumsum([len(p.encode()) + 1 for p in block])
+            cuts = (4 * (np.searchsorted(np.cumsum(self.lengths[ids]), ends, "left") + 1)).tolist()
             raw, start = ids.tobytes(), 0
-            for w, end in zip(block, (4 * cuts).tolist()):
-                out[w] = raw[start + 4 * (w[0] != " ") : end]
+            for p, end in zip(block, cuts):
+                out[p] = raw[start:end]
                 start = end
-        for w, e in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
-            out[w] = np.array(e.ids, "<u4").tobytes()
         return out
 
-    def heads(self, texts: list[str]) -> list[bytes]:
-        """Ids of what comes before the first cut of each text."""
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    @staticmethod
+    def rejoined(own: list[str]) -> list[str]:
+        """Pieces with those that begin with white space, or are empty, put back to what is before them."""
+        joined = own[:1]
+        for p in own[1:]:
+            if p and not p[0].isspace():
+                joined.append(p)
+            else:
+                joined[-1] += " " + p
+        return joined
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers, without special tokens."""
         cuts = [t.split(" ") for t in texts]
-        young, old = self.young, self.old
-        missing = set(filterfalse(young.__contains__, chain.from_iterable(cuts)))
-        loose = {p for p in missing if not p or p[0].isspace()}
-        if loose:  # never kept: here white space follows the space, and the text isn't cut
-            for i, own in enumerate(cuts):
-                if not loose.isdisjoint(own):
-                    joined = own[:1]
-                    for p in own[1:]:
-                        if not p or p[0].isspace():
-                            joined[-1] += " " + p
-                        else:
-                            joined.append(p)
-                    cuts[i] = joined
-            missing = set(filterfalse(young.__contains__, chain.from_iterable(cuts)))
-        first = self.heads([own[0] for own in cuts])
-        for own in cuts:
-            del own[0]
-        missing.intersection_update(chain.from_iterable(cuts))
+        get = self.young.get
+        found, lacking = [], []
+        for i, own in enumerate(cuts):
+            got = list(map(get, own))
+            lack = list(compress(own, map(is_, got, repeat(None))))
+            # No kept piece begins with white space, so pieces that do are among those not found.
+            if any(not p or p[0].isspace() for p in lack):
+                own = cuts[i] = self.rejoined(own)
+                got = list(map(get, own))
+                lack = list(compress(own, map(is_, got, repeat(None))))
+            if got[0] is None:
+                del lack[0]
+            found.append(got)
+            lacking.append(lack)
+        for got, ids in zip(found, self.library([own[0] for own in cuts])):
+            got[0] = ids.tobytes()
         known: dict[str, bytes] = {}
-        split: dict[str, list[str]] = {}
-        need: dict[str, bytes | None] = {}
-        for p in missing:
-            if (ids := old.get(p)) is not None:
+        new: dict[str, None] = {}
+        for p in chain.from_iterable(lacking):
+            if (ids := self.old.get(p)) is not None:
                 known[p] = ids
             else:
-                split[p] = words = self.words(p)
-                for w in words:
-                    need[w] = None
-        for w in need:
-            need[w] = (young.get(w[1:]) or old.get(w[1:])) if w[0] == " " else self.bare.get(w)
-        need |= self.fresh([w for w, ids in need.items() if ids is None])
-        for p, words in split.items():
-            known[p] = need[words[0]] if len(words) == 1 else b"".join([need[w] for w in words])
-        for w, ids in need.items():
-            if w[0] != " ":
-                self.bare[w] = ids
-            elif w[1:] and not w[1].isspace():  # no kept key begins with white space
-                known[w[1:]] = ids
-        long = {p: ids for p, ids in known.items() if len(p) > LONGEST}
-        for p in long:
-            del known[p]
-        young |= known
-        get = young.__getitem__ if not long else (young | long).__getitem__
-        out = [a + b"".join(map(get, own)) for a, own in zip(first, cuts)]
-        if len(young) > CACHE_PIECES:
-            self.old, self.young = young, {}
-        if len(self.bare) > CACHE_PIECES // 4:
-            self.bare = {}
-        return out
+                new[p] = None
+        known |= self.fresh(list(new))
+        for got, lack in zip(found, lacking):
+            i = 0
+            for p in lack:
+                i = got.index(None, i)
+                got[i] = known[p]
+        self.young |= {p: ids for p, ids in known.items() if len(p) <= LONGEST}
+        if len(self.young) > CACHE_PIECES:
+            self.old, self.young = self.young, {}
+        return list(map(b"".join, found))
 
 
 @lru_cache(2)
