@@ -3,12 +3,14 @@
 The byte-level model splits a text by a pattern before it merges anything, and a space before a
 character that isn't white space always begins a new part of that pattern. Cutting there leaves
 the ids as they are, so the library sees each distinct piece once, many of them laid end to end
-with such spaces between, and the ids of a text are those of its pieces in order.
+with such spaces between, and the ids of a text are those of its pieces in order. A piece that ends
+in punctuation is made of the ids of the rest and of that punctuation, which the pattern cuts too.
 """
 
 from __future__ import annotations
 
 import os
+from array import array
 from functools import lru_cache
 from itertools import chain, compress, repeat
 from operator import is_
@@ -21,6 +23,13 @@ CACHE_PIECES = 600_000
 LONGEST = 200
 #: Pieces laid end to end in one call of the library.
 BLOCK = 2000
+#: A run of these after a letter or digit is always a part of its own.
+PUNCTUATION = ".,;:!?%$&*#"
+
+#: The model's alphabet: printable Latin-1 stands for itself, other bytes for letters from 256 on.
+SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+ALPHABET = dict(zip((b for b in range(256) if b not in SHOWN), range(256, 512)))
+SPACE = chr(ALPHABET[32])
 
 
 class PieceEncoder:
@@ -36,13 +45,22 @@ class PieceEncoder:
             self.lengths[i] = len(token)  # one character of its alphabet stands for one byte
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
 
     def library(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def fresh(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of pieces, each with the space before it."""
+        """Ids of pieces, each with the space before it.
+
+        A piece of letters alone is one part of the pattern, so it goes straight to the model.
+        """
         out: dict[str, bytes] = {}
+        tokenize = self.tokenizer.model.tokenize
+        for p in filter(str.isalpha, pieces):
+            word = SPACE + p if p.isascii() else f" {p}".encode().decode("latin-1").translate(ALPHABET)
+            out[p] = array("I", [t.id for t in tokenize(word)]).tobytes()
+        pieces = [p for p in pieces if p not in out]
         blocks = [pieces[i : i + BLOCK] for i in range(0, len(pieces), BLOCK)]
         for block, ids in zip(blocks, self.library([" " + " ".join(b) for b in blocks])):
             ends = np.cumsum([len(p.encode()) + 1 for p in block])
@@ -53,6 +71,15 @@ class PieceEncoder:
                 start = end
         return out
 
+    def tail(self, text: str) -> bytes:
+        """Ids of punctuation that follows a letter or digit."""
+        ids = self.tails.get(text)
+        if ids is None:
+            ids = self.library([text])[0].tobytes()
+            if len(self.tails) < CACHE_PIECES and len(text) <= LONGEST:
+                self.tails[text] = ids
+        return ids
+
     @staticmethod
     def rejoined(own: list[str]) -> list[str]:
         """Pieces with those that begin with white space, or are empty, put back to what is before them."""
@@ -85,12 +112,20 @@ class PieceEncoder:
             got[0] = ids.tobytes()
         known: dict[str, bytes] = {}
         new: dict[str, None] = {}
-        for p in chain.from_iterable(lacking):
+        cores: dict[str, str] = {}
+        for p in dict.fromkeys(chain.from_iterable(lacking)):
             if (ids := self.old.get(p)) is not None:
                 known[p] = ids
-            else:
-                new[p] = None
-        known |= self.fresh(list(new))
+                continue
+            core = p.rstrip(PUNCTUATION)
+            if len(core) < len(p) and core and core[-1] < "ɐ" and core[-1].isalnum():
+                cores[p] = p = core
+                if get(core) is not None:
+                    continue
+            new[p] = None
+        known |= self.fresh([p for p in new if p not in known])
+        for p, core in cores.items():
+            known[p] = (known.get(core) or get(core)) + self.tail(p[len(core) :])
         for got, lack in zip(found, lacking):
             i = 0
             for p in lack:
