@@ -13,12 +13,12 @@ import os
 from array import array
 from functools import lru_cache
 from itertools import chain, compress, repeat
-from operator import is_
+from operator import is_, itemgetter
 
 import numpy as np
 
 #: A worker keeps two generations of this many pieces.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 1_200_000
 #: Longer pieces aren't kept.
 LONGEST = 200
 #: Pieces laid end to end in one call of the library.
@@ -100,7 +100,7 @@ class PieceEncoder:
             got = list(map(get, own))
             lack = list(compress(own, map(is_, got, repeat(None))))
             # No kept piece begins with white space, so pieces that do are among those not found.
-            if any(not p or p[0].isspace() for p in lack):
+            if "" in lack or any(map(str.isspace, map(itemgetter(0), lack))):
                 own = cuts[i] = self.rejoined(own)
                 got = list(map(get, own))
                 lack = list(compress(own, map(is_, got, repeat(None))))
