@@ -11,8 +11,9 @@ number of selected features and their places in the sample, never texts.
 
 Edge cases: null and empty texts have no features and get the score of the bias; labels that are
 null or neither 0 nor 1 are left out; a document with several labels counts as toxic if any says
-so; with no labels of one class the score is the share of toxic ones, 0 without labels; columns
-of the results' names are replaced; repeated rows are scored alike.
+so; of texts that share an identifier the one with the smallest hash is learnt from; with no labels
+of one class the score is the share of toxic ones, 0 without labels; columns of the results' names
+are replaced; repeated rows are scored alike.
 """
 
 from __future__ import annotations
@@ -84,7 +85,9 @@ def sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str,
     order = F.xxhash64(F.col("key").cast("string"))
     parts = [known.where(F.col("y") == c).orderBy(order, "key").limit(most) for c, most in ((1, toxic), (0, clean))]
     chosen = F.broadcast(parts[0].unionByName(parts[1]))  # bounded by the two limits
-    rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")).join(chosen, "key").select("y", F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")).join(chosen, "key")
+    # One text for each identifier, however many rows share it: the bound holds for rows as well.
+    rows = rows.groupBy("key").agg(F.first("y").alias("y"), F.min_by("text", F.struct(F.xxhash64("text"), F.length("text"))).alias("text")).select("y", "text")
     rows = written(rows.repartition(COUNTERS, F.xxhash64("text")), "sample")
     taken = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     return rows, {c: (counts.get(c, 0), taken.get(c, 0)) for c in (0, 1)}
