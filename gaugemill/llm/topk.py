@@ -73,7 +73,8 @@ def top_k(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", vec
         raise ValueError("components are too large for exact products")
     rows = rows.where(F.size("v") == d)
     tiles, blocks = -(-n // tile), -(-nq // query_block)
-    spread = lambda salt, m: F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(m)).cast("long")
+    # By the vector too, so that rows which share an identifier don't share a tile.
+    spread = lambda salt, m: F.pmod(F.xxhash64("id", "v", F.lit(salt)), F.lit(m)).cast("long")
     # Every tile meets every block: both sides carry the grid's cell as an equi-join key.
     left = _packed(rows.withColumn("tile", spread(1, tiles)).select("tile", "id", "v"), "tile").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     right = _packed(rows.where("q").withColumn("block", spread(2, blocks)).select("block", "id", "v"), "block").withColumnRenamed("ids", "q_ids").withColumnRenamed("rows", "q_rows").withColumn("tile", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tiles - 1).cast("long"))))
