@@ -26,6 +26,8 @@ from .common import let, written
 SLOTS_A_SOURCE = 10
 #: Ranks within a source are counted in so many pieces, which spreads a hot source.
 PIECES = 4096
+#: A period's slots are broadcast up to so many entries of three numbers, and shuffled beyond.
+BROADCAST_ENTRIES = 500_000
 
 
 def smoothed(power: float = 0.5) -> Column:
@@ -97,9 +99,9 @@ def mix(df: DataFrame, block_rows: int = 16, weight: Column | None = None, sourc
     parts = slots.where("j = 0").select("s", "unknown", "part", "period")
     before = Window.partitionBy("s", "unknown").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     firsts = pieces.select(*keys, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    # One row for each source, and one for each slot of a period: both have that bound, and
-    # are broadcast only where it is small; a plan without the hint gives the same rows.
-    few = period.count() <= 20_000
+    # One row for each slot of a period, each with an entry for every source: broadcast only where
+    # all those entries are few; a plan without the hint gives the same rows.
+    few = (period.agg(F.sum(F.size("before"))).first()[0] or 0) <= BROADCAST_ENTRIES
     hint = F.broadcast if few else (lambda x: x)
     ranked = rows.withColumn("i", F.row_number().over(Window.partitionBy(*keys).orderBy("order", F.col(f"row.`{key}`"))).cast("long") - 1)
     ranked = ranked.join(firsts, keys).withColumn("rank", F.col("first") + F.col("i"))
