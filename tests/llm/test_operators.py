@@ -157,6 +157,9 @@ def test_toxicity(spark, odd):
     assert np.mean([rows[d].predicted == t for d, t in labels.items()]) > 0.9
     model = toxicity.fit(odd, spark.createDataFrame([(4, 1), (9, 0), (3, 0), (8, None)], "doc_id long, toxic int"))
     assert toxicity.score(odd, model).count() == len(ODD)
+    shared = spark.createDataFrame([(1, f"text {i}") for i in range(50)] + [(2, "other")], "doc_id long, text string")
+    rows, counts = toxicity.sample(shared, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int"), "doc_id", "text", "toxic", 5, 5)
+    assert rows.count() == 2 and counts == {0: (1, 1), 1: (1, 1)}  # the bound holds though 50 rows share an identifier
     none = toxicity.fit(odd, spark.createDataFrame([], "doc_id long, toxic int"))
     assert toxicity.score(odd, none).agg(F.max("score")).first()[0] < 1e-6
 
@@ -178,6 +181,9 @@ def test_topk_odd_rows(spark):
     got = topk.top_k(rows, F.col("vec_id") == 0, k=2, scale=64, query_block=1, tile=1).collect()
     assert [(r["rank"], r.vec_id) for r in sorted(got, key=lambda r: r["rank"])] == [(1, 1), (2, 5)]
     assert topk.top_k(rows.limit(0), F.col("vec_id") == 0).count() == 0
+    shared = spark.createDataFrame([(0, [1.0])] + [(7, [i / 64]) for i in range(40)], "vec_id long, embedding array<float>")
+    got = topk.top_k(shared, F.col("vec_id") == 0, k=20, scale=64, tile=8).collect()
+    assert [(r["rank"], r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"])] == [(i + 1, 7, 64.0 * (39 - i)) for i in range(20)]
 
 
 def test_bpe(spark, docs, odd):
@@ -227,7 +233,7 @@ def test_token_counts(spark, docs):
     assert sorted(r.n_tokens for r in small.collect()) == sorted(want.values())
 
 
-def test_mixing(spark, odd):
+def test_mixing(spark, odd, monkeypatch):
     rows = sorted(queries.op8_mixing(spark, FOLDER).collect(), key=lambda r: r.mix_position)
     assert [r.mix_position for r in rows] == list(range(len(rows)))
     counts = spark.createDataFrame([("a", 900), ("b", 90), (None, 10), ("c", 1)], "source string, n long")
@@ -237,4 +243,6 @@ def test_mixing(spark, odd):
     for r in slots:
         done[r.source] += 1
         assert all(abs(done[k] - w * (r.slot + 1)) < 1 for k, w in share.items())
+    monkeypatch.setattr(mixing, "BROADCAST_ENTRIES", 0)  # the shuffled way gives the same places
+    assert sorted(queries.op8_mixing(spark, FOLDER).collect(), key=lambda r: r.mix_position) == rows
     assert mixing.mix(odd).count() == len(ODD) and mixing.mix(odd.limit(0)).count() == 0
