@@ -37,6 +37,31 @@ def test_whole_run(spark):
     assert corpus_pipeline.run(spark, FOLDER).where("not round_trip").count() == 0
 
 
+def test_places_reach_the_result(spark):
+    """Prefixes of the rows, by their place, follow the weights, though a scan packs files by size."""
+    docs = spark.createDataFrame([(i, "en", "abc"[(i % 7 > 3) + (i % 7 > 5)], f"text {i} " * (1 + i % 50)) for i in range(2000)], "doc_id long, lang string, source string, text string")
+    laid = corpus_pipeline.lay_out(spark, docs, FOLDER)
+    want = {r.doc_id: r.mix_position for r in corpus_pipeline.mixing.mix(docs).collect()}
+    for table in (corpus_pipeline.written(laid, "mixing"), laid):
+        rows = sorted(corpus_pipeline.tokens(spark, table, FOLDER).collect(), key=lambda r: r.mix_position)
+        assert {r.doc_id: r.mix_position for r in rows} == want and [r.mix_position for r in rows] == list(range(2000))
+    counts = {k: sum(r.source == k for r in rows) for k in "abc"}
+    total, done = sum(n**0.5 for n in counts.values()), dict.fromkeys("abc", 0)
+    for r in rows[: int(0.9 * min(n**0.5 * total for n in counts.values()))]:
+        done[r.source] += 1
+        assert all(abs(done[k] - n**0.5 / total * (r.mix_position + 1)) < 32 for k, n in counts.items())
+
+
+def test_run_returns_places(spark):
+    rows = corpus_pipeline.run(spark, FOLDER).collect()
+    assert sorted(r.mix_position for r in rows) == list(range(len(rows)))
+    sources = [r.source for r in sorted(rows, key=lambda r: r.mix_position)]
+    counts = {k: sources.count(k) for k in set(sources)}
+    total = sum(n**0.5 for n in counts.values())
+    first = int(min(n**0.5 * total for n in counts.values())) - 32  # the first source runs out later
+    assert all(abs(sources[:first].count(k) - n**0.5 / total * first) < 32 for k, n in counts.items())
+
+
 def test_empty_tables(spark):
     docs = queries.table(spark, FOLDER, "documents").limit(0)
     assert near.dedupe(docs).count() == 0
