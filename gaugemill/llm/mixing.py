@@ -3,31 +3,40 @@
 A source of weight w (all weights sum to one) owns, in an endless row of slots, one slot in each
 window from floor(j / w) to ceil((j + 1) / w), for its blocks j = 0, 1, ... Each slot goes to the
 released block with the earliest deadline. So at every slot every source has less than one block
-more or less than its weight asks for. Weights are held to whole parts of ``period`` slots, where
-the schedule repeats; one period is computed by a native fold over its slots and holds for any
-number of rows.
+more or less than its weight asks for. Windows follow from the weights as they are given, in exact
+whole numbers, over the whole schedule: nothing is rounded to a period, and no error adds up.
 
 Rows go to blocks of ``block_rows`` by a seeded order within their source. When a source has run
-out, its later slots are left out, so the others keep their proportions to each other; no row is
-dropped or repeated. A row's position counts the rows before it in closed form: no global sort.
+out, its later slots stay empty, so the others keep their windows; no row is dropped or repeated.
+The schedule has one entry a block, is dealt out on the driver piece by piece (blocks times the
+logarithm of the sources) and written; rows find their place in it by a join: no global sort.
 
-Edge cases: null sources are a source of their own; a source without a target weight gets the
-least weight, one slot a period; repeated rows take neighbouring places; an empty table stays empty.
+Edge cases: null sources are a source of their own; sources without a target weight, or with one
+of zero, have no share while others have rows, and follow them in equal parts (if no source has a
+weight, all have the same); repeated rows take neighbouring places; an empty table stays empty.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import heapq
+import math
+from collections.abc import Iterator
+from itertools import islice
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import let, written
+from .common import scratch, written
 
 #: Slots of one period for each source, at least 1000 in all.
 SLOTS_A_SOURCE = 10
 #: Ranks within a source are counted in so many pieces, which spreads a hot source.
 PIECES = 4096
-#: A period's slots are broadcast up to so many entries of three numbers, and shuffled beyond.
+#: The schedule is broadcast up to so many entries of four numbers, and shuffled beyond.
 BROADCAST_ENTRIES = 500_000
+#: Entries of the schedule that the driver holds at a time.
+ENTRIES = 1 << 18
 
 
 def smoothed(power: float = 0.5) -> Column:
@@ -36,49 +45,86 @@ def smoothed(power: float = 0.5) -> Column:
 
 
 def shares(counts: DataFrame, weight: Column | None = None) -> DataFrame:
-    """(source, n, part, period): whole slots a period for each source, by largest remainders.
+    """(source, n, part, period): each source's slots in a period by its weight, not rounded.
 
-    ``counts`` has (source, n), one row a source; ``weight`` is computed on it. Every source gets
-    one slot at least.
+    ``counts`` has (source, n), one row a source; ``weight`` is computed on it.
     """
     whole = Window.partitionBy()
     w = F.coalesce(weight if weight is not None else smoothed(), F.lit(0.0)).cast("double")
-    rows = counts.withColumn("w", F.greatest(w, F.lit(0.0)))
-    rows = rows.withColumn("sources", F.count("*").over(whole)).withColumn("total", F.sum("w").over(whole))
-    rows = rows.withColumn("period", F.greatest(F.lit(1000), F.lit(SLOTS_A_SOURCE) * F.col("sources")).cast("long"))
-    # One slot each first, the rest in proportion.
-    rest = F.col("period") - F.col("sources")
-    ideal = F.when(F.col("total") > 0, F.col("w") / F.col("total")).otherwise(1 / F.col("sources")) * rest
-    rows = rows.withColumn("ideal", F.round(ideal, 9)).withColumn("low", F.floor("ideal"))
-    left = rest - F.sum("low").over(whole)
-    rank = F.row_number().over(whole.orderBy(F.desc(F.round(F.col("ideal") - F.col("low"), 9)), F.asc_nulls_first("source")))
-    rows = rows.withColumn("left", left).withColumn("rank", rank)
-    return rows.select("source", "n", (1 + F.col("low") + (F.col("rank") <= F.col("left")).cast("long")).cast("long").alias("part"), "period")
+    rows = counts.withColumn("w", F.when((w > 0) & (w < math.inf), w).otherwise(0.0))
+    rows = rows.withColumn("sources", F.count("*").over(whole)).withColumn("most", F.max("w").over(whole))
+    # Divided by the largest first, so that no sum overflows.
+    rows = rows.withColumn("w", F.when(F.col("most") > 0, F.col("w") / F.col("most")).otherwise(1.0))
+    period = F.greatest(F.lit(1000), F.lit(SLOTS_A_SOURCE) * F.col("sources")).cast("long")
+    return rows.select("source", "n", (F.col("w") / F.sum("w").over(whole) * period).alias("part"), period.alias("period"))
 
 
-def one_period(parts: DataFrame) -> DataFrame:
-    """The slots of one period: (source, j, slot, part, period, before).
+def schedule(weights: list[float], blocks: list[int] | None = None) -> Iterator[tuple[int, int, int]]:
+    """(slot, place, j) in order of slots: block j of the source at ``place`` of ``weights``.
 
-    ``j`` numbers the source's blocks in the period, ``before`` has for every source its rows,
-    slots a period and slots before this one. The fold's state is the number of blocks that each
-    source has had; a slot goes to the source whose next block is released and has the earliest
-    deadline, then the larger part, then the first in order.
+    Without ``blocks`` sources never run out. Weights are taken as the exact fractions that they are;
+    a window's end within 1e-6 of a whole slot is that slot, as for 0.9, which no fraction of two has.
     """
-    one = parts.groupBy("period").agg(F.sort_array(F.collect_list(F.struct(F.col("source").isNotNull().alias("known"), "source", "part", "n"))).alias("s"))
-    period = F.col("period")
+    exact = [float(w).as_integer_ratio() for w in weights]
+    scale = max((b for _, b in exact), default=1)  # powers of two
+    whole = [a * (scale // b) for a, b in exact]
+    total, slot, dust = sum(whole), 0, [w >> 20 for w in whole]
+    ahead: list[tuple[int, int, int]] = []  # (release, place, j)
+    ready: list[tuple[int, int, int, int]] = []  # (deadline, -weight, place, j)
+    for i, w in enumerate(whole):
+        if w and (blocks is None or blocks[i]):
+            heapq.heappush(ahead, (0, i, 0))
+    while ahead or ready:
+        first = None if ready else ahead[0]
+        if first and first[2] * total // whole[first[1]] > slot:
+            slot = first[0]  # only sources that have run out own the slots between
+        while ahead and (ahead[0][0] <= slot or ahead[0] == first):
+            _, i, j = heapq.heappop(ahead)
+            heapq.heappush(ready, (-((dust[i] - (j + 1) * total) // whole[i]), -whole[i], i, j))
+        _, _, i, j = heapq.heappop(ready)
+        yield slot, i, j
+        slot += 1
+        if blocks is None or j + 1 < blocks[i]:
+            heapq.heappush(ahead, (((j + 1) * total + dust[i]) // whole[i], i, j + 1))
+    rest = [i for i, w in enumerate(whole) if not w and (blocks is None or blocks[i])]
+    for at, i, j in schedule([1.0] * len(rest), None if blocks is None else [blocks[i] for i in rest]) if rest else ():
+        yield slot + at, rest[i], j
+
+
+def known_first(source: str | None) -> tuple[bool, str]:
+    return source is not None, source or ""
+
+
+def one_period(parts: DataFrame) -> DataFrame:
+    """The first slots of the endless schedule, one period: (source, j, slot, part, period)."""
+    sources = sorted(parts.collect(), key=lambda r: known_first(r.source))
+    slots = islice(schedule([r.part for r in sources]), sources[0].period if sources else 0)
+    rows = [(sources[i].source, j, slot, sources[i].part, sources[i].period) for slot, i, j in slots]
+    return parts.sparkSession.createDataFrame(rows, "source string, j long, slot long, part double, period long")
 
-    def choose(done: Column, slot: Column) -> Column:
-        keys = F.zip_with("s", done, lambda s, j: F.struct((F.floor(j * period / s.part) > slot).alias("early"), F.ceil((j + 1) * period / s.part).alias("due"), (-s.part).alias("part")))
-        return F.array_min(F.transform(keys, lambda x, i: F.struct(x.early, x.due, x.part, i.alias("place")))).place
 
-    def advance(state: Column, slot: Column) -> Column:
-        return let(choose(state.done, slot), lambda p: F.struct(F.transform(state.done, lambda j, i: F.when(i == p, j + 1).otherwise(j)).alias("done"), F.concat(state.order, F.array(F.struct(p.alias("place"), state.done.alias("had")))).alias("order")))
+def laid(spark: SparkSession, sources: list, block_rows: int) -> tuple[DataFrame, int]:
+    """The written schedule (s, unknown, block, slot, start), and its entries.
 
-    start = F.struct(F.transform("s", lambda s: F.lit(0).cast("long")).alias("done"), F.array().cast("array<struct<place:int,had:array<bigint>>>").alias("order"))
-    order = one.select("s", "period", F.posexplode(F.aggregate(F.sequence(F.lit(0).cast("long"), period - 1), start, advance, lambda state: state.order)).alias("slot", "x"))
-    own = F.expr("s[x.place]")
-    had = F.zip_with("s", "x.had", lambda s, j: F.struct(s.n.alias("n"), s.part.alias("part"), j.alias("had")))
-    return order.select(own.source.alias("source"), F.expr("x.had[x.place]").alias("j"), F.col("slot").cast("long").alias("slot"), own.part.alias("part"), "period", had.alias("before"))
+    ``sources`` has rows (source, n, part); ``start`` counts the rows before the block.
+    """
+    path, start, entries = scratch(spark, "mix-schedule"), 0, 0
+    order = sorted(sources, key=lambda r: known_first(r.source))
+    slots = schedule([r.part for r in order], [-(-r.n // block_rows) for r in order])
+    kind = pa.schema([("s", pa.string()), ("unknown", pa.bool_()), ("block", pa.int64()), ("slot", pa.int64()), ("start", pa.int64())])
+    while (piece := list(islice(slots, ENTRIES))) or not entries:
+        starts = []
+        for _, i, j in piece:
+            starts.append(start)
+            start += min(block_rows, order[i].n - j * block_rows)
+        own = [order[i].source for _, i, _ in piece]
+        columns = [[x or "" for x in own], [x is None for x in own], [j for _, _, j in piece], [slot for slot, _, _ in piece], starts]
+        table = pa.table([pa.array(c, f.type) for c, f in zip(columns, kind)], schema=kind)
+        spark.createDataFrame(table, "s string, unknown boolean, block long, slot long, start long").write.mode("append").parquet(path)
+        entries += len(piece)
+        if not piece:
+            break
+    return spark.read.schema("s string, unknown boolean, block long, slot long, start long").parquet(path), entries
 
 
 def mix(df: DataFrame, block_rows: int = 16, weight: Column | None = None, source: str = "source", key: str = "doc_id", seed: int = 0) -> DataFrame:
@@ -94,20 +140,13 @@ def mix(df: DataFrame, block_rows: int = 16, weight: Column | None = None, sourc
     # A hot source is ranked piece by piece; pieces start after one another.
     pieces = written(rows.groupBy(*keys).agg(F.count("*").alias("n")), "mix-pieces")
     counts = pieces.groupBy(F.when(~F.col("unknown"), F.col("s")).alias("source")).agg(F.sum("n").alias("n"))
-    period = written(one_period(shares(counts, weight)), "mix-period")
-    slots = period.select(F.coalesce("source", F.lit("")).alias("s"), F.col("source").isNull().alias("unknown"), "j", "slot", "part", "period", "before")
-    parts = slots.where("j = 0").select("s", "unknown", "part", "period")
+    slots, entries = laid(df.sparkSession, shares(counts, weight).collect(), block_rows)
     before = Window.partitionBy("s", "unknown").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     firsts = pieces.select(*keys, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    # One row for each slot of a period, each with an entry for every source: broadcast only where
-    # all those entries are few; a plan without the hint gives the same rows.
-    few = (period.agg(F.sum(F.size("before"))).first()[0] or 0) <= BROADCAST_ENTRIES
-    hint = F.broadcast if few else (lambda x: x)
+    # A plan without the hint gives the same rows.
+    hint = F.broadcast if entries <= BROADCAST_ENTRIES else (lambda x: x)
     ranked = rows.withColumn("i", F.row_number().over(Window.partitionBy(*keys).orderBy("order", F.col(f"row.`{key}`"))).cast("long") - 1)
     ranked = ranked.join(firsts, keys).withColumn("rank", F.col("first") + F.col("i"))
-    ranked = ranked.withColumn("block", F.floor(F.col("rank") / block_rows)).join(hint(parts), ["s", "unknown"])
-    ranked = ranked.withColumn("j", F.pmod("block", "part")).withColumn("turn", F.floor(F.col("block") / F.col("part"))).drop("part", "period")
-    at = ranked.join(hint(slots), ["s", "unknown", "j"])
-    # Rows before a slot: of each source its blocks before the slot, as far as it has rows.
-    earlier = F.aggregate("before", F.lit(0).cast("long"), lambda total, x: total + F.least(x.n, (F.col("turn") * x.part + x.had) * block_rows))
-    return at.select("row.*", F.col("block").alias("mix_block"), (F.col("turn") * F.col("period") + F.col("slot")).alias("mix_slot"), (earlier + F.pmod("rank", F.lit(block_rows))).alias("mix_position"))
+    ranked = ranked.withColumn("block", F.floor(F.col("rank") / block_rows))
+    at = ranked.join(hint(slots), ["s", "unknown", "block"])
+    return at.select("row.*", F.col("block").alias("mix_block"), F.col("slot").alias("mix_slot"), (F.col("start") + F.pmod("rank", F.lit(block_rows))).alias("mix_position"))

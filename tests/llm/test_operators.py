@@ -246,3 +246,24 @@ def test_mixing(spark, odd, monkeypatch):
     monkeypatch.setattr(mixing, "BROADCAST_ENTRIES", 0)  # the shuffled way gives the same places
     assert sorted(queries.op8_mixing(spark, FOLDER).collect(), key=lambda r: r.mix_position) == rows
     assert mixing.mix(odd).count() == len(ODD) and mixing.mix(odd.limit(0)).count() == 0
+
+
+def test_mixing_follows_the_given_weights(spark):
+    for weights in ([0.5] + [0.5 / 99] * 99, [0.9] + [0.1 / 19] * 19, [1 - 3e-5, 1e-5, 2e-5], [0.7071, 0.1234, 0.1695]):
+        done, total = [0] * len(weights), sum(weights)
+        for slot, i, j in mixing.islice(mixing.schedule(weights), 20000):
+            assert j == done[i]
+            done[i] += 1
+            assert slot + 1 == sum(done) and all(abs(n - w / total * (slot + 1)) < 1 for n, w in zip(done, weights))
+    # Rows, with their slots: 40 sources, of which one shall have half.
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "s0").otherwise(F.concat(F.lit("s"), F.col("id") % 78)).alias("source"))
+    rows = sorted(mixing.mix(docs, 4, F.when(F.col("source") == "s0", 0.5).otherwise(0.5 / 39)).collect(), key=lambda r: r.mix_position)
+    assert [r.mix_position for r in rows] == list(range(6000))
+    blocks = sorted({(r.mix_slot, r.source, r.mix_block) for r in rows})
+    assert len(blocks) == len({slot for slot, _, _ in blocks})
+    for slot, name, j in blocks:
+        w = 0.5 if name == "s0" else 0.5 / 39
+        assert abs(j - w * slot) < 1 and abs(j + 1 - w * (slot + 1)) < 1
+    # Without a weight, or with zero: after all others, none lost.
+    few = mixing.mix(docs, 4, F.when(F.col("source") == "s0", 2.0).when(F.col("source") == "s1", 0.0)).collect()
+    assert sorted(r.mix_position for r in few) == list(range(6000)) and {r.source for r in few if r.mix_position < 3000} == {"s0"}
