@@ -18,9 +18,9 @@ A pair at the threshold misses every band with a chance of (1 - 0.8**4)**32 < 1e
 Results have one row for each row of the input: ``class_id`` is the smallest identifier among all
 texts connected by links, ``copy_id`` the smallest among equal texts, ``n_links`` the number of
 other documents that the document is linked to. Edge cases: null texts count as empty; texts
-without words link only to texts equal to them; rows that share an identifier count as rows, but
-as one document in classes; rows with a null identifier are in no class and have no links; columns
-of the results' names are replaced; an empty table gives none.
+without words link only to texts equal to them; rows that share an identifier count as rows, and
+are linked by their texts alone; rows with a null identifier are in no class and have no links;
+columns of the results' names are replaced; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,7 +45,7 @@ TOLERANCE = 1e-7
 BUCKET_BLOCK, GROUP_BLOCK = 1024, 256
 #: Pairs compared at a time, and shingles in one matrix product.
 PAIRS, COLUMNS = 1 << 16, 1 << 14
-#: Groups' members are broadcast up to so many rows of two numbers, and shuffled beyond.
+#: Groups' members are broadcast up to so many rows of a digest and five numbers, and shuffled beyond.
 BROADCAST_ROWS = 200_000
 
 BASE = 0x9E3779B97F4A7C15
@@ -320,13 +320,15 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def link(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
-    """Adds class_id, copy_id and n_links (long) to every row; see the module."""
-    spark = df.sparkSession
-    small_batches(spark)
+def classified(df: DataFrame, key: str, text: str, words: int = WORDS, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
+    """(alike, class_id, copy_id, n_links, stays): one row for each class of equal texts.
+
+    Classes have numbers of their own through all steps, so an identifier may have many texts.
+    ``stays`` tells whether the class has its group's row of the smallest identifier (and text).
+    """
+    small_batches(df.sparkSession)
     ident, body = F.col(f"`{key}`").cast("long"), F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    alike = F.unhex(F.md5(body))
-    rows = df.select(ident.alias("id"), alike.alias("alike"), body.alias("text")).where("id is not null")
+    rows = df.select(ident.alias("id"), alike(text).alias("alike"), body.alias("text")).where("id is not null")
 
     def sketch():
         def use(texts):
@@ -336,33 +338,47 @@ def link(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WO
         return use
 
     sketched = adding(rows, ["text"], {"keys": T.ArrayType(T.LongType())}, sketch, ("text",))
-    classes = written(sketched.groupBy("alike").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("keys").alias("keys")), "sketches")
+    classes = sketched.groupBy("alike").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("keys").alias("keys"))
+    classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "sketches")
     # Candidates: buckets of a band with two classes or more.
-    banded = classes.where(F.size("keys") > 0).select("id", F.posexplode("keys").alias("band", "value"))
+    banded = classes.where(F.size("keys") > 0).select("node", F.posexplode("keys").alias("band", "value"))
     full = banded.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1")
-    bucketed = dealt(banded.join(full, ["band", "value"]), "id", "n", BUCKET_BLOCK)
-    cells = bucketed.select(F.xxhash64("band", "value", "x", "y").alias("cell"), (F.col("x") != F.col("y")).alias("crossed"), "block", "band", "id").join(classes.select("id", "keys"), "id").select("cell", "crossed", "block", "band", "id", "keys")
+    bucketed = dealt(banded.join(full, ["band", "value"]), "node", "n", BUCKET_BLOCK)
+    cells = bucketed.select(F.xxhash64("band", "value", "x", "y").alias("cell"), (F.col("x") != F.col("y")).alias("crossed"), "block", "band", "node").join(classes.select("node", "keys"), "node").select("cell", "crossed", "block", "band", "node", "keys")
     cells = cells.repartition(F.col("cell")).sortWithinPartitions("cell")
-    groups = components(prune(cells, threshold, tolerance))
-    # Exact verification within the groups.
+    groups = components(prune(cells, threshold, tolerance)).withColumnRenamed("id", "node")
+    # Exact verification within the groups, with one text of each class.
     sizes = groups.groupBy("label").agg(F.count("*").alias("n"))
-    members = written(groups.join(sizes, "label").join(classes.select("id", "copies"), "id").select("id", "label", "n", "copies"), "members")
+    members = written(groups.join(sizes, "label").join(classes.select("node", "alike", "id", "copies"), "node").select("alike", "id", "node", "label", "n", "copies"), "members")
     few = members.count() <= BROADCAST_ROWS
-    texts = rows.join(F.broadcast(members) if few else members, "id").select("id", "label", "n", "copies", "text")
+    texts = rows.join(F.broadcast(members) if few else members, ["alike", "id"])
+    texts = texts.groupBy("node", "label", "n", "copies").agg(F.first("text").alias("text"))
 
     def whole():
         return lambda texts: [[shingles(t, words).tobytes() for t in texts]]
 
     sets = adding(texts, ["text"], {"hashes": T.BinaryType()}, whole, ("text",))
-    spread = dealt(sets, "id", "n", GROUP_BLOCK).select(F.xxhash64("label", "x", "y").alias("cell"), (F.col("x") != F.col("y")).alias("crossed"), "block", "id", "copies", "hashes")
-    spread = spread.select("cell", "block", "crossed", "id", "copies", "hashes").repartition(F.col("cell")).sortWithinPartitions("cell", "id")
-    found = written(verify(spread.select("cell", "crossed", "block", "id", "copies", "hashes"), threshold), "links")
-    labels = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
-    counted = found.groupBy("id").agg(F.sum("links").alias("links"))
-    known = classes.select("alike", "id", "copies").join(labels, "id", "left").join(counted, "id", "left")
-    known = known.select("alike", F.coalesce("label", "id").alias("class_id"), F.col("id").alias("copy_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    spread = dealt(sets, "node", "n", GROUP_BLOCK).select(F.xxhash64("label", "x", "y").alias("cell"), (F.col("x") != F.col("y")).alias("crossed"), "block", "node", "copies", "hashes")
+    spread = spread.repartition(F.col("cell")).sortWithinPartitions("cell", "node")
+    found = written(verify(spread, threshold), "links")
+    labels = components(found.select(F.col("id").alias("a"), F.col("root").alias("b"))).withColumnRenamed("id", "node")
+    counted = found.groupBy(F.col("id").alias("node")).agg(F.sum("links").alias("links"))
+    least = labels.join(classes.select("node", "id", "alike"), "node").groupBy("label").agg(F.min(F.struct("id", "alike")).alias("least"))
+    known = classes.select("alike", "id", "copies", "node").join(labels.join(least, "label"), "node", "left").join(counted, "node", "left")
+    stays = F.coalesce(F.col("least.alike") == F.col("alike"), F.lit(True)).alias("stays")
+    return known.select("alike", F.coalesce("least.id", "id").alias("class_id"), F.col("id").alias("copy_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), stays)
+
+
+def alike(text: str) -> Column:
+    """What equal texts have in common."""
+    return F.unhex(F.md5(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
+
+
+def link(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
+    """Adds class_id, copy_id and n_links (long) to every row; see the module."""
+    known = classified(df, key, text, words, threshold, tolerance).drop("stays")
     kept = others(df, ["class_id", "copy_id", "n_links"])
-    base = df.select(*[F.col(f"`{c}`") for c in kept], F.when(ident.isNotNull(), alike).alias("__alike"))
+    base = df.select(*[F.col(f"`{c}`") for c in kept], F.when(F.col(f"`{key}`").cast("long").isNotNull(), alike(text)).alias("__alike"))
     joined = base.join(known.withColumnRenamed("alike", "__alike"), "__alike", "left").drop("__alike")
     return joined.withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long")))
 
@@ -370,14 +386,16 @@ def link(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WO
 def dedupe(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row of each group of linked texts: the one with the smallest identifier.
 
-    Rows without an identifier stay. Of rows that share an identifier one stays.
+    Rows without an identifier stay. Rows that share an identifier stay if their texts aren't
+    linked; of those with equal texts one stays.
     """
-    found = link(df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")), "key", "text", **options)
-    gone = written(found.where("class_id <> key").select("key").distinct(), "copies")
+    keyed = df.withColumn("__id", F.col(f"`{key}`").cast("long")).withColumn("__alike", F.when(F.col("__id").isNotNull(), alike(text)))
+    pairs = keyed.where(F.col("__id").isNotNull()).groupBy("__id", "__alike").agg(F.count("*").alias("n"))
+    known = classified(df, key, text, **options).select(F.col("alike").alias("__alike"), "class_id", "stays")
+    pairs = written(pairs.join(known, "__alike").select("__id", "__alike", "n", (~F.col("stays") | (F.col("class_id") != F.col("__id"))).alias("goes")), "copies")
+    gone = pairs.where("goes").select("__id", "__alike")
     few = gone.count() <= BROADCAST_ROWS
-    kept = df.join(F.broadcast(gone) if few else gone, df[key] == gone["key"], "left_anti")
-    again = df.where(F.col(f"`{key}`").isNotNull()).groupBy(F.col(f"`{key}`").alias("key")).agg(F.count("*").alias("n")).where("n > 1")
-    if again.limit(1).count():
-        single = kept.where(F.col(f"`{key}`").isNotNull()).dropDuplicates([key])
-        kept = single.unionByName(kept.where(F.col(f"`{key}`").isNull()))
-    return kept
+    kept = keyed.join(F.broadcast(gone) if few else gone, ["__id", "__alike"], "left_anti")
+    if pairs.where("n > 1 and not goes").limit(1).count():
+        kept = kept.where(F.col("__id").isNotNull()).dropDuplicates(["__id", "__alike"]).unionByName(kept.where(F.col("__id").isNull()))
+    return kept.select(*[F.col(f"`{c}`") for c in df.columns])

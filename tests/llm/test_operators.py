@@ -267,3 +267,21 @@ def test_mixing_follows_the_given_weights(spark):
     # Without a weight, or with zero: after all others, none lost.
     few = mixing.mix(docs, 4, F.when(F.col("source") == "s0", 2.0).when(F.col("source") == "s1", 0.0)).collect()
     assert sorted(r.mix_position for r in few) == list(range(6000)) and {r.source for r in few if r.mix_position < 3000} == {"s0"}
+
+
+def test_ngram_join_shared_identifiers(spark):
+    words = [f"w{i}" for i in range(60)]
+    base, close, far = " ".join(words), " ".join(words[:-1] + ["new"]), " ".join(f"v{i}" for i in range(60))
+    table = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    rows = near.link(table([(5, base), (5, base), (9, close)])).collect()
+    assert sorted((r.doc_id, r.class_id, r.n_links) for r in rows) == [(5, 5, 2), (5, 5, 2), (9, 5, 2)]
+    # One identifier with many texts, of which some are linked to each other or to other rows.
+    many = [(7, " ".join(f"u{k}x{i}" for i in range(30))) for k in range(20)]
+    given = [*many, (7, far), (8, far), (7, base), (6, base), (7, close), (9, close), (None, base), (None, base)]
+    got = {(r.doc_id, r.text): (r.class_id, r.n_links) for r in near.link(table(given)).collect()}
+    assert all(got[r] == (7, 0) for r in many) and got[7, far] == got[8, far] == (7, 1)
+    assert [got[r] for r in ((7, base), (6, base), (7, close), (9, close))] == [(6, 3)] * 4
+    kept = [(r.doc_id, r.text) for r in near.dedupe(table([*given, (7, far)])).collect()]
+    assert sorted(kept, key=repr) == sorted([*many, (7, far), (6, base), (None, base), (None, base)], key=repr)
+    # Two linked texts of the smallest identifier: one row.
+    assert near.dedupe(table([(5, base), (5, close), (9, base)])).count() == 1
