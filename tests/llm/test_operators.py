@@ -285,3 +285,16 @@ def test_ngram_join_shared_identifiers(spark):
     assert sorted(kept, key=repr) == sorted([*many, (7, far), (6, base), (None, base), (None, base)], key=repr)
     # Two linked texts of the smallest identifier: one row.
     assert near.dedupe(table([(5, base), (5, close), (9, base)])).count() == 1
+
+
+def test_secrets_judges_every_named_value():
+    scan = secrets.Scanner()
+    values = lambda t: [t[a:b] for a, k, b, _ in scan(t) if k == 3]
+    for text, value in (
+        ("passphrase: correct-horse-battery-staple", "correct-horse-battery-staple"), ("auth=kJhgTrWqZxPlVbNm now", "kJhgTrWqZxPlVbNm"),
+        ("pass credentials: Xk29fjs8dQ", "Xk29fjs8dQ"), ("bearer Xk29fjs8dQ", "Xk29fjs8dQ"), ("pwd=aaaaaaaa auth=kJhgTrWqZxPlVbNm", "kJhgTrWqZxPlVbNm"),
+    ):
+        assert values(text) == [value], text
+    assert not values("the auth certificates pass inspection") and not values("auth=" + "x" * 199 + "1") and not values("auth=password")
+    assert secrets.log10_guesses("x" * 199 + "1") < 7 and secrets.log10_guesses("x" * 20000 + "1") < 9
+    assert secrets.log10_guesses(("Xk29fjs8dQ" * 7)[:65]) >= 9 and len(values("auth=" * 4000)) == 1
