@@ -298,3 +298,17 @@ def test_secrets_judges_every_named_value():
     assert not values("the auth certificates pass inspection") and not values("auth=" + "x" * 199 + "1") and not values("auth=password")
     assert secrets.log10_guesses("x" * 199 + "1") < 7 and secrets.log10_guesses("x" * 20000 + "1") < 9
     assert secrets.log10_guesses(("Xk29fjs8dQ" * 7)[:65]) >= 9 and len(values("auth=" * 4000)) == 1
+
+
+def test_pii_iban_before_capital_words(spark):
+    cases = [
+        ("IBAN DE89370400440532013000 Bitte", ["DE89370400440532013000"]),
+        ("DE89 3704 0044 0532 0130 00 BIC COBADEFF", ["DE89 3704 0044 0532 0130 00"]),
+        ("Konto DE89 3704 0044 0532 0130 00 GB82 WEST 1234 5698 7654 32 AND", ["DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"]),
+        ("REF AB12 DE89370400440532013000 NO9386011117947 X", ["DE89370400440532013000", "NO9386011117947"]),
+        ("MT84MALT011000012345MTLCAST001S. FR14 2004 1010 0505 0001 3M02 606 A", ["MT84MALT011000012345MTLCAST001S", "FR14 2004 1010 0505 0001 3M02 606"]),
+        ("DE89370400440532013001 Bitte, xDE89370400440532013000 DE893704004405320130001 DE89 3704", []),
+    ]
+    rows = spark.createDataFrame(list(enumerate(t for t, _ in cases)), "doc_id int, text string")
+    for r in pii.find(rows).collect():
+        assert [r.text[s.start : s.end] for s in r.pii if s.kind == "iban"] == cases[r.doc_id][1], r.text
