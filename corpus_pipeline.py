@@ -68,9 +68,8 @@ def placed(docs: DataFrame) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = queries.vocabulary("byte_bpe_multi_50k.tiktoken")
-    both = bpe.decode(bpe.encode(placed(docs), path, keep_text=True, offsets=False), path)
-    whole = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return both.select("mix_position", "doc_id", "lang", "source", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids", whole.alias("round_trip"))
+    both = bpe.coded(placed(docs).select("mix_position", "doc_id", "lang", "source", "text"), path, same="round_trip")
+    return both.select("mix_position", "doc_id", "lang", "source", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids", "round_trip")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -1,11 +1,15 @@
-"""Byte-level BPE: vectorised pre-tokenisation, cached pair merging, decoding by offsets.
+"""Byte-level BPE: vectorised pre-tokenisation, cached pair merging, decoding by retained offsets.
 
 The pre-tokeniser is a finite automaton over character kinds. Every kind acts on the automaton's
 states as a function; functions compose associatively, so a scan over a whole batch of texts
 gives the state before each character, and from it the pieces, without a regular expression.
 
+``coded`` encodes and decodes in one Arrow step, so that a task has one Python worker. What the worker
+holds is bounded: texts are scanned ``CHARS`` characters at a time, pieces are cut ``PIECES`` at a time,
+and its cache is measured in bytes.
+
 Edge cases: a null or empty text has no ids; a text that is one very long piece is merged with a
-heap, in n log n; null identifiers and repeated rows are carried through; columns that are not
+heap, in n log n; an empty table stays empty; null identifiers and repeated rows are carried through; columns that are not
 named are kept as they are; columns that have a result's name are replaced.
 """
 
@@ -39,8 +43,14 @@ WHITE_SPACE = (9, 10, 11, 12, 13, 32, 133, 160, 5760, *range(8192, 8203), 8232,
 
 #: Pieces of up to so many bytes are merged by rescanning, longer ones with a heap.
 SHORT_PIECE = 48
-#: A worker keeps two generations of this many pieces.
-CACHE_PIECES = 400_000
+#: A worker keeps two generations of pieces of about this many bytes.
+CACHE_BYTES = 24 << 20
+#: Bytes that a kept piece takes besides its characters and ids.
+ENTRY_BYTES = 200
+#: Texts are scanned together up to so many characters; a longer one alone, by segments of so many.
+CHARS = 1 << 20
+#: Pieces of a text that exist as strings at a time, and tokens decoded at a time.
+PIECES, TOKENS = 1 << 16, 1 << 18
 
 
 @lru_cache(1)
@@ -132,18 +142,32 @@ def piece_starts(points: np.ndarray, ends: np.ndarray, width: int = 512) -> np.n
     n = len(points)
     if not n:
         return np.zeros(0, np.int64)
-    of_kind, composed, values, starts, identity = monoid()
+    of_kind, _, _, starts, _ = monoid()
     kinds = kinds_of(points, ends)
-    acts = of_kind[kinds]
     begins = np.concatenate([[0], ends[:-1]])
-    acts[begins] = of_kind[KINDS + kinds[begins]]
+    begin, state = np.empty(n, bool), NONE
+    for a in range(0, n, CHARS):
+        b = min(a + CHARS, n)
+        acts = of_kind[kinds[a:b]]
+        own = begins[np.searchsorted(begins, a) : np.searchsorted(begins, b)] - a
+        acts[own] = of_kind[KINDS + kinds[a:b][own]]
+        states, state = scanned(acts, state, width)
+        begin[a:b] = starts[states, kinds[a:b]]
+    begin[begins] = True
+    return np.flatnonzero(begin)
+
+
+def scanned(acts: np.ndarray, state: int, width: int) -> tuple[np.ndarray, int]:
+    """The state before each function of a sequence that ``state`` enters, and the state after it."""
+    _, composed, values, _, identity = monoid()
+    n = len(acts)
     lanes = -(-n // width)
     grid = np.full(lanes * width, identity, np.intp)
     grid[:n] = acts
     grid = np.ascontiguousarray(grid.reshape(lanes, width).T)
     m = len(composed)
     rows = composed.ravel().astype(np.intp) * m  # a function by the place of its row
-    before = np.empty_like(grid)  # what the lane's earlier characters do
+    before = np.empty(grid.shape, np.int32)  # what the lane's earlier characters do
     run = np.full(lanes, identity * m, np.intp)
     for j in range(width):
         before[j] = run
@@ -152,25 +176,42 @@ def piece_starts(points: np.ndarray, ends: np.ndarray, width: int = 512) -> np.n
     while shift < lanes:
         total = np.concatenate([total[:shift], composed[total[:-shift], total[shift:]]])
         shift *= 2
-    entry = np.concatenate([[NONE], values[total[:-1], NONE]])
-    state = values[before // m, entry].T.ravel()[:n]
-    begin = starts[state, kinds]
-    begin[begins] = True
-    return np.flatnonzero(begin)
+    reached = values[total, state]
+    entry = np.concatenate([[state], reached[:-1]])
+    return values[before // m, entry].T.ravel()[:n], int(reached[-1])
+
+
+def together(texts: list[str]) -> Iterator[list[str]]:
+    """The texts in runs of up to CHARS characters, a longer text alone."""
+    run, size = [], 0
+    for text in texts:
+        if run and size + len(text) > CHARS:
+            yield run
+            run, size = [], 0
+        run.append(text)
+        size += len(text)
+    if run:
+        yield run
+
+
+def pieces(texts: list[str]) -> Iterator[Iterator[list[str]]]:
+    """For each text its pieces, as lists of up to PIECES."""
+    for run in together(texts):
+        whole = "".join(run)
+        lengths = np.fromiter(map(len, run), np.int64, len(run))
+        full = lengths > 0
+        points = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+        ends = np.cumsum(lengths)
+        at = np.append(piece_starts(points, ends[full]), len(whole))
+        cut = np.searchsorted(at, np.concatenate([[0], ends])).tolist()
+        del points
+        for i in range(len(run)):
+            yield cut_up(whole, at[cut[i] : cut[i + 1] + 1]) if full[i] else iter(())
 
 
-def pieces(texts: list[str]) -> Iterator[list[str]]:
-    """The pieces of each text."""
-    whole = "".join(texts)
-    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-    full = lengths > 0
-    points = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
-    ends = np.cumsum(lengths)
-    at = piece_starts(points, ends[full])
-    cut = np.searchsorted(at, np.concatenate([[0], ends]))
-    at = [*at.tolist(), len(whole)]
-    for i in range(len(texts)):
-        own = at[cut[i] : cut[i + 1] + 1] if full[i] else []
+def cut_up(whole: str, at: np.ndarray) -> Iterator[list[str]]:
+    for i in range(0, len(at) - 1, PIECES):
+        own = at[i : i + PIECES + 1].tolist()
         yield [whole[a:b] for a, b in zip(own, own[1:])]
 
 
@@ -189,6 +230,7 @@ class Ranks:
         self.bytes = np.frombuffer(b"".join(words), np.uint8)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.held = 0  # bytes of the young generation
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of a piece: the pair of lowest rank is merged first, the leftmost of equals."""
@@ -243,34 +285,50 @@ class Ranks:
         ids = self.old.get(piece)
         if ids is None:
             ids = np.array(self.merge(piece.encode()), "<u4").tobytes()
-        if len(self.young) >= CACHE_PIECES:
-            self.old, self.young = self.young, {}
+        if self.held >= CACHE_BYTES:
+            self.old, self.young, self.held = self.young, {}, 0
         if len(piece) <= 256:
             self.young[piece] = ids
+            self.held += ENTRY_BYTES + len(piece) + len(ids)
         return ids
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text as bytes."""
-        for own in pieces(texts):
-            got = list(map(self.young.get, own))
-            if None in got:
-                young = self.young
-                got = [young.get(p) or self.encoded(p) if g is None else g for p, g in zip(own, got)]
-            yield b"".join(got)
+        for lists in pieces(texts):
+            yield b"".join(self.joined(own) for own in lists)
+
+    def joined(self, own: list[str]) -> bytes:
+        got = list(map(self.young.get, own))
+        if None in got:
+            got = [self.young.get(p) or self.encoded(p) if g is None else g for p, g in zip(own, got)]
+        return b"".join(got)
 
     def token_ends(self, ids: np.ndarray) -> np.ndarray:
         """The byte offset in the text at which each token ends."""
         return np.cumsum(self.lengths[ids])
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        """The bytes of the ids; ids outside the vocabulary are refused."""
-        if not len(ids):
-            return b""
-        lengths = self.lengths[ids]
-        ends = np.cumsum(lengths)
-        source = np.repeat(self.offsets[ids] - (ends - lengths), lengths)
-        source += np.arange(ends[-1])
-        return self.bytes[source].tobytes()
+    def decode(self, ids: np.ndarray, ends: np.ndarray | None = None) -> bytes:
+        """The bytes of the ids; ids outside the vocabulary are refused.
+
+        ``ends`` are the offsets kept from encoding, which say where each token's bytes go; offsets
+        that don't agree with the vocabulary are refused. Without them the lengths come from it.
+        """
+        if ends is None:
+            ends = self.token_ends(ids)
+        out = np.empty(ends[-1] if len(ends) else 0, np.uint8)
+        if len(ends) != len(ids):
+            raise ValueError("offsets and ids differ in number")
+        for i in range(0, len(ids), TOKENS):
+            own, upto = ids[i : i + TOKENS], ends[i : i + TOKENS]
+            first = int(ends[i - 1]) if i else 0
+            begin = np.concatenate([[first], upto[:-1]])
+            lengths = upto - begin
+            if not np.array_equal(lengths, self.lengths[own]):
+                raise ValueError("an offset doesn't fit its token")
+            source = np.repeat(self.offsets[own] - begin, lengths)
+            source += np.arange(first, upto[-1])
+            out[first : upto[-1]] = self.bytes[source]
+        return out.tobytes()
 
 
 @lru_cache(2)
@@ -278,32 +336,60 @@ def ranks(path: str) -> Ranks:
     return Ranks(path)
 
 
-def encode(df: DataFrame, path: str, text: str = "text", keep_text: bool = False, offsets: bool = True, ids: str = "ids", ends: str = "token_ends") -> DataFrame:
-    """Adds ``ids`` (binary: little-endian unsigned 32-bit) and, if asked, ``token_ends``.
+def coded(df: DataFrame, path: str, text: str = "text", keep_text: bool = False, ids: str = "ids", ends: str | None = None, decoded: str | None = None, same: str | None = None) -> DataFrame:
+    """Adds ``ids`` and whatever else is named: ``ends``, ``decoded`` and ``same``, in one step.
 
-    ``token_ends`` (binary: little-endian signed 64-bit) holds the byte offset of each token's end
-    in the UTF-8 text, so that a span of tokens is found in the text without decoding. The text
-    itself goes unless ``keep_text``. ``path`` is a vocabulary of ranks that every executor has.
+    ``ids`` is binary (little-endian unsigned 32-bit); ``ends`` (binary: little-endian signed 64-bit)
+    holds the byte offset of each token's end in the UTF-8 text, so that a span of tokens is found
+    in the text without decoding; ``decoded`` has the bytes that ids and offsets stand for, and
+    ``same`` tells whether these are the text's. The text itself goes unless ``keep_text``.
+    ``path`` is a vocabulary of ranks that every executor has.
     """
-    fields = {ids: T.BinaryType()} | ({ends: T.BinaryType()} if offsets else {})
+    fields = {ids: T.BinaryType()} | {n: k for n, k in ((ends, T.BinaryType()), (decoded, T.BinaryType()), (same, T.BooleanType())) if n}
 
     def make():
         vocabulary = ranks(path)
 
+        def row(text: str, raw: bytes) -> Iterator:
+            tokens = np.frombuffer(raw, "<u4")
+            offsets = vocabulary.token_ends(tokens)
+            back = vocabulary.decode(tokens, offsets) if decoded or same else b""
+            yield raw
+            if ends:
+                yield offsets.astype("<i8").tobytes()
+            if decoded:
+                yield back
+            if same:
+                yield back == text.encode()
+
         def use(texts):
-            got = list(vocabulary.encode([x or "" for x in texts]))
-            return [got, [vocabulary.token_ends(np.frombuffer(x, "<u4")).tobytes() for x in got]] if offsets else [got]
+            texts = [x or "" for x in texts]
+            if len(fields) == 1:
+                return [list(vocabulary.encode(texts))]
+            return list(zip(*(row(t, raw) for t, raw in zip(texts, vocabulary.encode(texts))))) or [[] for _ in fields]
 
         return use
 
     return adding(df, [text], fields, make, () if keep_text else (text,))
 
 
-def decode(df: DataFrame, path: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
-    """Adds ``decoded`` (binary), the bytes that the ids stand for; no ids give no bytes."""
+def encode(df: DataFrame, path: str, text: str = "text", keep_text: bool = False, offsets: bool = True, ids: str = "ids", ends: str = "token_ends") -> DataFrame:
+    """Adds ``ids`` and, if asked, ``token_ends``; see ``coded``."""
+    return coded(df, path, text, keep_text, ids, ends if offsets else None)
+
+
+def decode(df: DataFrame, path: str, ids: str = "ids", ends: str | None = None, to: str = "decoded") -> DataFrame:
+    """Adds ``decoded`` (binary), the bytes of ids that were kept, by their offsets if ``ends`` names them.
+
+    No ids give no bytes.
+    """
 
     def make():
         vocabulary = ranks(path)
-        return lambda rows: [[vocabulary.decode(np.frombuffer(x or b"", "<u4")) for x in rows]]
 
-    return adding(df, [ids], {to: T.BinaryType()}, make)
+        def use(rows, offsets=None):
+            return [[vocabulary.decode(np.frombuffer(x or b"", "<u4"), None if e is None else np.frombuffer(e, "<i8")) for x, e in zip(rows, offsets or [None] * len(rows))]]
+
+        return use
+
+    return adding(df, [ids, ends] if ends else [ids], {to: T.BinaryType()}, make)

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-#: Rows in one Arrow batch handed to Python; texts can be long, so batches stay small.
-BATCH_ROWS = 256
+#: Rows and bytes in one Arrow batch handed to Python; texts can be long, so batches stay small.
+BATCH_ROWS, BATCH_BYTES = 256, 4 << 20
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -41,6 +41,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Bounds the Arrow batches of the session, so that a batch of long texts fits a worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:

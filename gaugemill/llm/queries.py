@@ -67,9 +67,8 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = vocabulary("byte_bpe_multi_50k.tiktoken")
-    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, offsets=False)
-    both = bpe.decode(encoded, path)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = bpe.coded(docs, vocabulary("byte_bpe_multi_50k.tiktoken"), decoded="decoded")
     return both.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

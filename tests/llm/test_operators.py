@@ -197,8 +197,31 @@ def test_bpe(spark, docs, odd):
     for text, r in rows:
         ids = np.array(library.encode_ordinary(text), "<u4")
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
-    for r in bpe.decode(bpe.encode(odd, path, keep_text=True), path).collect():
-        assert np.frombuffer(r.ids, "<u4").tolist() == library.encode_ordinary(r.text or "") and r.decoded.decode() == (r.text or "")
+    both = bpe.coded(odd.withColumnRenamed("source", "decoded"), path, keep_text=True, ends="token_ends", decoded="decoded", same="same")
+    assert sorted(both.columns) == sorted({*odd.columns, "decoded", "token_ends", "same"} - {"source"})
+    for r in [*both.collect(), *bpe.decode(bpe.encode(odd, path, keep_text=True), path, ends="token_ends").collect()]:
+        text, ids = r.text or "", np.frombuffer(r.ids, "<u4").tolist()
+        assert ids == library.encode_ordinary(text) and r.decoded.decode() == text
+        assert np.frombuffer(r.token_ends, "<i8").tolist() == np.cumsum([len(library.decode_single_token_bytes(i)) for i in ids]).tolist()
+    assert all(r.same for r in both.collect()) and bpe.coded(odd.limit(0), path, same="same").count() == 0
+
+
+def test_bpe_in_segments(docs, monkeypatch):
+    """Segments of the scan, lists of pieces and slices of tokens change nothing, nor do full caches."""
+    import public_tokenizers as public
+
+    whole = bpe.Ranks(public.path("byte_bpe_multi_50k.tiktoken"))
+    texts = [*list(docs.values())[:60], "it's we'll\n\n  x 'tis   12'3 é " * 40, ""]
+    want = list(whole.encode(texts))
+    for name, value in (("CHARS", 97), ("PIECES", 5), ("TOKENS", 3), ("CACHE_BYTES", 4000)):
+        monkeypatch.setattr(bpe, name, value)
+    small = bpe.Ranks(public.path("byte_bpe_multi_50k.tiktoken"))
+    assert list(small.encode(texts)) == want
+    for text, raw in zip(texts, want):
+        ids = np.frombuffer(raw, "<u4")
+        assert small.decode(ids) == small.decode(ids, small.token_ends(ids)) == text.encode()
+    with pytest.raises(ValueError):
+        small.decode(ids := np.frombuffer(want[0], "<u4"), small.token_ends(ids) + 1)
 
 
 def library_ids(texts):
