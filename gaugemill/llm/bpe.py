@@ -44,7 +44,7 @@ WHITE_SPACE = (9, 10, 11, 12, 13, 32, 133, 160, 5760, *range(8192, 8203), 8232,
 #: Pieces of up to so many bytes are merged by rescanning, longer ones with a heap.
 SHORT_PIECE = 48
 #: A worker keeps two generations of pieces of about this many bytes.
-CACHE_BYTES = 24 << 20
+CACHE_BYTES = 64 << 20
 #: Bytes that a kept piece takes besides its characters and ids.
 ENTRY_BYTES = 200
 #: Texts are scanned together up to so many characters; a longer one alone, by segments of so many.

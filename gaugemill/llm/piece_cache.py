@@ -5,6 +5,10 @@ character that isn't white space always begins a new part of that pattern. Cutti
 the ids as they are, so the library sees each distinct piece once, many of them laid end to end
 with such spaces between, and the ids of a text are those of its pieces in order. A piece that ends
 in punctuation is made of the ids of the rest and of that punctuation, which the pattern cuts too.
+
+The library finds the strings of added tokens (such as an end-of-text mark) before it applies the
+pattern, so a text that holds one goes to it whole. With ``plain`` such strings are ordinary text.
+Edge cases: an empty text has no ids; a very long piece is encoded and not kept.
 """
 
 from __future__ import annotations
@@ -33,12 +37,15 @@ SPACE = chr(ALPHABET[32])
 
 
 class PieceEncoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = plain
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if not (plain and t.special)]
+        # One with a space in it might come about where pieces are laid end to end: then all texts go whole.
+        self.added = [""] if any(" " in t for t in added) else added
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
@@ -92,7 +99,17 @@ class PieceEncoder:
         return joined
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers, without special tokens."""
+        """Ids of each text as little-endian unsigned 32-bit integers; the library adds no tokens of its own."""
+        whole = [i for i, t in enumerate(texts) if any(a in t for a in self.added)]
+        if not whole:
+            return self.by_pieces(texts)
+        skipped = set(whole)
+        out = self.by_pieces(["" if i in skipped else t for i, t in enumerate(texts)])
+        for i, ids in zip(whole, self.library([texts[i] for i in whole])):
+            out[i] = ids.tobytes()
+        return out
+
+    def by_pieces(self, texts: list[str]) -> list[bytes]:
         cuts = [t.split(" ") for t in texts]
         get = self.young.get
         found, lacking = [], []
@@ -138,5 +155,5 @@ class PieceEncoder:
 
 
 @lru_cache(2)
-def piece_encoder(path: str) -> PieceEncoder:
-    return PieceEncoder(path)
+def piece_encoder(path: str, plain: bool = False) -> PieceEncoder:
+    return PieceEncoder(path, plain)

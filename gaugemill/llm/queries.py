@@ -93,7 +93,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encode = sstable.library_encoder(vocabulary("byte_bpe_50k.json"))
+    encode = sstable.library_encoder(vocabulary("byte_bpe_50k.json"), plain=True)  # the separator may stand in no text
     folder = token_files.write_flat(table(spark, sf_dir, "documents"), encode, END_OF_DOCUMENT)
     counts = token_files.token_counts(spark, folder, END_OF_DOCUMENT)
     order = spark.read.parquet(f"{folder}/order")

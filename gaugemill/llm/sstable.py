@@ -18,6 +18,10 @@ Repeated keys stay as repeated entries, ordered by their text's hash and the tex
 
 Spark deals the documents by key ranges; each task streams one shard to the shared folder under a
 name of its own and renames it at the end, so that a retried task replaces nothing half-written.
+
+Edge cases: an empty table gives a manifest without documents, and no rows when it is read; null and
+empty texts have the end id alone; a very long text is one entry, and a block of its own; rows that
+share a key are entries of their own; of the table only key and text are read.
 """
 
 from __future__ import annotations
@@ -298,29 +302,33 @@ def read_shards(spark: SparkSession, folder: str, key_type: str = "long") -> Dat
 
 def lookup(spark: SparkSession, folder: str, keys: DataFrame, key: str = "doc_id") -> DataFrame:
     """(key, ids) of the asked keys only: the manifest's ranges find shards, each shard's filter,
-    index and one block find the entry."""
-    kind = dict(keys.dtypes)[key]
-    key_type = "string" if kind == "string" else "long"
-    raw = F.udf(lambda k: key_bytes(k), "binary")
-    asked = keys.select(F.col(key).cast(key_type).alias("key")).distinct().withColumn("raw", raw("key"))
+    index and one block find the entry. Keys that aren't there, and nulls, give no row."""
+    small_batches(spark)
+    key_type = "string" if dict(keys.dtypes)[key] == "string" else "long"
+    asked = keys.select(F.col(key).cast(key_type).alias("key")).where("key is not null").distinct()
+    # Bytes that sort as the keys do, as key_bytes makes them.
+    raw = F.concat(F.lit(b"t"), F.encode("key", "UTF-8")) if key_type == "string" else F.concat(F.lit(b"i"), F.unhex(F.lpad(F.hex(F.col("key").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")))
+    asked = asked.withColumn("raw", raw)
+    # One row for each shard, which holds at least one task's share of the corpus.
     shards = spark.read.parquet(f"{folder}/manifest").filter("n_docs > 0")
-    hits = asked.join(shards, (asked.raw >= shards.first_key) & (asked.raw <= shards.last_key)).select("key", "raw", "path").repartition("path").sortWithinPartitions("path")
+    hits = asked.join(F.broadcast(shards), (asked.raw >= shards.first_key) & (asked.raw <= shards.last_key)).select("key", "raw", "path").repartition("path").sortWithinPartitions("path")
+    schema = pa.schema([("key", pa.int64() if key_type == "long" else pa.string()), ("ids", pa.binary())])
 
     def run(of: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path = reader = None
         for batch in of:
-            out: tuple[list, list] = ([], [])
             for k, r, p in zip(*(c.to_pylist() for c in batch.columns)):
                 if p != path:
                     path, reader = p, Reader(p)
-                for value in reader.get(r):
-                    out[0].append(k)
-                    out[1].append(np.frombuffer(value, "<u2" if reader.width == 2 else "<u4").astype("<u4").tobytes())
-            yield pa.RecordBatch.from_pydict({"key": out[0], "ids": out[1]}, schema=pa.schema([("key", pa.int64() if key_type == "long" else pa.string()), ("ids", pa.binary())]))
+                found = [np.frombuffer(value, "<u2" if reader.width == 2 else "<u4").astype("<u4").tobytes() for value in reader.get(r)]
+                yield pa.RecordBatch.from_arrays([pa.array([k] * len(found), schema.types[0]), pa.array(found, pa.binary())], schema=schema)
 
     return hits.mapInArrow(run, f"key {key_type}, ids binary")
 
 
-def library_encoder(path: str) -> Callable[[], Callable[[list[str]], list[bytes]]]:
-    """An ``encode`` for write_shards by a tokenizers file that every executor has."""
-    return lambda: piece_encoder(path).encode
+def library_encoder(path: str, plain: bool = False) -> Callable[[], Callable[[list[str]], list[bytes]]]:
+    """An ``encode`` for write_shards by a tokenizers file that every executor has.
+
+    With ``plain`` the strings of special tokens are ordinary text, else the library's tokens.
+    """
+    return lambda: piece_encoder(path, plain).encode

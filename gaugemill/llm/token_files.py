@@ -8,7 +8,9 @@ and the number of documents across block boundaries.
 
 Edge cases: an empty file has no documents; two separators in a row enclose an empty document; ids
 after the last separator are a document of their own, marked ``ended`` false; a document may span
-any number of blocks.
+any number of blocks. On writing, null texts are empty, rows that share an identifier are documents of
+their own, an empty table gives files without documents, and a text whose ids hold the separator is
+refused, so an encoder must take the separator's string as ordinary text.
 """
 
 from __future__ import annotations

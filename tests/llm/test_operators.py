@@ -224,12 +224,12 @@ def test_bpe_in_segments(docs, monkeypatch):
         small.decode(ids := np.frombuffer(want[0], "<u4"), small.token_ends(ids) + 1)
 
 
-def library_ids(texts):
+def library_ids(texts, plain=False):
     import public_tokenizers as public
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
+    t.encode_special_tokens = plain
     return [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -241,19 +241,43 @@ def test_sstable(spark, docs, odd):
         start += len(ids) + 1
     encode = sstable.library_encoder(queries.vocabulary("byte_bpe_50k.json"))
     folder = sstable.write_shards(odd, encode, 0)
-    assert sstable.read_shards(spark, folder).count() == len(ODD)
-    asked = spark.createDataFrame([(4,), (99,)], "doc_id long")
-    assert [r.key for r in sstable.lookup(spark, folder, asked).collect()] == [4]
+    rows = sorted(sstable.read_shards(spark, folder).collect(), key=lambda r: r.start)
+    assert len(rows) == len(ODD) and rows[0].key is None and [r.key for r in rows[1:]] == sorted(r.key for r in rows[1:])
+    want = dict(zip([i for i, _ in ODD], library_ids([t or "" for _, t in ODD])))
+    assert all(np.frombuffer(r.ids, "<u4").tolist() == [*want[r.key], 0] for r in rows)
+    asked = spark.createDataFrame([(4,), (99,), (-3,), (None,), (5,)], "doc_id long")
+    assert sorted(r.key for r in sstable.lookup(spark, folder, asked).collect()) == [4, 5, 5]
     assert sstable.read_shards(spark, sstable.write_shards(odd.limit(0), encode, 0)).count() == 0
+    named = spark.createDataFrame([("é", "one"), ("b", "two"), ("", "three")], "doc_id string, text string")
+    folder = sstable.write_shards(named, encode, None)
+    found = {r.key: np.frombuffer(r.ids, "<u4").tolist() for r in sstable.lookup(spark, folder, named).collect()}
+    assert found == dict(zip(("é", "b", ""), library_ids(["one", "two", "three"])))
 
 
-def test_token_counts(spark, docs):
-    want = {d: len(ids) for d, ids in zip(docs, library_ids(list(docs.values())))}
+MARKED = ["<|endoftext|>", "a <|endoftext|>", "<|endoftext|> b", "one<|endoftext|>two <|endoftext|>, <|endoftext|><|endoftext|>", "half <|endoftext| >", "plain text, as before"]
+
+
+def test_strings_of_added_tokens(spark):
+    """op10 takes them as the library does by default, op9 as ordinary text."""
+    table = spark.createDataFrame(list(enumerate(MARKED)), "doc_id long, text string")
+    path = queries.vocabulary("byte_bpe_50k.json")
+    rows = sstable.read_shards(spark, sstable.write_shards(table, sstable.library_encoder(path), 0)).collect()
+    assert [np.frombuffer(r.ids, "<u4").tolist()[:-1] for r in sorted(rows, key=lambda r: r.key)] == library_ids(MARKED)
+    assert 50256 in library_ids(MARKED)[0]
+    folder = token_files.write_flat(table, sstable.library_encoder(path, plain=True), 50256)
+    assert sorted(r.n_tokens for r in token_files.token_counts(spark, folder, 50256).collect()) == sorted(map(len, library_ids(MARKED, plain=True)))
+
+
+def test_token_counts(spark, docs, odd):
+    want = {d: len(ids) for d, ids in zip(docs, library_ids(list(docs.values()), plain=True))}
     assert {r.doc_id: r.n_tokens for r in queries.op9_token_counts(spark, FOLDER).collect()} == want
-    encode = sstable.library_encoder(queries.vocabulary("byte_bpe_50k.json"))
+    encode = sstable.library_encoder(queries.vocabulary("byte_bpe_50k.json"), plain=True)
     folder = token_files.write_flat(queries.table(spark, FOLDER, "documents"), encode, 50256)
     small = token_files.token_counts(spark, folder, 50256, block_ids=97)  # documents span many blocks
     assert sorted(r.n_tokens for r in small.collect()) == sorted(want.values())
+    folder = token_files.write_flat(odd, encode, 50256)  # nulls and shared identifiers
+    assert sorted(r.n_tokens for r in token_files.token_counts(spark, folder, 50256).collect()) == sorted(map(len, library_ids([t or "" for _, t in ODD])))
+    assert token_files.token_counts(spark, token_files.write_flat(odd.limit(0), encode, 50256), 50256).count() == 0
 
 
 def test_mixing(spark, odd, monkeypatch):
