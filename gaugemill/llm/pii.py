@@ -9,6 +9,9 @@ The base kinds are email, ip (parts at most 255), card (14 to 19 digits, Luhn) a
 digits); they are always kept. The method adds iban (mod-97) and ssn, which is kept only if context
 words before it lift its score to ``LEAST_SCORE``. Scores of all spans rise with context words.
 
+Work is linear in a text's length and grows with its matches' number m as m ** 1.5 at most: places are
+running sums taken block by block, and context is read from the pieces before a match.
+
 Offsets count code points, ends are exclusive. Edge cases: null and empty texts have no spans;
 repeated rows give the same spans; columns of the result's name are replaced; failing matches are
 dropped and nothing is tried again inside them, but for iban: it is proposed at every place where a
@@ -18,16 +21,19 @@ countries without an entry, the longest that passes mod-97).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import others
+from .common import let, others
 
 LEAST_SCORE = 0.6
 #: Characters before a span in which context words count.
 CONTEXT_CHARS = 40
+#: So many matches before a span hold its context: a match and what separates it take 3 characters at least.
+CONTEXT_MATCHES = 14
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
 #: Lengths of account numbers by country, of the public registry.
 IBAN_LENGTHS = (
@@ -35,7 +41,7 @@ IBAN_LENGTHS = (
     "GL18,GR27,GT28,HN28,HR21,HU28,IE22,IL23,IQ23,IS26,IT27,JO30,KW30,KZ20,LB28,LC32,LI21,LT20,LU20,LV21,LY25,MC27,MD24,ME22,MK19,MN20,MR27,MT31,MU30,NI28,"
     "NL18,NO15,OM23,PK24,PL28,PS29,PT25,QA29,RO24,RS22,RU33,SA24,SC31,SD18,SE24,SI19,SK24,SM27,SO23,ST25,SV28,TL23,TN24,TR26,UA29,VA22,VG24,XK20,YE30,"
 )
-SPAN = "array<struct<start:int,end:int,value:string>>"
+SPAN = "array<struct<start:int,end:int,value:string,near:string>>"
 
 
 def digits(value: Column) -> Column:
@@ -98,26 +104,48 @@ PATTERNS = (
 )
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """(start, end, value) of the leftmost matches that don't overlap."""
-    values = F.regexp_extract_all(text, F.lit(pattern), 0)
-    pairs = F.arrays_zip(values.alias("v"), F.split(text, pattern, -1).alias("p"))
+def before(values: Column, first: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """The state before each value, where ``step(state, value)`` gives the next and ``first`` is the first.
+
+    Blocks of about the square root of the values' number keep the arrays that grow small.
+    """
+    width = F.greatest(F.ceil(F.sqrt(F.size(values))), F.lit(1)).cast("int")
+    many = F.ceil(F.size(values) / width).cast("int")
+    blocks = F.transform(F.filter(F.sequence(F.lit(0), many), lambda i: i < many), lambda i: F.slice(values, i * width + 1, width))
+    go = lambda items, start, move: F.aggregate(items, F.array(start), lambda seen, x: F.concat(seen, F.array(move(F.element_at(seen, -1), x))))
+    starts = lambda b: go(b, first, lambda state, block: F.aggregate(block, state, step))
+    within = lambda block, start: F.when(block.isNotNull(), F.slice(go(block, start, step), 1, F.size(block)))
+    return let(blocks, lambda b: F.flatten(F.filter(F.zip_with(b, starts(b), within), lambda x: x.isNotNull())))
+
+
+def matches(text: Column, pattern: str, group: int = 0, taken: int | None = None) -> Column:
+    """(start, end, value, near) of the leftmost matches that don't overlap, with the characters before each.
+
+    ``value`` is the pattern's ``group``; a match itself takes ``taken`` characters, None: the value's.
+    """
+    pairs = F.arrays_zip(F.regexp_extract_all(text, F.lit(pattern), group).alias("v"), F.split(text, pattern, -1).alias("p"))
+    length = lambda x: F.when(x.v.isNull(), 0).otherwise(F.length(x.v) if taken is None else taken)
+
+    def placed(x: Column) -> Column:
+        sizes = F.transform(x, lambda m: (F.length(m.p) + length(m)).cast("int"))
+        own = lambda m: m.v if taken is None else F.substring(m.v, 1, taken)
+        tails = F.transform(x, lambda m: F.right(F.concat(m.p, F.coalesce(own(m), F.lit(""))), F.lit(CONTEXT_CHARS)))
+        starts = let(sizes, lambda n: before(n, F.lit(0), lambda at, k: at + k))
+        return let(tails, lambda t: F.zip_with(x, F.zip_with(starts, F.sequence(F.lit(0), F.size(x) - 1), lambda at, k: F.struct(at.alias("at"), k.alias("k"))), lambda m, s: span(m, s, t)))
 
-    def add(state: Column, x: Column) -> Column:
-        start = state.at + F.length(x.p)
-        end = start + F.coalesce(F.length(x.v), F.lit(0))
-        own = F.when(x.v.isNull(), F.array().cast(SPAN)).otherwise(F.array(F.struct(start.alias("start"), end.alias("end"), x.v.alias("value"))))
-        return F.struct(end.alias("at"), F.concat(state.out, own).alias("out"))
+    def span(m: Column, s: Column, tails: Column) -> Column:
+        start, from_ = s.at + F.length(m.p), F.greatest(s.k - CONTEXT_MATCHES, F.lit(0))
+        near = F.concat(F.array_join(F.slice(tails, from_ + 1, s.k - from_), ""), F.right(m.p, F.lit(CONTEXT_CHARS)))
+        return F.when(m.v.isNotNull(), F.struct(start.alias("start"), (start + F.length(m.v)).alias("end"), m.v.alias("value"), F.right(near, F.lit(CONTEXT_CHARS)).alias("near")))
 
-    return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out")), add, lambda s: s.out)
+    return F.filter(let(pairs, placed), lambda m: m.isNotNull()).cast(SPAN)
 
 
 def accounts(text: Column, pattern: str) -> Column:
-    """(start, end, value) of the account numbers, of which the pattern's group is the longest reading.
+    """The account numbers, of which the pattern's group is the longest reading.
 
     A match is the country alone, so that every place is tried; of overlapping numbers the first stays.
     """
-    pairs = F.arrays_zip(F.regexp_extract_all(text, F.lit(pattern), 1).alias("v"), F.split(text, pattern, -1).alias("p"))
 
     def whole(v: Column) -> Column:
         words = F.split(v, r"\x20")
@@ -131,18 +159,14 @@ def accounts(text: Column, pattern: str) -> Column:
 
         return F.get(F.filter(readings, fits), F.lit(0))
 
-    def add(state: Column, x: Column) -> Column:
-        start = state.at + F.length(x.p)
-        return F.struct((start + 2).alias("at"), F.when(x.v.isNull(), state.out).otherwise(F.concat(state.out, F.array(F.struct(start.alias("start"), start.alias("end"), x.v.alias("value"))))).alias("out"))
+    read = F.transform(matches(text, pattern, 1, 2), lambda m: F.struct(m.start.alias("start"), whole(m.value).alias("value"), m.near.alias("near")))
+    found = F.transform(F.filter(read, lambda m: m.value.isNotNull()), lambda m: F.struct(m.start.alias("start"), (m.start + F.length(m.value)).cast("int").alias("end"), m.value.alias("value"), m.near.alias("near")))
 
-    def apart(kept: Column, x: Column) -> Column:
-        return F.when(x.value.isNotNull() & (x.start >= F.coalesce(F.array_max(F.transform(kept, lambda k: k.end)), F.lit(0))), F.concat(kept, F.array(x))).otherwise(kept)
+    def apart(x: Column) -> Column:
+        ends = before(x, F.lit(0), lambda last, m: F.when(m.start >= last, m.end).otherwise(last))
+        return F.filter(F.zip_with(x, ends, lambda m, last: F.when(m.start >= last, m)), lambda m: m.isNotNull())
 
-    none = F.array().cast(SPAN)
-    proposed = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), add, lambda s: s.out)
-    read = F.transform(proposed, lambda m: F.struct(m.start.alias("start"), whole(m.value).alias("value")))
-    found = F.transform(read, lambda m: F.struct(m.start.alias("start"), (m.start + F.length(m.value)).alias("end"), m.value.alias("value")))
-    return F.aggregate(found.cast(SPAN), none, apart)
+    return let(found.cast(SPAN), apart)
 
 
 def spans(text: Column, kind: Kind, rank: int) -> Column:
@@ -151,9 +175,7 @@ def spans(text: Column, kind: Kind, rank: int) -> Column:
     found = accounts(text, kind.pattern) if kind.name == "iban" else F.filter(matches(text, kind.pattern), lambda m: kind.valid(m.value))
 
     def scored(m: Column) -> Column:
-        from_ = F.greatest(m.start - CONTEXT_CHARS, F.lit(0))
-        near = F.lower(text.substr(from_ + 1, m.start - from_))
-        score = F.least(F.lit(1.0), F.lit(kind.score) + F.when(near.rlike(kind.context), 0.3).otherwise(0.0))
+        score = F.least(F.lit(1.0), F.lit(kind.score) + F.when(F.lower(m.near).rlike(kind.context), 0.3).otherwise(0.0))
         return F.struct(m.start.alias("start"), F.lit(rank).alias("rank"), m.end.alias("end"), F.lit(kind.name).alias("kind"), score.alias("score"), F.lit(rank < 4).alias("base"))
 
     kind_of_all = "array<struct<start:int,rank:int,end:int,kind:string,score:double,base:boolean>>"

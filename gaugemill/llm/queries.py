@@ -63,7 +63,7 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
     count = lambda kind: F.size(F.filter("pii", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
     base = pii.joined(F.filter("pii", lambda s: s.base))
-    return found.select("doc_id", *[count(k) for k in pii.KINDS[:4]], F.sha2(base, 256).alias("base_sha256"), pii.joined(F.col("pii")).alias("spans"))
+    return found.select("doc_id", *[count(k) for k in pii.KINDS[:4]], F.sha2(base, 256).alias("base_sha256"), pii.joined(F.col("pii")).alias("spans"), F.array_max(F.transform("pii", lambda s: s.score)).alias("max_score"))
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
