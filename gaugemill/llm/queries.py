@@ -39,7 +39,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     found = topk.top_k(rows, F.col("vec_id") % 20 == 0, k=20, scale=64)
-    return found.select("query_id", "rank", "vec_id", F.col("score").cast("long").alias("score"))
+    return found.select("query_id", "rank", "vec_id", "score")
 
 
 OP2_SQL = """
@@ -51,7 +51,7 @@ WITH clean AS (
 ), scored AS (
   SELECT q.vec_id AS query_id, c.vec_id,
     list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
-  FROM clean q JOIN clean c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+  FROM clean q JOIN clean c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
 ), ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored
 )

@@ -1,14 +1,19 @@
-"""Exact top-k search by inner product, as a grid of tiled matrix products.
-
-Queries are dealt into blocks and candidates into tiles; every (block, tile) pair is one small
-matrix product in some task. A task keeps a running top list for the query block at hand, so the
-first merge happens while it works through its tiles; the rest merge by rank windows, which Spark
-runs before and after the shuffle. A query's own row never answers it.
-
-Edge cases: vectors that are null, of another length than most, or hold null or non-finite
-components take no part; ties go to the smaller identifier; repeated identifiers are kept as rows
-of their own, except that none answers a query of the same identifier; fewer than k candidates
-give fewer rows; an empty table gives none.
+"""Exact top-k search by inner product: tiled matrix products, partial selection, a tree of merges.
+
+Queries are dealt into blocks and candidates into tiles; every (block, tile) pair is one matrix
+product in some task, which selects the k best of the tile for each query and keeps a running list
+while it works through its tiles of a block. The tasks' lists merge in a tree: in each round the
+lists of ``FAN_IN`` neighbours become one, so no task sees all lists of a query.
+
+Integer scores are exact at any size: vectors travel in the narrowest integers that hold them, sums
+below 2**53 are products of doubles, and larger components are cut into limbs whose products are.
+Scores beyond a long are ranked exactly and given as the nearest long.
+
+Edge cases: vectors that are null, empty, or hold null or non-finite components take no part; a query
+meets the vectors of its own length, so each length is a search of its own; a query's own row, and
+any row of the same identifier, never answers it; ties go to the smaller identifier; repeated
+identifiers are rows of their own, but query rows that share one share one list; fewer than k
+candidates give fewer rows; an empty table gives none; other columns are not read.
 """
 
 from __future__ import annotations
@@ -17,102 +22,188 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import small_batches
 
-QUERY_BLOCK, TILE = 1024, 4096
+#: Queries in a block, candidates in a tile, queries in one matrix product.
+QUERY_BLOCK, TILE, SLAB = 8192, 4096, 1024
+#: Lists that become one in a round of merging.
+FAN_IN = 16
+#: Sums of integers up to here are exact in doubles.
+EXACT = 2**53
+#: Scores beyond are cut to it where they are rounded to doubles.
+HUGE = 1 << 1000
+#: Bits of a digit of scores that doubles can't hold, and a score below all others.
+DIGIT, BARRED = 62, -(1 << 2200)
 
 
-def _packed(df: DataFrame, group: str) -> DataFrame:
-    """One row for each group: identifiers and vectors as binary blocks. Groups are bounded."""
+def packed(df: DataFrame, group: str, kind: str) -> DataFrame:
+    """(group, d, ids, rows): identifiers and vectors of one length as binary blocks. Groups are bounded."""
 
     def pack(table: pa.Table) -> pa.Table:
         ids = table["id"].combine_chunks()
-        flat = table["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-        return pa.table({group: pa.array([table[group][0].as_py()], pa.int64()), "ids": pa.array([ids.to_numpy().astype("<i8").tobytes()], pa.binary()), "rows": pa.array([flat.tobytes()], pa.binary())})
-
-    return df.groupBy(group).applyInArrow(pack, f"{group} long, ids binary, rows binary")
+        flat = table["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(kind)
+        keys = {n: pa.array([table[n][0].as_py()], pa.int64()) for n in (group, "d")}
+        return pa.table(keys | {"ids": pa.array([ids.to_numpy().astype("<i8").tobytes()], pa.binary()), "rows": pa.array([flat.tobytes()], pa.binary())})
+
+    return df.groupBy(group, "d").applyInArrow(pack, f"{group} long, d long, ids binary, rows binary")
+
+
+def limbs(rows: np.ndarray, bits: int) -> list[np.ndarray]:
+    """Whole numbers as sums of limb[i] << (i * bits), each limb below 2**bits in size."""
+    found = []
+    while rows.any():
+        rest = np.trunc(np.ldexp(rows, -bits))
+        found.append(rows - np.ldexp(rest, bits))
+        rows = rest
+    return found
+
+
+def products(left: np.ndarray, right: np.ndarray, wide: bool) -> np.ndarray:
+    """All inner products; if ``wide``, of whole numbers and as Python integers."""
+    if not wide:
+        return left @ right.T
+    most = lambda x: float(np.abs(x).max(initial=0))
+    if most(left) * most(right) * left.shape[1] < EXACT:
+        return (left @ right.T).astype(np.int64).astype(object)
+    bits = (52 - int(np.ceil(np.log2(left.shape[1])))) // 2
+    out = np.zeros((len(left), len(right)), object)
+    for i, a in enumerate(limbs(left, bits)):
+        for j, b in enumerate(limbs(right, bits)):
+            out += (a @ b.T).astype(np.int64).astype(object) << (i + j) * bits
+    return out
 
 
 def select_top(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k best columns of each row by (score descending, identifier ascending), unsorted ties cut exactly."""
+    """The k best columns of each row by score descending, then identifier ascending.
+
+    ``ids`` has a row for each row of scores, or one for all. Scores are cut by their rounded values
+    first, which keeps all that could be among the best, then by their exact ones.
+    """
     n = scores.shape[1]
-    if n <= k:
-        return np.broadcast_to(ids, scores.shape).copy(), scores
-    kth = np.partition(scores, n - k, axis=1)[:, n - k]
-    out_ids, out = np.empty((len(scores), k), np.int64), np.empty((len(scores), k))
-    for i, least in enumerate(kth):
-        at = np.flatnonzero(scores[i] >= least)
-        at = at[np.lexsort((ids[at], -scores[i, at]))[:k]]
-        out_ids[i], out[i] = ids[at], scores[i, at]
-    return out_ids, out
+    rough = scores if scores.dtype == float else np.array([[float(max(min(x, HUGE), -HUGE)) for x in row] for row in scores]).reshape(scores.shape)
+    if n > k:
+        at = np.argpartition(rough, n - k, axis=1)[:, n - k :]
+        least = np.take_along_axis(rough, at, 1).min(axis=1)
+        ties = (rough >= least[:, None]).sum(axis=1)
+        wide = int(ties.max(initial=k))
+        if wide > k:  # rows with ties at the cut take part with all of them
+            at = np.argpartition(rough, n - wide, axis=1)[:, n - wide :]
+    else:
+        at = np.broadcast_to(np.arange(n), scores.shape)
+    own_ids = np.take_along_axis(np.broadcast_to(ids, scores.shape), at, 1)
+    own = np.take_along_axis(scores, at, 1)
+    if own.dtype == object:
+        order = np.array([sorted(range(own.shape[1]), key=lambda c, s=s, i=i: (-s[c], i[c])) for s, i in zip(own, own_ids)], np.int64).reshape(own.shape)
+    else:
+        order = np.lexsort((own_ids, -own), axis=1)
+    order = order[:, :k]
+    return np.take_along_axis(own_ids, order, 1), np.take_along_axis(own, order, 1)
+
+
+def digits(score: int, n: int) -> list[int]:
+    """The score as n digits, the highest (which has the sign) first: such lists sort as scores do."""
+    return [score >> DIGIT * (n - 1)] + [score >> DIGIT * i & (1 << DIGIT) - 1 for i in range(n - 2, -1, -1)]
+
+
+def nearest_long(score: Column, n: int) -> Column:
+    """The long that n digits stand for, or the one nearest to them."""
+    if n == 1:
+        return F.element_at(score, 1)
+    beyond = lambda x: F.when(x > 0, F.lit(4)).otherwise(F.lit(-4)).cast("long")
+    high = F.aggregate(F.slice(score, 2, n - 2), F.element_at(score, 1), lambda x, d: F.when(x == 0, d).when(x == -1, d - (1 << DIGIT)).otherwise(beyond(x)))
+    return F.when(high.between(-2, 1), F.shiftleft(high, DIGIT) + F.element_at(score, n)).otherwise(F.when(high > 0, F.lit(2**63 - 1)).otherwise(F.lit(-(2**63))))
 
 
 def top_k(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", vector: str = "embedding", scale: float | None = None, query_block: int = QUERY_BLOCK, tile: int = TILE) -> DataFrame:
-    """(query_id, rank, vec_id, score double) of the k best inner products for every query row.
+    """(query_id, rank, vec_id, score) of the k best inner products for every query row.
 
-    ``scale`` turns each component x into floor(scale * x) first; products of integers are exact
-    as long as sums stay below 2**53, which is checked.
+    ``scale`` turns each component x into floor(scale * x) first; scores are exact longs then, and
+    doubles otherwise.
     """
-    spark = df.sparkSession
+    spark, whole = df.sparkSession, scale is not None
     small_batches(spark)
-    x = F.col(vector)
-    clean = x.isNotNull() & F.col(key).isNotNull() & ~F.exists(x, lambda c: c.isNull() | F.isnan(c.cast("double")) | (F.abs(c.cast("double")) == float("inf")))
+    x = F.col(f"`{vector}`")
+    clean = x.isNotNull() & F.col(f"`{key}`").isNotNull() & ~F.exists(x, lambda c: c.isNull() | F.isnan(c.cast("double")) | (F.abs(c.cast("double")) == float("inf")))
     v = F.transform(x, lambda c: c.cast("double"))
-    if scale is not None:
-        v = F.transform(v, lambda c: F.floor(F.lit(float(scale)) * c).cast("double"))
-    rows = df.where(clean).select(F.col(key).cast("long").alias("id"), v.alias("v"), is_query.alias("q")).where(F.size("v") > 0)
-    counts = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n"), F.sum(F.col("q").cast("long")).alias("q"), F.max(F.array_max(F.transform("v", lambda c: F.abs(c)))).alias("top")).orderBy(F.desc("n"), "d").limit(1).collect()
-    schema = "query_id long, rank int, vec_id long, score double"
-    if not counts or not counts[0].q:
+    if whole:
+        # A double beyond 2**53 is whole, and a long could not hold it.
+        scaled = lambda c: F.lit(float(scale)) * c
+        v = F.transform(v, lambda c: F.when(F.abs(scaled(c)) < float(EXACT), F.floor(scaled(c)).cast("double")).otherwise(scaled(c)))
+    rows = df.where(clean).select(F.col(f"`{key}`").cast("long").alias("id"), v.alias("v"), is_query.alias("q")).where(F.size("v") > 0)
+    rows = rows.where(~F.exists("v", lambda c: F.abs(c) == float("inf")))
+    n, nq, top, longest = rows.agg(F.count("*"), F.count_if("q"), F.max(F.array_max(F.transform("v", lambda c: F.abs(c)))), F.max(F.size("v"))).first()
+    schema = f"query_id long, rank int, vec_id long, score {'long' if whole else 'double'}"
+    if not nq:
         return spark.createDataFrame([], schema)
-    d, n, nq, top = counts[0]
-    if scale is not None and float(top) ** 2 * d >= 2.0**53:
-        raise ValueError("components are too large for exact products")
-    rows = rows.where(F.size("v") == d)
+    narrow, kind = next(((t, k) for t, k, most in (("tinyint", "<i1", 127), ("smallint", "<i2", 32767), ("int", "<i4", 2**31 - 1)) if whole and top <= most), ("double", "<f8"))
+    rows = rows.withColumn("v", F.col("v").cast(f"array<{narrow}>"))
+    wide = whole and top * top * longest >= EXACT
+    n_digits = int(2 * np.log2(top) + np.log2(longest) + 2) // DIGIT + 1 if wide else 1
     tiles, blocks = -(-n // tile), -(-nq // query_block)
     # By the vector too, so that rows which share an identifier don't share a tile.
     spread = lambda salt, m: F.pmod(F.xxhash64("id", "v", F.lit(salt)), F.lit(m)).cast("long")
+    upto = lambda m: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long")))
+    rows = rows.withColumn("d", F.size("v").cast("long"))
     # Every tile meets every block: both sides carry the grid's cell as an equi-join key.
-    left = _packed(rows.withColumn("tile", spread(1, tiles)).select("tile", "id", "v"), "tile").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    right = _packed(rows.where("q").withColumn("block", spread(2, blocks)).select("block", "id", "v"), "block").withColumnRenamed("ids", "q_ids").withColumnRenamed("rows", "q_rows").withColumn("tile", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tiles - 1).cast("long"))))
-    cells = left.join(right, ["tile", "block"]).select("block", "q_ids", "q_rows", "ids", "rows").sortWithinPartitions("block")
-    out_schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
-
-    def flush(q_ids: np.ndarray, best_ids: np.ndarray, best: np.ndarray) -> pa.RecordBatch:
-        query = np.repeat(q_ids, best.shape[1])
-        ok = np.isfinite(best.ravel())
-        return pa.RecordBatch.from_arrays([pa.array(query[ok]), pa.array(best_ids.ravel()[ok]), pa.array(best.ravel()[ok])], schema=out_schema)
+    left = packed(rows.withColumn("tile", spread(1, tiles)).select("tile", "d", "id", "v"), "tile", kind).withColumn("block", upto(blocks))
+    right = packed(rows.where("q").withColumn("block", spread(2, blocks)).select("block", "d", "id", "v"), "block", kind).withColumnRenamed("ids", "q_ids").withColumnRenamed("rows", "q_rows").withColumn("tile", upto(tiles))
+    cells = left.join(right, ["tile", "block", "d"]).select("block", "d", "q_ids", "q_rows", "ids", "rows").sortWithinPartitions("block", "d")
+    out_schema = pa.schema([("node", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.list_(pa.int64()) if wide else pa.float64())])
+
+    def lists(q_ids: np.ndarray, best_ids: np.ndarray, best: np.ndarray) -> pa.RecordBatch:
+        flat = best.ravel()
+        ok = (flat > BARRED).astype(bool) if wide else np.isfinite(flat)
+        query, found = np.repeat(q_ids, best.shape[1])[ok], best_ids.ravel()[ok]
+        scores = [digits(s, n_digits) for s in flat[ok]] if wide else flat[ok]
+        node = np.full(len(query), TaskContext.get().partitionId(), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((node, query, found, scores), out_schema)], schema=out_schema)
+
+    def barred(scores: np.ndarray, q_ids: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Without the products of a query and rows of its own identifier."""
+        order = np.argsort(ids, kind="stable")
+        lo, hi = np.searchsorted(ids[order], q_ids, "left"), np.searchsorted(ids[order], q_ids, "right")
+        for i in np.flatnonzero(hi > lo):
+            scores[i, order[lo[i] : hi[i]]] = BARRED if wide else -np.inf
+        return scores
+
+    def better(one: tuple | None, ids: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if one is None:
+            return select_top(scores, ids, k)
+        scores = np.hstack([one[1], scores])
+        return select_top(scores, np.hstack([one[0], ids]), k)
 
     def run(of: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_block, q_ids, q_rows, best_ids, best = None, None, None, None, None
+        at, q_ids, q_rows, best = None, None, None, []
         for batch in of:
-            for block, qi, qr, ci, cr in zip(*(c.to_pylist() for c in batch.columns)):
-                if block != open_block:
-                    if open_block is not None:
-                        yield flush(q_ids, best_ids, best)
-                    open_block, q_ids = block, np.frombuffer(qi, "<i8")
-                    q_rows = np.frombuffer(qr, np.float64).reshape(len(q_ids), -1)
-                    best_ids, best = np.zeros((len(q_ids), 0), np.int64), np.zeros((len(q_ids), 0))
-                ids = np.frombuffer(ci, "<i8")
-                scores = q_rows @ np.frombuffer(cr, np.float64).reshape(len(ids), -1).T
-                order = np.argsort(ids, kind="stable")
-                at = np.searchsorted(ids[order], q_ids)
-                for i in np.flatnonzero(at < len(ids)):
-                    j = at[i]
-                    while j < len(ids) and ids[order[j]] == q_ids[i]:
-                        scores[i, order[j]] = -np.inf
-                        j += 1
-                new_ids, new = select_top(scores, ids, k)
-                both_ids, both = np.hstack([best_ids, new_ids]), np.hstack([best, new])
-                pick = np.lexsort((both_ids, -both), axis=1)[:, :k]
-                best_ids, best = np.take_along_axis(both_ids, pick, 1), np.take_along_axis(both, pick, 1)
-        if open_block is not None:
-            yield flush(q_ids, best_ids, best)
-
-    found = cells.mapInArrow(run, "query_id long, vec_id long, score double")
-    order = [F.desc("score"), F.asc("vec_id")]
-    first = Window.partitionBy("query_id").orderBy(*order)
-    return found.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+            for block, d, qi, qr, ci, cr in zip(*(c.to_pylist() for c in batch.columns)):
+                if (block, d) != at:
+                    for i, b in zip(range(0, len(q_ids) if at else 0, SLAB), best):
+                        yield lists(q_ids[i : i + SLAB], *b)
+                    at, q_ids = (block, d), np.frombuffer(qi, "<i8")
+                    q_rows = np.frombuffer(qr, kind).reshape(-1, d)
+                    best = [None] * -(-len(q_ids) // SLAB)
+                ids, rows = np.frombuffer(ci, "<i8"), np.frombuffer(cr, kind).reshape(-1, d).astype(float)
+                for i in range(len(best)):
+                    part = slice(i * SLAB, (i + 1) * SLAB)
+                    scores = barred(products(q_rows[part].astype(float), rows, wide), q_ids[part], ids)
+                    best[i] = better(best[i], *select_top(scores, ids[None, :], k))
+        for i, b in zip(range(0, len(q_ids) if at else 0, SLAB), best):
+            yield lists(q_ids[i : i + SLAB], *b)
+
+    found = cells.mapInArrow(run, f"node long, query_id long, vec_id long, score {'array<long>' if wide else 'double'}")
+    # The tree: tasks have numbers below the shuffle's partitions, and nodes get fewer by FAN_IN each round.
+    nodes = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    while True:
+        found, nodes = found.withColumn("node", F.floor(F.col("node") / FAN_IN)), -(-nodes // FAN_IN)
+        last = nodes == 1
+        by = Window.partitionBy(*(["query_id"] if last else ["query_id", "node"])).orderBy(F.desc("score"), "vec_id")
+        found = found.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
+        if last:
+            break
+        found = found.drop("rank")
+    score = nearest_long(F.col("score"), n_digits) if wide else F.col("score").cast("long") if whole else F.col("score")
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", score.alias("score"))

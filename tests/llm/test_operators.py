@@ -183,7 +183,42 @@ def test_topk_odd_rows(spark):
     assert topk.top_k(rows.limit(0), F.col("vec_id") == 0).count() == 0
     shared = spark.createDataFrame([(0, [1.0])] + [(7, [i / 64]) for i in range(40)], "vec_id long, embedding array<float>")
     got = topk.top_k(shared, F.col("vec_id") == 0, k=20, scale=64, tile=8).collect()
-    assert [(r["rank"], r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"])] == [(i + 1, 7, 64.0 * (39 - i)) for i in range(20)]
+    assert [(r["rank"], r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"])] == [(i + 1, 7, 64 * (39 - i)) for i in range(20)]
+
+
+def brute_top(rows, k, scale):
+    """(query, rank, row, score) by Python integers, for queries with an even identifier."""
+    import fractions
+    import math
+
+    whole = [(i, [math.floor(fractions.Fraction(x) * scale) for x in v]) for i, v in rows]
+    want = []
+    for q, v in whole:
+        if q % 2 == 0:
+            scores = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in whole if i != q and len(w) == len(v))
+            want += [(q, n + 1, i, max(min(-s, 2**63 - 1), -(2**63))) for n, (s, i) in enumerate(scores[:k])]
+    return sorted(want)
+
+
+@pytest.mark.parametrize("size", [1.0, 300.0, 1e5, 1e9, 3e12, 1e25, 3e38])
+def test_topk_is_exact_at_any_size(spark, size, monkeypatch):
+    """Also over lengths, ties, small tiles and slabs, and more rounds of merging."""
+    monkeypatch.setattr(topk, "SLAB", 3)
+    monkeypatch.setattr(topk, "FAN_IN", 2)
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(np.float32(x)) for x in rng.uniform(-1, 1, 5 if i % 3 else 2) * size * (1 if i % 4 else 1e-3)]) for i in range(60)]
+    rows += [(60 + i, rows[i % 7][1]) for i in range(20)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = topk.top_k(df.repartition(3), F.col("vec_id") % 2 == 0, k=7, scale=64, query_block=11, tile=9).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == brute_top(rows, 7, 64)
+
+
+def test_topk_without_scale(spark):
+    rows = [(i, [float(i % 5), 0.5 * i]) for i in range(30)]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 2 == 0, k=3, tile=4).collect()
+    for q in range(0, 30, 2):
+        want = sorted((-sum(a * b for a, b in zip(rows[q][1], v)), i) for i, v in rows if i != q)[:3]
+        assert [(-r.score, r.vec_id) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] == want
 
 
 def test_bpe(spark, docs, odd):
