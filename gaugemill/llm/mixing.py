@@ -8,12 +8,16 @@ whole numbers, over the whole schedule: nothing is rounded to a period, and no e
 
 Rows go to blocks of ``block_rows`` by a seeded order within their source. When a source has run
 out, its later slots stay empty, so the others keep their windows; no row is dropped or repeated.
-The schedule has one entry a block, is dealt out on the driver piece by piece (blocks times the
-logarithm of the sources) and written; rows find their place in it by a join: no global sort.
+The schedule has one entry a block. Unless ``block_rows`` is given, a block has 16 rows, or as many more
+as keep the blocks at about ``MOST_BLOCKS``, so that the schedule, which the driver deals out piece by
+piece (blocks times the logarithm of the sources), stays bounded while the table grows. Only counts of
+sources reach the driver, one row a source; rows find their place by a join, without a global sort.
 
 Edge cases: null sources are a source of their own; sources without a target weight, or with one
 of zero, have no share while others have rows, and follow them in equal parts (if no source has a
-weight, all have the same); repeated rows take neighbouring places; an empty table stays empty.
+weight, all have the same); rows that share an identifier, or have none, are ordered by all their
+columns, and equal rows take neighbouring places; an empty table stays empty; columns of the
+results' names are replaced.
 """
 
 from __future__ import annotations
@@ -23,14 +27,13 @@ import math
 from collections.abc import Iterator
 from itertools import islice
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import scratch, written
+from .common import others, scratch, written
 
-#: Slots of one period for each source, at least 1000 in all.
-SLOTS_A_SOURCE = 10
+#: Rows of a block, unless there would be more blocks than these.
+BLOCK_ROWS, MOST_BLOCKS = 16, 1 << 20
 #: Ranks within a source are counted in so many pieces, which spreads a hot source.
 PIECES = 4096
 #: The schedule is broadcast up to so many entries of four numbers, and shuffled beyond.
@@ -45,18 +48,14 @@ def smoothed(power: float = 0.5) -> Column:
 
 
 def shares(counts: DataFrame, weight: Column | None = None) -> DataFrame:
-    """(source, n, part, period): each source's slots in a period by its weight, not rounded.
+    """(source, n, part): each source's part of all slots by its weight, of which the largest is 1.
 
     ``counts`` has (source, n), one row a source; ``weight`` is computed on it.
     """
-    whole = Window.partitionBy()
     w = F.coalesce(weight if weight is not None else smoothed(), F.lit(0.0)).cast("double")
     rows = counts.withColumn("w", F.when((w > 0) & (w < math.inf), w).otherwise(0.0))
-    rows = rows.withColumn("sources", F.count("*").over(whole)).withColumn("most", F.max("w").over(whole))
-    # Divided by the largest first, so that no sum overflows.
-    rows = rows.withColumn("w", F.when(F.col("most") > 0, F.col("w") / F.col("most")).otherwise(1.0))
-    period = F.greatest(F.lit(1000), F.lit(SLOTS_A_SOURCE) * F.col("sources")).cast("long")
-    return rows.select("source", "n", (F.col("w") / F.sum("w").over(whole) * period).alias("part"), period.alias("period"))
+    most = F.max("w").over(Window.partitionBy())
+    return rows.select("source", "n", F.when(most > 0, F.col("w") / most).otherwise(1.0).alias("part"))
 
 
 def schedule(weights: list[float], blocks: list[int] | None = None) -> Iterator[tuple[int, int, int]]:
@@ -95,39 +94,28 @@ def known_first(source: str | None) -> tuple[bool, str]:
     return source is not None, source or ""
 
 
-def one_period(parts: DataFrame) -> DataFrame:
-    """The first slots of the endless schedule, one period: (source, j, slot, part, period)."""
-    sources = sorted(parts.collect(), key=lambda r: known_first(r.source))
-    slots = islice(schedule([r.part for r in sources]), sources[0].period if sources else 0)
-    rows = [(sources[i].source, j, slot, sources[i].part, sources[i].period) for slot, i, j in slots]
-    return parts.sparkSession.createDataFrame(rows, "source string, j long, slot long, part double, period long")
-
-
 def laid(spark: SparkSession, sources: list, block_rows: int) -> tuple[DataFrame, int]:
     """The written schedule (s, unknown, block, slot, start), and its entries.
 
     ``sources`` has rows (source, n, part); ``start`` counts the rows before the block.
     """
     path, start, entries = scratch(spark, "mix-schedule"), 0, 0
+    kind = "s string, unknown boolean, block long, slot long, start long"
     order = sorted(sources, key=lambda r: known_first(r.source))
     slots = schedule([r.part for r in order], [-(-r.n // block_rows) for r in order])
-    kind = pa.schema([("s", pa.string()), ("unknown", pa.bool_()), ("block", pa.int64()), ("slot", pa.int64()), ("start", pa.int64())])
     while (piece := list(islice(slots, ENTRIES))) or not entries:
-        starts = []
-        for _, i, j in piece:
-            starts.append(start)
+        rows = []
+        for slot, i, j in piece:
+            rows.append((order[i].source or "", order[i].source is None, j, slot, start))
             start += min(block_rows, order[i].n - j * block_rows)
-        own = [order[i].source for _, i, _ in piece]
-        columns = [[x or "" for x in own], [x is None for x in own], [j for _, _, j in piece], [slot for slot, _, _ in piece], starts]
-        table = pa.table([pa.array(c, f.type) for c, f in zip(columns, kind)], schema=kind)
-        spark.createDataFrame(table, "s string, unknown boolean, block long, slot long, start long").write.mode("append").parquet(path)
+        spark.createDataFrame(rows, kind).write.mode("append").parquet(path)
         entries += len(piece)
         if not piece:
             break
-    return spark.read.schema("s string, unknown boolean, block long, slot long, start long").parquet(path), entries
+    return spark.read.schema(kind).parquet(path), entries
 
 
-def mix(df: DataFrame, block_rows: int = 16, weight: Column | None = None, source: str = "source", key: str = "doc_id", seed: int = 0) -> DataFrame:
+def mix(df: DataFrame, block_rows: int | None = None, weight: Column | None = None, source: str = "source", key: str = "doc_id", seed: int = 0) -> DataFrame:
     """Adds mix_block, mix_slot and mix_position (all long, from 0) to every row.
 
     Rows in order of ``mix_position`` follow the target weights. Columns of these names that the
@@ -135,12 +123,18 @@ def mix(df: DataFrame, block_rows: int = 16, weight: Column | None = None, sourc
     """
     name = F.col(f"`{source}`").cast("string")
     keys = ["s", "unknown", "piece"]
-    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in ("mix_block", "mix_slot", "mix_position")]).alias("row"), F.coalesce(name, F.lit("")).alias("s"), name.isNull().alias("unknown"), F.xxhash64(F.lit(seed), F.col(f"`{key}`")).alias("order"))
+    kept = others(df, ["mix_block", "mix_slot", "mix_position"])
+    # By all columns, so that rows which share an identifier are spread and have an order.
+    hashed = [F.col(f"`{c}`") for c, k in df.dtypes if c in kept and c != key and "map<" not in k and "variant" not in k]
+    order = F.xxhash64(F.lit(seed), F.col(f"`{key}`"), *hashed)
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.coalesce(name, F.lit("")).alias("s"), name.isNull().alias("unknown"), order.alias("order"))
     rows = rows.withColumn("piece", F.shiftrightunsigned("order", 52))
     # A hot source is ranked piece by piece; pieces start after one another.
     pieces = written(rows.groupBy(*keys).agg(F.count("*").alias("n")), "mix-pieces")
     counts = pieces.groupBy(F.when(~F.col("unknown"), F.col("s")).alias("source")).agg(F.sum("n").alias("n"))
-    slots, entries = laid(df.sparkSession, shares(counts, weight).collect(), block_rows)
+    sources = shares(counts, weight).collect()
+    block_rows = block_rows or max(BLOCK_ROWS, -(-sum(r.n for r in sources) // MOST_BLOCKS))
+    slots, entries = laid(df.sparkSession, sources, block_rows)
     before = Window.partitionBy("s", "unknown").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     firsts = pieces.select(*keys, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     # A plan without the hint gives the same rows.

@@ -315,19 +315,73 @@ def test_token_counts(spark, docs, odd):
     assert token_files.token_counts(spark, token_files.write_flat(odd.limit(0), encode, 50256), 50256).count() == 0
 
 
+def plain_schedule(weights, blocks):
+    """(slot, source, block) by a loop over slots: of the released blocks the one of the earliest deadline."""
+    import math
+    from fractions import Fraction
+
+    total = sum(map(Fraction, weights))
+    share, done, out, slot, dust = [Fraction(w) / total for w in weights], [0] * len(weights), [], 0, Fraction(1, 2**20)
+    while any(d < n for d, n, w in zip(done, blocks, weights) if w):
+        left = [i for i, w in enumerate(weights) if w and done[i] < blocks[i]]
+        release = {i: math.floor(done[i] / share[i] + dust) for i in left}
+        slot = max(slot, min(release.values()))
+        i = min((i for i in left if release[i] <= slot), key=lambda i: (math.ceil((done[i] + 1) / share[i] - dust), -share[i], i))
+        out.append((slot, i, done[i]))
+        done[i] += 1
+        slot += 1
+    return out
+
+
+def test_schedule_is_the_plain_loop():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 3, 7, 20):
+        for weights in (rng.integers(1, 9, n).tolist(), rng.random(n).tolist(), [0.5, *[0.5 / n] * n]):
+            blocks = rng.integers(1, 40, len(weights)).tolist()
+            assert list(mixing.schedule(weights, blocks)) == plain_schedule(weights, blocks)
+
+
 def test_mixing(spark, odd, monkeypatch):
+    """Every row's block, slot and position against the plain loop."""
+    docs = queries.table(spark, FOLDER, "documents").select("doc_id", "source")
+    many = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, None).otherwise(F.concat(F.lit("s"), F.col("id") % 40)).alias("source"))
+    for table in (docs, many):
+        rows = sorted(mixing.mix(table).collect(), key=lambda r: r.mix_position)
+        assert [r.mix_position for r in rows] == list(range(table.count()))
+        counts = collections.Counter(r.source for r in rows)
+        names = sorted(counts, key=lambda s: (s is not None, s or ""))
+        parts = [counts[s] ** 0.5 / max(counts.values()) ** 0.5 for s in names]
+        want = [(slot, names[i], j) for slot, i, j in plain_schedule(parts, [-(-counts[s] // 16) for s in names])]
+        assert list(dict.fromkeys((r.mix_slot, r.source, r.mix_block) for r in rows)) == want
+        order = {r.doc_id: r.h for r in table.select("doc_id", F.xxhash64(F.lit(0), "doc_id", "source").alias("h")).collect()}
+        for s in names:
+            own = sorted((r for r in rows if r.source == s), key=lambda r: (order[r.doc_id] % 2**64, r.doc_id))
+            assert [r.mix_block for r in own] == [k // 16 for k in range(len(own))]
     rows = sorted(queries.op8_mixing(spark, FOLDER).collect(), key=lambda r: r.mix_position)
-    assert [r.mix_position for r in rows] == list(range(len(rows)))
-    counts = spark.createDataFrame([("a", 900), ("b", 90), (None, 10), ("c", 1)], "source string, n long")
-    slots = sorted(mixing.one_period(mixing.shares(counts)).collect(), key=lambda r: r.slot)
-    assert [r.slot for r in slots] == list(range(slots[0].period))
-    done, share = collections.Counter(), {r.source: r.part / r.period for r in slots}
-    for r in slots:
-        done[r.source] += 1
-        assert all(abs(done[k] - w * (r.slot + 1)) < 1 for k, w in share.items())
-    monkeypatch.setattr(mixing, "BROADCAST_ENTRIES", 0)  # the shuffled way gives the same places
-    assert sorted(queries.op8_mixing(spark, FOLDER).collect(), key=lambda r: r.mix_position) == rows
-    assert mixing.mix(odd).count() == len(ODD) and mixing.mix(odd.limit(0)).count() == 0
+    with monkeypatch.context() as m:
+        m.setattr(mixing, "BROADCAST_ENTRIES", 0)  # the shuffled way gives the same places
+        assert sorted(queries.op8_mixing(spark, FOLDER).collect(), key=lambda r: r.mix_position) == rows
+    assert mixing.mix(odd.withColumn("mix_slot", F.lit("x"))).count() == len(ODD) and mixing.mix(odd.limit(0)).count() == 0
+    monkeypatch.setattr(mixing, "MOST_BLOCKS", 10)  # a large table has larger blocks
+    few = mixing.mix(docs).collect()
+    assert sorted(r.mix_position for r in few) == list(range(len(few))) and len({r.mix_slot for r in few}) <= 10 + docs.select("source").distinct().count()
+
+
+def test_mixing_orders_rows_that_share_an_identifier(spark):
+    rows = [(7 if i % 2 else None, "a", f"text {i}") for i in range(200)] + [(7, "a", "same")] * 3
+    table = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    places = [sorted((r.mix_position, r.text) for r in mixing.mix(table.repartition(n, "text")).collect()) for n in (1, 5)]
+    assert places[0] == places[1] and [p for p, _ in places[0]] == list(range(203))
+    at = [p for p, t in places[0] if t == "same"]
+    assert at == list(range(at[0], at[0] + 3))
+
+
+def test_mixing_many_sources():
+    import time
+
+    began, n = time.time(), 5000
+    slots = list(mixing.schedule([1 / (i + 1) for i in range(n)], [1 + 200 // (i + 1) for i in range(n)]))
+    assert time.time() - began < 10 and len(slots) == sum(1 + 200 // (i + 1) for i in range(n)) and len({s for s, _, _ in slots}) == len(slots)
 
 
 def test_mixing_follows_the_given_weights(spark):
