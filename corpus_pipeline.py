@@ -39,7 +39,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return secrets.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return secrets.redact(docs, words=queries.vocabulary(queries.SECRETS_WORDS)).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def lay_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,6 +11,8 @@ from . import bpe, mixing, near, pii, quality, secrets, sstable, token_files, to
 
 #: Id of the end-of-document token in byte_bpe_50k.json; op10's contract appends 0 instead.
 END_OF_DOCUMENT = 50256
+#: Whose words op6 takes for its dictionary.
+SECRETS_WORDS = "byte_bpe_multi_50k.tiktoken"
 
 
 def vocabulary(name: str) -> str:
@@ -78,7 +80,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False, words=vocabulary(SECRETS_WORDS))
     count = lambda kind: F.size(F.filter("secrets", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
     base = pii.joined(F.filter("secrets", lambda s: s.kind != secrets.KINDS[3]))
     return found.select("doc_id", *[count(k) for k in secrets.KINDS[:3]], F.sha2(base, 256).alias("base_sha256"), pii.joined(F.col("secrets")).alias("spans"), F.coalesce(F.array_max(F.transform("secrets", lambda s: s.log10_guesses)), F.lit(0.0)).alias("max_log10_guesses"))

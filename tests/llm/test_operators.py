@@ -50,8 +50,11 @@ def base_pii(t):
     return [(m.start(), k, m.end()) for k, (p, ok) in enumerate(rules) for m in re.finditer(p, t) if ok(m)]
 
 
+ASSIGN = r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+
+
 def base_secrets(t):
-    found = [(m.start(), 0, m.end()) for m in re.finditer(secrets.ASSIGN, t, re.ASCII) if len(m[2]) >= 6]
+    found = [(m.start(), 0, m.end()) for m in re.finditer(ASSIGN, t) if len(m[2]) >= 6]
     found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 20]
     return found + [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 24]
 
@@ -498,3 +501,58 @@ def test_pii_many_matches(spark):
     assert ips == [m.span() for m in re.finditer(r"[0-9.]{8}", text)]
     assert [s.score for s in r.pii if s.kind == "ip"][-2:] == [0.6, pytest.approx(0.9)]
     assert pii.find(spark.createDataFrame([], "doc_id long, text string, pii int")).count() == 0
+
+
+def brute_cost(value, words):
+    """log10 of guesses of the cheapest of all splits, each part by the cheapest pattern that it is."""
+    import math
+
+    low, n = value.lower(), len(value)
+    plain = low.translate(str.maketrans("4@3!10$57", "aaeiiosst"))
+    size = lambda p: max(10 * any(c.isdigit() for c in p) + 26 * any(c in "abcdefghijklmnopqrstuvwxyz" for c in p) + 26 * any(c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" for c in p) + 33 * any(not c.isalnum() for c in p), 10)
+    rows = ["1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm"]
+    at = {c: (x, y) for y, r in enumerate(rows) for x, c in enumerate(r)}
+    near = lambda a, b: a in at and b in at and a != b and max(abs(at[a][0] - at[b][0]), abs(at[a][1] - at[b][1])) == 1
+    step = lambda i, d: 0 < i < n and value[i].isalnum() and ord(value[i]) - ord(value[i - 1]) == d
+
+    def part(i, j):
+        p, costs = value[i:j], [(j - i) * math.log10(size(value))]
+        for form, factor in ((low[i:j], 1), (plain[i:j], 2)):
+            if form in words:
+                costs.append(math.log10((words.index(form) + 1) * factor * (1 if p == low[i:j] else 2) + 1))
+                break
+        m = secrets.DATE.match(value, i)
+        if m and j - i >= 4 and j in (m.end(), i + 4) and j <= m.end():
+            costs.append(math.log10(365 * 60 * 2))
+        if j - i >= 3 and len(set(p)) == 1 and (j == n or value[j] != value[i]):
+            costs.append(math.log10(size(p[0]) * (j - i)))
+        for d in (1, -1):
+            if j - i >= 3 and all(step(k, d) for k in range(i + 1, j)) and not step(j, d):
+                costs.append(math.log10(size(p) * (j - i)))
+        if j - i >= 4 and all(near(low[k - 1], low[k]) for k in range(i + 1, j)):
+            costs.append(math.log10(len(at)) + (j - i - 1) * math.log10(2.3))
+        if j - i >= 2 and i >= j - i and value[2 * i - j : i] == p and len(set(p)) > 1:
+            costs.append(math.log10(2))
+        return min(costs)
+
+    best = math.inf
+    for mask in range(2 ** (n - 1)):
+        cuts = [0, *[k + 1 for k in range(n - 1) if mask >> k & 1], n]
+        best = min(best, sum(part(a, b) for a, b in zip(cuts, cuts[1:])) + math.log10(math.factorial(len(cuts) - 1)))
+    return best
+
+
+def test_guess_cost_is_the_cheapest_split():
+    words = list(secrets.dictionary()[0])
+    for value in ("password1", "P4ssWord9x", "qwertyabc", "19991231ab", "aaab111c", "xyzxyzxyz", "k3yT0k3n", "Xq9$vT2!", "asdf654321", "2021-05ab", "dragonAB", "1", "zz", "loveLOVE1"):
+        assert secrets.log10_guesses(value) == pytest.approx(brute_cost(value, words)), value
+
+
+def test_guess_cost_knows_words():
+    path = queries.vocabulary(queries.SECRETS_WORDS)
+    ranks, _ = secrets.dictionary(path)
+    assert len(ranks) > 20000 and ranks["password"] == 1 and {"battery", "horse", "the"} <= set(ranks)
+    scan = secrets.Scanner(words=path)
+    assert not [1 for _, k, _, _ in scan("auth=businessmeeting and pwd: Certificate2") if k == 3] and len(scan("auth=kJhgTrWqZxPlVbNm")) == 1
+    for n in (64, 65, 128, 5000):  # a longer run costs what the rule for repeats says
+        assert secrets.log10_guesses("1" * n, path) == pytest.approx(np.log10(10 * n))
