@@ -76,7 +76,47 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed_rules")
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
+
+
+def op5_sql() -> str:
+    """The counts, and the rule table as conditions on them."""
+    stop = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
+    parts = [f"CASE WHEN NOT ({' AND '.join([f'{r.metric} >= {r.low}'] * (r.low is not None) + [f'{r.metric} <= {r.high}'] * (r.high is not None))}) THEN '{r.name}' END" for r in quality.RULES]
+    return rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents
+), w AS (
+  SELECT rid, doc_id, t, regexp_extract_all(t, '[^ 	-
+]+') AS words, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS lines FROM d
+), tok AS (
+  SELECT rid, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM w
+), win AS (
+  SELECT rid, i, string_agg(word, ' ') OVER eight AS g, lead(word, 7) OVER (PARTITION BY rid ORDER BY i) AS last
+  FROM tok WINDOW eight AS (PARTITION BY rid ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING)
+), again AS (
+  SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM win WHERE last IS NOT NULL) WHERE c > 1
+), covered AS (
+  SELECT rid, sum(least({quality.WINDOW}, i - coalesce(before, i - {quality.WINDOW})))::BIGINT AS n
+  FROM (SELECT rid, i, lag(i) OVER (PARTITION BY rid ORDER BY i) AS before FROM again) GROUP BY rid
+), m AS (
+  SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
+    len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+    coalesce(n, 0)::BIGINT AS n_repeat_words, len(list_filter(words, lambda x: x IN ({stop})))::BIGINT AS n_stop_words, len(lines) AS n_lines,
+    len(list_filter(lines, lambda x: x.ends_with('...') OR x.ends_with('…'))) AS n_open,
+    len(list_filter(lines, lambda x: substr(x, 1, 2) IN ('- ', '* ', '• '))) AS n_bullets
+  FROM w LEFT JOIN covered USING (rid)
+), r AS (
+  SELECT *, coalesce(word_chars / nullif(n_words, 0)::DOUBLE, 0) AS mean_word_chars, coalesce(n_symbols / nullif(n_words, 0)::DOUBLE, 0) AS symbol_ratio,
+    coalesce(n_dup_lines / nullif(n_lines, 0)::DOUBLE, 0) AS dup_line_ratio, coalesce(n_open / nullif(n_lines, 0)::DOUBLE, 0) AS ellipsis_line_ratio,
+    coalesce(n_bullets / nullif(n_lines, 0)::DOUBLE, 0) AS bullet_line_ratio, coalesce(n_repeat_words / nullif(n_words, 0)::DOUBLE, 0) AS repeat_word_ratio
+  FROM m
+), j AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, array_to_string(list_filter([{', '.join(parts)}], lambda x: x IS NOT NULL), ',') AS failed_rules FROM r
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND failed_rules = '' AS kept, failed_rules FROM j
+"""
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,6 +130,38 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.link(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "class_id", "copy_id", "n_links")
 
 
+#: All pairs of different texts that share a shingle, their components, and the links of each text.
+OP7_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents
+), c AS (
+  SELECT row_number() OVER () AS cid, t, min(doc_id) AS copy_id, count(*) AS copies FROM d WHERE doc_id IS NOT NULL GROUP BY t
+), w AS (
+  SELECT cid, regexp_extract_all(lower(t), '[^\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+') AS words FROM c
+), tok AS (
+  SELECT cid, len(words) AS n, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM w
+), win AS (
+  SELECT cid, n, i, string_agg(word, ' ') OVER (PARTITION BY cid ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS g FROM tok
+), s AS (
+  SELECT DISTINCT cid, g FROM win WHERE i <= greatest(n - 4, 1)
+), sizes AS (
+  SELECT cid, count(*) AS n FROM s GROUP BY cid
+), common AS (
+  SELECT a.cid AS a, b.cid AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.cid <> b.cid GROUP BY 1, 2
+), link AS (
+  SELECT a, b FROM common JOIN sizes x ON a = x.cid JOIN sizes y ON b = y.cid WHERE k >= 0.8 * (x.n + y.n - k) - 1e-9
+), reach AS (
+  SELECT cid AS a, cid AS b FROM c UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+), class AS (
+  SELECT reach.a AS cid, min(c.copy_id) AS class_id FROM reach JOIN c ON reach.b = c.cid GROUP BY 1
+), linked AS (
+  SELECT a AS cid, sum(copies)::BIGINT AS n FROM link JOIN c ON b = c.cid GROUP BY 1
+)
+SELECT doc_id, class_id, CASE WHEN doc_id IS NOT NULL THEN copy_id END AS copy_id, CASE WHEN doc_id IS NULL THEN 0 ELSE copies - 1 + coalesce(n, 0) END::BIGINT AS n_links
+FROM d LEFT JOIN c ON d.t = c.t AND doc_id IS NOT NULL LEFT JOIN class USING (cid) LEFT JOIN linked USING (cid)
+"""
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
 
@@ -121,4 +193,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_sstable": op10_sstable,
 }
-ORACLES: dict[str, str] = {"op2_topk": OP2_SQL}
+ORACLES: dict[str, str] = {"op2_topk": OP2_SQL, "op5_quality": op5_sql(), "op7_ngram_join": OP7_SQL}

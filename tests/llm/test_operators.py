@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import pytest
 from gaugemill.llm import bpe, mixing, near, pii, quality, queries, secrets, sstable, token_files, topk, toxicity
+from oracle import by_spark, by_sql
 from pyspark.sql import functions as F
 
 FOLDER = "/root/testdata/sf0.001"
@@ -31,6 +32,13 @@ def docs(spark):
     return {r.doc_id: r.text or "" for r in queries.table(spark, FOLDER, "documents").collect()}
 
 
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_equals_sql(spark, name):
+    """On the table of the next size, as the small one has few near copies."""
+    folder = FOLDER.replace("0.001", "0.01")
+    assert by_spark(queries.QUERIES[name](spark, folder)) == by_sql(queries.ORACLES[name], folder)
+
+
 def digest(spans, names):
     return hashlib.sha256(",".join(f"{names[k]}:{a}:{b}" for a, k, b in sorted(spans)).encode()).hexdigest()
 
