@@ -87,8 +87,9 @@ def sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str,
     chosen = F.broadcast(parts[0].unionByName(parts[1]))  # bounded by the two limits
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")).join(chosen, "key")
     # One text for each identifier, however many rows share it: the bound holds for rows as well.
-    rows = rows.groupBy("key").agg(F.first("y").alias("y"), F.min_by("text", F.struct(F.xxhash64("text"), F.length("text"))).alias("text")).select("y", "text")
-    rows = written(rows.repartition(COUNTERS, F.xxhash64("text")), "sample")
+    rows = rows.groupBy("key").agg(F.first("y").alias("y"), F.min_by("text", F.struct(F.xxhash64("text"), F.length("text"))).alias("text"))
+    # By the identifier too, so that a text which many rows share is spread.
+    rows = written(rows.repartition(COUNTERS, F.xxhash64("key", "text")).select("y", "text"), "sample")
     taken = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     return rows, {c: (counts.get(c, 0), taken.get(c, 0)) for c in (0, 1)}
 

@@ -110,6 +110,22 @@ def test_quality(spark, docs, odd):
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want
         assert r.base_failed == (want[0] < 20 or 100 * want[4] > 30 * want[0])
         assert not (r.kept and r.base_failed)
+    clash = odd.select("doc_id", "text", F.lit("x").alias("kept"), F.lit("x").alias("n_words"), F.lit(1).alias("__words"))
+    assert sorted(r.n_words for r in quality.judge(clash).collect()) == sorted(r.n_words for r in quality.judge(odd).collect())
+    assert quality.judge(odd.limit(0)).count() == 0
+
+
+def test_clashing_columns(spark, odd):
+    """Columns that have a result's name, in either case, are replaced, and others stay."""
+    path = queries.vocabulary("byte_bpe_multi_50k.tiktoken")
+    model = toxicity.fit(odd, spark.createDataFrame([(4, 1), (9, 0)], "doc_id long, toxic int"))
+    for name, use in (
+        ("pii", pii.find), ("secrets", secrets.scan), ("decoded", lambda d: bpe.coded(d, path, decoded="decoded")), ("SCORE", lambda d: toxicity.score(d, model)),
+        ("mix_position", mixing.mix), ("class_id", near.link), ("keys", near.link), ("node", near.link), ("id", near.link), ("alike", near.dedupe), ("n_pieces", mixing.mix), ("order", mixing.mix),
+    ):
+        rows = use(odd.drop("ids", "score").withColumn(name, F.lit("mine")))
+        assert len(rows.columns) == len({c.lower() for c in rows.columns}), name
+        assert use is near.dedupe or rows.count() == len(ODD), name
 
 
 def brute_links(texts):
@@ -166,6 +182,7 @@ def test_toxicity(spark, odd):
     labels = {r.doc_id: r.toxic for r in queries.table(spark, FOLDER, "labels").collect()}
     assert all(r.held_out == (zlib.crc32(str(d).encode()) % 4 == 2) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for d, r in rows.items())
     assert np.mean([rows[d].predicted == t for d, t in labels.items()]) > 0.9
+    assert toxicity.score(odd.limit(0), toxicity.fit(odd.limit(0), spark.createDataFrame([(1, 1)], "doc_id long, toxic int"))).count() == 0
     model = toxicity.fit(odd, spark.createDataFrame([(4, 1), (9, 0), (3, 0), (8, None)], "doc_id long, toxic int"))
     assert toxicity.score(odd, model).count() == len(ODD)
     shared = spark.createDataFrame([(1, f"text {i}") for i in range(50)] + [(2, "other")], "doc_id long, text string")
@@ -175,6 +192,51 @@ def test_toxicity(spark, odd):
     assert toxicity.score(odd, none).agg(F.max("score")).first()[0] < 1e-6
 
 
+def plain_model(rows, n_features):
+    """Scores of texts by a plain fit: counted n-grams in dictionaries, and Newton's method."""
+
+    def grams(t):
+        points, out = [ord(c) for c in f" {t} ".lower()], set()
+        for order in (3, 4, 5):
+            for i in range(len(points) - order + 1):
+                h = points[i]
+                for c in points[i + 1 : i + order]:
+                    h = (h * 0x01000193 + c) % 2**32
+                out.add((h ^ h >> 15) * (0x2C1B3C6D + 2 * order) % 2**32 >> 32 - toxicity.BITS)
+        return out
+
+    sets, y = [grams(t) for t, _ in rows], np.array([c for _, c in rows], float)
+    n = [len(y) - y.sum(), y.sum()]
+    table = {f: [sum(f in s and c == k for s, c in zip(sets, y)) for k in (0, 1)] for f in set().union(*sets)}
+    table = {f: c for f, c in table.items() if sum(c) >= 3}
+    expected = {f: sum(c) * n[1] / sum(n) for f, c in table.items()}
+    best = sorted(table, key=lambda f: (-abs(table[f][1] - expected[f]) / np.sqrt(expected[f] + 1), f))[:n_features]
+    x = np.array([[np.log((table[f][1] + 0.5) / (n[1] + 1) / ((table[f][0] + 0.5) / (n[0] + 1))) * (f in s) for f in best] + [1.0] for s in sets])
+    w, penalty = np.zeros(len(best) + 1), np.append(np.ones(len(best)), 0)
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-x @ w))
+        w -= np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + np.diag(penalty), x.T @ (p - y) + penalty * w)
+    return 1 / (1 + np.exp(-x @ w))
+
+
+def test_toxicity_is_the_plain_fit(spark):
+    rng = np.random.default_rng(1)
+    bad, fine, both = ["vile", "hatred", "scum"], ["garden", "music", "bread"], [f"word{i}" for i in range(12)]
+    rows = [(" ".join(rng.choice([*both, *(bad if i % 4 == 0 else fine)], 12)), int(i % 4 == 0)) for i in range(80)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, toxic int"), features=60)
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    want = plain_model(rows, 60)
+    assert max(abs(got[i] - want[i]) for i in got) < 0.01 and want.max() > 0.5
+
+
+def test_toxicity_held_out(spark):
+    folder = FOLDER.replace("0.001", "0.1")
+    rows = queries.op1_toxicity(spark, folder).where("held_out").join(queries.table(spark, folder, "labels"), "doc_id").groupBy("toxic").agg(F.count("*").alias("n"), F.sum("predicted").alias("found")).collect()
+    by = {r.toxic: (r.n, r.found) for r in rows}
+    assert by[1][1] >= 0.75 * by[1][0] and by[0][1] <= 0.005 * by[0][0]
+
+
 def test_topk(spark):
     rows = queries.table(spark, FOLDER, "embeddings").collect()
     v = np.floor(64 * np.array([r.embedding for r in rows], float)).astype(int)
