@@ -377,10 +377,14 @@ def alike(text: str) -> Column:
 def link(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
     """Adds class_id, copy_id and n_links (long) to every row; see the module."""
     known = classified(df, key, text, words, threshold, tolerance).drop("stays")
-    kept = others(df, ["class_id", "copy_id", "n_links"])
-    base = df.select(*[F.col(f"`{c}`") for c in kept], F.when(F.col(f"`{key}`").cast("long").isNotNull(), alike(text)).alias("__alike"))
+    new = ["class_id", "copy_id", "n_links"]
+    kept = [F.col(f"`{c}`") for c in others(df, new)]
+    has = F.col(f"`{key}`").cast("long").isNotNull()
+    base = df.where(has).select(*kept, alike(text).alias("__alike"))
     joined = base.join(known.withColumnRenamed("alike", "__alike"), "__alike", "left").drop("__alike")
-    return joined.withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long")))
+    # Rows without an identifier need no join, in which they would share one key.
+    rest = df.where(~has).select(*kept, *[F.lit(None).cast("long").alias(c) for c in new[:2]], F.lit(0).cast("long").alias(new[2]))
+    return joined.unionByName(rest)
 
 
 def dedupe(df: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
