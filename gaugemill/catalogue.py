@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import parse, template
@@ -259,7 +259,7 @@ def endpoint_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quantiles_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary.small_quantiles(results(spark, sf_dir), ["endpoint"], "latency_s", (50, 90))
+    return summary.counted_quantiles(results(spark, sf_dir), ("endpoint",), "latency_s", (50, 90))
 
 
 def group_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,6 +276,20 @@ def streaming_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streams.progress(table(spark, sf_dir, "events"), ["event_type"])
 
 
+def superseded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over the same keys, both of which number their records from 0: the later run counts."""
+    n = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id"))
+    rows = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("key"), (F.col("event_type") == "error").alias("is_error"), n.alias("n"))
+    seq = F.floor((F.col("n") - 1) / 2).alias("seq")
+    first, second = (rows.where(F.col("n") % 2 == run).select("key", "is_error", seq) for run in (0, 1))
+    return log.latest(log.union_logs(first, second)).select("key", "is_error")
+
+
+def run_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = table(spark, sf_dir, "documents").groupBy(F.col("source").alias("file_name")).agg(F.count("*").alias("n"))
+    return plans.budget(files, 0.2, 40)
+
+
 def durations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", duration(F.col("event_id") * 7).alias("took"))
 
@@ -303,7 +317,7 @@ QUERIES: dict[str, Query] = {
     "missing_fields": missing_fields,
     "render_prompt": render_prompt,
     "render_missing": render_missing,
-    "send_order": lambda s, d: plans.limited(documents_plan(s, d), 100).select("id", "ord"),
+    "send_order": lambda s, d: plans.first_in_order(table(s, d, "documents").select(F.col("doc_id").cast("string").alias("id")), 100).select("id", "ord"),
     "part_slices": part_slices,
     "row_keys": row_keys,
     "resume_anti": resume_anti,
@@ -337,6 +351,9 @@ QUERIES: dict[str, Query] = {
     "join_back": lambda s, d: summary.join_back(table(s, d, "documents").select(F.col("doc_id").cast("string").alias("id"), "lang"), results(s, d).where("verdict is not null")),
     "parts_union": parts_union,
     "chat_dedupe": chat_dedupe,
+    "superseded": superseded,
+    "endpoint_errors": lambda s, d: summary.endpoint_errors(results(s, d)),
+    "run_budget": run_budget,
     "durations": durations,
     "streaming_summary": streaming_summary,
 }
@@ -385,7 +402,14 @@ SELECT a.endpoint AS endpoint, n AS "rows", models, lm AS latency_s_max, cm AS c
   c[CAST(round_even(0.5 * (len(c) - 1), 0) AS BIGINT) + 1] AS completion_tokens_p50, p[CAST(round_even(0.5 * (len(p) - 1), 0) AS BIGINT) + 1] AS prompt_tokens_p50
 FROM agg a JOIN tokens t ON a.endpoint = t.endpoint JOIN models m ON a.endpoint = m.endpoint""",
     "quantiles_list": f"WITH {RESULTS_SQL}, agg AS (SELECT endpoint, list_sort(list(latency_s)) AS l FROM results GROUP BY endpoint) SELECT endpoint, l[CAST(round_even(0.5 * (len(l) - 1), 0) AS BIGINT) + 1] AS latency_s_p50, l[CAST(round_even(0.9 * (len(l) - 1), 0) AS BIGINT) + 1] AS latency_s_p90 FROM agg",
-    "label_domain": "SELECT 'consistent,inconsistent,unsure' AS \"values\"",
+    "label_domain": f"WITH {RESULTS_SQL} SELECT string_agg(verdict, ',' ORDER BY verdict) AS \"values\" FROM (SELECT DISTINCT verdict FROM results WHERE verdict IS NOT NULL)",
+    "superseded": """WITH a AS (SELECT user_id, event_id, event_type = 'error' AS bad, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events),
+runs AS (SELECT user_id, bad, n % 2 AS run, (n - 1) // 2 AS place FROM a), r AS (SELECT user_id, bad, row_number() OVER (PARTITION BY user_id ORDER BY run DESC, place DESC) AS r FROM runs)
+SELECT CAST(user_id AS VARCHAR) AS key, bad AS is_error FROM r WHERE r = 1""",
+    "endpoint_errors": f"WITH {RESULTS_SQL} SELECT endpoint, CASE WHEN doc_id % 11 = 0 THEN 'length' ELSE 'timeout' END AS class, count(*) AS \"rows\" FROM results WHERE doc_id % 11 = 0 OR doc_id % 13 = 0 GROUP BY ALL",
+    "run_budget": "SELECT CAST(sum(least(n, 40) + 2) AS BIGINT) AS requests, round(sum(least(n, 40) + 2) * 0.2, 6) AS cost FROM (SELECT source, count(*) AS n FROM documents GROUP BY source)",
+    "streaming_summary": """WITH e AS (SELECT event_type, time_bucket(INTERVAL 1 MINUTE, ts) AS minute FROM events), w AS (SELECT event_type, minute - INTERVAL 1 MINUTE * k AS start FROM e CROSS JOIN range(5) t(k))
+SELECT start, start + INTERVAL 5 MINUTE AS "end", event_type, count(*) AS "rows" FROM w GROUP BY start, event_type""",
     "parse_notes": f"SELECT '{parse.UNCLOSED}' AS note, count(*) AS \"rows\" FROM documents WHERE doc_id % 29 = 0",
     "error_classes": "SELECT class, count(*) AS \"rows\" FROM (SELECT CASE event_id % 8 WHEN 1 THEN 'auth' WHEN 2 THEN 'overload' WHEN 3 THEN 'timeout' WHEN 4 THEN 'down' WHEN 5 THEN 'bad_request' WHEN 6 THEN 'down' ELSE 'retry' END AS class FROM events) GROUP BY class",
     "failure_streaks": """WITH e AS (SELECT *, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS bad, sum(CASE WHEN event_type = 'error' THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS island FROM events),

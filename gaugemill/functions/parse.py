@@ -7,6 +7,7 @@ Python's reader, so parsing is one Arrow-batched function; everything around it
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -75,33 +76,37 @@ def parse_strict(text: str | None, contract: Contract) -> dict:
     return check(answer, contract)
 
 
+def spoken(text: str) -> tuple[str, str | None]:
+    """What a reply says outside its thoughts, and a note if a thought was never closed.
+
+    A thought that is never closed counts as speech, since an answer may stand in it.
+    """
+    if text.rfind(OPENED) > text.rfind(CLOSED):
+        return re.sub(f"{OPENED}|{CLOSED}", "", text), UNCLOSED
+    return re.sub(f"(?s){OPENED}(?:(?!{OPENED}).)*?{CLOSED}", "", text).replace(OPENED, ""), None
+
+
+def objects(text: str) -> Iterator[tuple[int, dict]]:
+    """Every JSON object in a text, whatever stands around it, from the last to begin to the first."""
+    read = json.JSONDecoder().raw_decode
+    for brace in reversed([m.start() for m in re.finditer(r"\{", text)]):
+        try:
+            yield brace, read(text, brace)[0]
+        except (ValueError, RecursionError):
+            continue
+
+
 def parse_tolerant(text: str | None, contract: Contract) -> dict:
     """The last object in the text that holds the label (or all keys, without a label)."""
-    text = text or ""
     if contract.prose:
-        reply = text.strip()
+        reply = (text or "").strip()
         return {"answer_json": json.dumps(reply, ensure_ascii=False)} if reply else failure("empty reply")
-    note = None
-    if text.rfind(OPENED) > text.rfind(CLOSED):
-        note = UNCLOSED
-        text = text.replace(OPENED, "").replace(CLOSED, "")
-    else:
-        pieces = text.split(OPENED)
-        text = pieces[0] + "".join(p.split(CLOSED, 1)[-1] for p in pieces[1:])
-    wanted = {contract.label} if contract.label else set(contract.order)
-    decoder, best, at = json.JSONDecoder(), None, text.find("{")
-    while at >= 0:
-        try:
-            value, _ = decoder.raw_decode(text, at)
-            if wanted <= set(value):
-                best = at, value
-        except (ValueError, RecursionError):
-            pass
-        at = text.find("{", at + 1)
-    if best is None:
-        return failure(f"no answer in the text: {text[:120]}")
-    found = check(best[1], contract)
-    return found | {"reasoning": text[: best[0]].strip() or None, "parse_note": note}
+    said, note = spoken(text or "")
+    needed = set(contract.order if contract.label is None else (contract.label,))
+    hit = next(((at, answer) for at, answer in objects(said) if needed <= answer.keys()), None)
+    if hit is None:
+        return failure(f"no answer in the text: {said[:120]}")
+    return check(hit[1], contract) | {"reasoning": said[: hit[0]].strip() or None, "parse_note": note}
 
 
 def parsed(text: Column, contract: Contract, guided: bool = True) -> Column:
@@ -116,12 +121,3 @@ def parsed(text: Column, contract: Contract, guided: bool = True) -> Column:
             yield pd.DataFrame({n: pd.Series([r.get(n) for r in rows], dtype=object) for n in names})
 
     return run(text)
-
-
-def quick_verdict(text: Column, label: str, values: list[str]) -> Column:
-    """The label of a well-formed reply by built-in functions; null outside the domain.
-
-    It doesn't prove strictness (see the module); for texts known to be single objects.
-    """
-    got = F.lower(F.regexp_replace(F.get_json_object(text, f"$.{label}"), r"(?U)^\s+|\s+$", ""))
-    return F.when(got.isin([v.lower() for v in values]), got)

@@ -36,12 +36,6 @@ def seeded(seed: int, *parts: Column | str) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(str(seed)), *[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts]), 256)
 
 
-def nearest_rank(value: Column, p: float) -> Column:
-    """The exact quantile at half-even round(p * (n - 1)) of the values that aren't null."""
-    rows = F.array_sort(F.collect_list(value))
-    return F.try_element_at(rows, (F.bround(F.lit(p) * (F.size(rows) - 1), 0) + 1).cast("int"))
-
-
 def duration(seconds: Column) -> Column:
     """3m04s, or 1h02m from an hour on."""
     s = seconds.cast("long")

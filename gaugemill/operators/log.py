@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-WIDE = 1 << 62
-
-
 def latest(results: DataFrame, key: str = "key", seq: str = "seq") -> DataFrame:
-    """The last record of each key, by place in the log; maxima combine before the shuffle."""
+    """The last record of each key, by place in the log; maxima combine before the shuffle.
+
+    Of records that share a place, which no single log has, always the same one is taken.
+    """
     row = F.struct(*[F.col(f"`{c}`") for c in results.columns])
-    return results.groupBy(F.col(key).alias("__key")).agg(F.max_by(row, F.col(seq)).alias("row")).select("row.*")
+    place = F.struct(F.col(seq), F.xxhash64(*[F.col(f"`{c}`") for c, k in results.dtypes if "map<" not in k]))
+    return results.groupBy(F.col(key).alias("__key")).agg(F.max_by(row, place).alias("row")).select("row.*")
 
 
 def union_logs(*logs: DataFrame) -> DataFrame:
@@ -42,13 +43,20 @@ def first_all_failed(events: DataFrame, by: list[str], order: list[str | Column]
 
 
 def trailing(events: DataFrame, by: list[str], micros: Column, left: Column | None = None, spans: tuple[int, ...] = (60, 300)) -> DataFrame:
-    """Adds the number of events in the last seconds of each row, and minutes left at that pace."""
-    rows = events.withColumn("__micros", micros)
+    """Adds the number of events in the last seconds of each row, and minutes left at that pace.
+
+    Time is cut into slices of the longest span; each event also counts in the slice after its own, so
+    that windows run within slices and a group's work is dealt over them.
+    """
+    wide = max(spans) * 1_000_000
+    rows = events.withColumn("__micros", micros).withColumn("__own", F.floor(F.col("__micros") / wide))
+    rows = rows.withColumn("__slice", F.explode(F.array("__own", F.col("__own") + 1)))
     for s in spans:
-        rows = rows.withColumn(f"last_{s}s", F.count("*").over(Window.partitionBy(*by).orderBy("__micros").rangeBetween(-s * 1_000_000, 0)))
+        rows = rows.withColumn(f"last_{s}s", F.count("*").over(Window.partitionBy(*by, "__slice").orderBy("__micros").rangeBetween(-s * 1_000_000, 0)))
+    rows = rows.where(F.col("__slice") == F.col("__own"))
     if left is not None:
         rows = rows.withColumn("eta_minutes", F.round(left / (F.col(f"last_{spans[-1]}s") / (spans[-1] / 60)), 3))
-    return rows.drop("__micros")
+    return rows.drop("__micros", "__own", "__slice")
 
 
 def assembled(chunks: DataFrame, by: list[str], seq: str = "seq", delta: str = "delta", finish: str | None = "finish") -> DataFrame:

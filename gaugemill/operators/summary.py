@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import nearest_rank
-
 
 def group_name() -> Column:
     return F.coalesce(F.nullif(F.col("group"), F.lit("")), F.lit("all"))
@@ -101,9 +99,9 @@ def counted_quantiles(rows: DataFrame, by: tuple[str, ...], column: str, ps: tup
     return placed.groupBy(*by).agg(*[F.min(F.when(F.col("upto") > at(p), F.col(column))).alias(f"{column}_p{p}") for p in ps])
 
 
-def small_quantiles(rows: DataFrame, by: list[str], column: str, ps: tuple[int, ...]) -> DataFrame:
-    """As counted_quantiles by one gathered list; for groups of bounded size."""
-    return rows.groupBy(*by).agg(*[nearest_rank(F.col(column), p / 100).alias(f"{column}_p{p}") for p in ps])
+def endpoint_errors(results: DataFrame) -> DataFrame:
+    """(endpoint, class, rows) of the records that are errors."""
+    return results.where("error.class is not null").groupBy("endpoint", F.col("error.class").alias("class")).agg(F.count("*").alias("rows"))
 
 
 def pairs(results: DataFrame) -> DataFrame:
@@ -144,6 +142,8 @@ def document(results: DataFrame, values: list[str], planned: int | None = None)
             groups[r.group].setdefault("rates", {})[r.verdict] = r.rate
             groups[r.group].setdefault("rates_weighted", {})[r.verdict] = r.rate_weighted
         out["by_group"] = groups
+        for r in endpoint_errors(results).orderBy("endpoint", "class").collect():
+            out.setdefault("errors_by_endpoint", {}).setdefault(r.endpoint, {})[r["class"]] = r.rows
         out["by_endpoint"] = {r.endpoint: r.asDict() for r in by_endpoint(results).orderBy("endpoint").collect()}
         out["agreement"] = [r.asDict() for r in agreement(results).orderBy("a", "b").collect()]
         if planned is not None:

@@ -9,20 +9,20 @@ from __future__ import annotations
 import base64
 import json
 import random
-import re
 import time
 import urllib.error
+import urllib.parse
 import urllib.request
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from ..functions.contract import Contract
+from ..functions.contract import CANARY, Contract, Prompt
 from ..functions.scalars import STATUS_CLASSES
-from ..sources.config import Endpoint, join_url
+from ..sources.config import ConfigError, Endpoint, join_url
 
 REPLY = "content string, finish_reason string, latency_s double, prompt_tokens bigint, completion_tokens bigint, error_class string, error_detail string, attempts int"
 
@@ -76,20 +76,30 @@ def authorization(key: str, scheme: str = "bearer") -> str:
     return {"bearer": f"Bearer {key}", "basic": f"Basic {base64.b64encode(key.encode()).decode()}", "raw": key}[scheme]
 
 
-def stream_text(lines: Iterator[str]) -> Reply:
-    """A reply from server-sent events: deltas in order, the last finish reason and usage."""
-    reply, parts = Reply(), []
+def events_of(lines: Iterable[str]) -> Iterator[dict]:
+    """The JSON objects of server-sent events; comments, marks and broken lines are passed over."""
     for line in lines:
-        if not line.startswith("data:") or (data := line[5:].strip()) == "[DONE]":
+        name, _, data = line.partition(":")
+        try:
+            event = json.loads(data) if name == "data" else None
+        except ValueError:
             continue
-        chunk = json.loads(data)
-        for choice in chunk.get("choices", [])[:1]:
-            parts.append((choice.get("delta") or {}).get("content") or "")
-            reply.finish_reason = choice.get("finish_reason") or reply.finish_reason
-        if usage := chunk.get("usage"):
-            reply.prompt_tokens, reply.completion_tokens = usage.get("prompt_tokens"), usage.get("completion_tokens")
-    reply.content = "".join(parts)
-    return reply
+        if isinstance(event, dict):
+            yield event
+
+
+def stream_text(lines: Iterable[str]) -> Reply:
+    """A reply from server-sent events: deltas in order, the last finish reason and usage."""
+    events = list(events_of(lines))
+    choices = [c for e in events for c in (e.get("choices") or [])[:1]]
+    last = lambda values: next((v for v in reversed(list(values)) if v), None)
+    usage = last(e.get("usage") for e in events) or {}
+    content = "".join((c.get("delta") or {}).get("content") or "" for c in choices)
+    return Reply(content, last(c.get("finish_reason") for c in choices), usage.get("prompt_tokens"), usage.get("completion_tokens"))
+
+
+def is_local(url: str) -> bool:
+    return (urllib.parse.urlsplit(url).hostname or "") in ("localhost", "127.0.0.1", "::1", "0.0.0.0")
 
 
 @dataclass
@@ -97,6 +107,7 @@ class HttpBackend:
     """A chat endpoint over HTTP, with retries of what may pass."""
 
     timeout: float = 95.0
+    local_timeout: float = 600.0  # a server on this machine may queue for long
     max_attempts: int = 3
     backoff_max: float = 60.0
     scheme: str = "bearer"
@@ -106,12 +117,31 @@ class HttpBackend:
     def backoff(self, attempt: int) -> float:
         return min(self.backoff_max, 2.0**attempt) * random.uniform(0.5, 1.0)
 
+    def request(self, endpoint: Endpoint, path: str, body: dict | None = None) -> urllib.request.Request:
+        key = {endpoint.key_header: endpoint.api_key} if endpoint.key_header else {"Authorization": authorization(endpoint.api_key, self.scheme)}
+        headers = {"Content-Type": "application/json"} | (key if endpoint.api_key else {}) | endpoint.headers
+        data = None if body is None else json.dumps(body).encode()
+        return urllib.request.Request(join_url(endpoint.base_url, path), data, {k: v for k, v in headers.items() if v})
+
+    def patience(self, endpoint: Endpoint) -> float:
+        return max(self.timeout, self.local_timeout) if is_local(endpoint.base_url) else self.timeout
+
+    def models(self, endpoint: Endpoint) -> list[str]:
+        """The models that a server lists."""
+        with urllib.request.urlopen(self.request(endpoint, endpoint.models_path), timeout=30) as got:
+            return [m["id"] for m in json.load(got)["data"]]
+
+    def waiting(self, endpoint: Endpoint, path: str = "/metrics", name: str = "num_requests_waiting") -> float:
+        """How many requests a server has queued, by the gauge of that name on its metrics page."""
+        root = "{0.scheme}://{0.netloc}".format(urllib.parse.urlsplit(endpoint.base_url))
+        with urllib.request.urlopen(join_url(root, path), timeout=30) as got:
+            page = got.read().decode()
+        return sum(float(line.split()[-1]) for line in page.splitlines() if line.partition("{")[0].split(" ")[0].endswith(name))
+
     def once(self, endpoint: Endpoint, body: dict) -> Reply:
-        headers = {"Content-Type": "application/json"} | ({"Authorization": authorization(endpoint.api_key, self.scheme)} if endpoint.api_key else {})
-        headers = {k: v for k, v in (headers | endpoint.headers).items() if v}
-        request = urllib.request.Request(join_url(endpoint.base_url, endpoint.chat_path), json.dumps(body).encode(), headers)
+        request = self.request(endpoint, endpoint.chat_path, body)
         try:
-            with urllib.request.urlopen(request, timeout=self.timeout) as got:
+            with urllib.request.urlopen(request, timeout=self.patience(endpoint)) as got:
                 if self.stream:
                     return stream_text(x.decode().strip() for x in got)
                 data = json.load(got)
@@ -127,7 +157,7 @@ class HttpBackend:
             return Reply(error_class="retry", error_detail=f"not a chat reply: {e}"[:200])
 
     def __call__(self, system: str, user: str, contract: Contract, endpoint: Endpoint) -> Reply:
-        body = request_body(endpoint, system, user, contract, self.options | ({"stream": True} if self.stream else {}))
+        body = request_body(endpoint, system, user, contract, self.options | ({"stream": True, "stream_options": {"include_usage": True}} if self.stream else {}))
         for attempt in range(1, self.max_attempts + 1):
             reply = self.once(endpoint, body)
             if reply.error_class in (None, "auth", "bad_request") or attempt == self.max_attempts:
@@ -137,9 +167,35 @@ class HttpBackend:
         return reply
 
 
-def queue_depth(metrics: str, name: str = "num_requests_waiting") -> float:
-    """The sum of a gauge over a server's metrics page."""
-    return sum(float(x) for x in re.findall(rf"(?m)^\S*{name}(?:\{{[^}}]*\}})?\s+(\S+)", metrics))
+def preflight(backend: Backend, prompt: Prompt, user: str, endpoint: Endpoint, guided: bool) -> None:
+    """Refuses an endpoint that doesn't serve its model or, guided, doesn't heed a schema.
+
+    One message is sent with a schema that pins the label to a text no model would choose. A reply
+    that was cut off proves nothing, and neither does an unguided one.
+    """
+    contract = prompt.contract
+    if endpoint.models_path:
+        try:
+            served = backend.models(endpoint)
+        except (OSError, ValueError, KeyError, TypeError) as e:
+            raise ConfigError(f"{endpoint.name}: no list of models ({e})") from None
+        if endpoint.model not in served:
+            raise ConfigError(f"{endpoint.name} doesn't serve {endpoint.model!r} but {', '.join(served)}")
+    guided = guided and not contract.prose
+    pinned = replace(contract, schema=contract.canary_schema()) if guided else contract
+    reply = backend(prompt.system, user, pinned, endpoint)
+    if reply.error_class:
+        raise ConfigError(f"{endpoint.name}: the canary failed with {reply.error_class}: {reply.error_detail}")
+    if not guided or reply.finish_reason == "length":
+        return
+    try:
+        answer = json.loads(reply.content or "")
+    except ValueError:
+        answer = None
+    if not isinstance(answer, dict) or answer.get(contract.canary_key) != CANARY:
+        raise ConfigError(f"{endpoint.name} ignores the schema: {(reply.content or '')[:120]!r}")
+    if tuple(answer) != contract.order:
+        raise ConfigError(f"{endpoint.name} doesn't keep the schema's order of keys: {', '.join(answer)}")
 
 
 def ask(plan: DataFrame, system: str, contract: Contract, backend: Backend, endpoints: list[Endpoint]) -> DataFrame:

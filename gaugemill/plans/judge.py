@@ -1,11 +1,18 @@
-"""A judging run: render, plan, resume, ask, parse, append, summarise."""
+"""A judging run: render, plan, resume, ask, parse, append, summarise.
+
+Records go to one table; beside them, in its folder ``_run`` (which Spark's readers pass over), stand the
+manifest, the prompt's texts, the send order and the last summary.
+"""
 
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass
+import re
+from collections.abc import Callable
+from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.contract import Prompt
@@ -13,9 +20,11 @@ from ..functions.parse import parsed
 from ..functions.template import placeholders, render_json
 from ..sources.config import ConfigError, Endpoint
 from ..sources.items import validated
-from ..sources.sinks import append_results
+from ..operators.log import first_all_failed, latest
+from ..operators.summary import document
+from ..sources.sinks import append_results, check_manifest, read_json, store_of, write_json, write_order, write_text
 from . import plan as plans
-from .backends import Backend, RuleBackend, ask
+from .backends import Backend, RuleBackend, ask, preflight, request_body
 
 
 @dataclass
@@ -29,6 +38,9 @@ class Options:
     max_requests: int = 0
     run_tag: str = ""
     session: str = ""
+    decoding: dict = field(default_factory=dict)
+    preflight: bool = True  # for backends that have endpoints to look at
+    probe: int = 20  # an endpoint whose first replies all fail to parse is refused; 0: never
 
     def __post_init__(self) -> None:
         if self.mode not in ("shard", "compare"):
@@ -38,26 +50,30 @@ class Options:
                 raise ConfigError(f"{name} must be true or false")
 
 
+def ordered(items: DataFrame, options: Options) -> DataFrame:
+    """The items of this run's limit and part, in send order."""
+    order = plans.first_in_order(items, options.limit, options.seed)
+    return plans.part_of(order, options.part) if options.part else order
+
+
 def planned(items: DataFrame, prompt: Prompt, endpoints: list[Endpoint], options: Options) -> DataFrame:
     """The whole plan of a run: order, limit, part, endpoints, keys and rendered messages."""
-    order = plans.limited(plans.send_order(items, options.seed), options.limit)
-    if options.part:
-        order = plans.part_of(order, options.part)
+    order = ordered(items, options)
     table = plans.endpoint_table(items.sparkSession, endpoints)
     plan = plans.compare_plan(order, table) if options.mode == "compare" else plans.shard_plan(order, endpoints)
     plan = plans.keyed(plan, prompt.sha, prompt.contract.schema_sha() if options.guided else None, options.mode == "compare")
     return plan.withColumn("user", render_json(prompt.user, F.col("fields_json")))
 
 
-def recorded(replies: DataFrame, prompt: Prompt, options: Options) -> DataFrame:
-    """Replies as result records; a reply with an error is never a verdict."""
+def recorded(replies: DataFrame, prompt: Prompt, options: Options, after: int = -1) -> DataFrame:
+    """Replies as result records, numbered behind ``after``; a reply with an error is never a verdict."""
     answer = parsed(F.when(F.col("error_class").isNull(), F.col("content")), prompt.contract, options.guided)
     rows = replies.withColumn("p", answer)
     good = F.col("error_class").isNull()
     field = lambda n: F.when(good, F.col(f"p.{n}")).alias(n)
     bad_parse = F.when(good & F.col("p.parse_error").isNotNull(), F.lit("parse"))
     return rows.select(
-        F.col("ord").alias("seq"), "key", F.lit(options.run_tag).alias("run_tag"), F.lit(options.session).alias("session"), "id", "group", "stratum", "weight", "endpoint", "model",
+        (F.col("ord") + after + 1).alias("seq"), "key", F.lit(options.run_tag).alias("run_tag"), F.lit(options.session).alias("session"), "id", "group", "stratum", "weight", "endpoint", "model",
         F.lit(prompt.name).alias("prompt"), F.lit(prompt.sha).alias("prompt_sha"), F.lit(prompt.contract.schema_sha()).alias("schema_sha"), F.lit(options.guided).alias("guided"), F.lit(prompt.contract.label).cast("string").alias("label"),
         field("answer_json"), field("verdict"), field("short_reason"), field("reasoning"), field("parse_note"), field("key_order_ok"), field("parse_error"),
         F.when(~good | bad_parse.isNotNull(), F.struct(F.coalesce("error_class", bad_parse).alias("class"), F.coalesce("error_detail", F.col("p.parse_error")).alias("detail"))).alias("error"),
@@ -68,27 +84,82 @@ def recorded(replies: DataFrame, prompt: Prompt, options: Options) -> DataFrame:
 def judge(items: DataFrame, out: str, prompt: Prompt, endpoints: list[Endpoint], backend: Backend | None = None, options: Options | None = None) -> DataFrame:
     """Judges what ``out`` has no record of yet, appends it there, and returns all records.
 
-    The pool is checked before anything is sent. Requests are spread over tasks by key; a repeated
-    task can only repeat requests whose records weren't committed.
+    The pool, the run's earlier settings and the endpoints are checked before the pool is sent. Requests
+    are spread over tasks by key; a repeated task can only repeat requests whose records weren't
+    committed. New records are numbered behind all that are there, so that they supersede them.
     """
-    options, spark = options or Options(), items.sparkSession
+    options, spark, backend = options or Options(), items.sparkSession, backend or RuleBackend()
     validated(items, placeholders(prompt.user))
-    plan = planned(items, prompt, endpoints, options)
-    if (old := existing(spark, out)) is not None:
+    order, plan = ordered(items, options), planned(items, prompt, endpoints, options)
+    session = {"session": options.session, "part": options.part, "limit": options.limit, "items_rows": items.count(), "decoding": options.decoding or getattr(backend, "options", {}), "endpoints": [e.name for e in endpoints]}
+    note = start(spark, out, order, prompt, options, session)
+    if options.preflight and hasattr(backend, "models") and (first := plan.select("user").first()):
+        for endpoint in endpoints:
+            preflight(backend, prompt, first.user, endpoint, options.guided)
+    note()
+    old = existing(spark, out)
+    if old is not None:
         plan = plans.remaining(plan, plans.done_keys(old, options.retry_errors))
     if options.max_requests:
         plan = plans.numbered(plan, F.sha2("key", 256), F.col("key"), "turn").where(F.col("turn") < options.max_requests).drop("turn")
+    send = lambda part, after: append_results(recorded(ask(part.repartition(lanes, "key"), prompt.system, prompt.contract, backend, endpoints), prompt, options, after), out)
     lanes = max(1, min(sum(e.concurrency for e in endpoints), 4 * spark.sparkContext.defaultParallelism))
-    replies = ask(plan.repartition(lanes, "key"), prompt.system, prompt.contract, backend or RuleBackend(), endpoints)
-    append_results(recorded(replies, prompt, options), out)
-    return spark.read.parquet(out)
+    after = -1 if old is None else old.agg(F.max("seq")).first()[0]
+    if options.probe and old is None:
+        turn = F.row_number().over(Window.partitionBy("endpoint").orderBy("ord"))
+        send(plan.withColumn("__turn", turn).where(F.col("__turn") <= options.probe).drop("__turn"), after)
+        head = spark.read.parquet(out)
+        verdict = first_all_failed(head, ["endpoint"], ["seq"], F.col("error.class").eqNullSafe("parse"), options.probe)
+        if bad := [r.endpoint for r in verdict.where("refuse").collect()]:
+            raise ConfigError(f"the first {options.probe} replies of {', '.join(sorted(bad))} all failed to parse")
+        plan = plans.remaining(plan, head.select("key"))
+    send(plan, after)
+    done = spark.read.parquet(out)
+    write_json(spark, f"{out}/_run/summary.json", document(latest(done), list(prompt.contract.values), planned=plan_size(order, endpoints, options)))
+    return done
+
+
+def plan_size(order: DataFrame, endpoints: list[Endpoint], options: Options) -> int:
+    return order.count() * (len(endpoints) if options.mode == "compare" else 1)
+
+
+def start(spark: SparkSession, out: str, order: DataFrame, prompt: Prompt, options: Options, session: dict) -> Callable[[], None]:
+    """Refuses a run whose settings changed; what comes back writes the manifest and its companions."""
+    meta = {
+        "prompt": prompt.name, "prompt_sha": prompt.sha, "schema_sha": prompt.contract.schema_sha(), "key_order": list(prompt.contract.order), "guided": options.guided,
+        "mode": options.mode, "seed": options.seed, "decoding": session["decoding"], "items_rows": session["items_rows"],
+    }
+    manifest = check_manifest(read_json(spark, f"{out}/_run/manifest.json"), meta, session)
+
+    def note() -> None:
+        write_json(spark, f"{out}/_run/manifest.json", manifest)
+        for name in ("system", "user"):
+            write_text(spark, f"{out}/_run/prompt/{name}.md", getattr(prompt, name))
+        write_order(order, f"{out}/_run/order")
+
+    return note
+
+
+def run_id(now: datetime | None = None, tag: str = "") -> str:
+    """A run's name by its time in UTC; a tag must be safe in a path."""
+    if tag and not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", tag):
+        raise ConfigError(f"{tag!r} can't be part of a path")
+    stamp = (now or datetime.now(timezone.utc)).astimezone(timezone.utc).strftime("%Y%m%dT%H%M%SZ")
+    return f"{stamp}-{tag}" if tag else stamp
+
+
+def existing(spark: SparkSession, out: str) -> DataFrame | None:
+    """The table at ``out``, None if there is none yet; any store that Spark reads will do."""
+    files, place = store_of(spark, out)
+    names = [f.getPath().getName() for f in files.listStatus(place)] if files.exists(place) else []
+    return spark.read.parquet(out) if any(n.endswith(".parquet") for n in names) else None
 
 
-def existing(spark, out: str) -> DataFrame | None:
-    """The table at ``out``, None if there is none yet; any store that Spark reads will do."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out)
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return spark.read.parquet(out) if files.exists(path) and files.listStatus(path) else None
+def request_example(items: DataFrame, prompt: Prompt, endpoints: list[Endpoint], options: Options | None = None) -> dict | None:
+    """The first request as it would be sent, for a dry run; None for an empty plan."""
+    options = options or Options()
+    first = preview(items, prompt, endpoints, options).first()
+    return first and request_body(endpoints[0], prompt.system, first.user, prompt.contract, options.decoding | {"guided": options.guided})
 
 
 def preview(items: DataFrame, prompt: Prompt, endpoints: list[Endpoint], options: Options | None = None) -> DataFrame:

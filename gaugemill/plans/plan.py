@@ -29,6 +29,16 @@ def send_order(items: DataFrame, seed: int = 42) -> DataFrame:
     return numbered(items, seeded(seed, "order", F.col("id")), F.col("id"))
 
 
+def first_in_order(items: DataFrame, limit: int, seed: int = 42) -> DataFrame:
+    """The first rows in send order, with ``ord``, without numbering the rest; 0 for all."""
+    if limit < 0:
+        raise ConfigError("limit must not be negative")
+    if not limit:
+        return send_order(items, seed)
+    first = items.withColumn("__order", seeded(seed, "order", F.col("id"))).orderBy("__order", "id").limit(limit).drop("__order")
+    return send_order(first, seed)
+
+
 def limited(plan: DataFrame, limit: int) -> DataFrame:
     """The first rows in send order, 0 for all."""
     if limit < 0:
@@ -51,7 +61,7 @@ def endpoint_table(spark: SparkSession, endpoints: list[Endpoint]) -> DataFrame:
 
 
 def compare_plan(items: DataFrame, endpoints: DataFrame) -> DataFrame:
-    """Every row at every endpoint; endpoints are a handful of configured names."""
+    """Every row at every endpoint; endpoints are configured by name, one small row each."""
     return items.crossJoin(F.broadcast(endpoints.select("endpoint", "model")))
 
 
@@ -97,6 +107,7 @@ def planned_total(files: DataFrame, limit: int) -> DataFrame:
     return files.agg(F.sum(n).cast("long").alias("planned"))
 
 
-def budget(files: int, limit: int, price: float, overhead: int = 2) -> float:
-    """The cost of a run: each file sends its limit and a few requests of its own."""
-    return files * (limit + overhead) * price
+def budget(rows: DataFrame, price: float, limit: int = 0, overhead: int = 2) -> DataFrame:
+    """Requests and cost of a run over (file_name, n): each file sends its limit and a few of its own."""
+    n = (F.least("n", F.lit(limit)) if limit else F.col("n")) + overhead
+    return rows.agg(F.sum(n).cast("long").alias("requests"), F.round(F.sum(n) * price, 6).alias("cost"))

@@ -5,9 +5,9 @@ from __future__ import annotations
 import os
 import re
 import tomllib
-from collections.abc import Callable
 from dataclasses import dataclass, field
 from pathlib import Path
+from urllib.parse import urlsplit
 
 from ..functions.contract import Prompt, build_prompt
 
@@ -114,6 +114,8 @@ class Endpoint:
     min_concurrency: int = 1
     max_concurrency: int = 64
     chat_path: str = "chat/completions"
+    models_path: str = "models"
+    key_header: str = ""
     headers: dict = field(default_factory=dict, hash=False)
     extra: dict = field(default_factory=dict, hash=False)
     drop: tuple[str, ...] = ()
@@ -131,11 +133,7 @@ def endpoints_of(raw: dict, only: list[str] | None = None, env: dict[str, str] |
             continue
         if lacking := [k for k in ("name", "model") if not e.get(k)]:
             raise ConfigError(f"an endpoint lacks {', '.join(lacking)}")
-        values = dict(os.environ) | read_env(e.get("env_file", "")) | (env or {})
-        url = e.get("base_url") or values.get(e.get("url_key", ""), "")
-        key = e.get("api_key") or values.get(e.get("key_key", ""), "")
-        numbers = {k: int(e[k]) for k in ("concurrency", "min_concurrency", "max_concurrency") if k in e}
-        found.append(Endpoint(e["name"], e["model"], with_version(url), key, headers=e.get("headers", {}), extra=e.get("extra", {}), drop=tuple(e.get("drop", ())), chat_path=e.get("chat_path", "chat/completions"), **numbers))
+        found.append(endpoint_of(e, dict(os.environ) | read_env(e.get("env_file", "")) | (env or {})))
     if not found:
         raise ConfigError("no endpoint is enabled")
     return found
@@ -145,9 +143,34 @@ def load_endpoints(path: str, only: list[str] | None = None) -> list[Endpoint]:
     return endpoints_of(tomllib.loads(Path(path).read_text()), only)
 
 
+def endpoint_of(entry: dict, values: dict[str, str]) -> Endpoint:
+    """One endpoint: URL and key stand in the entry, or in ``values`` under the names that it gives.
+
+    A backend that answers by itself needs no URL; an entry that names one where none is set is refused.
+    """
+    url, key = (entry.get(k) or values.get(entry.get(n, ""), "") for k, n in (("base_url", "url_key"), ("api_key", "key_key")))
+    if not url and entry.get("url_key"):
+        raise ConfigError(f"endpoint {entry['name']}: {entry['url_key']} is not set")
+    known = {k: entry[k] for k in ("chat_path", "models_path", "key_header", "headers", "extra") if k in entry}
+    known |= {k: int(entry[k]) for k in ("concurrency", "min_concurrency", "max_concurrency") if k in entry}
+    return Endpoint(entry["name"], entry["model"], with_version(url), key, drop=tuple(entry.get("drop", ())), **known)
+
+
+def single_endpoint(model: str, url: str, api_key: str = "", headers: tuple[str, ...] = (), **options) -> Endpoint:
+    """One endpoint from options, named after its host; headers are texts of the form Name: value."""
+    if not model or not url:
+        raise ConfigError("an endpoint needs a model and a URL")
+    base = with_version(url)
+    entry = {"name": urlsplit(base).netloc, "model": model, "base_url": url, "api_key": api_key, "headers": dict(header(h) for h in headers)}
+    return endpoint_of(entry | options, {})
+
+
 def with_version(url: str) -> str:
-    """A bare host gets /v1; a URL with a path stays."""
-    return url + "/v1" if re.fullmatch(r"https?://[^/?]+", url) else url.rstrip("/")
+    """A host without a scheme gets https, one without a path /v1; a URL with a path stays."""
+    if not url:
+        return ""
+    url = url if "://" in url else f"https://{url}"
+    return url.rstrip("/") + "/v1" if re.fullmatch(r"[a-z]+://[^/?]+/?", url) else url.rstrip("/")
 
 
 def join_url(base: str, path: str) -> str:
@@ -163,15 +186,10 @@ def header(text: str) -> tuple[str, str]:
     return name.strip(), value.strip()
 
 
-def first_of(names: list[str], *places: Callable[[str], str | None]) -> str | None:
-    """The first value that is set, by name in order, then by place in order."""
-    return next((v for n in names for p in places if (v := p(n))), None)
-
-
-def load_prompt(folder: str) -> Prompt:
-    """A prompt from ``system.md`` and ``user.md`` in a folder."""
-    place = Path(folder)
-    texts = {n: (place / f"{n}.md").read_text() for n in ("system", "user") if (place / f"{n}.md").exists()}
-    if "user" not in texts:
-        raise ConfigError(f"{folder} has no user.md")
-    return build_prompt(place.name, texts.get("system", ""), texts["user"])
+def load_prompt(place: str, user: str | None = None) -> Prompt:
+    """A prompt from ``system.md`` and ``user.md`` in a folder, or from two files of any name."""
+    paths = {"system": Path(place), "user": Path(user)} if user else {n: Path(place) / f"{n}.md" for n in ("system", "user")}
+    texts = {n: p.read_text() for n, p in paths.items() if p.exists()}
+    if "user" not in texts or (user and "system" not in texts):
+        raise ConfigError(f"there is no file {paths['user'] if 'user' not in texts else paths['system']}")
+    return build_prompt(Path(place).stem if user else Path(place).name, texts.get("system", ""), texts["user"])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import file_name
@@ -15,37 +15,37 @@ class ItemsError(ValueError):
     """A pool that is refused, with the reason."""
 
 
-def read_table(spark: SparkSession, path: str, **options) -> DataFrame:
-    """A CSV table: every cell is text, quoted line breaks and a byte order mark are understood."""
-    return spark.read.options(header=True, multiLine=True, escape='"', **options).csv(path)
+def read_table(spark: SparkSession, path: str, breaks: bool = True, **options) -> DataFrame:
+    """A CSV table: every cell is text, a byte order mark is understood.
+
+    With ``breaks`` cells may hold line breaks, and a file is one task; say False for large files whose
+    rows are lines, so that they are split.
+    """
+    return spark.read.options(header=True, multiLine=breaks, escape='"', **options).csv(path)
 
 
-def read_folder(spark: SparkSession, path: str) -> DataFrame:
+def read_folder(spark: SparkSession, path: str, breaks: bool = True) -> DataFrame:
     """All CSV files of a folder but pool manifests, with ``file_name``; one pass for all files."""
-    rows = spark.read.options(header=True, multiLine=True, escape='"', pathGlobFilter="*.csv").csv(path)
+    rows = read_table(spark, path, breaks, pathGlobFilter="*.csv")
     rows = rows.withColumn("file_name", file_name(F.col("_metadata.file_path")))
     return rows.where(~F.col("file_name").rlike(r"_pool(?:\.[^.]*)?$"))
 
 
 def positioned(df: DataFrame, to: str = "pos") -> DataFrame:
-    """Adds the 0-based place of each row in the order of the source.
+    """Adds the 0-based place of each row in the order of the source, a scan of files.
 
-    Rows are counted by partition first, one small row each; nothing is shuffled or sorted.
+    Rows are counted by the scan's partitions first, one small row each, whose sums are joined back;
+    no row of the source is shuffled or sorted.
     """
-    parts = df.select(F.spark_partition_id().alias("p")).groupBy("p").agg(F.count("*").alias("n")).collect()
-    starts, total = {}, 0
-    for row in sorted(parts, key=lambda r: r.p):
-        starts[row.p], total = total, total + row.n
-    if not starts:
-        return df.withColumn(to, F.lit(0).cast("long"))
-    offset = F.create_map(*[F.lit(x) for pair in starts.items() for x in pair])
-    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return df.withColumn(to, (F.try_element_at(offset, F.spark_partition_id()) + within).cast("long"))
-
-
-def csv_items(spark: SparkSession, path: str) -> DataFrame:
+    cut = df.withColumn("__p", F.spark_partition_id()).withColumn("__i", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    starts = cut.groupBy("__p").agg(F.count("*").alias("n")).select("__p", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"))
+    return cut.join(F.broadcast(starts), "__p").withColumn(to, F.col("__start") + F.col("__i")).select(*df.columns, to)
+
+
+def csv_items(spark: SparkSession, path: str, breaks: bool = True) -> DataFrame:
     """Items from a CSV: reserved columns are lifted out, a missing id is the row's place."""
-    rows = positioned(read_table(spark, path), "__pos")
+    rows = positioned(read_table(spark, path, breaks), "__pos")
     has = lambda c: F.coalesce(F.col(f"`{c}`"), F.lit("")) if c in rows.columns else F.lit("")
     fields = [c for c in rows.columns if c not in (*RESERVED, "__pos")]
     given = F.when(has("weight") == "", F.lit(None)).otherwise(has("weight")) if "weight" in rows.columns else F.lit("1.0")
@@ -58,13 +58,19 @@ def csv_items(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def jsonl_items(spark: SparkSession, path: str) -> DataFrame:
-    """Items from JSON lines; blank lines are skipped, others keep what could be read of them."""
-    lines = spark.read.text(path).where(F.trim("value") != "")
-    return json_items(lines, F.col("value"))
+def jsonl_items(spark: SparkSession, path: str, numbered: bool = False) -> DataFrame:
+    """Items from JSON lines; blank lines are skipped, others keep what could be read of them.
+
+    ``numbered`` adds ``line`` (from 1), by which problems name a line that has no identifier.
+    """
+    lines = spark.read.text(path)
+    if numbered:
+        lines = positioned(lines, "line").withColumn("line", F.col("line") + 1)
+    items = json_items(lines.where(F.trim("value") != ""), F.col("value"), *(["line"] if numbered else []))
+    return items
 
 
-def json_items(lines: DataFrame, value: Column) -> DataFrame:
+def json_items(lines: DataFrame, value: Column, *others: str) -> DataFrame:
     get = lambda k: F.get_json_object(value, f"$.{k}")
     named = F.array_contains(F.json_object_keys(value), "weight")
     return lines.select(
@@ -73,6 +79,7 @@ def json_items(lines: DataFrame, value: Column) -> DataFrame:
         F.coalesce(get("group"), F.lit("")).alias("group"),
         F.coalesce(get("stratum"), F.lit("")).alias("stratum"),
         F.when(named, get("weight").try_cast("double")).otherwise(F.lit(1.0)).alias("weight"),
+        *others,
     )
 
 
@@ -86,7 +93,8 @@ def problems(items: DataFrame, columns: list[str] | tuple[str, ...] = ()) -> Dat
         "weight is no number": F.col("weight").isNull(),
         "a placeholder's column is missing": F.size(absent) > 0,
     }
-    flagged = items.select("id", F.explode(F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in flags.items()]))).alias("problem"))
+    named = F.coalesce(F.nullif(F.col("id"), F.lit("")), F.format_string("line %d", "line") if "line" in items.columns else F.col("id")).alias("id")
+    flagged = items.select(named, F.explode(F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in flags.items()]))).alias("problem"))
     twice = items.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id", F.lit("id is repeated").alias("problem"))
     return flagged.union(twice).groupBy("problem").agg(F.count("*").alias("rows"), F.min("id").alias("example"))
 

@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
-import os
 import uuid
-from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .config import ConfigError
 
 #: Settings that a resumed run must share with the run it goes on with.
-PINNED = ("prompt_sha", "schema_sha", "guided", "items_sha", "mode", "seed", "decoding")
+PINNED = ("prompt", "prompt_sha", "schema_sha", "key_order", "guided", "mode", "seed", "decoding")
 
 
 def write_items(items: DataFrame, path: str) -> None:
@@ -30,18 +29,53 @@ def append_results(results: DataFrame, path: str) -> None:
     results.write.mode("append").parquet(path)
 
 
-def write_json(path: str, value: dict) -> None:
-    """A small document, whole or not at all."""
-    part = f"{path}.{uuid.uuid4().hex}"
-    Path(part).write_text(json.dumps(value, indent=2, ensure_ascii=False, default=str))
-    os.replace(part, path)
+def store_of(spark: SparkSession, path: str):
+    """The file system that Spark reads ``path`` with, and the path in it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
 
 
-def check_manifest(old: dict | None, new: dict, session: str) -> dict:
-    """The manifest of a run that goes on with ``old``; pinned settings must agree."""
-    if old is None:
-        return new | {"sessions": [session]}
-    trimmed = lambda m, k: {a: b for a, b in m[k].items() if a != "max_tokens"} if k == "decoding" and k in m else m.get(k)
-    if changed := [k for k in PINNED if trimmed(old, k) != trimmed(new, k)]:
-        raise ConfigError(f"the run was started with other values of {', '.join(changed)}")
-    return old | new | {"sessions": [*old.get("sessions", []), session]}
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text in any store that Spark writes to, whole or not at all."""
+    files, place = store_of(spark, path)
+    part = place.suffix(f".{uuid.uuid4().hex}")
+    out = files.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    files.delete(place, False)
+    files.rename(part, place)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text that write_text left, None if there is none."""
+    files, place = store_of(spark, path)
+    if not files.exists(place):
+        return None
+    rows = spark.read.text(path, wholetext=True).collect()  # one small file
+    return rows[0].value if rows else ""
+
+
+def write_json(spark: SparkSession, path: str, value: dict) -> None:
+    write_text(spark, path, json.dumps(value, indent=2, ensure_ascii=False, default=str))
+
+
+def read_json(spark: SparkSession, path: str) -> dict | None:
+    text = read_text(spark, path)
+    return None if text is None else json.loads(text)
+
+
+def provenance(spec_text: str, sizes: dict[str, int], seed: int, rows: int, inputs: dict[str, str]) -> dict:
+    """Where items come from; ``inputs`` maps files to their hashes."""
+    return {"spec_sha": hashlib.sha256(spec_text.encode()).hexdigest(), "sizes": sizes, "seed": seed, "rows": rows, "inputs": inputs}
+
+
+def check_manifest(old: dict | None, new: dict, session: dict) -> dict:
+    """The manifest of a run that goes on with ``old``; pinned settings must agree.
+
+    The longest reply may change, since a reply that was cut off is an error and never a verdict.
+    """
+    if old is not None:
+        settled = lambda m, k: {a: b for a, b in (m.get(k) or {}).items() if a != "max_tokens"} if k == "decoding" else m.get(k)
+        if changed := [k for k in PINNED if settled(old, k) != settled(new, k)]:
+            raise ConfigError(f"the run was started with other values of {', '.join(changed)}")
+    return (old or {}) | new | {"sessions": [*(old or {}).get("sessions", []), session]}

@@ -1,13 +1,18 @@
 """Contracts, sources, sampling and whole runs on small inputs."""
 
+import hashlib
 import json
+import threading
+from dataclasses import replace
+from datetime import datetime, timezone
+from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 
 import pytest
 from gaugemill.functions import contract as contracts
 from gaugemill.functions import parse, template
 from gaugemill.operators import log, sampling, summary
 from gaugemill.plans import backends, plan
-from gaugemill.plans.judge import Options, judge, preview
+from gaugemill.plans.judge import Options, judge, preview, request_example, run_id
 from gaugemill.sources import config, sinks
 from gaugemill.sources import items as sources
 from gaugemill.streaming import streams
@@ -31,6 +36,9 @@ def test_contract_shapes():
     assert c.spark_type().simpleString() == "struct<n:double,x:array<struct<c:string>>,ok:boolean,why:string>"
     assert contracts.read_contract("Just talk.").prose
     assert c.canary_schema()["properties"]["n"] == {"type": "string", "enum": [contracts.CANARY]}
+    inner = 'Note {x}\n  {"a": "}" | "{",\n   "b": [1]}\nthen'
+    assert contracts.read_contract(inner).values == ("}", "{")
+    assert contracts.read_contract('{not one} for show\n```Answer\n{"b": 1 | 2}').order == ("b",)
     two = '{"a": 1}\ntext\n```answer\n{"b": "x" | "y"}\n```'
     assert contracts.read_contract(two).order == ("b",)
 
@@ -50,6 +58,8 @@ def test_parsers():
     told = parse.parse_tolerant('<unused94>{"verdict": 1}<unused95>So {"verdict": "inconsistent", "short_reason": "x"} end', c)
     assert told["verdict"] == "inconsistent" and told["reasoning"] == "So" and told["parse_note"] is None
     assert parse.parse_tolerant('<unused94>{"verdict": "consistent", "short_reason": ""}', c)["parse_note"] == parse.UNCLOSED
+    last = parse.parse_tolerant('{"verdict": "inconsistent", "short_reason": "1"} {"verdict": "consistent", "short_reason": "{2"} {"x": 1}', c)
+    assert last["verdict"] == "consistent" and parse.parse_tolerant("<unused94>a<unused95>b<unused94>c<unused95>{", c)["parse_error"].endswith(": b{")
     numbers = contracts.read_contract('{"score": 1 | 2 | 3}')
     assert parse.parse_strict('{"score": 2.0}', numbers)["verdict"] == "2" and parse.parse_strict('{"score": true}', numbers)["parse_error"]
 
@@ -69,6 +79,104 @@ def test_run_resume_and_retry(spark, items, tmp_path):
     assert doc["missing"] == 0 and doc["errors_by_class"] == {"bad_request": 1} and doc["by_group"]["kept"]["judged"] == 19
 
 
+def test_retries_supersede_errors(spark, items, tmp_path):
+    """Records of a later run come behind all earlier ones, also where the pool has grown in between."""
+    out, sound = str(tmp_path / "r"), backends.RuleBackend(refuse="")
+    failed = judge(items, out, PROMPT, ENDPOINTS, backend=lambda *a: backends.Reply(error_class="timeout"))
+    assert failed.where("error.class = 'timeout'").count() == 20
+    grown = items.union(spark.createDataFrame([("late:0", json.dumps({"gender": "Female", "diag_1": "1", "age": 1}), "kept", "new", 1.0)], items.schema))
+    again = judge(grown, out, PROMPT, ENDPOINTS, backend=sound, options=Options(retry_errors=True))
+    last = log.latest(again)
+    assert again.count() == 41 and last.count() == 21 and last.where("error is not null").count() == 0
+    assert plan.done_keys(again, retry_errors=True).count() == 21 and again.select("seq").distinct().count() == 41
+    assert judge(grown, out, PROMPT, ENDPOINTS, backend=sound, options=Options(retry_errors=True)).count() == 41
+    doc = sinks.read_json(spark, f"{out}/_run/summary.json")
+    assert doc["errors"] == 0 and doc["planned"] == 21 and doc["missing"] == 0
+    manifest = sinks.read_json(spark, f"{out}/_run/manifest.json")
+    assert [s["items_rows"] for s in manifest["sessions"]] == [20, 21, 21] and manifest["items_rows"] == 21
+    order = spark.read.csv(f"{out}/_run/order", header=True).collect()
+    assert sorted(int(r.order) for r in order) == list(range(21)) and sinks.read_text(spark, f"{out}/_run/prompt/user.md") == USER
+
+
+def test_changed_runs_are_refused(items, tmp_path):
+    out = str(tmp_path / "r")
+    first = judge(items, out, PROMPT, ENDPOINTS, options=Options(limit=3, decoding={"max_tokens": 9, "temperature": 0}))
+    assert first.count() == 3
+    for prompt, options in (
+        (contracts.build_prompt("p", SYSTEM, USER + "!"), Options(decoding={"temperature": 0})), (PROMPT, Options(decoding={"temperature": 1})), (PROMPT, Options(seed=1, decoding={"temperature": 0})),
+    ):
+        with pytest.raises(config.ConfigError):
+            judge(items, out, prompt, ENDPOINTS, options=options)
+    assert judge(items, out, PROMPT, ENDPOINTS, options=Options(decoding={"max_tokens": 99, "temperature": 0})).count() == 20
+
+
+def test_endpoints_that_never_parse_are_refused(items, tmp_path):
+    out = str(tmp_path / "r")
+    many = items.union(items.withColumn("id", F.concat("id", F.lit("x"))))
+    with pytest.raises(config.ConfigError, match="first 5 replies of a, b"):
+        judge(many, out, PROMPT, ENDPOINTS, backend=lambda *a: backends.Reply("none", "stop"), options=Options(probe=5))
+    assert items.sparkSession.read.parquet(out).count() == 10
+
+
+class Server(BaseHTTPRequestHandler):
+    """A chat server that heeds schemas or not, as its ``mood`` says."""
+
+    mood, seen = "heeds", []
+
+    def reply(self, body, kind="application/json"):
+        self.send_response(200)
+        self.send_header("Content-Type", kind)
+        self.end_headers()
+        self.wfile.write(body.encode())
+
+    def do_GET(self):
+        self.reply(json.dumps({"data": [{"id": "m"}]}) if self.path == "/v1/models" else 'x:num_requests_waiting{a="1"} 2.0\nx:num_requests_waiting{a="2"} 3\ny 7')
+
+    def do_POST(self):
+        asked = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+        Server.seen.append((asked, dict(self.headers)))
+        schema = asked["response_format"]["json_schema"]["schema"]["properties"]
+        answer = {k: (v["enum"][0] if self.mood != "ignores" else "consistent") if "enum" in v else "why" for k, v in schema.items()}
+        answer = dict(reversed(answer.items())) if self.mood == "reorders" else answer
+        text = "So: yes" if self.mood == "talks" else json.dumps(answer)
+        usage = {"prompt_tokens": 3, "completion_tokens": 5}
+        if not asked.get("stream"):
+            return self.reply(json.dumps({"choices": [{"message": {"content": text}, "finish_reason": "stop"}], "usage": usage}))
+        chunks = [{"choices": [{"delta": {"content": c}}]} for c in (text[:7], text[7:])] + [{"choices": [{"delta": {}, "finish_reason": "stop"}]}]
+        chunks += [{"choices": [], "usage": usage}] if asked.get("stream_options", {}).get("include_usage") else []
+        self.reply("".join(f"data: {json.dumps(c)}\n\n" for c in chunks) + "data: [DONE]\n\n", "text/event-stream")
+
+    def log_message(self, *a):
+        pass
+
+
+@pytest.fixture
+def served():
+    with ThreadingHTTPServer(("127.0.0.1", 0), Server) as server:
+        threading.Thread(target=server.serve_forever, daemon=True).start()
+        Server.mood, Server.seen = "heeds", []
+        yield config.Endpoint("s", "m", f"http://127.0.0.1:{server.server_port}/v1", api_key="k", key_header="x-api-key")
+        server.shutdown()
+
+
+def test_preflight_and_streams(items, served, tmp_path):
+    few = items.limit(4)
+    done = judge(few, str(tmp_path / "a"), PROMPT, [served], backend=backends.HttpBackend(stream=True)).collect()
+    assert {(r.verdict, r.prompt_tokens, r.completion_tokens, r.error) for r in done} == {("consistent", 3, 5, None)}
+    assert len(Server.seen) == 5 and all(h["X-Api-Key"] == "k" and "Authorization" not in h for _, h in Server.seen)  # the canary, and four rows
+    assert Server.seen[0][0]["response_format"]["json_schema"]["schema"]["properties"]["verdict"]["enum"] == [contracts.CANARY]
+    for n, mood in enumerate(("ignores", "reorders", "talks")):
+        Server.mood, Server.seen = mood, []
+        with pytest.raises(config.ConfigError):
+            judge(few, str(tmp_path / mood), PROMPT, [served], backend=backends.HttpBackend())
+        assert len(Server.seen) == 1  # nothing of the pool was sent
+    with pytest.raises(config.ConfigError, match="doesn't serve"):
+        judge(few, str(tmp_path / "b"), PROMPT, [replace(served, model="other")], backend=backends.HttpBackend())
+    assert backends.HttpBackend().waiting(served) == 5
+    example = request_example(few, PROMPT, [served])
+    assert example["model"] == "m" and example["messages"][1]["content"].startswith("gender: ")
+
+
 def test_compare_limits_and_preview(spark, items, tmp_path):
     both = judge(items, str(tmp_path / "c"), PROMPT, ENDPOINTS, options=Options(mode="compare", max_requests=7))
     assert both.count() == 7
@@ -118,6 +226,18 @@ def test_item_sources_and_refusals(spark, tmp_path):
     assert [r.id for r in got] == ["r1", "1"] and got[0].weight == 70.0 and got[1].weight is None and json.loads(got[1].fields_json) == {"age": "6", "note": ""}
     lines = ['{"id": "a", "fields": {"x": 1}}', "", '{"id": "a", "fields": {"x": 1}}', "not JSON", '{"id": "c"}', '{"id": "d", "fields": {"x": 2}, "weight": null}', '{"id": "e", "fields": {}}']
     (tmp_path / "i.jsonl").write_text("\n".join(lines))
+    numbered = sources.jsonl_items(spark, str(tmp_path / "i.jsonl"), numbered=True)
+    assert {r.problem: r.example for r in sources.problems(numbered).collect()}["id is empty"] == "line 4"
+    (tmp_path / "f").mkdir()
+    for n in ("a", "b", "x_pool"):
+        (tmp_path / "f" / f"{n}.csv").write_text("id,age\n1,2\n3,4\n")
+    folder = sources.read_folder(spark, str(tmp_path / "f"), breaks=False)
+    assert sorted((r.file_name, r.id) for r in folder.collect()) == [("a.csv", "1"), ("a.csv", "3"), ("b.csv", "1"), ("b.csv", "3")]
+    hashes = {r.file_name: (r.sha256, r.lines) for r in sources.hashed_files(spark, str(tmp_path / "f")).collect()}
+    assert hashes["a.csv"] == (hashlib.sha256(b"id,age\n1,2\n3,4\n").hexdigest(), 3)
+    (tmp_path / "p.system").write_text(SYSTEM)
+    (tmp_path / "p.user").write_text(USER)
+    assert config.load_prompt(str(tmp_path / "p.system"), str(tmp_path / "p.user")).sha == PROMPT.sha
     pool = sources.jsonl_items(spark, str(tmp_path / "i.jsonl"))
     found = {r.problem: r.rows for r in sources.problems(pool, ["x"]).collect()}
     assert found == {"id is repeated": 1, "id is empty": 1, "fields is no object": 2, "weight is no number": 1, "a placeholder's column is missing": 1}
@@ -133,10 +253,20 @@ def test_config_readers():
     with pytest.raises(config.ConfigError):
         config.endpoints_of({"endpoint": [{"name": "a", "model": "m"}]}, only=["z"])
     old = {"prompt_sha": "1", "decoding": {"max_tokens": 1, "temperature": 0}}
-    assert sinks.check_manifest(old, {"prompt_sha": "1", "decoding": {"max_tokens": 2, "temperature": 0}}, "s")["sessions"] == ["s"]
+    assert sinks.check_manifest(old, {"prompt_sha": "1", "items_rows": 7, "decoding": {"max_tokens": 2, "temperature": 0}}, {"session": "s"})["sessions"] == [{"session": "s"}]
+    for change in ({"prompt_sha": "2"}, {"decoding": {"max_tokens": 1, "temperature": 1}}, {"mode": "compare"}):
+        with pytest.raises(config.ConfigError):
+            sinks.check_manifest(old, old | change, {})
+    one = config.single_endpoint("m", "models.example:8000", "k", ("x-team: a",), key_header="api-key")
+    assert (one.name, one.base_url, one.headers, one.key_header) == ("models.example:8000", "https://models.example:8000/v1", {"x-team": "a"}, "api-key")
+    with pytest.raises(config.ConfigError):
+        config.endpoints_of({"endpoint": [{"name": "a", "model": "m", "url_key": "NO_SUCH_URL"}]})
+    assert config.endpoints_of({"endpoint": [{"name": "a", "model": "m", "url_key": "U", "key_key": "K"}]}, env={"U": "http://h", "K": "s"})[0].api_key == "s"
+    assert backends.is_local("http://127.0.0.1:8/v1") and backends.HttpBackend().patience(config.Endpoint("a", "m", "http://localhost:1")) == 600
+    assert run_id(datetime(2024, 5, 6, 7, 8, 9, tzinfo=timezone.utc), "x") == "20240506T070809Z-x"
     with pytest.raises(config.ConfigError):
-        sinks.check_manifest(old, old | {"prompt_sha": "2"}, "s")
-    assert backends.queue_depth('x:num_requests_waiting{a="1"} 2.0\nx:num_requests_waiting{a="2"} 3') == 5
+        run_id(tag="../x")
+    assert backends.stream_text([": hi", "data: no JSON", "", 'data: {"choices": []}', "data: [1]"]).content == ""
     assert backends.stream_text(['data: {"choices":[{"delta":{"content":"a"}}]}', 'data: {"choices":[{"delta":{},"finish_reason":"stop"}],"usage":{"prompt_tokens":1,"completion_tokens":2}}', "data: [DONE]"]).content == "a"
     assert backends.class_of_status(418) == "retry" and backends.class_of_status(524) == "timeout"
 

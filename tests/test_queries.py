@@ -22,5 +22,18 @@ def test_entry(spark):
     assert entry.entry(spark).count() == 12
 
 
-def test_streaming_summary(spark):
-    assert catalogue.QUERIES["streaming_summary"](spark, FOLDER).count() > 0
+def test_streaming_summary_on_a_stream(spark, tmp_path):
+    """Files of events, of which the last is late: windows that the watermark has closed keep their counts."""
+    from gaugemill.streaming import streams
+
+    at = lambda minute: f"2024-01-01 00:{minute:02d}:30"
+    batches = [[(at(0), "a"), (at(1), "a"), (at(2), "b")], [(at(40), "a")], [(at(59), "b")], [(at(1), "a"), (at(58), "b")]]
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, "ts string, kind string").selectExpr("to_timestamp(ts) AS ts", "kind").coalesce(1).write.mode("append").parquet(str(source / f"d={i}"))
+        stream = streams.progress(spark.readStream.schema("ts timestamp, kind string").parquet(str(source / "d=*")), ["kind"])
+        stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination(60)
+    got = {(r.start.minute + 60 * r.start.hour, r.kind): r.rows for r in spark.read.parquet(out).where("start >= '2024-01-01' and start < '2024-01-01 00:40:00'").collect()}
+    assert got[0, "a"] == 2 and got[1, "a"] == 1 and got[0, "b"] == 1 and got[36, "a"] == 1  # the late row of minute 1 isn't counted
+    events = spark.createDataFrame([("x", 1), ("x", 2), ("y", 3)], "id string, n int")
+    assert streams.deduplicated(events, ["id"]).count() == 2
