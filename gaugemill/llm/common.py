@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -18,17 +19,25 @@ BATCH_ROWS, BATCH_BYTES = 256, 4 << 20
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder for ``name`` under the shared checkpoint folder.
+    """A new folder for ``name``, in this application's part of the shared checkpoint folder.
 
-    The folder named by ``spark.checkpoint.dir`` is visible to every executor. Only where it is
-    unset (local tests) a temporary folder of this machine is taken, once for a session.
+    The folder named by ``spark.checkpoint.dir`` is visible to every executor. Where it is unset, the
+    warehouse takes its place, but for sessions within one machine (tests), which take a temporary folder
+    of it. The folders stay until ``clear``, since lazily read results depend on them.
     """
     conf = spark.sparkContext.getConf()
     root = conf.get("spark.checkpoint.dir", None) or spark.conf.get("gaugemill.scratch", None)
     if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="gaugemill-")
+        alone = re.match(r"local(\[|$)", spark.sparkContext.master)
+        root = "file://" + tempfile.mkdtemp(prefix="gaugemill-") if alone else spark.conf.get("spark.sql.warehouse.dir")
         spark.conf.set("gaugemill.scratch", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/gaugemill-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Removes all that this application has left in scratch folders; for when results are written."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(scratch(spark, "x")).getParent()
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

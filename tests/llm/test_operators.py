@@ -3,12 +3,13 @@
 import base64
 import collections
 import hashlib
+import os
 import re
 import zlib
 
 import numpy as np
 import pytest
-from gaugemill.llm import bpe, mixing, near, pii, quality, queries, secrets, sstable, token_files, topk, toxicity
+from gaugemill.llm import bpe, common, mixing, near, pii, quality, queries, secrets, sstable, token_files, topk, toxicity
 from oracle import by_spark, by_sql
 from pyspark.sql import functions as F
 
@@ -626,3 +627,11 @@ def test_guess_cost_knows_words():
     assert not [1 for _, k, _, _ in scan("auth=businessmeeting and pwd: Certificate2") if k == 3] and len(scan("auth=kJhgTrWqZxPlVbNm")) == 1
     for n in (64, 65, 128, 5000):  # a longer run costs what the rule for repeats says
         assert secrets.log10_guesses("1" * n, path) == pytest.approx(np.log10(10 * n))
+
+
+def test_scratch_is_cleared(spark):
+    kept = common.written(spark.range(3), "three")
+    place = kept.inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(place)
+    common.clear(spark)
+    assert not os.path.exists(place)
