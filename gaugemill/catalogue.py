@@ -16,6 +16,7 @@ from .functions.scalars import duration, row_key, seeded, status_class
 from .operators import log, sampling, summary
 from .plans import plan as plans
 from .sources import items as sources
+from .sources.config import pool_sizes, spec_of
 from .streaming import streams
 
 VALUES = ["consistent", "inconsistent", "unsure"]
@@ -146,6 +147,30 @@ def missing_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.problems(pool, ["no_such_column"]).select("problem", "rows")
 
 
+def pool_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a pool with every kind of fault: no JSON, no id, a list for fields, a weight in words, and so on."""
+    n, k = F.col("doc_id").cast("string"), F.col("doc_id") % 10
+    named = lambda rest, name=n: F.concat(F.lit('{"id": "'), name, F.lit('", '), F.lit(rest))
+    bad = F.when(k == 0, F.concat(F.lit("not JSON "), n)).when(k == 1, named('"fields": {"x": 1}}', F.lit(""))).when(k == 2, named('"fields": [1]}')).when(k == 3, named('"weight": "heavy", "fields": {"x": 1}}'))
+    line = bad.when(k == 4, named('"fields": {"y": 1}}')).when(k == 5, named('"fields": {"x": 2}}', F.lit("same"))).otherwise(named('"weight": 2, "fields": {"x": null}}'))
+    lines = table(spark, sf_dir, "documents").select(line.alias("value"))
+    return sources.problems(sources.json_items(lines, F.col("value")), ["x"]).select("problem", "rows")
+
+
+def pool_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole pool by its spec: one group takes all that its languages have, the other a share."""
+    groups = {"all": {"table": "documents", "select": {"lang": ["de", "fr"]}, "stratum": "{source}"}, "few": {"table": "documents", "select": {"lang": "en"}, "stratum": "{lang}", "alloc": "equal"}}
+    spec = spec_of({"tables": {"documents": {"rows": "-"}}, "groups": groups, "sizes": {"pool": {"all": 0, "few": 9}}})
+    docs = table(spark, sf_dir, "documents").select("lang", "source", F.col("n_chars").cast("string").alias("n_chars"))
+    items = sampling.make_items(spark, spec, pool_sizes(spec, "pool"), tables={"documents": (docs, None)})
+    return items.select("id", "group", "stratum", "weight", F.get_json_object("fields_json", "$.n_chars").alias("n_chars"))
+
+
+def missing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = F.concat(F.lit("runs/"), F.col("doc_id")).alias("path")
+    return streams.missing_files(table(spark, sf_dir, "documents").select(path), table(spark, sf_dir, "labels").select(path))
+
+
 def render_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     text = template.render("Part {p_name} of {p_brand}, size {p_size}.", {c: F.col(c) for c in part.columns})
@@ -315,6 +340,10 @@ QUERIES: dict[str, Query] = {
     "attrs_alignment": attrs_alignment,
     "validate_ids": validate_ids,
     "missing_fields": missing_fields,
+    "pool_problems": pool_problems,
+    "pool_items": pool_items,
+    "missing_files": missing_files,
+    "take_all": lambda s, d: sampling.allocate(sampling.stratum_counts(strata(s, d)), F.lit(0), F.lit("proportional")).select("stratum", "eligible", "take"),
     "render_prompt": render_prompt,
     "render_missing": render_missing,
     "send_order": lambda s, d: plans.first_in_order(table(s, d, "documents").select(F.col("doc_id").cast("string").alias("id")), 100).select("id", "ord"),
@@ -369,6 +398,16 @@ SELECT 'documents:' || CAST(pos AS VARCHAR) AS id, d.stratum AS stratum, round(e
     "attrs_alignment": "SELECT d.doc_id AS pos, 'no counterpart' AS problem FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE l.doc_id IS NULL",
     "validate_ids": "SELECT 'id is repeated' AS problem, count(*) AS \"rows\" FROM (SELECT conv_id FROM conversations GROUP BY conv_id HAVING count(*) > 1)",
     "missing_fields": "SELECT 'a placeholder''s column is missing' AS problem, count(*) AS \"rows\" FROM events",
+    "pool_problems": """WITH k AS (SELECT doc_id % 10 AS k, count(*) AS n FROM documents GROUP BY k), p AS (
+  SELECT 'id is empty' AS problem, sum(n) FILTER (k IN (0, 1)) AS c FROM k UNION ALL SELECT 'fields is no object', sum(n) FILTER (k IN (0, 2)) FROM k UNION ALL SELECT 'weight is no number', sum(n) FILTER (k = 3) FROM k
+  UNION ALL SELECT 'a placeholder''s column is missing', sum(n) FILTER (k = 4) FROM k UNION ALL SELECT 'id is repeated', count(*) FILTER (k IN (0, 1, 5) AND n > 1) FROM k)
+SELECT problem, CAST(c AS BIGINT) AS "rows" FROM p WHERE c > 0""",
+    "pool_items": """WITH d AS (SELECT row_number() OVER () - 1 AS pos, lang, source, CAST(n_chars AS VARCHAR) AS n_chars FROM documents),
+few AS (SELECT *, count(*) OVER () AS n, row_number() OVER (ORDER BY sha256('42|few|' || lang || '|' || CAST(pos AS VARCHAR)), pos) AS r FROM d WHERE lang = 'en')
+SELECT 'documents:' || CAST(pos AS VARCHAR) AS id, 'all' AS "group", source AS stratum, 1.0::DOUBLE AS weight, n_chars FROM d WHERE lang IN ('de', 'fr')
+UNION ALL SELECT 'documents:' || CAST(pos AS VARCHAR), 'few', lang, round(n::DOUBLE / least(9, n), 6), n_chars FROM few WHERE r <= 9""",
+    "missing_files": "SELECT 'runs/' || CAST(doc_id AS VARCHAR) AS path FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
+    "take_all": f"WITH {STRATA_SQL} SELECT stratum, eligible, eligible AS take FROM counts",
     "render_prompt": "SELECT p_partkey, 'Part ' || p_name || ' of ' || p_brand || ', size ' || CAST(p_size AS VARCHAR) || '.' AS \"user\" FROM part",
     "render_missing": "SELECT d.doc_id AS doc_id, lang || ': ' || COALESCE(CAST(quality AS VARCHAR), '<missing>') AS \"user\" FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id",
     "send_order": f"WITH {ORDER_SQL} SELECT id, ord FROM plan WHERE ord < 100",

@@ -11,7 +11,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from .contract import Contract
@@ -109,8 +109,8 @@ def parse_tolerant(text: str | None, contract: Contract) -> dict:
     return check(hit[1], contract) | {"reasoning": said[: hit[0]].strip() or None, "parse_note": note}
 
 
-def parsed(text: Column, contract: Contract, guided: bool = True) -> Column:
-    """The reply as a struct of the columns in PARSED."""
+def parser(contract: Contract, guided: bool = True):
+    """The reply parser of a contract, as a function of a text column that works on batches."""
     use = parse_strict if guided and not contract.prose else parse_tolerant
     names = [c.split()[0] for c in PARSED.split(", ")]
 
@@ -120,4 +120,14 @@ def parsed(text: Column, contract: Contract, guided: bool = True) -> Column:
             rows = [use(None if x is None else str(x), contract) for x in batch]
             yield pd.DataFrame({n: pd.Series([r.get(n) for r in rows], dtype=object) for n in names})
 
-    return run(text)
+    return run
+
+
+def parsed(text: Column, contract: Contract, guided: bool = True) -> Column:
+    """The reply as a struct of the columns in PARSED."""
+    return parser(contract, guided)(text)
+
+
+def register(spark: SparkSession, contract: Contract, name: str = "parse_reply", guided: bool = True) -> None:
+    """Makes the parser a function of SQL."""
+    spark.udf.register(name, parser(contract, guided))

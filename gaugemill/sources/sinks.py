@@ -15,9 +15,14 @@ from .config import ConfigError
 PINNED = ("prompt", "prompt_sha", "schema_sha", "key_order", "guided", "mode", "seed", "decoding")
 
 
-def write_items(items: DataFrame, path: str) -> None:
-    """Items as JSON lines in order of their id; the committer makes the write all or nothing."""
+def write_items(items: DataFrame, path: str, origin: dict | None = None) -> None:
+    """Items as JSON lines in order of their id; the committer makes the write all or nothing.
+
+    ``origin`` (see provenance) is kept beside them as ``_items.json``, which Spark's readers pass over.
+    """
     items.orderBy("id").write.mode("overwrite").json(path)
+    if origin is not None:
+        write_json(items.sparkSession, f"{path}/_items.json", origin)
 
 
 def write_order(plan: DataFrame, path: str) -> None:
@@ -51,8 +56,11 @@ def read_text(spark: SparkSession, path: str) -> str | None:
     files, place = store_of(spark, path)
     if not files.exists(place):
         return None
-    rows = spark.read.text(path, wholetext=True).collect()  # one small file
-    return rows[0].value if rows else ""
+    stream = files.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def write_json(spark: SparkSession, path: str, value: dict) -> None:

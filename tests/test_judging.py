@@ -64,6 +64,12 @@ def test_parsers():
     assert parse.parse_strict('{"score": 2.0}', numbers)["verdict"] == "2" and parse.parse_strict('{"score": true}', numbers)["parse_error"]
 
 
+def test_parser_in_sql(spark):
+    parse.register(spark, PROMPT.contract)
+    row = spark.sql("""SELECT parse_reply('{"verdict": "consistent", "short_reason": "x"}').verdict AS v""").first()
+    assert row.v == "consistent"
+
+
 def test_run_resume_and_retry(spark, items, tmp_path):
     out = str(tmp_path / "run")
     first = judge(items, out, PROMPT, ENDPOINTS, options=Options(limit=12))
@@ -217,7 +223,9 @@ def test_sampling_from_files(spark, tmp_path):
     (tmp_path / "d.csv").write_text("index,kept,decision,checks\n" + "".join(f"{i + 1},{kept(i)}\n" for i in range(20)))
     with pytest.raises(config.ConfigError):
         sampling.make_items(spark, spec, {"kept": 6})
-    sinks.write_items(pool.limit(0), str(tmp_path / "out"))
+    origin = sinks.provenance("spec", {"kept": 6}, 42, 10, {"t.csv": "sha"})
+    sinks.write_items(pool.limit(0), str(tmp_path / "out"), origin)
+    assert sinks.read_json(spark, str(tmp_path / "out" / "_items.json")) == origin
 
 
 def test_item_sources_and_refusals(spark, tmp_path):
