@@ -1,10 +1,13 @@
 """The pipeline's stages, each against its operator's rule."""
 
+import collections
 import re
 
 import corpus_pipeline
+import numpy as np
 from gaugemill.llm import near, queries, secrets, toxicity
-from test_operators import brute_links
+from pyspark.sql import functions as F
+from test_operators import ASSIGN, brute_links, plain_schedule
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -34,8 +37,43 @@ def test_stages(spark):
     assert len(last) == laid.count() and all(r.round_trip for r in last)
 
 
-def test_whole_run(spark):
-    assert corpus_pipeline.run(spark, FOLDER).where("not round_trip").count() == 0
+def test_whole_run_by_brute_force(spark):
+    """Every row of the result: which documents are left, in which places, and with which ids."""
+    docs = queries.table(spark, FOLDER, "documents")
+    model = toxicity.fit(docs, queries.table(spark, FOLDER, "labels").where(~queries.held_out()))
+    clean = {r.doc_id: r for r in toxicity.score(docs, model).where("score < 0.3").collect()}
+    label, _ = brute_links({d: r.text or "" for d, r in clean.items()})
+    scan, left = secrets.Scanner(words=queries.vocabulary(queries.SECRETS_WORDS)), {}
+    for d in sorted(set(label.values())):
+        out, at, text = [], 0, clean[d].text or ""
+        for a, k, b, _ in scan(text):
+            a = re.match(ASSIGN, text[a:]).start(2) + a if k == 0 else a
+            if b > at:
+                out += [text[at:a], "[secret]"] if a >= at else []
+                at = b
+        left[d] = "".join(out) + text[at:]
+    # Places: sources by the plain schedule, rows of a source by a hash of all their columns.
+    rows = [(d, left[d], clean[d].lang, clean[d].source, len(left[d])) for d in left]
+    table = spark.createDataFrame(rows, docs.schema)
+    hashes = {r.doc_id: r.h % 2**64 for r in table.select("doc_id", F.xxhash64(F.lit(0), "doc_id", "text", "lang", "source", "n_chars").alias("h")).collect()}
+    counts = collections.Counter(r[3] for r in rows)
+    names = sorted(counts, key=lambda s: (s is not None, s or ""))
+    own = {s: iter(sorted((r[0] for r in rows if r[3] == s), key=lambda d: hashes[d])) for s in names}
+    order = []
+    for _, i, j in plain_schedule([(counts[s] / max(counts.values())) ** 0.5 for s in names], [-(-counts[s] // 16) for s in names]):
+        order += [d for _, d in zip(range(16), own[names[i]])]
+    import base64
+
+    import public_tokenizers as public
+    import tiktoken
+
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(public.path("byte_bpe_multi_50k.tiktoken"), "rb"))}
+    library = tiktoken.Encoding("own", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    got = sorted(corpus_pipeline.run(spark, FOLDER).collect(), key=lambda r: r.mix_position)
+    assert [(r.mix_position, r.doc_id) for r in got] == list(enumerate(order)) and len(order) == len(left)
+    for r in got:
+        ids = np.frombuffer(r.ids, "<u4").tolist()
+        assert ids == library.encode_ordinary(left[r.doc_id]) and r.n_tokens == len(ids) and r.round_trip and r.source == clean[r.doc_id].source
 
 
 def test_places_reach_the_result(spark):
