@@ -11,12 +11,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import parse, template
-from .functions.contract import read_contract
+from .functions.contract import build_prompt, read_contract
 from .functions.scalars import duration, row_key, seeded, status_class
 from .operators import log, sampling, summary
 from .plans import plan as plans
+from .plans.backends import RuleBackend, ask
+from .plans.judge import Options, judge, planned, recorded
 from .sources import items as sources
-from .sources.config import pool_sizes, spec_of
+from .sources.config import Endpoint, pool_sizes, spec_of
+from .sources.sinks import scratch
 from .streaming import streams
 
 VALUES = ["consistent", "inconsistent", "unsure"]
@@ -315,6 +318,51 @@ def run_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.budget(files, 0.2, 40)
 
 
+PROMPT = build_prompt("parts", 'Judge the part. Answer\n{"verdict": "consistent" | "inconsistent" | "unsure", "short_reason": "<why>"}', "Part {p_name} of {p_brand}, size {p_size}.")
+RULES = RuleBackend(rules=((("widget", "Brand#1"), "inconsistent"), (("bolt",), "unsure")), refuse="Brand#25,")
+ENDPOINTS = [Endpoint("a", "m1", concurrency=2), Endpoint("b", "m2", concurrency=2)]
+
+
+def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of all parts."""
+    fields = F.to_json(F.struct("p_name", "p_brand", "p_size"))
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("id"), fields.alias("fields_json"), F.col("p_type").alias("group"), F.lit("").alias("stratum"), (1 + F.col("p_size") % 3).cast("double").alias("weight"))
+
+
+def judged_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All parts rendered, sent to two endpoints that answer by rules, parsed and recorded."""
+    options = Options(mode="compare")
+    replies = ask(planned(parts(spark, sf_dir), PROMPT, ENDPOINTS, options), PROMPT.system, PROMPT.contract, RULES, ENDPOINTS)
+    return recorded(replies, PROMPT, options)
+
+
+PARTS_SQL = f"""texts AS (SELECT *, CAST(p_partkey AS VARCHAR) AS id, 'Part ' || p_name || ' of ' || p_brand || ', size ' || CAST(p_size AS VARCHAR) || '.' AS t FROM part),
+ruled AS (SELECT *, contains(t, 'Brand#25,') AS refused, CASE WHEN contains(t, 'widget') AND contains(t, 'Brand#1') THEN 'inconsistent' WHEN contains(t, 'bolt') THEN 'unsure' ELSE 'consistent' END AS v,
+  row_number() OVER (ORDER BY sha256('42|order|' || id), id) - 1 AS ord FROM texts),
+records AS (SELECT r.*, endpoint, model, substr(sha256(id || '|' || model || '|{PROMPT.sha}|{PROMPT.contract.schema_sha()}|' || endpoint), 1, 32) AS key FROM ruled r CROSS JOIN (VALUES ('a', 'm1'), ('b', 'm2')) AS e(endpoint, model))"""
+
+
+def judge_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs into one table: the first 100 parts, some refused; then all, with errors sent again.
+
+    Of each part its number of records, its last verdict, and whether the last record is an error.
+    """
+    out, items = scratch(spark, "judge-resume"), parts(spark, sf_dir)
+    judge(items, out, PROMPT, ENDPOINTS[:1], RULES, Options(limit=100))
+    every = judge(items, out, PROMPT, ENDPOINTS[:1], RuleBackend(rules=RULES.rules, refuse=""), Options(retry_errors=True))
+    last = log.latest(every).select("id", "verdict", F.col("error").isNotNull().alias("failed"))
+    return every.groupBy("id").agg(F.count("*").alias("records")).join(last, "id")
+
+
+def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log with blank, torn and glued lines, lines of other JSON, and records whose key comes twice."""
+    n, k = F.col("doc_id").cast("string"), F.col("doc_id") % 8
+    record = F.concat(F.lit('{"key": "'), n, F.lit('", "verdict": "x"}'))
+    line = F.when(k == 0, F.lit(" \t")).when(k == 1, F.concat(F.lit('{"key": "'), n, F.lit('", "verdict": "x'))).when(k == 2, F.concat(record, record)).when(k == 3, F.concat(F.lit("["), record, F.lit("]")))
+    line = line.when(k == 4, F.lit('{"verdict": "x"}')).when(k == 5, F.concat(F.lit('{"key": "old", "key": "'), n, F.lit('"}'))).when(k == 6, F.concat(record, F.lit(', "more": 1')))
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"), line.otherwise(record).alias("value"))
+
+
 def durations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", duration(F.col("event_id") * 7).alias("took"))
 
@@ -383,6 +431,11 @@ QUERIES: dict[str, Query] = {
     "superseded": superseded,
     "endpoint_errors": lambda s, d: summary.endpoint_errors(results(s, d)),
     "run_budget": run_budget,
+    "rule_judging": lambda s, d: judged_parts(s, d).select("key", "id", "endpoint", "model", "verdict", "short_reason", F.col("error.class").alias("error_class"), "prompt_tokens", "key_order_ok"),
+    "judged_rates": lambda s, d: summary.rates(log.latest(judged_parts(s, d).where("endpoint = 'a'")), VALUES),
+    "judge_resume": judge_resume,
+    "log_records": lambda s, d: sources.usable(log_lines(s, d))[0].select("seq", "key"),
+    "log_counts": lambda s, d: sources.usable(log_lines(s, d))[1],
     "durations": durations,
     "streaming_summary": streaming_summary,
 }
@@ -468,6 +521,12 @@ f AS (SELECT conv_id, 'stop' || CAST(max(turn) AS VARCHAR) AS finish_reason FROM
     "join_back": f"SELECT CAST(doc_id AS VARCHAR) AS id, lang, {VERDICT_SQL.format(n='doc_id')} AS verdict, CASE WHEN doc_id % 7 <> 0 THEN 'short' END AS short_reason FROM documents",
     "parts_union": f"WITH {ATTEMPTS_SQL} SELECT key, verdict FROM last",
     "chat_dedupe": "SELECT DISTINCT sha256(text) AS sha FROM documents",
+    "rule_judging": f"""WITH {PARTS_SQL} SELECT key, id, endpoint, model, CASE WHEN NOT refused THEN v END AS verdict, CASE WHEN NOT refused THEN 'by rule: ' || v END AS short_reason,
+  CASE WHEN refused THEN 'bad_request' END AS error_class, CASE WHEN NOT refused THEN length(t) // 4 END AS prompt_tokens, CASE WHEN NOT refused THEN TRUE END AS key_order_ok FROM records""",
+    "judged_rates": f"""WITH {PARTS_SQL}, results AS (SELECT p_type AS grp, 1.0::DOUBLE + p_size % 3 AS w, CASE WHEN NOT refused THEN v END AS verdict, NOT refused AS judged FROM ruled){RATES_SQL}""",
+    "judge_resume": f"WITH {PARTS_SQL} SELECT id, CAST(CASE WHEN refused AND ord < 100 THEN 2 ELSE 1 END AS BIGINT) AS records, v AS verdict, FALSE AS failed FROM ruled",
+    "log_records": "SELECT doc_id AS seq, CAST(doc_id AS VARCHAR) AS key FROM documents WHERE doc_id % 8 IN (5, 7)",
+    "log_counts": "SELECT count(*) FILTER (doc_id % 8 IN (5, 7)) AS lines, count(*) FILTER (doc_id % 8 IN (1, 2, 3, 4, 6)) AS unreadable_lines FROM documents",
     "durations": """WITH s AS (SELECT event_id, event_id * 7 AS s FROM events)
 SELECT event_id, CASE WHEN s >= 3600 THEN CAST(s // 3600 AS VARCHAR) || 'h' || lpad(CAST(s % 3600 // 60 AS VARCHAR), 2, '0') || 'm' ELSE CAST(s // 60 AS VARCHAR) || 'm' || lpad(CAST(s % 60 AS VARCHAR), 2, '0') || 's' END AS took FROM s""",
 }

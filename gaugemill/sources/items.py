@@ -66,11 +66,27 @@ def jsonl_items(spark: SparkSession, path: str, numbered: bool = False) -> DataF
     lines = spark.read.text(path)
     if numbered:
         lines = positioned(lines, "line").withColumn("line", F.col("line") + 1)
-    items = json_items(lines.where(F.trim("value") != ""), F.col("value"), *(["line"] if numbered else []))
-    return items
+    return json_items(lines.where(~blank(F.col("value"))), F.col("value"), *(["line"] if numbered else []))
+
+
+def blank(line: Column) -> Column:
+    return ~line.rlike(r"(?U)\S")
+
+
+def whole_json(line: Column) -> Column:
+    """The line if it is one JSON value and nothing else, else null.
+
+    Readers stop at a value's end, so that two records glued together would pass for the first. What may
+    follow a value inside an array can't follow it inside an object, and the other way round.
+    """
+    one = (F.json_array_length(F.concat(F.lit("["), line, F.lit("]"))) == 1) & F.get_json_object(F.concat(F.lit('{"v":'), line, F.lit("}")), "$.v").isNotNull()
+    return F.when(one, line)
 
 
 def json_items(lines: DataFrame, value: Column, *others: str) -> DataFrame:
+    """Items from JSON texts; of one that isn't JSON as a whole nothing is read."""
+    lines = lines.withColumn("__json", whole_json(value))
+    value = F.col("__json")
     get = lambda k: F.get_json_object(value, f"$.{k}")
     named = F.array_contains(F.json_object_keys(value), "weight")
     return lines.select(
@@ -110,10 +126,20 @@ def validated(items: DataFrame, columns: list[str] | tuple[str, ...] = ()) -> Da
 
 
 def read_results(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """The usable lines of a result log with ``seq``, and (lines, unreadable) counts."""
-    lines = positioned(spark.read.text(path), "seq").where(F.trim("value") != "")
-    lines = lines.withColumn("key", F.get_json_object("value", "$.key"))
-    return lines.where("key is not null"), lines.agg(F.count("*").alias("lines"), F.count_if(F.col("key").isNull()).alias("unreadable_lines"))
+    """The usable lines of a result log with ``seq``, and their counts; see ``usable``."""
+    return usable(positioned(spark.read.text(path), "seq"))
+
+
+def usable(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of a log's lines (``value``) those that are records, with ``key``, and one row (lines, unreadable_lines).
+
+    A line is a record if it is one JSON object with a key; torn and glued lines are counted as
+    unreadable, blank ones not at all. Of a name given twice the last value counts.
+    """
+    lines = lines.where(~blank(F.col("value")))
+    lines = lines.withColumn("key", F.from_json(whole_json(F.col("value")), "key string")["key"])
+    counts = lines.agg(F.count("key").alias("lines"), F.count_if(F.col("key").isNull()).alias("unreadable_lines"))
+    return lines.where("key is not null"), counts
 
 
 def hashed_files(spark: SparkSession, path: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +41,17 @@ def store_of(spark: SparkSession, path: str):
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder that all executors share: in the checkpoint folder, else in the warehouse.
+
+    Sessions within one machine that name no checkpoint folder take a temporary folder of it.
+    """
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not root:
+        root = "file://" + tempfile.mkdtemp(prefix="gaugemill-") if spark.sparkContext.master.startswith("local") else spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small text in any store that Spark writes to, whole or not at all."""
     files, place = store_of(spark, path)

@@ -253,6 +253,18 @@ def test_item_sources_and_refusals(spark, tmp_path):
         sources.validated(pool)
 
 
+def test_log_lines_are_read_whole(spark, tmp_path):
+    whole = '{"key": "a", "n": [1, {"m": 2}]}'
+    lines = [whole, "", "\t", whole[:-3], whole + whole, whole + " tail", whole + "}", whole + "]", whole + ', "x": 1', whole + ", " + whole, "[" + whole + "]", '"a"', "null", '{"n": 1}', '{"key": "b", "key": "c"}', f"  {whole} "]
+    (tmp_path / "log.jsonl").write_text("\n".join(lines) + "\n")
+    records, counts = sources.read_results(spark, str(tmp_path / "log.jsonl"))
+    assert [(r.seq, r.key) for r in records.orderBy("seq").collect()] == [(0, "a"), (14, "c"), (15, "a")]
+    assert counts.first().asDict() == {"lines": 3, "unreadable_lines": 11}
+    (tmp_path / "none.jsonl").write_text("")
+    records, counts = sources.read_results(spark, str(tmp_path / "none.jsonl"))
+    assert records.count() == 0 and counts.first().asDict() == {"lines": 0, "unreadable_lines": 0}
+
+
 def test_config_readers():
     assert config.env_lines("# c\nexport A='x y'\nB=2") == {"A": "x y", "B": "2"}
     assert config.join_url("http://h/v1?k=1", "/chat") == "http://h/v1/chat?k=1" and config.with_version("http://h:1") == "http://h:1/v1"
