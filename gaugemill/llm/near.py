@@ -47,6 +47,8 @@ BUCKET_BLOCK, GROUP_BLOCK = 1024, 256
 PAIRS, COLUMNS = 1 << 16, 1 << 14
 #: Groups' members are broadcast up to so many rows of a digest and five numbers, and shuffled beyond.
 BROADCAST_ROWS = 200_000
+#: Texts with more copies, of which there are fewer than BROADCAST_ROWS, meet their class by broadcast.
+HOT_COPIES = 10_000
 
 BASE = 0x9E3779B97F4A7C15
 
@@ -320,11 +322,12 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def classified(df: DataFrame, key: str, text: str, words: int = WORDS, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
+def classified(df: DataFrame, key: str, text: str, words: int = WORDS, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> tuple[DataFrame, DataFrame | None]:
     """(alike, class_id, copy_id, n_links, stays): one row for each class of equal texts.
 
     Classes have numbers of their own through all steps, so an identifier may have many texts.
     ``stays`` tells whether the class has its group's row of the smallest identifier (and text).
+    The second table has ``alike`` of the texts with very many copies, None if there are none.
     """
     small_batches(df.sparkSession)
     ident, body = F.col(f"`{key}`").cast("long"), F.coalesce(F.col(f"`{text}`"), F.lit(""))
@@ -366,7 +369,20 @@ def classified(df: DataFrame, key: str, text: str, words: int = WORDS, threshold
     least = labels.join(classes.select("node", "id", "alike"), "node").groupBy("label").agg(F.min(F.struct("id", "alike")).alias("least"))
     known = classes.select("alike", "id", "copies", "node").join(labels.join(least, "label"), "node", "left").join(counted, "node", "left")
     stays = F.coalesce(F.col("least.alike") == F.col("alike"), F.lit(True)).alias("stays")
-    return known.select("alike", F.coalesce("least.id", "id").alias("class_id"), F.col("id").alias("copy_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), stays)
+    known = known.select("alike", F.coalesce("least.id", "id").alias("class_id"), F.col("id").alias("copy_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), stays)
+    total, most = classes.agg(F.sum("copies"), F.max("copies")).first()
+    bound = max(HOT_COPIES, (total or 0) // BROADCAST_ROWS)
+    return known, classes.where(F.col("copies") > bound).select("alike") if (most or 0) > bound else None
+
+
+def with_classes(rows: DataFrame, known: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """Rows (with ``__alike``) and what is known of their classes, without a task for all rows of a hot text."""
+    known = known.withColumnRenamed("alike", "__alike")
+    if hot is None:
+        return rows.join(known, "__alike", "left")
+    hot = F.broadcast(hot.withColumnRenamed("alike", "__alike"))
+    often = rows.join(F.broadcast(known.join(hot, "__alike", "left_semi")), "__alike")
+    return often.unionByName(rows.join(hot, "__alike", "left_anti").join(known, "__alike", "left"))
 
 
 def alike(text: str) -> Column:
@@ -376,12 +392,12 @@ def alike(text: str) -> Column:
 
 def link(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
     """Adds class_id, copy_id and n_links (long) to every row; see the module."""
-    known = classified(df, key, text, words, threshold, tolerance).drop("stays")
+    known, hot = classified(df, key, text, words, threshold, tolerance)
     new = ["class_id", "copy_id", "n_links"]
     kept = [F.col(f"`{c}`") for c in others(df, new)]
     has = F.col(f"`{key}`").cast("long").isNotNull()
     base = df.where(has).select(*kept, alike(text).alias("__alike"))
-    joined = base.join(known.withColumnRenamed("alike", "__alike"), "__alike", "left").drop("__alike")
+    joined = with_classes(base, known.drop("stays"), hot).drop("__alike")
     # Rows without an identifier need no join, in which they would share one key.
     rest = df.where(~has).select(*kept, *[F.lit(None).cast("long").alias(c) for c in new[:2]], F.lit(0).cast("long").alias(new[2]))
     return joined.unionByName(rest)
@@ -395,8 +411,8 @@ def dedupe(df: DataFrame, key: str = "doc_id", text: str = "text", **options) ->
     """
     keyed = df.withColumn("__id", F.col(f"`{key}`").cast("long")).withColumn("__alike", F.when(F.col("__id").isNotNull(), alike(text)))
     pairs = keyed.where(F.col("__id").isNotNull()).groupBy("__id", "__alike").agg(F.count("*").alias("n"))
-    known = classified(df, key, text, **options).select(F.col("alike").alias("__alike"), "class_id", "stays")
-    pairs = written(pairs.join(known, "__alike").select("__id", "__alike", "n", (~F.col("stays") | (F.col("class_id") != F.col("__id"))).alias("goes")), "copies")
+    known, hot = classified(df, key, text, **options)
+    pairs = written(with_classes(pairs, known.select("alike", "class_id", "stays"), hot).select("__id", "__alike", "n", (~F.col("stays") | (F.col("class_id") != F.col("__id"))).alias("goes")), "copies")
     gone = pairs.where("goes").select("__id", "__alike")
     few = gone.count() <= BROADCAST_ROWS
     kept = keyed.join(F.broadcast(gone) if few else gone, ["__id", "__alike"], "left_anti")

@@ -153,7 +153,10 @@ def test_ngram_join(spark, docs):
         assert (r.class_id, r.n_links) == (label[r.doc_id], links[r.doc_id])
 
 
-def test_ngram_join_odd_rows(spark, odd):
+@pytest.mark.parametrize("hot", [near.HOT_COPIES, 1])
+def test_ngram_join_odd_rows(spark, odd, hot, monkeypatch):
+    """Also where texts with more than one copy are joined as those with very many are."""
+    monkeypatch.setattr(near, "HOT_COPIES", hot)
     rows = near.link(odd).collect()
     assert len(rows) == len(ODD)
     got = {r.doc_id: (r.class_id, r.n_links) for r in rows}
@@ -479,7 +482,9 @@ def test_mixing_follows_the_given_weights(spark):
     assert sorted(r.mix_position for r in few) == list(range(6000)) and {r.source for r in few if r.mix_position < 3000} == {"s0"}
 
 
-def test_ngram_join_shared_identifiers(spark):
+@pytest.mark.parametrize("hot", [near.HOT_COPIES, 1])
+def test_ngram_join_shared_identifiers(spark, hot, monkeypatch):
+    monkeypatch.setattr(near, "HOT_COPIES", hot)
     words = [f"w{i}" for i in range(60)]
     base, close, far = " ".join(words), " ".join(words[:-1] + ["new"]), " ".join(f"v{i}" for i in range(60))
     table = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
