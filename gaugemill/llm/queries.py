@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, near, pii, quality, secrets, sstable, token_files, topk, toxicity
+from . import audit, bpe, mixing, naming, near, pii, quality, secrets, sstable, token_files, topk, toxicity, whitening
 
 #: Id of the end-of-document token in byte_bpe_50k.json; op10's contract appends 0 instead.
 END_OF_DOCUMENT = 50256
@@ -181,6 +181,74 @@ def op10_sstable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sstable.read_shards(spark, folder).select(F.col("key").alias("doc_id"), "start", F.col("n_ids").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = naming.dedupe(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents
+), n AS (
+  SELECT rid, doc_id, length(t) AS chars, regexp_replace(t, '[\x20\x09-\x0D]', '', 'g') AS body FROM d
+), r AS (
+  SELECT *, row_number() OVER g AS place, first_value(doc_id) OVER g AS keep_id, count(*) OVER (PARTITION BY body) AS group_size
+  FROM n WINDOW g AS (PARTITION BY body ORDER BY chars DESC, doc_id NULLS LAST, rid)
+)
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(body) AS text_sha256 FROM r
+"""
+
+
+def op12_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return audit.audit(docs, table(spark, sf_dir, "labels"))
+
+
+#: Every document counted at every step of every order.
+OP12_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents
+), firsts AS (
+  SELECT t, min(doc_id) AS first FROM d GROUP BY t
+), known AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id
+), w AS (
+  SELECT d.doc_id, part, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words, first FROM d JOIN firsts USING (t)
+), f AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    [CASE WHEN len(words) < 200 THEN 'A' END, CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' END,
+     CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 3 * length(t) THEN 'C' END,
+     CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END, CASE WHEN w.doc_id > first THEN 'E' END] AS fails
+  FROM w LEFT JOIN known USING (doc_id)
+), c AS (
+  SELECT part, list_filter(fails, lambda x: x IS NOT NULL) AS fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY ALL
+), l AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM l a, l b, l c, l d, l e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+  SELECT filter_order, s::INTEGER AS step, substr(filter_order, s, 1) AS filter, string_split(substr(filter_order, 1, s - 1), '') AS before FROM orders, range(1, 6) r(s)
+), counted AS (
+  SELECT part, filter_order, step, filter,
+    coalesce(sum(n) FILTER (NOT list_has_any(fails, before) AND NOT list_contains(fails, filter)), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (NOT list_has_any(fails, before) AND list_contains(fails, filter)), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (list_has_any(fails, before) AND list_contains(fails, filter)), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (fails = [filter]), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (NOT list_has_any(fails, before) AND list_contains(fails, filter)), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (NOT list_has_any(fails, before) AND list_contains(fails, filter)), 0)::BIGINT AS toxic_lost
+  FROM c, steps GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, filter))::BIGINT AS shapley
+FROM counted
+"""
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return rows.select("vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_topk": op2_topk,
@@ -192,5 +260,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_token_counts": op9_token_counts,
     "op10_sstable": op10_sstable,
+    "op11_naming": op11_naming,
+    "op12_audit": op12_audit,
+    "op13_whitening": op13_whitening,
 }
-ORACLES: dict[str, str] = {"op2_topk": OP2_SQL, "op5_quality": op5_sql(), "op7_ngram_join": OP7_SQL}
+ORACLES: dict[str, str] = {"op2_topk": OP2_SQL, "op5_quality": op5_sql(), "op7_ngram_join": OP7_SQL, "op11_naming": OP11_SQL, "op12_audit": OP12_SQL}
