@@ -363,6 +363,53 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"), line.otherwise(record).alias("value"))
 
 
+def part_name(number):
+    """Files of unlike sizes, the smallest first: a tenth, three tenths, the rest."""
+    return F.when(number % 10 == 0, "a").when(number % 10 <= 3, "b").otherwise("c")
+
+
+def in_files(rows: DataFrame, kind: str, *order: str) -> str:
+    """A folder of CSV or text files, in a folder for each ``part``, with their rows in order."""
+    path = scratch(rows.sparkSession, f"{kind}-files")
+    parts = max(4, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    laid = rows.repartitionByRange(parts, "part", *order).sortWithinPartitions("part", *order)
+    laid = laid.select("value", "part") if kind == "text" else laid
+    laid.write.partitionBy("part").format(kind).options(**({} if kind == "text" else {"header": True})).save(path)
+    return path
+
+
+def csv_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items without identifiers from a folder of CSV files: each is named by its place in all files."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", part_name(F.col("doc_id")).alias("part"))
+    items = sources.csv_items(spark, in_files(docs, "csv", "doc_id"), breaks=False)
+    return items.select("id", F.get_json_object("fields_json", "$.doc_id").alias("doc_id"), F.get_json_object("fields_json", "$.part").alias("part"))
+
+
+def log_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logs of three runs as files of one folder, each longer than the one before; the last record of each key."""
+    n = F.col("doc_id")
+    runs = F.array_compact(F.array(F.when(n % 10 == 0, "1"), F.when(n % 3 == 0, "2"), F.when(n % 5 != 0, "3")))
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.explode(runs).alias("part"))
+    line = F.concat(F.lit('{"key": "'), n, F.lit('", "run": '), F.col("part"), F.lit("}"))
+    records, _ = sources.read_results(spark, in_files(rows.withColumn("value", line), "text", "doc_id"))
+    return log.latest(records).select("key", "seq", F.get_json_object("value", "$.run").alias("run"))
+
+
+def zip_folders(spark: SparkSession, sf_dir: str, whole: bool) -> DataFrame:
+    """Rows and attributes from two folders of files, zipped; not ``whole``: some attributes are missing."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", part_name(F.col("doc_id")).alias("part"))
+    paths = [in_files(d, "csv", "doc_id") for d in (docs, docs if whole else docs.where("doc_id % 50 <> 1"))]
+    return sampling.zipped(*[sources.read_table(spark, path, breaks=False) for path in paths], by_file=whole)
+
+
+def zip_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zip_folders(spark, sf_dir, True).select("pos", F.col("row.doc_id").alias("row_doc"), F.col("attr.doc_id").alias("attr_doc"))
+
+
+def zip_refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.mismatches(zip_folders(spark, sf_dir, False))
+
+
 def durations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", duration(F.col("event_id") * 7).alias("took"))
 
@@ -377,6 +424,10 @@ def recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_type", F.array_join(F.transform("events", lambda x: x.cast("string")), ",").alias("events"))
 
 
+PLACES_SQL = """parts AS (SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN 'a' WHEN doc_id % 10 <= 3 THEN 'b' ELSE 'c' END AS part FROM documents),
+places AS (SELECT *, row_number() OVER (ORDER BY part, doc_id) - 1 AS pos FROM parts)"""
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {
     "select_groups": select_groups,
@@ -436,6 +487,10 @@ QUERIES: dict[str, Query] = {
     "judge_resume": judge_resume,
     "log_records": lambda s, d: sources.usable(log_lines(s, d))[0].select("seq", "key"),
     "log_counts": lambda s, d: sources.usable(log_lines(s, d))[1],
+    "csv_places": csv_places,
+    "log_folder": log_folder,
+    "zip_places": zip_places,
+    "zip_refusals": zip_refusals,
     "durations": durations,
     "streaming_summary": streaming_summary,
 }
@@ -527,6 +582,12 @@ f AS (SELECT conv_id, 'stop' || CAST(max(turn) AS VARCHAR) AS finish_reason FROM
     "judge_resume": f"WITH {PARTS_SQL} SELECT id, CAST(CASE WHEN refused AND ord < 100 THEN 2 ELSE 1 END AS BIGINT) AS records, v AS verdict, FALSE AS failed FROM ruled",
     "log_records": "SELECT doc_id AS seq, CAST(doc_id AS VARCHAR) AS key FROM documents WHERE doc_id % 8 IN (5, 7)",
     "log_counts": "SELECT count(*) FILTER (doc_id % 8 IN (5, 7)) AS lines, count(*) FILTER (doc_id % 8 IN (1, 2, 3, 4, 6)) AS unreadable_lines FROM documents",
+    "csv_places": f"WITH {PLACES_SQL} SELECT CAST(pos AS VARCHAR) AS id, CAST(doc_id AS VARCHAR) AS doc_id, part FROM places",
+    "log_folder": """WITH r AS (SELECT doc_id, unnest([CASE WHEN doc_id % 10 = 0 THEN 1 END, CASE WHEN doc_id % 3 = 0 THEN 2 END, CASE WHEN doc_id % 5 <> 0 THEN 3 END]) AS run FROM documents),
+s AS (SELECT doc_id, run, row_number() OVER (ORDER BY run, doc_id) - 1 AS seq FROM r WHERE run IS NOT NULL)
+SELECT CAST(doc_id AS VARCHAR) AS key, max(seq) AS seq, CAST(max(run) AS VARCHAR) AS run FROM s GROUP BY doc_id""",
+    "zip_places": f"WITH {PLACES_SQL} SELECT pos, CAST(doc_id AS VARCHAR) AS row_doc, CAST(doc_id AS VARCHAR) AS attr_doc FROM places",
+    "zip_refusals": f"WITH {PLACES_SQL}, n AS (SELECT count(*) AS n FROM documents WHERE doc_id % 50 <> 1) SELECT pos, 'no counterpart' AS problem FROM places CROSS JOIN n WHERE pos >= n",
     "durations": """WITH s AS (SELECT event_id, event_id * 7 AS s FROM events)
 SELECT event_id, CASE WHEN s >= 3600 THEN CAST(s // 3600 AS VARCHAR) || 'h' || lpad(CAST(s % 3600 // 60 AS VARCHAR), 2, '0') || 'm' ELSE CAST(s // 60 AS VARCHAR) || 'm' || lpad(CAST(s % 60 AS VARCHAR), 2, '0') || 's' END AS took FROM s""",
 }

@@ -23,13 +23,24 @@ def selection(select: dict[str, tuple[str, ...]], columns: list[str], of: str =
     return reduce(and_, tests, F.lit(True))
 
 
-def zipped(rows: DataFrame, attrs: DataFrame | None) -> DataFrame:
-    """(pos, row, attr): rows and attributes by position; both must have the same places."""
-    left = positioned(rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row")))
+def zipped(rows: DataFrame, attrs: DataFrame | None, by_file: bool | None = None) -> DataFrame:
+    """(pos, row, attr): rows and attributes by position; both must have the same places.
+
+    ``by_file`` matches files in order of their paths and rows within them, so that files of unlike
+    lengths show as rows without a counterpart; otherwise rows are matched by their places in all
+    files. Unless it is said, files are matched where both sides have as many.
+    """
+    both = lambda df, name: df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name))
     if attrs is None:
-        return left.withColumn("attr", F.col("row"))
-    right = positioned(attrs.select(F.struct(*[F.col(f"`{c}`") for c in attrs.columns]).alias("attr")))
-    return left.withColumn("in_rows", F.lit(1)).join(right.withColumn("in_attrs", F.lit(1)), "pos", "full_outer")
+        return positioned(both(rows, "row")).withColumn("attr", F.col("row"))
+    left, right = positioned(both(rows, "row"), within="at"), positioned(both(attrs, "attr"), within="at")
+    files = lambda df: df.agg(F.max("at.file")).first()[0]
+    by_file = files(left) == files(right) if by_file is None else by_file
+    side = lambda df, mark: df.select("*", F.lit(1).alias(mark), *([F.col("at.file").alias("file"), F.col("at.place").alias("place")] if by_file else []))
+    if not by_file:
+        return side(left.drop("at"), "in_rows").join(side(right.drop("at"), "in_attrs"), "pos", "full_outer")
+    pairs = side(left, "in_rows").join(side(right, "in_attrs").withColumnRenamed("pos", "attr_pos"), ["file", "place"], "full_outer")
+    return pairs.select(F.coalesce("pos", "attr_pos").alias("pos"), "row", "in_rows", "attr", "in_attrs")
 
 
 def mismatches(joined: DataFrame) -> DataFrame:

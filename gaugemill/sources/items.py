@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import file_name
+from .sinks import scratch
 
 #: Columns of a CSV pool that are no fields.
 RESERVED = ("id", "group", "stratum", "weight")
+#: Counts of splits are broadcast up to so many rows, and joined by shuffle beyond.
+BROADCAST_SPLITS = 200_000
 
 
 class ItemsError(ValueError):
@@ -31,16 +35,42 @@ def read_folder(spark: SparkSession, path: str, breaks: bool = True) -> DataFram
     return rows.where(~F.col("file_name").rlike(r"_pool(?:\.[^.]*)?$"))
 
 
-def positioned(df: DataFrame, to: str = "pos") -> DataFrame:
-    """Adds the 0-based place of each row in the order of the source, a scan of files.
+def positioned(df: DataFrame, to: str = "pos", within: str | None = None) -> DataFrame:
+    """Adds the 0-based place of each row among the rows of the files read one after another, by their paths.
 
-    Rows are counted by the scan's partitions first, one small row each, whose sums are joined back;
-    no row of the source is shuffled or sorted.
+    A scan packs splits of files into tasks by size, so tasks say nothing of order. Rows are counted by
+    split (file and first byte) first, one small row each, which is written; a split's rows start behind those of
+    all splits before it. No row of the source is shuffled or sorted. Rows that come from no files have the
+    order of their partitions; rows whose files can't be told any more, as after a join, are refused.
+
+    ``within`` adds a struct as well: ``file``, the number of the row's file among all files that have rows, and
+    ``place``, the row's place in it.
     """
-    cut = df.withColumn("__p", F.spark_partition_id()).withColumn("__i", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-    before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
-    starts = cut.groupBy("__p").agg(F.count("*").alias("n")).select("__p", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"))
-    return cut.join(F.broadcast(starts), "__p").withColumn(to, F.col("__start") + F.col("__i")).select(*df.columns, to)
+    spark, here = df.sparkSession, F.monotonically_increasing_id().alias("__id")
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    try:
+        cut = df.select(*columns, F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"), here)
+    except AnalysisException:
+        if df.inputFiles():
+            raise ItemsError("rows that were joined or sorted since their files were read have no places") from None
+        cut = df.select(*columns, F.lit("").alias("__file"), F.spark_partition_id().cast("long").alias("__block"), here)
+    # One row a split, as many as the driver has listed to plan the scan.
+    splits = cut.groupBy("__file", "__block").agg(F.count("*").alias("n"), F.min("__id").alias("__first"))
+    order = Window.orderBy("__file", "__block")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    own = Window.partitionBy("__file").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    counted = splits.select(
+        "__file", "__block", "__first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"),
+        (F.dense_rank().over(Window.orderBy("__file")) - 1).alias("__number"), F.coalesce(F.sum("n").over(own), F.lit(0)).alias("__own"),
+    )
+    path = scratch(spark, "splits")
+    counted.coalesce(1).write.parquet(path)
+    starts = spark.read.schema(counted.schema).parquet(path)
+    few = starts.count() <= BROADCAST_SPLITS
+    at = cut.join(F.broadcast(starts) if few else starts, ["__file", "__block"], "left")
+    step = F.col("__id") - F.coalesce("__first", F.raise_error(F.lit("the files were read in other splits than they were counted in")).cast("long"))
+    both = F.struct(F.col("__number").alias("file"), (F.col("__own") + step).alias("place"))
+    return at.select(*columns, (F.col("__start") + step).alias(to), *([both.alias(within)] if within else []))
 
 
 def csv_items(spark: SparkSession, path: str, breaks: bool = True) -> DataFrame:

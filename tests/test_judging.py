@@ -308,3 +308,52 @@ def test_mirror(spark, tmp_path):
     rows.write.parquet(str(tmp_path / "in"))
     streams.summary_stream(spark, str(tmp_path / "in"), "e string, bad boolean", ["e"], F.col("bad"), str(tmp_path / "out"), str(tmp_path / "st2")).awaitTermination(60)
     assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [("a", 2, 1)]
+
+
+def csv_folder(folder, sizes):
+    folder.mkdir()
+    for name, n in zip("abc", sizes):
+        (folder / f"{name}.csv").write_text("v\n" + "".join(f"{name}{i}\n" for i in range(n)))
+    return str(folder)
+
+
+def test_places_over_files_of_unlike_sizes(spark, tmp_path):
+    """Splits are packed by size, so places must follow paths: also where the first file is the largest, or the smallest."""
+    logs = tmp_path / "logs"
+    logs.mkdir()
+    (logs / "part-1.jsonl").write_text('{"key": "k", "v": "old"}\n')
+    (logs / "part-2.jsonl").write_text("".join(f'{{"key": "{i or "k"}", "v": "new"}}\n' for i in range(501)))
+    records, counts = sources.read_results(spark, str(logs))
+    assert [r.seq for r in records.orderBy("seq").collect()] == list(range(502)) and counts.first().lines == 502
+    assert log.latest(records).where("key = 'k'").first().value.endswith('"new"}')
+    for i, sizes in enumerate([(2, 300, 5), (300, 5, 2), (1, 1, 900)]):
+        rows, attrs = (sources.read_table(spark, csv_folder(tmp_path / f"{side}{i}", sizes), breaks=False) for side in ("rows", "attrs"))
+        joined = sampling.zipped(rows, attrs)
+        assert sampling.mismatches(joined).isEmpty() and joined.where("row.v <> attr.v").isEmpty() and joined.count() == sum(sizes)
+        got = [r.v for r in sources.positioned(rows).orderBy("pos").collect()]
+        assert got == [f"{name}{k}" for name, n in zip("abc", sizes) for k in range(n)]
+
+
+def test_zip_of_unlike_files_is_refused(spark, tmp_path):
+    rows = sources.read_table(spark, csv_folder(tmp_path / "rows", (2, 300, 5)), breaks=False)
+    other = sources.read_table(spark, csv_folder(tmp_path / "other", (300, 2, 5)), breaks=False)
+    assert sampling.mismatches(sampling.zipped(rows, other)).count() == 2 * 298  # the whole has as many rows
+    one = tmp_path / "one"
+    one.mkdir()
+    (one / "all.csv").write_text("v\n" + "".join(f"{name}{i}\n" for name, n in zip("abc", (2, 300, 5)) for i in range(n)))
+    joined = sampling.zipped(rows, sources.read_table(spark, str(one)))
+    assert sampling.mismatches(joined).isEmpty() and joined.where("row.v <> attr.v").isEmpty()
+
+
+def test_places_need_files_in_order(spark, tmp_path):
+    rows = sources.read_table(spark, csv_folder(tmp_path / "rows", (2, 300, 5)), breaks=False)
+    with pytest.raises(sources.ItemsError, match="no places"):
+        sources.positioned(rows.groupBy("v").count())
+    assert sorted(r.pos for r in sources.positioned(spark.range(10).toDF("x")).collect()) == list(range(10))
+    assert sources.positioned(rows.limit(0)).isEmpty() and sources.positioned(spark.createDataFrame([], "x int")).isEmpty()
+    split = spark.read.option("maxPartitionBytes", "64").text(str(tmp_path / "rows"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")
+    try:
+        assert [r.value for r in sources.positioned(split).orderBy("pos").collect()][:4] == ["v", "a0", "a1", "v"]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
