@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-#: Rows and bytes in one Arrow batch handed to Python; texts can be long, so batches stay small.
+#: Rows and bytes of an Arrow batch that are worked on at a time; texts can be long, so these are few.
 BATCH_ROWS, BATCH_BYTES = 256, 4 << 20
 
 
@@ -47,10 +47,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bounds the Arrow batches of the session, so that a batch of long texts fits a worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches in slices of BATCH_ROWS rows and about BATCH_BYTES bytes at most; a row is never cut.
+
+    So what a function holds for its rows is bounded whatever the session's settings are, which are left alone.
+    """
+    for batch in batches:
+        upto = 0
+        while upto < batch.num_rows:
+            rows = min(BATCH_ROWS, batch.num_rows - upto)
+            while rows > 1 and batch.slice(upto, rows).nbytes > BATCH_BYTES:
+                rows = -(-rows // 2)
+            yield batch.slice(upto, rows)
+            upto += rows
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -92,7 +101,6 @@ def adding(df: DataFrame, inputs: list[str], fields: dict[str, T.DataType], make
     new columns, as lists or arrays. Columns of these names that the table has already are
     replaced; those in ``without`` are dropped.
     """
-    small_batches(df.sparkSession)
     kept = others(df, [*fields, *without])
     extra = [c for c in dict.fromkeys(inputs) if c not in kept]
     rows = df.select(*[F.col(f"`{c}`") for c in kept], *[F.col(f"`{c}`").alias(f"__input_{c}") for c in extra])
@@ -103,7 +111,7 @@ def adding(df: DataFrame, inputs: list[str], fields: dict[str, T.DataType], make
 
     def run(of: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = make()
-        for batch in of:
+        for batch in sliced(of):
             made = use(*[batch.column(i).to_pylist() for i in places])
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *(pa.array(c, k) for c, k in zip(made, kinds))], names)
 

@@ -8,11 +8,13 @@ a time; a shorter text is one shingle) have a Jaccard similarity of at least the
    at a time; under a uniform prior the posterior of the similarity after m of n agreements is
    Beta(m + 1, n - m + 1), and a pair is dropped as soon as the chance that it reaches the
    threshold is below ``TOLERANCE``.
-3. The pairs that are left join classes into candidate groups, and within each group all pairs are
-   verified exactly by their whole sets of 64-bit shingle hashes.
+3. The pairs that are left, and no others, are verified exactly by whole sets of 64-bit shingle hashes.
+   Each pair is left in one bucket only, that of its first common band, so it is verified once.
 
-Large buckets and groups are dealt into blocks, and each pair of blocks is a cell of its own, so
-no task holds a whole group. Tasks send sums of links and one edge for each class, never all pairs.
+Large buckets are dealt into blocks, and each pair of blocks is a cell of its own, so no task holds
+a whole bucket. A cell's surviving pairs travel as a matrix of bits beside its classes, in cells of ``CELL_BYTES``
+of hashes on either side, so what a task verifies at a time is bounded by bytes. Tasks send sums of links
+and one edge for each class, never all pairs.
 A pair at the threshold misses every band with a chance of (1 - 0.8**4)**32 < 1e-7.
 
 Results have one row for each row of the input: ``class_id`` is the smallest identifier among all
@@ -35,17 +37,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import adding, others, small_batches, written
+from .common import adding, others, sliced, written
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 32, 4
 STEP = 16
 TOLERANCE = 1e-7
-#: Classes in one block of a bucket and of a group.
-BUCKET_BLOCK, GROUP_BLOCK = 1024, 256
+#: Classes in one block of a bucket, and bytes of hashes on either side of a cell that is verified.
+BUCKET_BLOCK, CELL_BYTES = 1024, 8 << 20
 #: Pairs compared at a time, and shingles in one matrix product.
 PAIRS, COLUMNS = 1 << 16, 1 << 14
-#: Groups' members are broadcast up to so many rows of a digest and five numbers, and shuffled beyond.
+#: Cells in which a larger share of all pairs survived are verified by matrix products.
+DENSE = 1 / 16
+#: Classes of candidates are broadcast up to so many rows of a digest and three numbers, and shuffled beyond.
 BROADCAST_ROWS = 200_000
 #: Texts with more copies, of which there are fewer than BROADCAST_ROWS, meet their class by broadcast.
 HOT_COPIES = 10_000
@@ -182,49 +186,80 @@ def surviving(keys: np.ndarray, band: np.ndarray, left: np.ndarray, right: np.nd
 
 
 def prune(cells: DataFrame, threshold: float, tolerance: float) -> DataFrame:
-    """(a, b): edges that connect all classes which surviving pairs connect.
+    """(nodes, pairs): the classes of surviving pairs, and which pairs survived, as bits of a square matrix.
 
-    ``cells`` has (cell, crossed, block, band, id, keys), with equal cells next to each other.
+    ``cells`` has (cell, crossed, block, band, node, size, keys), with equal cells next to each other; ``size`` is
+    the number of a class's shingles, by which the results are cut.
     """
-    least = least_matches(threshold, tolerance)
-
-    def work(cell, crossed, block, band, ids, keys) -> pa.RecordBatch:
+    least, cell_bytes = least_matches(threshold, tolerance), CELL_BYTES
+    schema = pa.schema([("nodes", pa.list_(pa.int64())), ("pairs", pa.binary())])
+
+    def cut(left: np.ndarray, right: np.ndarray, nodes: np.ndarray, size: np.ndarray) -> Iterator[tuple[list[int], bytes]]:
+        """The surviving pairs of one cell by blocks of its classes."""
+        used = np.unique(np.concatenate([left, right]))
+        block = np.zeros(len(nodes), np.int64)
+        block[used] = (np.cumsum(8 * size[used]) - 1) // cell_bytes
+        x, y = np.minimum(block[left], block[right]), np.maximum(block[left], block[right])
+        order = np.lexsort((y, x))
+        x, y, left, right = x[order], y[order], left[order], right[order]
+        for part in np.split(np.arange(len(left)), np.flatnonzero((x[1:] != x[:-1]) | (y[1:] != y[:-1])) + 1):
+            own = np.unique(np.concatenate([left[part], right[part]]))
+            bits = np.zeros((len(own), len(own)), bool)
+            bits[np.searchsorted(own, left[part]), np.searchsorted(own, right[part])] = True
+            yield nodes[own].tolist(), np.packbits(bits).tobytes()
+
+    def work(cell, crossed, block, band, nodes, size, keys) -> Iterator[pa.RecordBatch]:
         change = np.flatnonzero(cell[1:] != cell[:-1]) + 1
         bounds = np.concatenate([[0], change, [len(cell)]])
         ends = np.repeat(bounds[1:], np.diff(bounds))
-        links = Links(len(ids))
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        upto = 0
         for left, right in pairs_of(ends, block, crossed):
-            for a, b in zip(*(x.tolist() for x in surviving(keys, band, left, right, least))):
-                links.join(a, b)
-        root = np.array([links.root(i) for i in range(len(ids))], np.int64)
-        at = np.flatnonzero(root != np.arange(len(ids)))
-        edges = np.unique(np.stack([ids[at], ids[root[at]]]), axis=1)
-        edges = edges[:, edges[0] != edges[1]]
-        return pa.RecordBatch.from_arrays([pa.array(edges[0]), pa.array(edges[1])], ["a", "b"])
+            left, right = surviving(keys, band, left, right, least)
+            # Runs come in order, so those before the last row's run are complete.
+            found.append((left, right))
+            if len(left) and ends[left[-1]] > upto:
+                yield from whole(found, int(bounds[np.searchsorted(bounds, left[-1], "right") - 1]), bounds, nodes, size)
+                upto = ends[left[-1]]
+        yield from whole(found, len(cell), bounds, nodes, size)
+
+    def whole(found: list, before: int, bounds: np.ndarray, nodes: np.ndarray, size: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The results of all runs that end by ``before``, whose pairs are taken out of ``found``."""
+        left, right = (np.concatenate([f[i] for f in found]) for i in (0, 1)) if found else (np.zeros(0, np.int64),) * 2
+        done = left < before
+        found[:] = [(left[~done], right[~done])]
+        left, right = left[done], right[done]
+        run = np.searchsorted(bounds, left, "right") - 1
+        rows = []
+        for part in np.split(np.arange(len(left)), np.flatnonzero(run[1:] != run[:-1]) + 1) if len(left) else ():
+            first = bounds[run[part[0]]]
+            own = slice(first, bounds[run[part[0]] + 1])
+            rows += cut(left[part] - first, right[part] - first, nodes[own], size[own])
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     def run(of: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for batch in of:
             if not batch.num_rows:
                 continue
-            cell, crossed, block, band, ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
-            keys = batch.column(5).flatten().to_numpy().reshape(len(ids), BANDS)
-            held.append((cell, crossed, block, band, ids, keys))
+            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
+            held.append((*columns, batch.column(6).flatten().to_numpy().reshape(batch.num_rows, BANDS)))
             if sum(len(x[0]) for x in held) < 8192:
                 continue
             rows = [np.concatenate(x) for x in zip(*held)]
             last = int(np.flatnonzero(np.append(True, rows[0][1:] != rows[0][:-1]))[-1])  # the last cell may go on
             if last:
-                yield work(*(x[:last] for x in rows))
+                yield from work(*(x[:last] for x in rows))
             held = [tuple(x[last:] for x in rows)]
         if held:
-            yield work(*(np.concatenate(x) for x in zip(*held)))
+            yield from work(*(np.concatenate(x) for x in zip(*held)))
 
-    return cells.mapInArrow(run, "a long, b long")
+    return cells.mapInArrow(run, "nodes array<long>, pairs binary")
 
 
 def dealt(rows: DataFrame, id_column: str, size: str, block_rows: int) -> DataFrame:
-    """Adds (block, x, y): rows of one group in blocks, each row in all cells of its block."""
+    """Adds (block, x, y): rows of one bucket in blocks, each row in all cells of its block."""
     blocks = F.ceil(F.col(size) / block_rows)
     rows = rows.withColumn("block", F.pmod(F.xxhash64(id_column), blocks).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))))
@@ -232,21 +267,17 @@ def dealt(rows: DataFrame, id_column: str, size: str, block_rows: int) -> DataFr
 
 
 def verify(cells: DataFrame, threshold: float) -> DataFrame:
-    """(id, root, links): for each class in a cell one it is connected to, and its links there.
+    """(id, root, links, pairs): for each class in a cell one it is connected to, its links there, and how many
+    of the cell's pairs were verified (with the first class).
 
-    ``cells`` has (cell, block, crossed, id, copies, hashes), with equal cells next to each other.
+    ``cells`` has (cell, pos, node, copies, hashes), with equal cells next to each other and classes in order of
+    ``pos``; at -1 comes the matrix of the pairs to verify, as ``prune`` gives it.
     """
-    schema = pa.schema([("id", pa.int64()), ("root", pa.int64()), ("links", pa.int64())])
+    dense, schema = DENSE, pa.schema([("id", pa.int64()), ("root", pa.int64()), ("links", pa.int64()), ("pairs", pa.int64())])
 
     def common(sets: list[np.ndarray]) -> np.ndarray:
         """The sizes of all intersections, by products of blocks of an incidence matrix."""
         n = len(sets)
-        if n <= 6:
-            out = np.zeros((n, n), np.int64)
-            for i in range(n):
-                for j in range(i):
-                    out[i, j] = out[j, i] = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            return out
         whole, counts = np.unique(np.concatenate(sets), return_counts=True)
         whole = whole[counts > 1]
         out = np.zeros((n, n), np.float64)
@@ -263,36 +294,46 @@ def verify(cells: DataFrame, threshold: float) -> DataFrame:
             out += matrix @ matrix.T
         return np.rint(out).astype(np.int64)
 
-    def work(crossed: bool, block: list[int], ids: list[int], copies: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
-        n, size = np.array([len(s) for s in sets]), np.array(copies)
-        both = common(sets)
-        linked = both >= threshold * (n[:, None] + n[None, :] - both) - 1e-9
-        linked &= both > 0
-        np.fill_diagonal(linked, False)
-        if crossed:
-            linked &= np.array(block)[:, None] != np.array(block)[None, :]
+    def shared(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The sizes of the pairs' intersections."""
+        if len(left) > dense * len(sets) ** 2 and len(sets) > 6:
+            return common(sets)[left, right]
+        return np.array([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(left.tolist(), right.tolist())])
+
+    def work(bits: bytes, ids: list[int], copies: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+        k, n, size = len(ids), np.array([len(s) for s in sets]), np.array(copies)
+        left, right = np.nonzero(np.unpackbits(np.frombuffer(bits, np.uint8), count=k * k).reshape(k, k))
+        pairs = np.zeros(k, np.int64)
+        pairs[0] = len(left)
+        both = shared(sets, left, right)
+        linked = (both > 0) & (both >= threshold * (n[left] + n[right] - both) - 1e-9)
+        left, right = left[linked], right[linked]
+        total = np.bincount(left, size[right], k) + np.bincount(right, size[left], k)
         order = np.argsort(ids)
-        place = np.empty(len(ids), np.int64)
-        place[order] = np.arange(len(ids))
-        links = Links(len(ids))
-        for a, b in zip(*(place[x].tolist() for x in np.nonzero(np.triu(linked)))):
+        place = np.empty(k, np.int64)
+        place[order] = np.arange(k)
+        links = Links(k)
+        for a, b in zip(place[left].tolist(), place[right].tolist()):
             links.join(a, b)
-        roots = [ids[order[links.root(int(place[i]))]] for i in range(len(ids))]
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(roots, pa.int64()), pa.array(linked @ size, pa.int64())], schema=schema)
+        roots = [ids[order[links.root(int(place[i]))]] for i in range(k)]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (ids, roots, np.rint(total).astype(np.int64), pairs)], schema=schema)
 
     def run(of: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
-        for batch in of:
-            for cell, crossed, block, i, copies, raw in zip(*(c.to_pylist() for c in batch.columns)):
-                if (cell, crossed) != key:
-                    if len(held) > 1:
-                        yield work(key[1], *map(list, zip(*held)))
-                    key, held = (cell, crossed), []
-                held.append((block, i, copies, np.frombuffer(raw, np.uint64)))
-        if len(held) > 1:
-            yield work(key[1], *map(list, zip(*held)))
+        key, bits, held = None, b"", []
+        for batch in sliced(of):
+            for cell, pos, node, copies, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                if cell != key:
+                    if held:
+                        yield work(bits, *map(list, zip(*held)))
+                    key, held = cell, []
+                if pos < 0:
+                    bits = raw
+                else:
+                    held.append((node, copies, np.frombuffer(raw, np.uint64)))
+        if held:
+            yield work(bits, *map(list, zip(*held)))
 
-    return cells.mapInArrow(run, "id long, root long, links long")
+    return cells.mapInArrow(run, "id long, root long, links long, pairs long")
 
 
 def narrowed(edges: DataFrame) -> DataFrame:
@@ -329,40 +370,40 @@ def classified(df: DataFrame, key: str, text: str, words: int = WORDS, threshold
     ``stays`` tells whether the class has its group's row of the smallest identifier (and text).
     The second table has ``alike`` of the texts with very many copies, None if there are none.
     """
-    small_batches(df.sparkSession)
     ident, body = F.col(f"`{key}`").cast("long"), F.coalesce(F.col(f"`{text}`"), F.lit(""))
     rows = df.select(ident.alias("id"), alike(text).alias("alike"), body.alias("text")).where("id is not null")
 
     def sketch():
         def use(texts):
             sets = [shingles(t, words) for t in texts]
-            return [[minhashes(s) if len(s) else [] for s in sets]]
+            return [[minhashes(s) if len(s) else [] for s in sets], [len(s) for s in sets]]
 
         return use
 
-    sketched = adding(rows, ["text"], {"keys": T.ArrayType(T.LongType())}, sketch, ("text",))
-    classes = sketched.groupBy("alike").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("keys").alias("keys"))
+    sketched = adding(rows, ["text"], {"keys": T.ArrayType(T.LongType()), "size": T.LongType()}, sketch, ("text",))
+    classes = sketched.groupBy("alike").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("keys").alias("keys"), F.first("size").alias("size"))
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "sketches")
     # Candidates: buckets of a band with two classes or more.
     banded = classes.where(F.size("keys") > 0).select("node", F.posexplode("keys").alias("band", "value"))
     full = banded.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1")
     bucketed = dealt(banded.join(full, ["band", "value"]), "node", "n", BUCKET_BLOCK)
-    cells = bucketed.select(F.xxhash64("band", "value", "x", "y").alias("cell"), (F.col("x") != F.col("y")).alias("crossed"), "block", "band", "node").join(classes.select("node", "keys"), "node").select("cell", "crossed", "block", "band", "node", "keys")
+    cells = bucketed.select(F.xxhash64("band", "value", "x", "y").alias("cell"), (F.col("x") != F.col("y")).alias("crossed"), "block", "band", "node").join(classes.select("node", "size", "keys"), "node").select("cell", "crossed", "block", "band", "node", "size", "keys")
     cells = cells.repartition(F.col("cell")).sortWithinPartitions("cell")
-    groups = components(prune(cells, threshold, tolerance)).withColumnRenamed("id", "node")
-    # Exact verification within the groups, with one text of each class.
-    sizes = groups.groupBy("label").agg(F.count("*").alias("n"))
-    members = written(groups.join(sizes, "label").join(classes.select("node", "alike", "id", "copies"), "node").select("alike", "id", "node", "label", "n", "copies"), "members")
-    few = members.count() <= BROADCAST_ROWS
-    texts = rows.join(F.broadcast(members) if few else members, ["alike", "id"])
-    texts = texts.groupBy("node", "label", "n", "copies").agg(F.first("text").alias("text"))
+    left = written(prune(cells, threshold, tolerance).withColumn("cell", F.monotonically_increasing_id()), "pairs")
+    # Exact verification of the pairs that are left, with one text of each class.
+    members = left.select("cell", F.posexplode("nodes").alias("pos", "node"))
+    needed = written(members.select("node").distinct().join(classes.select("node", "alike", "id", "copies"), "node").select("alike", "id", "node", "copies"), "members")
+    few = needed.count() <= BROADCAST_ROWS
+    texts = rows.join(F.broadcast(needed) if few else needed, ["alike", "id"])
+    texts = texts.groupBy("node", "copies").agg(F.first("text").alias("text"))
 
     def whole():
         return lambda texts: [[shingles(t, words).tobytes() for t in texts]]
 
     sets = adding(texts, ["text"], {"hashes": T.BinaryType()}, whole, ("text",))
-    spread = dealt(sets, "node", "n", GROUP_BLOCK).select(F.xxhash64("label", "x", "y").alias("cell"), (F.col("x") != F.col("y")).alias("crossed"), "block", "node", "copies", "hashes")
-    spread = spread.repartition(F.col("cell")).sortWithinPartitions("cell", "node")
+    spread = sets.join(members, "node").select("cell", "pos", "node", "copies", "hashes")
+    spread = spread.unionByName(left.select("cell", F.lit(-1).alias("pos"), F.lit(None).cast("long").alias("node"), F.lit(None).cast("long").alias("copies"), F.col("pairs").alias("hashes")))
+    spread = spread.repartition(F.col("cell")).sortWithinPartitions("cell", "pos")
     found = written(verify(spread, threshold), "links")
     labels = components(found.select(F.col("id").alias("a"), F.col("root").alias("b"))).withColumnRenamed("id", "node")
     counted = found.groupBy(F.col("id").alias("node")).agg(F.sum("links").alias("links"))

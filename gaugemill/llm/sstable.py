@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import file_system, put_file, scratch, small_batches
+from .common import file_system, put_file, scratch, sliced
 from .piece_cache import piece_encoder
 
 BLOCK_BYTES = 64 * 1024
@@ -231,7 +231,6 @@ def write_shards(df: DataFrame, encode: Callable[[], Callable[[list[str]], list[
     """
     spark = df.sparkSession
     folder = folder or scratch(spark, "sst")
-    small_batches(spark)
     chars = df.agg(F.sum(F.length(text))).first()[0] or 0
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // shard_chars))
     rows = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
@@ -247,7 +246,7 @@ def write_shards(df: DataFrame, encode: Callable[[], Callable[[list[str]], list[
 
         def stream(out) -> None:
             writer, encoder, ends = Writer(out, width), encode(), []
-            for batch in of:
+            for batch in sliced(of):
                 keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
                 for k, ids in zip(keys, encoder(texts)):
                     if width == 2:
@@ -274,7 +273,6 @@ def read_shards(spark: SparkSession, folder: str, key_type: str = "long") -> Dat
     ``start`` counts the ids of all entries before it; ``ids`` are little-endian unsigned 32-bit.
     The window below sees one row for each shard file, not documents.
     """
-    small_batches(spark)
     manifest = spark.read.parquet(f"{folder}/manifest")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     files = manifest.filter("n_docs > 0").select("shard", "path", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("base"))
@@ -303,7 +301,6 @@ def read_shards(spark: SparkSession, folder: str, key_type: str = "long") -> Dat
 def lookup(spark: SparkSession, folder: str, keys: DataFrame, key: str = "doc_id") -> DataFrame:
     """(key, ids) of the asked keys only: the manifest's ranges find shards, each shard's filter,
     index and one block find the entry. Keys that aren't there, and nulls, give no row."""
-    small_batches(spark)
     key_type = "string" if dict(keys.dtypes)[key] == "string" else "long"
     asked = keys.select(F.col(key).cast(key_type).alias("key")).where("key is not null").distinct()
     # Bytes that sort as the keys do, as key_bytes makes them.

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import file_system, put_file, scratch, small_batches
+from .common import file_system, put_file, scratch, sliced
 
 #: Ids in one block of the scan.
 BLOCK_IDS = 4_000_000
@@ -36,7 +36,6 @@ def write_flat(df: DataFrame, encode: Callable[[], Callable[[list[str]], list[by
     which document is which in its file; the counts don't need it.
     """
     folder = folder or scratch(df.sparkSession, "flat")
-    small_batches(df.sparkSession)
     key_type = df.schema[key].dataType
     kind = np.dtype("<u2" if width == 2 else "<u4")
 
@@ -46,7 +45,7 @@ def write_flat(df: DataFrame, encode: Callable[[], Callable[[list[str]], list[by
         ending = np.array([end_id], kind).tobytes()
 
         def stream(out) -> None:
-            for batch in of:
+            for batch in sliced(of):
                 for ids in encoder([x or "" for x in batch.column(1).to_pylist()]):
                     wide = np.frombuffer(ids, "<u4")
                     if len(wide) and (wide.max() > np.iinfo(kind).max or (wide == end_id).any()):

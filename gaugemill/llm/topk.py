@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import sliced
 
 #: Queries in a block, candidates in a tile, queries in one matrix product.
 QUERY_BLOCK, TILE, SLAB = 8192, 4096, 1024
@@ -125,7 +125,6 @@ def top_k(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", vec
     doubles otherwise.
     """
     spark, whole = df.sparkSession, scale is not None
-    small_batches(spark)
     x = F.col(f"`{vector}`")
     clean = x.isNotNull() & F.col(f"`{key}`").isNotNull() & ~F.exists(x, lambda c: c.isNull() | F.isnan(c.cast("double")) | (F.abs(c.cast("double")) == float("inf")))
     v = F.transform(x, lambda c: c.cast("double"))
@@ -178,7 +177,7 @@ def top_k(df: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id", vec
 
     def run(of: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, q_ids, q_rows, best = None, None, None, []
-        for batch in of:
+        for batch in sliced(of):
             for block, d, qi, qr, ci, cr in zip(*(c.to_pylist() for c in batch.columns)):
                 if (block, d) != at:
                     for i, b in zip(range(0, len(q_ids) if at else 0, SLAB), best):

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import adding, small_batches, written
+from .common import adding, sliced, written
 
 ORDERS = (3, 4, 5)
 BITS = 21
@@ -99,7 +99,7 @@ def count_features(rows: DataFrame, totals: dict[int, int], least: int = 3) -> D
 
     def count(of: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, table = Grams(), np.zeros((2, 1 << BITS), np.int32)
-        for batch in of:
+        for batch in sliced(of):
             for y, text in zip(*(c.to_pylist() for c in batch.columns)):
                 table[y][grams(text)] += 1
         for i in range(0, 1 << BITS, SLICE):
@@ -150,7 +150,6 @@ def logistic(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray, scale: n
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", sample_toxic: int = SAMPLE_TOXIC, sample_clean: int = SAMPLE_CLEAN, features: int = FEATURES) -> Model:
     """A model from the labels that are given; see the module for the sample's bound."""
-    small_batches(docs.sparkSession)
     rows, counts = sample(docs, labels, key, text, label, sample_toxic, sample_clean)
     totals = {c: n for c, (_, n) in counts.items()}
     if not totals[0] or not totals[1]:
@@ -164,7 +163,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     def places(of: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, place = Grams(), np.full(1 << BITS, -1, np.int32)
         place[names] = np.arange(len(names))
-        for batch in of:
+        for batch in sliced(of):
             own = [place[grams(t)] for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([np.sort(x[x >= 0]).tobytes() for x in own], pa.binary())], ["y", "places"])
 

@@ -166,9 +166,10 @@ def test_ngram_join_odd_rows(spark, odd, hot, monkeypatch):
     assert kept == sorted([1, 3, 4, 6, None, 7, 8, 9, 10, 11], key=repr)
 
 
-def test_ngram_join_splits_large_groups(spark, monkeypatch):
-    monkeypatch.setattr(near, "BUCKET_BLOCK", 3)
-    monkeypatch.setattr(near, "GROUP_BLOCK", 3)
+@pytest.mark.parametrize("dense, cell_bytes", [(0.0, 4000), (1.0, 1000)])
+def test_ngram_join_splits_large_groups(spark, monkeypatch, dense, cell_bytes):
+    for name, value in (("BUCKET_BLOCK", 8), ("CELL_BYTES", cell_bytes), ("DENSE", dense)):
+        monkeypatch.setattr(near, name, value)
     words = [f"w{i}" for i in range(60)]
     texts = {i: " ".join(words[:i] + ["new"] + words[i + 1 :]) for i in range(0, 20)}
     label, links = brute_links(texts)
@@ -176,6 +177,26 @@ def test_ngram_join_splits_large_groups(spark, monkeypatch):
     assert {r.doc_id: (r.class_id, r.n_links) for r in rows} == {d: (label[d], links[d]) for d in texts}
 
 
+def test_ngram_join_verifies_surviving_pairs_only(spark, monkeypatch):
+    """A chain in which each text is like its next two: the group has all 600 texts, few of whose pairs are left to verify."""
+    seen = {}
+    monkeypatch.setattr(near, "written", lambda df, name: seen.setdefault(name, common.written(df, name)) if name in ("pairs", "links") else common.written(df, name))
+    texts = {i: " ".join(f"w{j}" for j in range(6 * i, 6 * i + 120)) for i in range(600)}
+    rows = near.link(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    label, links = brute_links(texts)
+    assert {r.doc_id: (r.class_id, r.n_links) for r in rows} == {d: (label[d], links[d]) for d in texts} and set(label.values()) == {0}
+    left = sum(sum(b.bit_count() for b in r.pairs) for r in seen["pairs"].collect())
+    verified = seen["links"].agg(F.sum("pairs")).first()[0]
+    assert sum(links.values()) // 2 <= verified == left < 5000
+
+
+def test_settings_of_the_session_stay(spark, odd):
+    """Operators leave the session as it is, so later queries of its user run as before."""
+    before = dict(spark.conf.getAll)
+    near.link(odd).collect(), secrets.scan(odd).collect()
+    assert dict(spark.conf.getAll) == before
+
+
 def test_pruning_keeps_likely_pairs():
     least = near.least_matches(0.8, 1e-7)
     assert least[0] <= 6 and 60 < least[-1] < 90 and least == sorted(least)
