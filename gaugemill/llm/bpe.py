@@ -194,8 +194,8 @@ def together(texts: list[str]) -> Iterator[list[str]]:
         yield run
 
 
-def pieces(texts: list[str]) -> Iterator[Iterator[list[str]]]:
-    """For each text its pieces, as lists of up to PIECES."""
+def pieces(texts: list[str]) -> Iterator[tuple[Iterator[list[str]], np.ndarray]]:
+    """For each text its pieces, as lists of up to PIECES, and the byte offset in the text at which each one ends."""
     for run in together(texts):
         whole = "".join(run)
         lengths = np.fromiter(map(len, run), np.int64, len(run))
@@ -204,9 +204,14 @@ def pieces(texts: list[str]) -> Iterator[Iterator[list[str]]]:
         ends = np.cumsum(lengths)
         at = np.append(piece_starts(points, ends[full]), len(whole))
         cut = np.searchsorted(at, np.concatenate([[0], ends])).tolist()
-        del points
+        width = np.ones(len(points), np.uint8)
+        for more in (0x7F, 0x7FF, 0xFFFF):
+            width += points > more
+        upto = np.concatenate([[0], np.cumsum(width, dtype=np.int64)])[at]
+        del points, width
         for i in range(len(run)):
-            yield cut_up(whole, at[cut[i] : cut[i + 1] + 1]) if full[i] else iter(())
+            own = slice(cut[i], cut[i + 1] + 1)
+            yield (cut_up(whole, at[own]), upto[own][1:] - upto[own][0]) if full[i] else (iter(()), np.zeros(0, np.int64))
 
 
 def cut_up(whole: str, at: np.ndarray) -> Iterator[list[str]]:
@@ -232,12 +237,12 @@ class Ranks:
         self.old: dict[str, bytes] = {}
         self.held = 0  # bytes of the young generation
 
-    def merge(self, piece: bytes) -> list[int]:
-        """Ids of a piece: the pair of lowest rank is merged first, the leftmost of equals."""
+    def merge(self, piece: bytes) -> tuple[list[int], list[int]]:
+        """Ids of a piece and their lengths: the pair of lowest rank is merged first, the leftmost of equals."""
         rank = self.rank
         whole = rank.get(piece)
         if whole is not None:
-            return [whole]
+            return [whole], [len(piece)]
         if len(piece) > SHORT_PIECE:
             return self.merge_long(piece)
         n, none = len(piece), len(self.lengths)
@@ -254,9 +259,9 @@ class Ranks:
                 pairs[i] = rank.get(parts[i] + parts[i + 1], none)
             if i:
                 pairs[i - 1] = rank.get(parts[i - 1] + parts[i], none)
-        return [rank[p] for p in parts]
+        return [rank[p] for p in parts], list(map(len, parts))
 
-    def merge_long(self, piece: bytes) -> list[int]:
+    def merge_long(self, piece: bytes) -> tuple[list[int], list[int]]:
         """As merge, with a heap of pairs and links between the parts: n log n."""
         rank, n = self.rank, len(piece)
         end = list(range(1, n + 1))  # of the part that begins there; 0: it was merged away
@@ -274,17 +279,21 @@ class Ranks:
                     heapq.heappush(heap, (r, i, last, end[last]))
             if (j := left[i]) >= 0 and (r := rank.get(piece[j:last])) is not None:
                 heapq.heappush(heap, (r, j, i, last))
-        ids, i = [], 0
+        ids, lengths, i = [], [], 0
         while i < n:
             ids.append(rank[piece[i : end[i]]])
+            lengths.append(end[i] - i)
             i = end[i]
-        return ids
+        return ids, lengths
 
     def encoded(self, piece: str) -> bytes:
-        """The piece's ids as little-endian unsigned 32-bit integers, from the cache if there."""
+        """Two little-endian unsigned 32-bit integers for each token of the piece, from the cache if there: its
+        id, and how many bytes of the piece follow it."""
         ids = self.old.get(piece)
         if ids is None:
-            ids = np.array(self.merge(piece.encode()), "<u4").tobytes()
+            tokens, lengths = self.merge(piece.encode())
+            upto = np.cumsum(lengths)
+            ids = np.stack([tokens, upto[-1] - upto], axis=1).astype("<u4").tobytes()
         if self.held >= CACHE_BYTES:
             self.old, self.young, self.held = self.young, {}, 0
         if len(piece) <= 256:
@@ -294,8 +303,20 @@ class Ranks:
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text as bytes."""
-        for lists in pieces(texts):
-            yield b"".join(self.joined(own) for own in lists)
+        for ids, _ in self.placed(texts):
+            yield ids.tobytes()
+
+    def placed(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The ids of each text, and the byte offset at which each token ends: where the scan ended the token's
+        piece, less what merging left behind it in the piece."""
+        for lists, upto in pieces(texts):
+            both = np.frombuffer(b"".join(self.joined(own) for own in lists), "<u4").reshape(-1, 2)
+            after = both[:, 1].astype(np.int64)
+            last = after == 0  # of its piece
+            if np.count_nonzero(last) != len(upto):
+                raise ValueError("tokens and pieces don't agree")
+            piece = np.cumsum(last) - last
+            yield np.ascontiguousarray(both[:, 0]), upto[piece] - after
 
     def joined(self, own: list[str]) -> bytes:
         got = list(map(self.young.get, own))
@@ -304,14 +325,14 @@ class Ranks:
         return b"".join(got)
 
     def token_ends(self, ids: np.ndarray) -> np.ndarray:
-        """The byte offset in the text at which each token ends."""
+        """The byte offset at which each token ends, by the vocabulary alone."""
         return np.cumsum(self.lengths[ids])
 
     def decode(self, ids: np.ndarray, ends: np.ndarray | None = None) -> bytes:
         """The bytes of the ids; ids outside the vocabulary are refused.
 
-        ``ends`` are the offsets kept from encoding, which say where each token's bytes go; offsets
-        that don't agree with the vocabulary are refused. Without them the lengths come from it.
+        ``ends`` are the offsets kept from encoding, by places in the text, which say where each token's bytes
+        go; offsets that don't agree with the vocabulary are refused. Without them the lengths come from it.
         """
         if ends is None:
             ends = self.token_ends(ids)
@@ -350,11 +371,9 @@ def coded(df: DataFrame, path: str, text: str = "text", keep_text: bool = False,
     def make():
         vocabulary = ranks(path)
 
-        def row(text: str, raw: bytes) -> Iterator:
-            tokens = np.frombuffer(raw, "<u4")
-            offsets = vocabulary.token_ends(tokens)
+        def row(text: str, tokens: np.ndarray, offsets: np.ndarray) -> Iterator:
             back = vocabulary.decode(tokens, offsets) if decoded or same else b""
-            yield raw
+            yield tokens.tobytes()
             if ends:
                 yield offsets.astype("<i8").tobytes()
             if decoded:
@@ -366,7 +385,7 @@ def coded(df: DataFrame, path: str, text: str = "text", keep_text: bool = False,
             texts = [x or "" for x in texts]
             if len(fields) == 1:
                 return [list(vocabulary.encode(texts))]
-            return list(zip(*(row(t, raw) for t, raw in zip(texts, vocabulary.encode(texts))))) or [[] for _ in fields]
+            return list(zip(*(row(t, *found) for t, found in zip(texts, vocabulary.placed(texts))))) or [[] for _ in fields]
 
         return use
 

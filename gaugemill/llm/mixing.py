@@ -8,10 +8,11 @@ whole numbers, over the whole schedule: nothing is rounded to a period, and no e
 
 Rows go to blocks of ``block_rows`` by a seeded order within their source. When a source has run
 out, its later slots stay empty, so the others keep their windows; no row is dropped or repeated.
-The schedule has one entry a block. Unless ``block_rows`` is given, a block has 16 rows, or as many more
-as keep the blocks at about ``MOST_BLOCKS``, so that the schedule, which the driver deals out piece by
-piece (blocks times the logarithm of the sources), stays bounded while the table grows. Only counts of
-sources reach the driver, one row a source; rows find their place by a join, without a global sort.
+The schedule has one entry a block of ``block_rows`` rows, ``BLOCK_ROWS`` unless another number is given, whatever
+the size of the table. The driver deals it out piece by piece, in time of blocks times the logarithm of the
+sources, and holds ``ENTRIES`` of it at a time; larger blocks make it shorter. Of sources, whose weights the schedule needs
+together, there may be ``MOST_SOURCES``; more are refused. Only counts of sources reach the driver, one row a
+source; rows find their place by a join, without a global sort.
 
 Edge cases: null sources are a source of their own; sources without a target weight, or with one
 of zero, have no share while others have rows, and follow them in equal parts (if no source has a
@@ -23,6 +24,7 @@ results' names are replaced.
 from __future__ import annotations
 
 import heapq
+import json
 import math
 from collections.abc import Iterator
 from itertools import islice
@@ -30,16 +32,17 @@ from itertools import islice
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.sinks import write_text
 from .common import others, scratch, written
 
-#: Rows of a block, unless there would be more blocks than these.
-BLOCK_ROWS, MOST_BLOCKS = 16, 1 << 20
+#: Rows of a block, and the most sources that a schedule is made for.
+BLOCK_ROWS, MOST_SOURCES = 16, 1 << 20
 #: Ranks within a source are counted in so many pieces, which spreads a hot source.
 PIECES = 4096
 #: The schedule is broadcast up to so many entries of four numbers, and shuffled beyond.
 BROADCAST_ENTRIES = 500_000
 #: Entries of the schedule that the driver holds at a time.
-ENTRIES = 1 << 18
+ENTRIES = 1 << 16
 
 
 def smoothed(power: float = 0.5) -> Column:
@@ -100,22 +103,23 @@ def laid(spark: SparkSession, sources: list, block_rows: int) -> tuple[DataFrame
     ``sources`` has rows (source, n, part); ``start`` counts the rows before the block.
     """
     path, start, entries = scratch(spark, "mix-schedule"), 0, 0
-    kind = "s string, unknown boolean, block long, slot long, start long"
     order = sorted(sources, key=lambda r: known_first(r.source))
+    names = [f'"s":{json.dumps(r.source or "")},"unknown":{json.dumps(r.source is None)}' for r in order]
     slots = schedule([r.part for r in order], [-(-r.n // block_rows) for r in order])
+    # Lines of JSON, which Spark reads as a table like any other: no row passes a Python worker.
     while (piece := list(islice(slots, ENTRIES))) or not entries:
-        rows = []
+        lines = []
         for slot, i, j in piece:
-            rows.append((order[i].source or "", order[i].source is None, j, slot, start))
+            lines.append(f'{{{names[i]},"block":{j},"slot":{slot},"start":{start}}}\n')
             start += min(block_rows, order[i].n - j * block_rows)
-        spark.createDataFrame(rows, kind).write.mode("append").parquet(path)
+        write_text(spark, f"{path}/part-{entries:012d}.json", "".join(lines))
         entries += len(piece)
         if not piece:
             break
-    return spark.read.schema(kind).parquet(path), entries
+    return spark.read.schema("s string, unknown boolean, block long, slot long, start long").json(path), entries
 
 
-def mix(df: DataFrame, block_rows: int | None = None, weight: Column | None = None, source: str = "source", key: str = "doc_id", seed: int = 0) -> DataFrame:
+def mix(df: DataFrame, block_rows: int = BLOCK_ROWS, weight: Column | None = None, source: str = "source", key: str = "doc_id", seed: int = 0) -> DataFrame:
     """Adds mix_block, mix_slot and mix_position (all long, from 0) to every row.
 
     Rows in order of ``mix_position`` follow the target weights. Columns of these names that the
@@ -132,8 +136,9 @@ def mix(df: DataFrame, block_rows: int | None = None, weight: Column | None = No
     # A hot source is ranked piece by piece; pieces start after one another.
     pieces = written(rows.groupBy(*keys).agg(F.count("*").alias("n")), "mix-pieces")
     counts = pieces.groupBy(F.when(~F.col("unknown"), F.col("s")).alias("source")).agg(F.sum("n").alias("n"))
-    sources = shares(counts, weight).collect()
-    block_rows = block_rows or max(BLOCK_ROWS, -(-sum(r.n for r in sources) // MOST_BLOCKS))
+    sources = shares(counts, weight).limit(MOST_SOURCES + 1).collect()
+    if len(sources) > MOST_SOURCES:
+        raise ValueError(f"the column {source!r} has more than {MOST_SOURCES} values; is it a source?")
     slots, entries = laid(df.sparkSession, sources, block_rows)
     before = Window.partitionBy("s", "unknown").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     firsts = pieces.select(*keys, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))

@@ -9,7 +9,8 @@ doublings; only a text in which two windows agree is sorted, and the union of it
 is measured from their starts in order. Two hashes of 64 bits stand for equal windows.
 
 Edge cases: empty texts have no words and fail the base rule; a very long text is one row of
-arrays; ratios of texts without words or lines are 0; columns of the results' names are replaced.
+arrays; ratios of texts without words or lines are 0; stop words are told in either case and with punctuation
+around them, as a share of all words; columns of the results' names are replaced.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from .common import let, others
 
 WINDOW = 8
 BLANK = r"[\x20\x09-\x0D]"
+#: Fixed value: what may stand around a word.
+PUNCTUATION = """.,;:!?"'()[]{}<>*_-`~/|\\…«»„“”‚‘’–—¡¿"""
 #: Frequent words of the languages at hand.
 STOP_WORDS = (
     "the be to of and that have with is in for on as are this it at by or an from "
@@ -54,7 +57,7 @@ RULES = (
     Rule("too_many_words", "n_words", high=1_000_000),
     Rule("word_length", "mean_word_chars", low=2, high=15),
     Rule("symbols", "symbol_ratio", high=0.1),
-    Rule("stop_words", "n_stop_words", low=2),
+    Rule("stop_words", "stop_word_ratio", low=0.06),
     Rule("repeated_lines", "dup_line_ratio", high=0.3),
     Rule("open_lines", "ellipsis_line_ratio", high=0.3),
     Rule("bullets", "bullet_line_ratio", high=0.9),
@@ -82,7 +85,7 @@ def doubled(hashes: Column, by: int) -> Column:
 
 def metrics(df: DataFrame, text: str = "text") -> DataFrame:
     """Adds the counts and ratios of every whole text."""
-    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "mean_word_chars", "symbol_ratio", "n_stop_words", "dup_line_ratio", "ellipsis_line_ratio", "bullet_line_ratio", "repeat_word_ratio"]
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "mean_word_chars", "symbol_ratio", "n_stop_words", "stop_word_ratio", "dup_line_ratio", "ellipsis_line_ratio", "bullet_line_ratio", "repeat_word_ratio"]
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     kept = others(df, [*names, "__words", "__lines", "__h"])
     rows = df.select(*[F.col(f"`{c}`") for c in kept], body.alias("__body"), F.array_remove(F.split(body, BLANK + "+"), "").alias("__words"), F.filter(F.split(body, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("__lines"))
@@ -99,7 +102,7 @@ def metrics(df: DataFrame, text: str = "text") -> DataFrame:
         n(F.length("__body") - F.length(F.regexp_replace("__body", r"[#*$%&|<>]", ""))).alias("n_symbols"),
         n(F.size("__lines") - F.size(F.array_distinct("__lines"))).alias("n_dup_lines"),
         F.when(F.size(F.array_distinct("__h")) < F.size("__h"), repeated_words(F.col("__h"))).otherwise(F.lit(0).cast("long")).alias("n_repeat_words"),
-        n(F.size(F.filter("__words", lambda w: w.isin(STOP_WORDS)))).alias("n_stop_words"),
+        n(F.size(F.filter("__words", lambda w: F.lower(F.btrim(w, F.lit(PUNCTUATION))).isin(STOP_WORDS)))).alias("n_stop_words"),
         n(F.size("__lines")).alias("__n_lines"),
         n(F.size(F.filter("__lines", lambda x: x.endswith("...") | x.endswith("…")))).alias("__open"),
         n(F.size(F.filter("__lines", lambda x: x.substr(1, 2).isin("- ", "* ", "• ")))).alias("__bullets"),
@@ -110,6 +113,7 @@ def metrics(df: DataFrame, text: str = "text") -> DataFrame:
         ratio("word_chars", "n_words").alias("mean_word_chars"),
         ratio("n_symbols", "n_words").alias("symbol_ratio"),
         "n_stop_words",
+        ratio("n_stop_words", "n_words").alias("stop_word_ratio"),
         ratio("n_dup_lines", "__n_lines").alias("dup_line_ratio"),
         ratio("__open", "__n_lines").alias("ellipsis_line_ratio"),
         ratio("__bullets", "__n_lines").alias("bullet_line_ratio"),

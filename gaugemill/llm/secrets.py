@@ -12,10 +12,9 @@ descending sequences, keyboard walks and brute-force spans; a split of l parts c
 product times l!, since an attacker would try shorter splits first.
 
 Offsets count code points, ends are exclusive. Edge cases: null and empty texts have no spans;
-repeated rows give the same spans; values of any length are judged whole. To bound the work, values
-over ``LONGEST`` characters have splits of at most ``MOST_PARTS`` parts (which changes no cost below
-log10 of MOST_PARTS!, far above the limit), and those over 1024 have repeated blocks of at most
-``REPEATS`` / length characters. A value after a mere space, as in prose, needs a digit; a match
+repeated rows give the same spans; values of any length are judged whole, over all splits and with
+repeated blocks of any size: these are taken from the value's maximal runs, of which there are fewer than
+characters, and numbers of parts stop where no larger one could be cheaper. A value after a mere space, as in prose, needs a digit; a match
 that is rejected is searched for others from behind its name. Columns of the results' names are
 replaced.
 """
@@ -46,10 +45,6 @@ KINDS = ("assign", "access", "hex", "guess")
 
 #: A value counts as a secret from this log10 of guesses on.
 LEAST_LOG10 = 9.0
-#: Up to so many characters a value may be split into any number of parts, beyond it into so many.
-LONGEST, MOST_PARTS = 64, 24
-#: Pairs of place and size at which repeated blocks are looked for.
-REPEATS = 1 << 20
 #: Frequent parts of chosen passwords, most frequent first; the words of a vocabulary follow them.
 WORDS = (
     "password pass admin welcome login user test secret token key letmein master monkey dragon shadow sunshine princess football baseball "
@@ -129,18 +124,70 @@ def spans_of(value: str, words: str | None = None) -> list[tuple[int, int, float
     return found
 
 
-def repeats_of(value: str) -> tuple[np.ndarray, np.ndarray]:
-    """(start, end) of every block that repeats the one before it, of unlike characters."""
-    raw, n = np.frombuffer(value.encode("utf-32-le"), np.uint32), len(value)
-    same = np.array(runs(n, lambda i: value[i] == value[i - 1]))
-    starts, ends = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for size in range(2, min(n // 2, max(REPEATS // n, 2)) + 1):
-        equal = np.concatenate([[0], np.cumsum(raw[size:] == raw[:-size])])
-        at = np.flatnonzero(equal[size:] - equal[:-size] == size)
-        at = at[same[at] < at + size]
-        starts.append(at + size)
-        ends.append(at + 2 * size)
-    return np.concatenate(starts), np.concatenate(ends)
+def ordered(codes: np.ndarray) -> list[np.ndarray]:
+    """For k = 0, 1, ...: the rank of each place by its next 2**k codes; the last has no ties.
+
+    What is cut off by the end comes before what goes on.
+    """
+    levels = [np.unique(codes, return_inverse=True)[1].astype(np.int64)]
+    while levels[-1].max(initial=0) < len(codes) - 1:
+        one, width = levels[-1], 1 << len(levels) - 1
+        two = np.concatenate([one[width:], np.full(min(width, len(one)), -1)])
+        levels.append(np.unique(one * (len(codes) + 1) + two + 1, return_inverse=True)[1].astype(np.int64))
+    return levels
+
+
+def common_ahead(levels: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """How many codes from unlike places i and j on are the same."""
+    n, i, j = len(levels[0]), i.copy(), j.copy()
+    total = np.zeros(len(i), np.int64)
+    for k in range(len(levels) - 1, -1, -1):
+        inside = (i < n) & (j < n)
+        same = inside & (levels[k][np.where(inside, i, 0)] == levels[k][np.where(inside, j, 0)])
+        step = same.astype(np.int64) << k
+        total, i, j = total + step, i + step, j + step
+    return total
+
+
+def runs_of(codes: np.ndarray) -> list[tuple[int, int, int]]:
+    """(start, end, period) of all maximal runs: longest stretches of which two least periods or more fit in.
+
+    Every run has a Lyndon word of its period, for one order of the codes or the other, that is the longest
+    Lyndon word from some place, and ends where a smaller suffix begins. So n places and two orders
+    propose all runs, and common extensions either way tell which proposals are runs.
+    """
+    n, found = len(codes), set()
+    if n < 2:
+        return []
+    back = ordered(codes[::-1].astype(np.int64))
+    for signed in (codes.astype(np.int64), -codes.astype(np.int64)):
+        ahead = ordered(signed)
+        rank, smaller, stack = ahead[-1].tolist(), [n] * n, []
+        for i in range(n - 1, -1, -1):
+            while stack and rank[stack[-1]] > rank[i]:
+                stack.pop()
+            smaller[i] = stack[-1] if stack else n
+            stack.append(i)
+        i, j = np.arange(n), np.array(smaller)
+        period = j - i
+        right = j + np.where(j < n, common_ahead(ahead, i, np.minimum(j, n)), 0)
+        # To the left: from the places before i and j, in the reversed text.
+        left = i - np.where(i > 0, common_ahead(back, n - i, n - j), 0)
+        at = right - left >= 2 * period
+        found.update(zip(left[at].tolist(), right[at].tolist(), period[at].tolist()))
+    return sorted(found)
+
+
+def least_before(row: np.ndarray) -> np.ndarray:
+    """For each place q of the first axis the least of places ceil(q / 2) to q - 1, infinite for q < 2."""
+    out = np.full(row.shape, np.inf)
+    level, width = row, 1
+    while 2 * width < len(row):
+        # Windows of ``width`` to 2 * width - 1 places: two of ``width`` cover them.
+        q = np.arange(2 * width, min(4 * width, len(row)))
+        out[q] = np.minimum(level[q - q // 2], level[q - width])
+        level, width = np.minimum(level[:-width], level[width:]), 2 * width
+    return out
 
 
 def log10_guesses(value: str, words: str | None = None) -> float:
@@ -150,31 +197,48 @@ def log10_guesses(value: str, words: str | None = None) -> float:
         return 0.0
     near = neighbours()
     low, place = value.lower(), np.arange(n + 1)
-    found = spans_of(value, words)
-    begin, end = repeats_of(value)
-    start = np.concatenate([np.array([x[0] for x in found], np.int64), begin])
-    stop = np.concatenate([np.array([x[1] for x in found], np.int64), end])
-    cost = np.concatenate([[x[2] for x in found], np.full(len(begin), math.log10(2))])
+    found = sorted(spans_of(value, words), key=lambda x: x[1])
+    start, stop = (np.array([x[i] for x in found], np.int64) for i in (0, 1))
+    cost = np.array([x[2] for x in found], float)
+    stops, heads = np.unique(stop, return_index=True)
+    # Blocks that repeat the one before them: k periods of a run, behind k periods of it. Those of one character are found above.
+    twice = [x for x in runs_of(np.frombuffer(value.encode("utf-32-le"), np.uint32)) if x[2] > 1]
+    again = math.log10(2)
     # Keyboard walks of four keys or more, from any place in a run to any other: (first, end of the run).
     ends = runs(n, lambda i: low[i] in near.get(low[i - 1], ()))
     walks = [(i, ends[i]) for i in range(n) if ends[i] - i >= 4 and (not i or ends[i - 1] == i)]
     key, first = math.log10(2.3), math.log10(len(near))
     each = math.log10(alphabet(value))
+    # Splits of more than so many parts cost at least ``bound`` at that place: brute force for all characters, less
+    # what runs and walks could save at most, less the best savings of as many spans, and the order of the parts.
+    spared = sum(b - a for a, b, *_ in [*twice, *walks]) * each
+    savings = -np.sort(-np.maximum((stop - start) * each - cost, 0.0))
+    order = np.concatenate([[0.0], np.cumsum(np.log10(np.arange(1, n + 1)))])
+    best = np.concatenate([[0.0], np.cumsum(savings)])
+    bound = np.maximum(n * each - spared - best[np.minimum(np.arange(n + 1), len(savings))], 0.0) + order
+    bound = np.append(np.minimum.accumulate(bound[::-1])[::-1][1:], np.inf)
     # Of the first j characters in so many parts: the cheapest cost, and that without brute force at
     # the end, since a brute-force part never follows another.
     either = np.full(n + 1, np.inf)
     either[0] = 0.0
     known, least = either.copy(), math.inf
-    for parts in range(1, (n if n <= LONGEST else MOST_PARTS) + 1):
+    for parts in range(1, n + 1):
         new = np.full(n + 1, np.inf)
-        np.minimum.at(new, stop, either[start] + cost)
+        if len(stops):
+            new[stops] = np.minimum.reduceat(either[start] + cost, heads)
+        for a, b, period in twice:
+            rows = -(-(b - a + 1) // period)
+            own = np.full(rows * period, np.inf)
+            own[: b - a + 1] = either[a : b + 1]
+            ahead = least_before(own.reshape(rows, period)).ravel()[: b - a + 1]
+            new[a : b + 1] = np.minimum(new[a : b + 1], ahead + again)
         for a, b in walks:
             new[a + 4 : b + 1] = np.minimum(new[a + 4 : b + 1], np.minimum.accumulate(either[a : b - 3] - place[a : b - 3] * key) + first + (place[a + 4 : b + 1] - 1) * key)
         brute = np.full(n + 1, np.inf)
         brute[1:] = np.minimum.accumulate(known[:-1] - place[:-1] * each) + place[1:] * each
         either, known = np.minimum(new, brute), new
-        least = min(least, float(either[n]) + math.log10(math.factorial(parts)))
-        if not np.isfinite(either).any() or math.log10(math.factorial(parts)) >= least:
+        least = min(least, float(either[n]) + order[parts])
+        if not np.isfinite(either).any() or bound[parts] >= least:
             break
     return least
 

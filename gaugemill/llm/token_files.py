@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import file_system, put_file, scratch, sliced
+from .common import file_system, put_file, scratch, sliced, written
 
 #: Ids in one block of the scan.
 BLOCK_IDS = 4_000_000
@@ -91,11 +91,13 @@ def token_counts(spark: SparkSession, folder: str, end_id: int, width: int = 2,
     files = spark.read.format("binaryFile").option("pathGlobFilter", "tokens-*.bin").load(folder).select(F.regexp_replace("path", "^file:/+", "file:///").alias("file"), (F.col("length") / width).cast("long").alias("ids"))
     blocks = files.filter("ids > 0").select("file", F.posexplode(F.sequence(F.lit(0).cast("long"), F.col("ids") - 1, F.lit(block_ids).cast("long"))).alias("block", "start"), "ids").select("file", F.col("block").cast("long").alias("block"), "start", F.least(F.lit(block_ids), F.col("ids") - F.col("start")).cast("long").alias("length"))
     blocks = blocks.repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), "file", "block")
-    found = scan_blocks(blocks, end_id, width)
-    # One row for each block from here; the scan carries two numbers from block to block.
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    last = F.max(F.try_element_at("ends", F.lit(-1))).over(before)
-    carried = found.select("file", "block", "ends", F.coalesce(last, F.lit(-1)).cast("long").alias("previous"), F.coalesce(F.sum(F.size("ends")).over(before), F.lit(0)).cast("long").alias("done"), (F.lead("block").over(Window.partitionBy("file").orderBy("block")).isNull()).alias("is_last"), (F.col("block") * block_ids + F.col("n_ids")).alias("size"))
+    found = written(scan_blocks(blocks, end_id, width), "ends")
+    # The scan carries two numbers from block to block, one small row each; the ends stay with their blocks.
+    seen = found.select("file", "block", F.try_element_at("ends", F.lit(-1)).alias("last"), F.size("ends").alias("n"))
+    order = Window.partitionBy("file").orderBy("block")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    carry = seen.select("file", "block", F.coalesce(F.max("last").over(before), F.lit(-1)).cast("long").alias("previous"), F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("done"), F.lead("block").over(order).isNull().alias("is_last"))
+    carried = found.withColumn("size", F.col("block") * block_ids + F.col("n_ids")).join(carry, ["file", "block"])
     rows = carried.select("file", "done", F.posexplode(F.arrays_zip(F.concat(F.array("previous"), F.expr("slice(ends, 1, greatest(size(ends) - 1, 0))")).alias("a"), F.col("ends").alias("b"))).alias("i", "doc")).where("doc.b is not null")
     whole = rows.select("file", (F.col("done") + F.col("i")).alias("ordinal"), (F.col("doc.a") + 1).alias("start"), (F.col("doc.b") - F.col("doc.a") - 1).alias("n_tokens"), F.lit(True).alias("ended"))
     at_end = F.coalesce(F.try_element_at("ends", F.lit(-1)), F.col("previous"))

@@ -353,6 +353,13 @@ def test_bpe_in_segments(docs, monkeypatch):
     for text, raw in zip(texts, want):
         ids = np.frombuffer(raw, "<u4")
         assert small.decode(ids) == small.decode(ids, small.token_ends(ids)) == text.encode()
+    # Offsets come from the pieces' places and the merging, and agree with the vocabulary, which they don't use.
+    for vocabulary in (whole, small):
+        lengths, vocabulary.lengths = vocabulary.lengths, np.zeros(len(vocabulary.lengths), np.int64)
+        got = list(vocabulary.placed(texts))
+        vocabulary.lengths = lengths
+        assert [ids.tobytes() for ids, _ in got] == want
+        assert all(np.array_equal(ends, vocabulary.token_ends(ids)) for ids, ends in got)
     with pytest.raises(ValueError):
         small.decode(ids := np.frombuffer(want[0], "<u4"), small.token_ends(ids) + 1)
 
@@ -460,9 +467,15 @@ def test_mixing(spark, odd, monkeypatch):
         m.setattr(mixing, "BROADCAST_ENTRIES", 0)  # the shuffled way gives the same places
         assert sorted(queries.op8_mixing(spark, FOLDER).collect(), key=lambda r: r.mix_position) == rows
     assert mixing.mix(odd.withColumn("mix_slot", F.lit("x"))).count() == len(ODD) and mixing.mix(odd.limit(0)).count() == 0
-    monkeypatch.setattr(mixing, "MOST_BLOCKS", 10)  # a large table has larger blocks
-    few = mixing.mix(docs).collect()
-    assert sorted(r.mix_position for r in few) == list(range(len(few))) and len({r.mix_slot for r in few}) <= 10 + docs.select("source").distinct().count()
+    # Blocks have the rows that are asked for, and the same number whatever the size of the table.
+    for table in (docs, docs.limit(20), docs.unionByName(docs)):
+        for size in (mixing.BLOCK_ROWS, 5):
+            found = collections.Counter((r.source, r.mix_block) for r in mixing.mix(table, size).collect())
+            counts = {r.source: r["count"] for r in table.groupBy("source").count().collect()}
+            assert found == {(s, j): min(size, n - j * size) for s, n in counts.items() for j in range(-(-n // size))}
+    monkeypatch.setattr(mixing, "MOST_SOURCES", 2)
+    with pytest.raises(ValueError, match="more than 2 values"):
+        mixing.mix(docs)
 
 
 def test_mixing_orders_rows_that_share_an_identifier(spark):
@@ -645,6 +658,70 @@ def test_guess_cost_is_the_cheapest_split():
         assert secrets.log10_guesses(value) == pytest.approx(brute_cost(value, words)), value
 
 
+def plain_runs(s):
+    found = set()
+    for p in range(1, len(s) // 2 + 1):
+        i = 0
+        while i + p < len(s):
+            a = i
+            while i + p < len(s) and s[i] == s[i + p]:
+                i += 1
+            if i - a >= p and not any(all(s[k] == s[k + q] for k in range(a, i + p - q)) for q in range(1, p)):
+                found.add((a, i + p, p))
+            i += i == a
+    return sorted(found)
+
+
+def plain_cost(value):
+    """The cheapest split by one loop over numbers of parts and places, with every repeated block written out."""
+    n, low, near = len(value), value.lower(), secrets.neighbours()
+    spans = list(secrets.spans_of(value))
+    for size in range(2, n // 2 + 1):
+        spans += [(i + size, i + 2 * size, np.log10(2)) for i in range(n - 2 * size + 1) if value[i : i + size] == value[i + size : i + 2 * size] and len(set(value[i : i + size])) > 1]
+    for i in range(n):
+        j = i + 1
+        while j < n and low[j] in near.get(low[j - 1], ()):
+            j += 1
+            if j - i >= 4:
+                spans.append((i, j, np.log10(len(near)) + (j - i - 1) * np.log10(2.3)))
+    ending = collections.defaultdict(list)
+    for a, b, c in spans:
+        ending[b].append((a, c))
+    either, known, least, order = [0.0] + [np.inf] * n, [0.0] + [np.inf] * n, np.inf, 0.0
+    each = np.log10(secrets.alphabet(value))
+    for parts in range(1, n + 1):
+        order += np.log10(parts)
+        if order >= least:
+            break
+        new, brute, best = [np.inf] * (n + 1), [np.inf] * (n + 1), np.inf
+        for j in range(1, n + 1):
+            new[j] = min((either[a] + c for a, c in ending[j]), default=np.inf)
+            best = min(best, known[j - 1] - (j - 1) * each)
+            brute[j] = best + j * each
+        either, known = [min(a, b) for a, b in zip(new, brute)], new
+        least = min(least, either[n] + order)
+    return least
+
+
+def test_runs_by_loops():
+    rng = np.random.default_rng(5)
+    for _ in range(400):
+        s = "".join(rng.choice(list("ab" if rng.random() < 0.5 else "abc"), rng.integers(0, 30)))
+        assert secrets.runs_of(np.frombuffer(s.encode("utf-32-le"), np.uint32)) == plain_runs(s), s
+
+
+def test_guess_cost_of_long_values():
+    """Values of any length: repeats of all sizes, and any number of parts."""
+    rng = np.random.default_rng(7)
+    letters = list("abcdefgh123qwertyPASSword")
+    values = ["".join(rng.choice(letters, n)) for n in (3, 20, 65, 70, 130)] + ["ab1" * 40, ("qwe!" * 9 + "x7") * 3, ("1" * 20 + "2" * 20) * 3 + "password"]
+    values += ["".join(rng.choice(list("ab"), n)) for n in (30, 66, 100)] + [("k3y" * 50 + "Zz9-") * 7]
+    assert max(map(len, values)) > 1024
+    for value in values:
+        assert secrets.log10_guesses(value) == pytest.approx(plain_cost(value)), value
+    assert secrets.log10_guesses(("1" * 300 + "2" * 300) * 3) == pytest.approx(8.9365, abs=1e-3)  # below the limit, so no secret
+
+
 def test_guess_cost_knows_words():
     path = queries.vocabulary(queries.SECRETS_WORDS)
     ranks, _ = secrets.dictionary(path)
