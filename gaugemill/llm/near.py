@@ -45,8 +45,8 @@ STEP = 16
 TOLERANCE = 1e-7
 #: Classes in one block of a bucket, and bytes of hashes on either side of a cell that is verified.
 BUCKET_BLOCK, CELL_BYTES = 1024, 8 << 20
-#: Pairs compared at a time, and shingles in one matrix product.
-PAIRS, COLUMNS = 1 << 16, 1 << 14
+#: Pairs compared at a time, and entries (classes times shingles) of a matrix that is multiplied.
+PAIRS, MATRIX = 1 << 16, 1 << 22
 #: Cells in which a larger share of all pairs survived are verified by matrix products.
 DENSE = 1 / 16
 #: Classes of candidates are broadcast up to so many rows of a digest and three numbers, and shuffled beyond.
@@ -286,18 +286,19 @@ def verify(cells: DataFrame, threshold: float) -> DataFrame:
             at = np.searchsorted(whole, s)
             at[at == len(whole)] = 0
             places.append(at[whole[at] == s] if len(whole) else at[:0])
-        for c in range(0, len(whole), COLUMNS):
-            matrix = np.zeros((n, min(COLUMNS, len(whole) - c)), np.float32)
+        width = max(MATRIX // n, 1)
+        for c in range(0, len(whole), width):
+            matrix = np.zeros((n, min(width, len(whole) - c)), np.float32)
             for i, at in enumerate(places):
-                lo, hi = np.searchsorted(at, [c, c + COLUMNS])
+                lo, hi = np.searchsorted(at, [c, c + width])
                 matrix[i, at[lo:hi] - c] = 1
             out += matrix @ matrix.T
-        return np.rint(out).astype(np.int64)
+        return out
 
     def shared(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The sizes of the pairs' intersections."""
         if len(left) > dense * len(sets) ** 2 and len(sets) > 6:
-            return common(sets)[left, right]
+            return np.rint(common(sets)[left, right]).astype(np.int64)
         return np.array([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(left.tolist(), right.tolist())])
 
     def work(bits: bytes, ids: list[int], copies: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
