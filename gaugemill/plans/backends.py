@@ -13,12 +13,15 @@ import time
 import urllib.error
 import urllib.parse
 import urllib.request
+import uuid
 from collections.abc import Callable, Iterable, Iterator
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field, replace
 
 import pandas as pd
+from pyarrow.fs import FileSelector, FileSystem
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.contract import CANARY, Contract, Prompt
 from ..functions.scalars import STATUS_CLASSES
@@ -42,11 +45,12 @@ Backend = Callable[[str, str, Contract, Endpoint], Reply]
 
 @dataclass
 class RuleBackend:
-    """Answers by the first rule whose texts all stand in the user message."""
+    """Answers by the first rule whose texts all stand in the user message, and refuses messages that have ``refuse``."""
 
-    rules: tuple[tuple[tuple[str, ...], str], ...] = ((("gender: Male", "diag_1: 650"), "inconsistent"),)
+    rules: tuple[tuple[tuple[str, ...], str], ...] = ()
     otherwise: str = "consistent"
-    refuse: str = "BAD400"
+    refuse: str = ""
+    local = True  # it answers where the rows are, and no endpoint is asked
 
     def __call__(self, system: str, user: str, contract: Contract, endpoint: Endpoint) -> Reply:
         if self.refuse and self.refuse in user:
@@ -198,14 +202,77 @@ def preflight(backend: Backend, prompt: Prompt, user: str, endpoint: Endpoint, g
         raise ConfigError(f"{endpoint.name} doesn't keep the schema's order of keys: {', '.join(answer)}")
 
 
-def ask(plan: DataFrame, system: str, contract: Contract, backend: Backend, endpoints: list[Endpoint]) -> DataFrame:
+#: Replies that a task holds before it hands them on, and that a journal's file takes.
+HANDED, JOURNALLED = 64, 8
+
+
+def in_lanes(plan: DataFrame, endpoints: list[Endpoint], tasks: int) -> tuple[DataFrame, dict[str, int]]:
+    """The plan dealt into lanes, one endpoint each, and how many requests a lane may have in flight.
+
+    An endpoint of concurrency c has min(c, tasks) lanes of floor(c / lanes) requests, each lane in one
+    partition, so that all tasks together never exceed what was declared.
+    """
+    first, lane, width = 0, None, {}
+    for e in endpoints:
+        lanes = max(1, min(e.concurrency, tasks))
+        width[e.name] = max(1, e.concurrency // lanes)
+        number = F.lit(first) + F.pmod(F.xxhash64("key"), F.lit(lanes)).cast("int")
+        lane = (F if lane is None else lane).when(F.col("endpoint") == e.name, number)
+        first += lanes
+    return plan.withColumn("__lane", lane).repartitionById(first, F.col("__lane")), width
+
+
+class Journal:
+    """Replies of a lane as they come, in small whole files that any later attempt at the lane's rows reads.
+
+    So a task that is run again, or a run that is started again, pays only for what was not recorded.
+    """
+
+    def __init__(self, uri: str):
+        self.files, self.path = FileSystem.from_uri(uri)
+        self.files.create_dir(self.path, recursive=True)
+        self.held: list[dict] = []
+
+    def known(self) -> dict[str, list]:
+        """What all attempts before this one have recorded, by key."""
+        found = {}
+        for info in self.files.get_file_info(FileSelector(self.path)):
+            if info.path.endswith(".jsonl"):
+                with self.files.open_input_stream(info.path) as lines:
+                    found |= {r["key"]: r["reply"] for r in map(json.loads, lines.read().splitlines())}
+        return found
+
+    def add(self, key: str, reply: tuple) -> None:
+        self.held.append({"key": key, "reply": reply})
+        if len(self.held) >= JOURNALLED:
+            self.flush()
+
+    def flush(self) -> None:
+        if not self.held:
+            return
+        part = f"{self.path}/{uuid.uuid4().hex}"
+        with self.files.open_output_stream(part) as out:
+            out.write("".join(json.dumps(r) + "\n" for r in self.held).encode())
+        self.files.move(part, f"{part}.jsonl")
+        self.held = []
+
+
+def ask(plan: DataFrame, system: str, contract: Contract, backend: Backend, endpoints: list[Endpoint], journal: str | None = None) -> DataFrame:
     """``plan`` (with ``key``, ``user`` and ``endpoint``) and the replies.
 
-    Each partition keeps as many requests in flight as its endpoint's concurrency. An exception in
-    one row becomes that row's error; replies cut off at the length limit are errors as well.
+    Of a backend that is not ``local`` no endpoint ever has more requests in flight than its concurrency, over all
+    tasks (but for tasks that Spark runs twice at a time, as in speculation). A slow row holds no other: replies
+    are handed on as they come. An exception in one row becomes that row's error; replies cut off at the length limit are errors as well.
+
+    ``journal`` names a folder that all tasks share, in which replies are kept until they are committed;
+    what it holds is not asked again.
     """
     known = {e.name: e for e in endpoints}
     fields = [c.split() for c in REPLY.split(", ")]
+    schema = plan.schema.simpleString()[len("struct<") : -1]
+    columns, width = plan.columns, {e.name: max(1, e.concurrency) for e in endpoints}
+    if not getattr(backend, "local", False):
+        plan, width = in_lanes(plan, endpoints, plan.sparkSession.sparkContext.defaultParallelism)
 
     def one(user: str, name: str) -> tuple:
         began = time.monotonic()
@@ -218,15 +285,52 @@ def ask(plan: DataFrame, system: str, contract: Contract, backend: Backend, endp
         took = round(time.monotonic() - began, 3)
         return reply.content, reply.finish_reason, took, reply.prompt_tokens, reply.completion_tokens, reply.error_class, reply.error_detail, getattr(reply, "attempts", 1)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        width = max((e.concurrency for e in known.values()), default=1)
-        with ThreadPoolExecutor(width) as pool:
-            for batch in batches:
-                rows = list(pool.map(one, batch["user"], batch["endpoint"]))
-                made = pd.DataFrame(rows, columns=[f[0] for f in fields], index=batch.index)
-                for name in ("prompt_tokens", "completion_tokens"):
-                    made[name] = made[name].astype("Int64")
-                yield pd.concat([batch, made], axis=1)
+    def table(rows: list[tuple]) -> pd.DataFrame:
+        made = pd.DataFrame(rows, columns=[*columns, *(f[0] for f in fields)])
+        for name in ("prompt_tokens", "completion_tokens"):
+            made[name] = made[name].astype("Int64")
+        return made
 
-    schema = plan.schema.simpleString()[len("struct<") : -1]
-    return plan.mapInPandas(run, f"{schema},{','.join(':'.join(f) for f in fields)}".replace("bigint", "bigint"))
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = (row for batch in batches for row in batch[columns].itertuples(index=False, name=None))
+        key, user, name = (columns.index(c) for c in ("key", "user", "endpoint"))
+        pools = {n: ThreadPoolExecutor(w) for n, w in width.items()}  # threads start as they are needed
+        pending: dict[Future, tuple] = {}
+        done: list[tuple] = []
+        log, before = None, {}
+        if journal:
+            log = Journal(journal)
+            before = log.known()
+        try:
+            for row in rows:
+                if (old := before.get(row[key])) is not None:
+                    done.append((*row, *old))
+                else:
+                    pending[pools[row[name]].submit(one, row[user], row[name])] = row
+                while len(pending) >= 2 * width[row[name]]:
+                    done += taken(pending, log, key)
+                if len(done) >= HANDED:
+                    yield table(done)
+                    done = []
+            while pending:
+                done += taken(pending, log, key)
+            if log:
+                log.flush()
+            if done:
+                yield table(done)
+        finally:
+            for pool in pools.values():
+                pool.shutdown(cancel_futures=True)
+
+    def taken(pending: dict[Future, tuple], log: Journal | None, key: int) -> list[tuple]:
+        """The rows whose replies have come, at least one, taken out of ``pending``."""
+        ready, _ = wait(pending, return_when=FIRST_COMPLETED)
+        out = []
+        for f in ready:
+            row, reply = pending.pop(f), f.result()
+            if log:
+                log.add(row[key], reply)
+            out.append((*row, *reply))
+        return out
+
+    return plan.mapInPandas(run, f"{schema},{','.join(':'.join(f) for f in fields)}")

@@ -22,7 +22,7 @@ from ..sources.config import ConfigError, Endpoint
 from ..sources.items import validated
 from ..operators.log import first_all_failed, latest
 from ..operators.summary import document
-from ..sources.sinks import append_results, check_manifest, read_json, store_of, write_json, write_order, write_text
+from ..sources.sinks import absolute, append_results, check_manifest, read_json, remove, store_of, write_json, write_order, write_text
 from . import plan as plans
 from .backends import Backend, RuleBackend, ask, preflight, request_body
 
@@ -85,8 +85,8 @@ def judge(items: DataFrame, out: str, prompt: Prompt, endpoints: list[Endpoint],
     """Judges what ``out`` has no record of yet, appends it there, and returns all records.
 
     The pool, the run's earlier settings and the endpoints are checked before the pool is sent. Requests
-    are spread over tasks by key; a repeated task can only repeat requests whose records weren't
-    committed. New records are numbered behind all that are there, so that they supersede them.
+    are spread over tasks by endpoint and key; a task or a run that is repeated asks only for replies that no
+    earlier attempt left in ``_run/journal``, which goes when the records are committed. New records are numbered behind all that are there, so that they supersede them.
     """
     options, spark, backend = options or Options(), items.sparkSession, backend or RuleBackend()
     validated(items, placeholders(prompt.user))
@@ -102,8 +102,13 @@ def judge(items: DataFrame, out: str, prompt: Prompt, endpoints: list[Endpoint],
         plan = plans.remaining(plan, plans.done_keys(old, options.retry_errors))
     if options.max_requests:
         plan = plans.numbered(plan, F.sha2("key", 256), F.col("key"), "turn").where(F.col("turn") < options.max_requests).drop("turn")
-    send = lambda part, after: append_results(recorded(ask(part.repartition(lanes, "key"), prompt.system, prompt.contract, backend, endpoints), prompt, options, after), out)
-    lanes = max(1, min(sum(e.concurrency for e in endpoints), 4 * spark.sparkContext.defaultParallelism))
+    journal = None if getattr(backend, "local", False) else f"{out}/_run/journal"
+
+    def send(part: DataFrame, after: int) -> None:
+        append_results(recorded(ask(part, prompt.system, prompt.contract, backend, endpoints, journal and absolute(spark, journal)), prompt, options, after), out)
+        if journal:
+            remove(spark, journal)  # all of it is committed now
+
     after = -1 if old is None else old.agg(F.max("seq")).first()[0]
     if options.probe and old is None:
         turn = F.row_number().over(Window.partitionBy("endpoint").orderBy("ord"))

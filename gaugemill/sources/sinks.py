@@ -41,6 +41,17 @@ def store_of(spark: SparkSession, path: str):
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
 
 
+def absolute(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as processes other than Spark's read it."""
+    files, place = store_of(spark, path)
+    return files.makeQualified(place).toString().replace("file:/", "file:///", 1) if files.getScheme() == "file" else files.makeQualified(place).toString()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, place = store_of(spark, path)
+    files.delete(place, True)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder that all executors share: in the checkpoint folder, else in the warehouse.
 

@@ -1,8 +1,11 @@
 """Contracts, sources, sampling and whole runs on small inputs."""
 
+import collections
 import hashlib
 import json
 import threading
+import time
+import uuid
 from dataclasses import replace
 from datetime import datetime, timezone
 from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
@@ -19,14 +22,15 @@ from gaugemill.streaming import streams
 from pyspark.sql import functions as F
 
 SYSTEM = 'Judge the row.\n{"verdict": "consistent" | "inconsistent", "short_reason": "<why>"}'
-USER = "gender: {gender}\ndiag_1: {diag_1}\nage: {age}"
+USER = "colour: {colour}\nshape: {shape}\nsize: {size}"
 PROMPT = contracts.build_prompt("p", SYSTEM, USER)
+RULED = backends.RuleBackend(rules=((("colour: red", "shape: disc"), "inconsistent"),), refuse="shape: torn")
 ENDPOINTS = [config.Endpoint("a", "m", concurrency=2), config.Endpoint("b", "m", concurrency=1)]
 
 
 @pytest.fixture
 def items(spark):
-    rows = [(f"t:{i}", json.dumps({"gender": "Male" if i % 3 == 0 else "Female", "diag_1": "BAD400" if i == 5 else "650", "age": i}), "kept", "s", 2.0) for i in range(20)]
+    rows = [(f"t:{i}", json.dumps({"colour": "red" if i % 3 == 0 else "blue", "shape": "torn" if i == 5 else "disc", "size": i}), "kept", "s", 2.0) for i in range(20)]
     return spark.createDataFrame(rows, "id string, fields_json string, group string, stratum string, weight double")
 
 
@@ -72,12 +76,12 @@ def test_parser_in_sql(spark):
 
 def test_run_resume_and_retry(spark, items, tmp_path):
     out = str(tmp_path / "run")
-    first = judge(items, out, PROMPT, ENDPOINTS, options=Options(limit=12))
+    first = judge(items, out, PROMPT, ENDPOINTS, RULED, options=Options(limit=12))
     assert first.count() == 12
-    whole = judge(items, out, PROMPT, ENDPOINTS)
+    whole = judge(items, out, PROMPT, ENDPOINTS, RULED)
     assert whole.count() == 20 and whole.select("key").distinct().count() == 20
-    assert judge(items, out, PROMPT, ENDPOINTS).count() == 20
-    again = judge(items, out, PROMPT, ENDPOINTS, options=Options(retry_errors=True))
+    assert judge(items, out, PROMPT, ENDPOINTS, RULED).count() == 20
+    again = judge(items, out, PROMPT, ENDPOINTS, RULED, options=Options(retry_errors=True))
     assert again.count() == 21 and log.latest(again).count() == 20
     verdicts = {r.id: r.verdict for r in log.latest(again).collect()}
     assert verdicts["t:0"] == "inconsistent" and verdicts["t:1"] == "consistent" and verdicts["t:5"] is None
@@ -90,7 +94,7 @@ def test_retries_supersede_errors(spark, items, tmp_path):
     out, sound = str(tmp_path / "r"), backends.RuleBackend(refuse="")
     failed = judge(items, out, PROMPT, ENDPOINTS, backend=lambda *a: backends.Reply(error_class="timeout"))
     assert failed.where("error.class = 'timeout'").count() == 20
-    grown = items.union(spark.createDataFrame([("late:0", json.dumps({"gender": "Female", "diag_1": "1", "age": 1}), "kept", "new", 1.0)], items.schema))
+    grown = items.union(spark.createDataFrame([("late:0", json.dumps({"colour": "blue", "shape": "cube", "size": 1}), "kept", "new", 1.0)], items.schema))
     again = judge(grown, out, PROMPT, ENDPOINTS, backend=sound, options=Options(retry_errors=True))
     last = log.latest(again)
     assert again.count() == 41 and last.count() == 21 and last.where("error is not null").count() == 0
@@ -106,14 +110,14 @@ def test_retries_supersede_errors(spark, items, tmp_path):
 
 def test_changed_runs_are_refused(items, tmp_path):
     out = str(tmp_path / "r")
-    first = judge(items, out, PROMPT, ENDPOINTS, options=Options(limit=3, decoding={"max_tokens": 9, "temperature": 0}))
+    first = judge(items, out, PROMPT, ENDPOINTS, RULED, options=Options(limit=3, decoding={"max_tokens": 9, "temperature": 0}))
     assert first.count() == 3
     for prompt, options in (
         (contracts.build_prompt("p", SYSTEM, USER + "!"), Options(decoding={"temperature": 0})), (PROMPT, Options(decoding={"temperature": 1})), (PROMPT, Options(seed=1, decoding={"temperature": 0})),
     ):
         with pytest.raises(config.ConfigError):
-            judge(items, out, prompt, ENDPOINTS, options=options)
-    assert judge(items, out, PROMPT, ENDPOINTS, options=Options(decoding={"max_tokens": 99, "temperature": 0})).count() == 20
+            judge(items, out, prompt, ENDPOINTS, RULED, options=options)
+    assert judge(items, out, PROMPT, ENDPOINTS, RULED, options=Options(decoding={"max_tokens": 99, "temperature": 0})).count() == 20
 
 
 def test_endpoints_that_never_parse_are_refused(items, tmp_path):
@@ -180,13 +184,13 @@ def test_preflight_and_streams(items, served, tmp_path):
         judge(few, str(tmp_path / "b"), PROMPT, [replace(served, model="other")], backend=backends.HttpBackend())
     assert backends.HttpBackend().waiting(served) == 5
     example = request_example(few, PROMPT, [served])
-    assert example["model"] == "m" and example["messages"][1]["content"].startswith("gender: ")
+    assert example["model"] == "m" and example["messages"][1]["content"].startswith("colour: ")
 
 
 def test_compare_limits_and_preview(spark, items, tmp_path):
-    both = judge(items, str(tmp_path / "c"), PROMPT, ENDPOINTS, options=Options(mode="compare", max_requests=7))
+    both = judge(items, str(tmp_path / "c"), PROMPT, ENDPOINTS, RULED, options=Options(mode="compare", max_requests=7))
     assert both.count() == 7
-    assert preview(items, PROMPT, ENDPOINTS).first().user.startswith("gender: ")
+    assert preview(items, PROMPT, ENDPOINTS).first().user.startswith("colour: ")
     failing = judge(items, str(tmp_path / "f"), PROMPT, ENDPOINTS, backend=lambda *a: 1 / 0)
     assert {r.error["class"] for r in failing.collect()} == {"internal"}
 
@@ -357,3 +361,81 @@ def test_places_need_files_in_order(spark, tmp_path):
         assert [r.value for r in sources.positioned(split).orderBy("pos").collect()][:4] == ["v", "a0", "a1", "v"]
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def timed(folder, seconds=0.05):
+    """A backend that notes when each request began and ended, as a server would see it."""
+
+    def answer(system, user, contract, endpoint):
+        began = time.time()
+        time.sleep(1.5 if "size: 3\n" in f"{user}\n" and seconds else seconds)
+        (folder / f"{endpoint.name}-{uuid.uuid4().hex}").write_text(json.dumps([endpoint.name, began, time.time(), user.rpartition(" ")[2]]))
+        return backends.Reply('{"verdict": "consistent", "short_reason": "x"}', "stop")
+
+    return answer
+
+
+def requests_of(folder):
+    return [json.loads(f.read_text()) for f in folder.iterdir()]
+
+
+def in_flight(requests, name):
+    edges = sorted(e for n, a, b, _ in requests if n == name for e in ((a, 1), (b, -1)))
+    now = most = 0
+    for _, step in edges:
+        now += step
+        most = max(most, now)
+    return most
+
+
+@pytest.mark.parametrize("widths", [(1, 1), (4, 1), (7, 3)])
+def test_requests_in_flight_never_exceed_the_concurrency(spark, items, tmp_path, widths):
+    seen = tmp_path / "seen"
+    seen.mkdir()
+    endpoints = [config.Endpoint(n, "m", concurrency=w) for n, w in zip("ab", widths)]
+    many = spark.range(120).select(F.col("id").cast("string").alias("key"), F.lit("size: 0").alias("user"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("endpoint")).repartition(9)
+    done = backends.ask(many, "s", PROMPT.contract, timed(seen), endpoints).collect()
+    assert sorted(int(r.key) for r in done) == list(range(120)) and {r.content[:10] for r in done} == {'{"verdict"'}
+    found = requests_of(seen)
+    assert len(found) == 120
+    for name, width in zip("ab", widths):
+        assert in_flight(found, name) <= width
+    assert in_flight(found, "a") == widths[0] or widths[0] > 4  # and the declared number is used
+
+
+def test_a_slow_row_holds_no_other(spark, tmp_path):
+    seen = tmp_path / "seen"
+    seen.mkdir()
+    rows = spark.range(60).select(F.col("id").cast("string").alias("key"), F.concat(F.lit("size: "), F.when(F.col("id") == 0, 3).otherwise(9)).alias("user"), F.lit("a").alias("endpoint")).coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        backends.ask(rows, "s", PROMPT.contract, timed(seen), [config.Endpoint("a", "m", concurrency=2)]).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    found = requests_of(seen)
+    slow = next(r for r in found if r[3] == "3")
+    assert sum(1 for r in found if slow[1] < r[2] < slow[2]) > 6  # more than the slow row's own batch
+
+
+def test_a_task_that_is_run_again_pays_only_for_what_was_not_recorded(spark, items, tmp_path):
+    """The first attempts fail half-way; what they recorded is read again, and the journal goes with the commit."""
+    seen, out = tmp_path / "seen", str(tmp_path / "run")
+    seen.mkdir()
+    good = timed(seen, 0.0)
+
+    def falls(system, user, contract, endpoint):
+        if len(list(seen.iterdir())) >= 12 and not (tmp_path / "mended").exists():
+            raise SystemExit  # the worker goes, as with a lost executor
+        return good(system, user, contract, endpoint)
+
+    one = [config.Endpoint("a", "m", concurrency=1)]
+    with pytest.raises(Exception):
+        judge(items, out, PROMPT, one, backend=falls, options=Options(preflight=False, probe=0))
+    before = requests_of(seen)
+    kept = [json.loads(line) for f in (tmp_path / "run" / "_run" / "journal").glob("*.jsonl") for line in f.read_text().splitlines()]
+    assert len(before) == 12 and len(kept) == 8  # whole files of eight replies
+    (tmp_path / "mended").write_text("")
+    done = judge(items, out, PROMPT, one, backend=falls, options=Options(preflight=False, probe=0))
+    assert done.count() == 20 and done.select("key").distinct().count() == 20 and {r.verdict for r in done.collect()} == {"consistent"}
+    again = collections.Counter(r[3] for r in requests_of(seen))
+    assert sum(again.values()) == 20 + (len(before) - len(kept)) and not (tmp_path / "run" / "_run" / "journal").exists()
