@@ -45,9 +45,18 @@ class Options:
     def __post_init__(self) -> None:
         if self.mode not in ("shard", "compare"):
             raise ConfigError("mode must be shard or compare")
-        for name in ("guided", "retry_errors"):
+        for name in ("guided", "retry_errors", "preflight"):
             if not isinstance(getattr(self, name), bool):
                 raise ConfigError(f"{name} must be true or false")
+        for kind, names in ((int, ("seed", "limit", "max_requests", "probe")), (str, ("mode", "part", "run_tag", "session"))):
+            for name in names:
+                if isinstance(value := getattr(self, name), bool) or not isinstance(value, kind):
+                    raise ConfigError(f"{name} must be {'a whole number' if kind is int else 'a text'}, not {value!r}")
+
+
+def refuse_guided_prose(prompt: Prompt, options: Options) -> None:
+    if prompt.contract.prose and options.guided:
+        raise ConfigError("a prompt that asks for prose has no schema to guide replies by; say guided=False")
 
 
 def ordered(items: DataFrame, options: Options) -> DataFrame:
@@ -58,6 +67,7 @@ def ordered(items: DataFrame, options: Options) -> DataFrame:
 
 def planned(items: DataFrame, prompt: Prompt, endpoints: list[Endpoint], options: Options) -> DataFrame:
     """The whole plan of a run: order, limit, part, endpoints, keys and rendered messages."""
+    refuse_guided_prose(prompt, options)
     order = ordered(items, options)
     table = plans.endpoint_table(items.sparkSession, endpoints)
     plan = plans.compare_plan(order, table) if options.mode == "compare" else plans.shard_plan(order, endpoints)
@@ -89,6 +99,7 @@ def judge(items: DataFrame, out: str, prompt: Prompt, endpoints: list[Endpoint],
     earlier attempt left in ``_run/journal``, which goes when the records are committed. New records are numbered behind all that are there, so that they supersede them.
     """
     options, spark, backend = options or Options(), items.sparkSession, backend or RuleBackend()
+    refuse_guided_prose(prompt, options)
     validated(items, placeholders(prompt.user))
     order, plan = ordered(items, options), planned(items, prompt, endpoints, options)
     session = {"session": options.session, "part": options.part, "limit": options.limit, "items_rows": items.count(), "decoding": options.decoding or getattr(backend, "options", {}), "endpoints": [e.name for e in endpoints]}

@@ -146,16 +146,32 @@ def load_endpoints(path: str, only: list[str] | None = None) -> list[Endpoint]:
 def endpoint_of(entry: dict, values: dict[str, str]) -> Endpoint:
     """One endpoint: URL and key stand in the entry, or in ``values`` under the names that it gives.
 
-    A backend that answers by itself needs no URL; an entry that names one where none is set is refused.
+    An entry may give several names, of which the first that is set counts. A backend that answers by itself needs no URL; an entry that names one where none is set is refused.
     """
-    url, key = (entry.get(k) or values.get(entry.get(n, ""), "") for k, n in (("base_url", "url_key"), ("api_key", "key_key")))
+    url, key = (entry.get(k) or first_set(names_of(entry.get(n)), values) for k, n in (("base_url", "url_key"), ("api_key", "key_key")))
     if not url and entry.get("url_key"):
-        raise ConfigError(f"endpoint {entry['name']}: {entry['url_key']} is not set")
+        raise ConfigError(f"endpoint {entry['name']}: {' or '.join(names_of(entry['url_key']))} is not set")
     known = {k: entry[k] for k in ("chat_path", "models_path", "key_header", "headers", "extra") if k in entry}
     known |= {k: int(entry[k]) for k in ("concurrency", "min_concurrency", "max_concurrency") if k in entry}
     return Endpoint(entry["name"], entry["model"], with_version(url), key, drop=tuple(entry.get("drop", ())), **known)
 
 
+def names_of(names: str | list[str] | tuple[str, ...] | None) -> list[str]:
+    return [names] if isinstance(names, str) else list(names or [])
+
+
+def first_set(names: list[str], *stores) -> str:
+    """The value of the first name that any store has, by names first and stores second; empty if none has.
+
+    A store is a mapping, or a function from a name to its value or None, as secret stores are.
+    """
+    for name in names:
+        for store in stores:
+            if value := (store(name) if callable(store) else store.get(name)):
+                return value
+    return ""
+
+
 def single_endpoint(model: str, url: str, api_key: str = "", headers: tuple[str, ...] = (), **options) -> Endpoint:
     """One endpoint from options, named after its host; headers are texts of the form Name: value."""
     if not model or not url:

@@ -1,4 +1,4 @@
-"""Streams: mirroring of results, live summaries, deduplicated appends."""
+"""Streams: live summaries, deduplicated appends; ``mirror`` has the mirror of results."""
 
 from __future__ import annotations
 
@@ -7,23 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
-def mirror(spark: SparkSession, source: str, target: str, checkpoint: str, seconds: int | None = None) -> StreamingQuery:
-    """Copies lines of new files of ``source`` to ``target``, each once, also over restarts.
-
-    Without ``seconds`` it copies what is there and ends.
-    """
-    lines = spark.readStream.format("text").option("pathGlobFilter", "*.jsonl").load(source)
-    writer = lines.writeStream.format("text").option("path", target).option("checkpointLocation", checkpoint)
-    return writer.trigger(**({"processingTime": f"{seconds} seconds"} if seconds else {"availableNow": True})).start()
-
-
-def verified(spark: SparkSession, source: str, target: str) -> DataFrame:
-    """One row: lines of both sides, and whether they agree."""
-    count = lambda path: spark.read.option("pathGlobFilter", "*.jsonl" if path == source else "*.txt").text(path).agg(F.count("*").alias("n"))
-    both = count(source).withColumnRenamed("n", "source_lines").crossJoin(count(target).withColumnRenamed("n", "target_lines"))
-    return both.withColumn("same", F.col("source_lines") == F.col("target_lines"))
-
-
 def missing_files(remote: DataFrame, local: DataFrame, key: str = "path") -> DataFrame:
     """What a restore has to copy: names that only the remote side has."""
     return remote.join(local.select(key), key, "left_anti")

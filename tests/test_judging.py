@@ -18,6 +18,7 @@ from gaugemill.plans import backends, plan
 from gaugemill.plans.judge import Options, judge, preview, request_example, run_id
 from gaugemill.sources import config, sinks
 from gaugemill.sources import items as sources
+from gaugemill.streaming import mirror as mirrors
 from gaugemill.streaming import streams
 from pyspark.sql import functions as F
 
@@ -301,13 +302,62 @@ def test_rendering(spark):
     assert got == "63|[1,2]|<missing>|<missing>|<missing>" or got == "63|[1, 2]|<missing>|<missing>|<missing>"
 
 
-def test_mirror(spark, tmp_path):
-    source, target, state = (tmp_path / n for n in ("source", "target", "state"))
-    source.mkdir()
-    for i in range(2):
-        (source / f"{i}.jsonl").write_text("a\nb\n")
-        streams.mirror(spark, str(source), str(target), str(state)).awaitTermination(60)
-    assert streams.verified(spark, str(source), str(target)).first().same
+def mirrored_bytes(target, name):
+    parts = sorted(p for p in (target / name).iterdir() if p.name.isdigit())
+    assert all(int(p.name) == sum(q.stat().st_size for q in parts[:i]) for i, p in enumerate(parts))  # nothing twice, nothing left out
+    return b"".join(p.read_bytes() for p in parts)
+
+
+def test_mirror_of_growing_logs(spark, tmp_path):
+    source, target = tmp_path / "source", tmp_path / "target"
+    (source / "deep").mkdir(parents=True)
+    log, other = source / "deep" / "r.jsonl", source / "summary.json"
+
+    def run(state, piece=64):
+        mirrors.mirror(spark, str(source), str(target), str(tmp_path / state), piece=piece).awaitTermination(60)
+
+    log.write_text("".join(f"line {i}\n" for i in range(50)) + "torn")
+    other.write_text("one")
+    (source / "run.pid").write_text("1")
+    (source / "empty.jsonl").write_text("")
+    run("s")
+    assert mirrored_bytes(target, "deep/r.jsonl") == log.read_bytes() and (target / "summary.json").read_text() == "one" and not (target / "run.pid").exists()
+    stamps = {p: p.stat().st_mtime_ns for p in target.rglob("*") if p.is_file()}
+    run("s")
+    run("fresh")  # a stream that knows nothing but the target
+    assert {p: p.stat().st_mtime_ns for p in target.rglob("*") if p.is_file()} == stamps
+    with log.open("a") as f:
+        f.write(" line goes on\n" + "x" * 500 + "\n" + "".join(f"more {i}\n" for i in range(20)) + "torn again")
+    other.write_text("two!")
+    run("s")
+    assert mirrored_bytes(target, "deep/r.jsonl") == log.read_bytes() and (target / "summary.json").read_text() == "two!"
+    lines = [r.value for r in spark.read.text(str(target / "deep" / "r.jsonl")).collect()]
+    assert sorted(lines) == sorted(log.read_text().splitlines()) and "torn line goes on" in lines  # no line is cut
+    with log.open("a") as f:
+        f.write("\nlast\n")
+    run("other")
+    assert mirrored_bytes(target, "deep/r.jsonl") == log.read_bytes()
+    assert mirrors.verified(spark, str(source), str(target)).where("not same").isEmpty()
+    # A batch that was broken off has left a part behind a gap, and a part that a larger one takes in.
+    parts = sorted((target / "deep" / "r.jsonl").iterdir())
+    parts[3].unlink()
+    inner = log.read_bytes().index(b"\n", int(parts[3].name)) + 1
+    (target / "deep" / "r.jsonl" / f"{inner:020d}").write_text("stale\n")
+    run("s")
+    assert mirrored_bytes(target, "deep/r.jsonl") == log.read_bytes()
+    # A target that is ahead stays as it is, and so does what is there already on the way back.
+    whole = log.read_bytes()
+    log.write_bytes(whole[:100])
+    run("s")
+    assert mirrored_bytes(target, "deep/r.jsonl") == whole
+    back = tmp_path / "back"
+    (back / "deep").mkdir(parents=True)
+    (back / "summary.json").write_text("mine")
+    copied = {r.file: r.bytes for r in mirrors.restored(spark, str(target), str(back)).collect()}
+    assert copied == {"deep/r.jsonl": len(whole)} and (back / "deep" / "r.jsonl").read_bytes() == whole and (back / "summary.json").read_text() == "mine"
+
+
+def test_summary_stream(spark, tmp_path):
     rows = spark.createDataFrame([("a", True), ("a", False)], "e string, bad boolean")
     rows.write.parquet(str(tmp_path / "in"))
     streams.summary_stream(spark, str(tmp_path / "in"), "e string, bad boolean", ["e"], F.col("bad"), str(tmp_path / "out"), str(tmp_path / "st2")).awaitTermination(60)
@@ -439,3 +489,32 @@ def test_a_task_that_is_run_again_pays_only_for_what_was_not_recorded(spark, ite
     assert done.count() == 20 and done.select("key").distinct().count() == 20 and {r.verdict for r in done.collect()} == {"consistent"}
     again = collections.Counter(r[3] for r in requests_of(seen))
     assert sum(again.values()) == 20 + (len(before) - len(kept)) and not (tmp_path / "run" / "_run" / "journal").exists()
+
+
+def test_user_texts_are_templates(spark, items, tmp_path):
+    """A template's rows and placeholders are no examples; a marked block is."""
+    prose = contracts.build_prompt("p", "Describe the row in prose.", "Row:\n{colour}\n{a: 1}\n{shape}")
+    assert prose.contract.prose
+    marked = contracts.build_prompt("p", "", 'Row:\n{colour}\n```answer\n{"v": "a" | "b"}\n```')
+    assert marked.contract.label == "v" and marked.contract.values == ("a", "b")
+    plain = contracts.build_prompt("p", "Say what you see.", "colour: {colour}")
+    with pytest.raises(config.ConfigError, match="guided=False"):
+        judge(items, str(tmp_path / "g"), plain, ENDPOINTS)
+    done = judge(items, str(tmp_path / "p"), plain, ENDPOINTS, options=Options(guided=False))
+    assert done.count() == 20 and done.where("answer_json is null").isEmpty()
+
+
+@pytest.mark.parametrize("bad", [{"limit": True}, {"seed": False}, {"run_tag": 3}, {"part": True}, {"probe": 1.5}, {"guided": 1}, {"max_requests": "9"}])
+def test_options_of_the_wrong_kind_are_refused(bad):
+    with pytest.raises(config.ConfigError, match="must be"):
+        Options(**bad)
+
+
+def test_endpoints_are_looked_up_by_names_in_order():
+    entry = {"name": "a", "model": "m", "url_key": ["NEW_URL", "OLD_URL"], "key_key": ["NEW_KEY", "OLD_KEY"]}
+    found = config.endpoint_of(entry, {"OLD_URL": "old.example", "NEW_KEY": "n", "OLD_KEY": "o"})
+    assert found.base_url == "https://old.example/v1" and found.api_key == "n"
+    assert config.endpoint_of(entry | {"base_url": "here.example"}, {"NEW_URL": "new.example"}).base_url == "https://here.example/v1"
+    with pytest.raises(config.ConfigError, match="NEW_URL or OLD_URL"):
+        config.endpoint_of(entry, {})
+    assert config.first_set(["A", "B"], {"B": "env"}, {"A": "store"}.get) == "store" and config.first_set(["A"], {}, lambda name: None) == ""
