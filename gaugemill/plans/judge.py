@@ -22,7 +22,7 @@ from ..sources.config import ConfigError, Endpoint
 from ..sources.items import validated
 from ..operators.log import first_all_failed, latest
 from ..operators.summary import document
-from ..sources.sinks import absolute, append_results, check_manifest, read_json, remove, store_of, write_json, write_order, write_text
+from ..sources.sinks import BUCKETS, absolute, append_new, check_manifest, locked, read_json, read_table_of, remove, write_json, write_order, write_text
 from . import plan as plans
 from .backends import Backend, RuleBackend, ask, preflight, request_body
 
@@ -39,6 +39,7 @@ class Options:
     run_tag: str = ""
     session: str = ""
     decoding: dict = field(default_factory=dict)
+    buckets: int = BUCKETS  # of a new table of records
     preflight: bool = True  # for backends that have endpoints to look at
     probe: int = 20  # an endpoint whose first replies all fail to parse is refused; 0: never
 
@@ -48,7 +49,7 @@ class Options:
         for name in ("guided", "retry_errors", "preflight"):
             if not isinstance(getattr(self, name), bool):
                 raise ConfigError(f"{name} must be true or false")
-        for kind, names in ((int, ("seed", "limit", "max_requests", "probe")), (str, ("mode", "part", "run_tag", "session"))):
+        for kind, names in ((int, ("seed", "limit", "max_requests", "probe", "buckets")), (str, ("mode", "part", "run_tag", "session"))):
             for name in names:
                 if isinstance(value := getattr(self, name), bool) or not isinstance(value, kind):
                     raise ConfigError(f"{name} must be {'a whole number' if kind is int else 'a text'}, not {value!r}")
@@ -107,8 +108,9 @@ def judge(items: DataFrame, out: str, prompt: Prompt, endpoints: list[Endpoint],
     if options.preflight and hasattr(backend, "models") and (first := plan.select("user").first()):
         for endpoint in endpoints:
             preflight(backend, prompt, first.user, endpoint, options.guided)
-    note()
-    old = existing(spark, out)
+    with locked(spark, f"{out}/_run/lock"):  # runs that start at once write these one after another
+        note()
+    old = read_table_of(spark, out)
     if old is not None:
         plan = plans.remaining(plan, plans.done_keys(old, options.retry_errors))
     if options.max_requests:
@@ -116,7 +118,8 @@ def judge(items: DataFrame, out: str, prompt: Prompt, endpoints: list[Endpoint],
     journal = None if getattr(backend, "local", False) else f"{out}/_run/journal"
 
     def send(part: DataFrame, after: int) -> None:
-        append_results(recorded(ask(part, prompt.system, prompt.contract, backend, endpoints, journal and absolute(spark, journal)), prompt, options, after), out)
+        replies = ask(part, prompt.system, prompt.contract, backend, endpoints, journal and absolute(spark, journal))
+        append_new(recorded(replies, prompt, options, after), out, after, options.buckets)
         if journal:
             remove(spark, journal)  # all of it is committed now
 
@@ -124,14 +127,16 @@ def judge(items: DataFrame, out: str, prompt: Prompt, endpoints: list[Endpoint],
     if options.probe and old is None:
         turn = F.row_number().over(Window.partitionBy("endpoint").orderBy("ord"))
         send(plan.withColumn("__turn", turn).where(F.col("__turn") <= options.probe).drop("__turn"), after)
-        head = spark.read.parquet(out)
+        head = read_table_of(spark, out)
         verdict = first_all_failed(head, ["endpoint"], ["seq"], F.col("error.class").eqNullSafe("parse"), options.probe)
         if bad := [r.endpoint for r in verdict.where("refuse").collect()]:
             raise ConfigError(f"the first {options.probe} replies of {', '.join(sorted(bad))} all failed to parse")
         plan = plans.remaining(plan, head.select("key"))
     send(plan, after)
-    done = spark.read.parquet(out)
-    write_json(spark, f"{out}/_run/summary.json", document(latest(done), list(prompt.contract.values), planned=plan_size(order, endpoints, options)))
+    done = read_table_of(spark, out)
+    summed = document(latest(done), list(prompt.contract.values), planned=plan_size(order, endpoints, options))
+    with locked(spark, f"{out}/_run/lock"):
+        write_json(spark, f"{out}/_run/summary.json", summed)
     return done
 
 
@@ -164,13 +169,6 @@ def run_id(now: datetime | None = None, tag: str = "") -> str:
     return f"{stamp}-{tag}" if tag else stamp
 
 
-def existing(spark: SparkSession, out: str) -> DataFrame | None:
-    """The table at ``out``, None if there is none yet; any store that Spark reads will do."""
-    files, place = store_of(spark, out)
-    names = [f.getPath().getName() for f in files.listStatus(place)] if files.exists(place) else []
-    return spark.read.parquet(out) if any(n.endswith(".parquet") for n in names) else None
-
-
 def request_example(items: DataFrame, prompt: Prompt, endpoints: list[Endpoint], options: Options | None = None) -> dict | None:
     """The first request as it would be sent, for a dry run; None for an empty plan."""
     options = options or Options()

@@ -80,11 +80,15 @@ def keyed(plan: DataFrame, prompt_sha: str, schema_sha: str | None, compare: boo
 
 
 def done_keys(results: DataFrame, retry_errors: bool = False) -> DataFrame:
-    """Keys that need no request: those of the latest records, without errors if these are retried."""
-    from ..operators.log import latest
-
-    last = latest(results)
-    return (last.where("error.class is null") if retry_errors else last).select("key")
+    """Keys that need no request: those of the latest records, without errors if these are retried.
+
+    They are groups of ``key``, so that of a table that is bucketed by key none is shuffled, here or in ``remaining``.
+    """
+    if not retry_errors:
+        return results.groupBy("key").agg(F.lit(True).alias("sound")).select("key")
+    place = F.struct(F.col("seq"), F.xxhash64("error.class"))
+    last = results.groupBy("key").agg(F.max_by(F.col("error.class").isNull(), place).alias("sound"))
+    return last.where("sound").select("key")
 
 
 def remaining(plan: DataFrame, done: DataFrame) -> DataFrame:

@@ -518,3 +518,89 @@ def test_endpoints_are_looked_up_by_names_in_order():
     with pytest.raises(config.ConfigError, match="NEW_URL or OLD_URL"):
         config.endpoint_of(entry, {})
     assert config.first_set(["A", "B"], {"B": "env"}, {"A": "store"}.get) == "store" and config.first_set(["A"], {}, lambda name: None) == ""
+
+
+def exchanges_over(plan_text, table):
+    """How many exchanges of a physical plan stand above a scan of the table's files."""
+    lines, found = plan_text.splitlines(), 0
+    for i, line in enumerate(lines):
+        if "FileScan" in line and table in line:
+            depth = line.index("FileScan")
+            for above in reversed(lines[:i]):
+                at = len(above) - len(above.lstrip(" :+-*()0123456789"))
+                if at < depth:
+                    depth, found = at, found + ("Exchange" in above)
+    return found
+
+
+def test_resume_shuffles_no_records(spark, items, tmp_path):
+    out = str(tmp_path / "run")
+    judge(items, out, PROMPT, ENDPOINTS, RULED, options=Options(limit=12))
+    old = sinks.read_table_of(spark, out)
+    assert old.count() == 12 == spark.read.parquet(out).count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for retry in (False, True):
+            left = plan.remaining(items.select(F.col("id").alias("key")), plan.done_keys(old, retry))
+            text = left._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" in text and exchanges_over(text, "bucketed") == 0 and "SelectedBucketsCount: 16 out of 16" in text.replace("\n", " ")
+            assert "Exchange" not in plan.done_keys(old, retry)._jdf.queryExecution().executedPlan().toString()
+            assert left.count() == 20
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert judge(items, out, PROMPT, ENDPOINTS, RULED).count() == 20 and not [t for t in spark.catalog.listTables() if t.name.startswith("gaugemill_")]
+
+
+def test_overlapping_runs_record_each_key_once(spark, items, tmp_path):
+    """Two runs that both started before the other recorded anything, and a third that retries errors."""
+    out, meet = str(tmp_path / "run"), threading.Barrier(2, timeout=120)
+    started = []
+
+    def both(part):
+        def work():
+            judge(items, out, PROMPT, ENDPOINTS, RULED, options=Options(run_tag=part, probe=0))
+
+        return threading.Thread(target=work, name=part)
+
+    real = sinks.append_new
+    import gaugemill.plans.judge as judging
+
+    def waits(*args, **kwargs):
+        meet.wait()  # both have planned the whole pool
+        started.append(threading.current_thread().name)
+        return real(*args, **kwargs)
+
+    judging.append_new = waits
+    try:
+        runs = [both("one"), both("two")]
+        [r.start() for r in runs]
+        [r.join(240) for r in runs]
+    finally:
+        judging.append_new = real
+    done = sinks.read_table_of(spark, out)
+    assert sorted(started) == ["one", "two"] and done.count() == 20 == done.select("key").distinct().count() == done.select("seq").distinct().count()
+    again = judge(items, out, PROMPT, ENDPOINTS, backends.RuleBackend(), options=Options(retry_errors=True))
+    assert again.count() == 21 and log.latest(again).where("error is not null").isEmpty() and again.select("seq").distinct().count() == 21
+
+
+def test_appending_streams_record_each_key_once(spark, tmp_path):
+    out, source = str(tmp_path / "t"), str(tmp_path / "in")
+    rows = lambda keys: spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "seq long, key string")
+    for i, keys in enumerate((["a", "b", "a"], ["b", "c"])):
+        rows(keys).write.mode("append").parquet(source)
+        stream = spark.readStream.schema("seq long, key string").parquet(source)
+        for state in (f"s{i}", "again"):  # a stream that has forgotten what it did, and one that goes on
+            sinks.append_stream(stream, out, str(tmp_path / state)).awaitTermination(120)
+    assert sorted(r.key for r in sinks.read_table_of(spark, out).collect()) == ["a", "b", "c"]
+
+
+def test_locks(spark, tmp_path):
+    path = str(tmp_path / "lock")
+    with sinks.locked(spark, path):
+        with pytest.raises(config.ConfigError, match="another run"):
+            with sinks.locked(spark, path, patience=0.3):
+                pass
+        with sinks.locked(spark, path, patience=5, stale=-1):  # one that was left behind
+            pass
+    with sinks.locked(spark, path, patience=0):
+        pass
