@@ -465,6 +465,8 @@ QUERIES: dict[str, Query] = {
     "stratum_crosstab": crosstab,
     "endpoint_stats": endpoint_stats,
     "quantiles_list": quantiles_list,
+    "quantiles_one": lambda s, d: summary.quantiles(results(s, d).withColumn("endpoint", F.lit("one")).withColumn("chars", F.col("prompt_tokens") * 1.7 + F.col("seq") / 1000), ("endpoint",), {"chars": (0, 1, 50, 90, 99, 100)}),
+    "summary_cube": lambda s, d: summary.cube(results(s, d)).withColumn("weight", F.round("weight", 6)),
     "label_domain": lambda s, d: summary.label_domain(results(s, d)).select(F.array_join("values", ",").alias("values")),
     "parse_notes": lambda s, d: summary.histogram(results(s, d), F.col("parse_note"), "note"),
     "error_classes": error_classes,
@@ -549,6 +551,15 @@ SELECT a.endpoint AS endpoint, n AS "rows", models, lm AS latency_s_max, cm AS c
   c[CAST(round_even(0.5 * (len(c) - 1), 0) AS BIGINT) + 1] AS completion_tokens_p50, p[CAST(round_even(0.5 * (len(p) - 1), 0) AS BIGINT) + 1] AS prompt_tokens_p50
 FROM agg a JOIN tokens t ON a.endpoint = t.endpoint JOIN models m ON a.endpoint = m.endpoint""",
     "quantiles_list": f"WITH {RESULTS_SQL}, agg AS (SELECT endpoint, list_sort(list(latency_s)) AS l FROM results GROUP BY endpoint) SELECT endpoint, l[CAST(round_even(0.5 * (len(l) - 1), 0) AS BIGINT) + 1] AS latency_s_p50, l[CAST(round_even(0.9 * (len(l) - 1), 0) AS BIGINT) + 1] AS latency_s_p90 FROM agg",
+    "quantiles_one": "WITH v AS (SELECT list_sort(list(n_chars * 1.7::DOUBLE + doc_id / 1000::DOUBLE)) AS l FROM documents) SELECT 'one' AS endpoint, "
+    + ", ".join(f"l[CAST(round_even({p}::DOUBLE / 100 * (len(l) - 1), 0) AS BIGINT) + 1] AS chars_p{p}" for p in (0, 1, 50, 90, 99, 100))
+    + " FROM v",
+    "summary_cube": f"""WITH {RESULTS_SQL}, r AS (SELECT grp AS "group", stratum, verdict, CASE WHEN doc_id % 11 = 0 THEN 'length' WHEN doc_id % 13 = 0 THEN 'timeout' END AS class,
+  CASE WHEN doc_id % 29 = 0 THEN '{parse.UNCLOSED}' END AS note, endpoint, model, w, judged, latency_s, completion_tokens, doc_id FROM results)
+SELECT CASE grouping("group", stratum, verdict, class, note, endpoint, model) WHEN 127 THEN 'total' WHEN 119 THEN 'class' WHEN 123 THEN 'note' WHEN 63 THEN 'group' WHEN 47 THEN 'verdict' WHEN 15 THEN 'stratum' WHEN 125 THEN 'endpoint' WHEN 117 THEN 'endpoint_class' ELSE 'model' END AS level,
+  "group", stratum, verdict, class, note, endpoint, model, count(*) AS "rows", count(*) FILTER (doc_id % 17 = 0) AS parse_errors, count(class) AS errors, count(*) FILTER (doc_id % 5 <> 0 AND doc_id % 19 = 0) AS key_order_violations,
+  count(*) FILTER (doc_id % 23 = 0) AS replies_with_reasoning, count(*) FILTER (class = 'length') AS truncated, count(*) FILTER (judged) AS judged, round(coalesce(sum(w) FILTER (judged), 0), 6) AS weight, max(latency_s) AS latency_s_max, max(completion_tokens) AS completion_tokens_max
+FROM r GROUP BY GROUPING SETS ((), (class), (note), ("group"), ("group", verdict), ("group", stratum, verdict), (endpoint), (endpoint, class), (endpoint, model))""",
     "label_domain": f"WITH {RESULTS_SQL} SELECT string_agg(verdict, ',' ORDER BY verdict) AS \"values\" FROM (SELECT DISTINCT verdict FROM results WHERE verdict IS NOT NULL)",
     "superseded": """WITH a AS (SELECT user_id, event_id, event_type = 'error' AS bad, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events),
 runs AS (SELECT user_id, bad, n % 2 AS run, (n - 1) // 2 AS place FROM a), r AS (SELECT user_id, bad, row_number() OVER (PARTITION BY user_id ORDER BY run DESC, place DESC) AS r FROM runs)

@@ -11,6 +11,7 @@ from datetime import datetime, timezone
 from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 
 import pytest
+from gaugemill import catalogue
 from gaugemill.functions import contract as contracts
 from gaugemill.functions import parse, template
 from gaugemill.operators import log, sampling, summary
@@ -604,3 +605,33 @@ def test_locks(spark, tmp_path):
             pass
     with sinks.locked(spark, path, patience=0):
         pass
+
+
+def test_quantiles_of_any_values(spark):
+    inf, nan = float("inf"), float("nan")
+    groups = {
+        "wide": [10.0**k for k in range(-300, 301, 7)], "signs": [-1e308, -5.0, 0.0, 5e-324, 1e308], "ends": [-inf, -inf, 1.0, inf, nan], "nan": [nan, nan, 1.0], "one": [3.5], "same": [2.0] * 50,
+        "close": [1.0 + k * 2.0**-52 for k in range(40)], "none": [None, None], "inf": [inf, inf, inf, 0.0],
+    }
+    rows = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs], "g string, v double")
+    ps = (0, 10, 50, 75, 100)
+    got = {r.g: [r[f"v_p{p}"] for p in ps] for r in summary.quantiles(rows, ("g",), {"v": ps}).collect()}
+    assert set(got) == set(groups) - {"none"}
+    for g, found in got.items():
+        own = sorted(groups[g], key=lambda v: (v != v, v))
+        assert repr(found) == repr([own[round(p / 100 * (len(own) - 1))] for p in ps]), g
+
+
+def test_one_scan_for_counts_rates_and_histograms(spark):
+    rows = catalogue.results(spark, "/root/testdata/sf0.001")
+    text = summary.cube(rows)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1 and text.count("Expand") == 1
+    doc = summary.document(rows, catalogue.VALUES, planned=300)
+    assert doc["missing"] == 300 - doc["rows"] == 100
+    for r in summary.rates(rows, catalogue.VALUES).collect():
+        own = doc["by_group"][r.group]
+        assert own["judged"] == r.judged and own["rates"][r.verdict] == pytest.approx(r.rate, abs=1e-4) and own["rates_weighted"][r.verdict] == pytest.approx(r.rate_weighted, abs=1e-4)
+    for r in summary.by_endpoint(rows).collect():
+        assert doc["by_endpoint"][r.endpoint] == r.asDict()
+    assert {(g, s, v): n for g, own in doc["by_group"].items() for s, vs in own["by_stratum"].items() for v, n in vs.items()} == {(r.group, r.stratum, r.verdict): r.rows for r in summary.crosstab(rows).where("group is not null and stratum is not null").collect()}
+    assert summary.document(rows.limit(0), catalogue.VALUES)["rows"] == 0
