@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 import heapq
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -237,12 +238,11 @@ class Ranks:
         self.old: dict[str, bytes] = {}
         self.held = 0  # bytes of the young generation
 
-    def merge(self, piece: bytes) -> tuple[list[int], list[int]]:
-        """Ids of a piece and their lengths: the pair of lowest rank is merged first, the leftmost of equals."""
+    def merge(self, piece: bytes) -> list[bytes]:
+        """The tokens of a piece: the pair of lowest rank is merged first, the leftmost of equals."""
         rank = self.rank
-        whole = rank.get(piece)
-        if whole is not None:
-            return [whole], [len(piece)]
+        if piece in rank:
+            return [piece]
         if len(piece) > SHORT_PIECE:
             return self.merge_long(piece)
         n, none = len(piece), len(self.lengths)
@@ -259,9 +259,9 @@ class Ranks:
                 pairs[i] = rank.get(parts[i] + parts[i + 1], none)
             if i:
                 pairs[i - 1] = rank.get(parts[i - 1] + parts[i], none)
-        return [rank[p] for p in parts], list(map(len, parts))
+        return parts
 
-    def merge_long(self, piece: bytes) -> tuple[list[int], list[int]]:
+    def merge_long(self, piece: bytes) -> list[bytes]:
         """As merge, with a heap of pairs and links between the parts: n log n."""
         rank, n = self.rank, len(piece)
         end = list(range(1, n + 1))  # of the part that begins there; 0: it was merged away
@@ -279,21 +279,23 @@ class Ranks:
                     heapq.heappush(heap, (r, i, last, end[last]))
             if (j := left[i]) >= 0 and (r := rank.get(piece[j:last])) is not None:
                 heapq.heappush(heap, (r, j, i, last))
-        ids, lengths, i = [], [], 0
+        parts, i = [], 0
         while i < n:
-            ids.append(rank[piece[i : end[i]]])
-            lengths.append(end[i] - i)
+            parts.append(piece[i : end[i]])
             i = end[i]
-        return ids, lengths
+        return parts
 
     def encoded(self, piece: str) -> bytes:
         """Two little-endian unsigned 32-bit integers for each token of the piece, from the cache if there: its
         id, and how many bytes of the piece follow it."""
         ids = self.old.get(piece)
         if ids is None:
-            tokens, lengths = self.merge(piece.encode())
-            upto = np.cumsum(lengths)
-            ids = np.stack([tokens, upto[-1] - upto], axis=1).astype("<u4").tobytes()
+            raw, rank, both = piece.encode(), self.rank, []
+            after = len(raw)
+            for token in self.merge(raw):
+                after -= len(token)
+                both += (rank[token], after)
+            ids = array("I", both).tobytes()
         if self.held >= CACHE_BYTES:
             self.old, self.young, self.held = self.young, {}, 0
         if len(piece) <= 256:
