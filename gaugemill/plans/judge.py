@@ -19,10 +19,10 @@ from ..functions.contract import Prompt
 from ..functions.parse import parsed
 from ..functions.template import placeholders, render_json
 from ..sources.config import ConfigError, Endpoint
-from ..sources.items import validated
+from ..sources.items import folder_items, validated
 from ..operators.log import first_all_failed, latest
 from ..operators.summary import document
-from ..sources.sinks import BUCKETS, absolute, append_new, check_manifest, locked, read_json, read_table_of, remove, write_json, write_order, write_text
+from ..sources.sinks import BUCKETS, absolute, append_new, check_manifest, locked, read_json, read_table_of, remove, scratch, write_json, write_order, write_text
 from . import plan as plans
 from .backends import Backend, RuleBackend, ask, preflight, request_body
 
@@ -69,14 +69,17 @@ def ordered(items: DataFrame, options: Options) -> DataFrame:
 def planned(items: DataFrame, prompt: Prompt, endpoints: list[Endpoint], options: Options) -> DataFrame:
     """The whole plan of a run: order, limit, part, endpoints, keys and rendered messages."""
     refuse_guided_prose(prompt, options)
-    order = ordered(items, options)
-    table = plans.endpoint_table(items.sparkSession, endpoints)
+    return planned_from(ordered(items, options), prompt, endpoints, options)
+
+
+def planned_from(order: DataFrame, prompt: Prompt, endpoints: list[Endpoint], options: Options) -> DataFrame:
+    table = plans.endpoint_table(order.sparkSession, endpoints)
     plan = plans.compare_plan(order, table) if options.mode == "compare" else plans.shard_plan(order, endpoints)
     plan = plans.keyed(plan, prompt.sha, prompt.contract.schema_sha() if options.guided else None, options.mode == "compare")
     return plan.withColumn("user", render_json(prompt.user, F.col("fields_json")))
 
 
-def recorded(replies: DataFrame, prompt: Prompt, options: Options, after: int = -1) -> DataFrame:
+def recorded(replies: DataFrame, prompt: Prompt, options: Options, after: int = -1, kept: tuple[str, ...] = ()) -> DataFrame:
     """Replies as result records, numbered behind ``after``; a reply with an error is never a verdict."""
     answer = parsed(F.when(F.col("error_class").isNull(), F.col("content")), prompt.contract, options.guided)
     rows = replies.withColumn("p", answer)
@@ -88,7 +91,7 @@ def recorded(replies: DataFrame, prompt: Prompt, options: Options, after: int =
         F.lit(prompt.name).alias("prompt"), F.lit(prompt.sha).alias("prompt_sha"), F.lit(prompt.contract.schema_sha()).alias("schema_sha"), F.lit(options.guided).alias("guided"), F.lit(prompt.contract.label).cast("string").alias("label"),
         field("answer_json"), field("verdict"), field("short_reason"), field("reasoning"), field("parse_note"), field("key_order_ok"), field("parse_error"),
         F.when(~good | bad_parse.isNotNull(), F.struct(F.coalesce("error_class", bad_parse).alias("class"), F.coalesce("error_detail", F.col("p.parse_error")).alias("detail"))).alias("error"),
-        "attempts", F.col("content").alias("raw"), "finish_reason", "latency_s", "prompt_tokens", "completion_tokens", F.date_trunc("second", F.current_timestamp()).alias("ts"),
+        "attempts", F.col("content").alias("raw"), "finish_reason", "latency_s", "prompt_tokens", "completion_tokens", F.date_trunc("second", F.current_timestamp()).alias("ts"), *kept,
     )
 
 
@@ -102,7 +105,12 @@ def judge(items: DataFrame, out: str, prompt: Prompt, endpoints: list[Endpoint],
     options, spark, backend = options or Options(), items.sparkSession, backend or RuleBackend()
     refuse_guided_prose(prompt, options)
     validated(items, placeholders(prompt.user))
-    order, plan = ordered(items, options), planned(items, prompt, endpoints, options)
+    # The pool in send order, once: all that follows reads this table.
+    place = scratch(spark, "order")
+    order = ordered(items, options)
+    order.write.parquet(place)
+    order = spark.read.schema(order.schema).parquet(place)
+    plan = planned_from(order, prompt, endpoints, options)
     session = {"session": options.session, "part": options.part, "limit": options.limit, "items_rows": items.count(), "decoding": options.decoding or getattr(backend, "options", {}), "endpoints": [e.name for e in endpoints]}
     note = start(spark, out, order, prompt, options, session)
     if options.preflight and hasattr(backend, "models") and (first := plan.select("user").first()):
@@ -115,15 +123,16 @@ def judge(items: DataFrame, out: str, prompt: Prompt, endpoints: list[Endpoint],
         plan = plans.remaining(plan, plans.done_keys(old, options.retry_errors))
     if options.max_requests:
         plan = plans.numbered(plan, F.sha2("key", 256), F.col("key"), "turn").where(F.col("turn") < options.max_requests).drop("turn")
-    journal = None if getattr(backend, "local", False) else f"{out}/_run/journal"
+    # Runs of unlike parts have journals of their own.
+    journal = None if getattr(backend, "local", False) else f"{out}/_run/journal/{options.part.replace('/', '-of-') or 'all'}"
 
-    def send(part: DataFrame, after: int) -> None:
+    def send(part: DataFrame, seen: int) -> None:
         replies = ask(part, prompt.system, prompt.contract, backend, endpoints, journal and absolute(spark, journal))
-        append_new(recorded(replies, prompt, options, after), out, after, options.buckets)
+        append_new(recorded(replies, prompt, options, after), out, after, seen, options.buckets)
         if journal:
             remove(spark, journal)  # all of it is committed now
 
-    after = -1 if old is None else old.agg(F.max("seq")).first()[0]
+    after, seen = -1 if old is None else old.agg(F.max("seq")).first()[0], None
     if options.probe and old is None:
         turn = F.row_number().over(Window.partitionBy("endpoint").orderBy("ord"))
         send(plan.withColumn("__turn", turn).where(F.col("__turn") <= options.probe).drop("__turn"), after)
@@ -131,15 +140,36 @@ def judge(items: DataFrame, out: str, prompt: Prompt, endpoints: list[Endpoint],
         verdict = first_all_failed(head, ["endpoint"], ["seq"], F.col("error.class").eqNullSafe("parse"), options.probe)
         if bad := [r.endpoint for r in verdict.where("refuse").collect()]:
             raise ConfigError(f"the first {options.probe} replies of {', '.join(sorted(bad))} all failed to parse")
-        plan = plans.remaining(plan, head.select("key"))
-    send(plan, after)
+        plan, seen = plans.remaining(plan, head.select("key")), head.agg(F.max("seq")).first()[0]
+    send(plan, after if seen is None else seen)
     done = read_table_of(spark, out)
     summed = document(latest(done), list(prompt.contract.values), planned=plan_size(order, endpoints, options))
     with locked(spark, f"{out}/_run/lock"):
         write_json(spark, f"{out}/_run/summary.json", summed)
+    remove(spark, place)
     return done
 
 
+def judge_folder(spark: SparkSession, folder: str, out: str, prompt: Prompt, endpoints: list[Endpoint], backend: Backend | None = None, options: Options | None = None, breaks: bool = True) -> DataFrame:
+    """One run over all CSV pools of a folder: what a run for each file would record, as one job.
+
+    Places, orders and limits are each file's own. Records go to ``out`` by ``file_name``; files that are judged again replace
+    their own records and no others. All pools are checked before anything is sent.
+    """
+    options, backend = options or Options(), backend or RuleBackend()
+    refuse_guided_prose(prompt, options)
+    items = folder_items(spark, folder, breaks)
+    # Identifiers are unique within a file.
+    validated(items.withColumn("id", F.when(F.col("id") != "", F.concat_ws("\u0000", "file_name", "id"))), placeholders(prompt.user))
+    order = plans.folder_order(items, options.limit, options.seed)
+    plan = planned_from(order, prompt, endpoints, options)
+    # Rows of two files may have one key: in a run over both they are two requests.
+    plan = plan.withColumn("__key", F.col("key")).withColumn("key", F.sha2(F.concat_ws("|", "file_name", "key"), 256))
+    replies = ask(plan, prompt.system, prompt.contract, backend, endpoints).withColumn("key", F.col("__key"))
+    recorded(replies, prompt, options, kept=("file_name",)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("file_name").parquet(out)
+    return spark.read.parquet(out)
+
+
 def plan_size(order: DataFrame, endpoints: list[Endpoint], options: Options) -> int:
     return order.count() * (len(endpoints) if options.mode == "compare" else 1)
 

@@ -14,13 +14,14 @@ from ..sources.config import ConfigError, Endpoint
 BUCKET_DIGITS = 3
 
 
-def numbered(rows: DataFrame, order: Column, tie: Column, to: str = "ord") -> DataFrame:
-    """Adds the 0-based place of each row by a hexadecimal hash; counts by bucket give the offsets."""
+def numbered(rows: DataFrame, order: Column, tie: Column, to: str = "ord", by: tuple[str, ...] = ()) -> DataFrame:
+    """Adds the 0-based place of each row (of each group ``by``) by a hexadecimal hash; counts by bucket give the offsets."""
     rows = rows.withColumn("__order", order).withColumn("__bucket", F.substring("__order", 1, BUCKET_DIGITS))
-    before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)  # at most 16 ** BUCKET_DIGITS rows
-    starts = rows.groupBy("__bucket").agg(F.count("*").alias("n")).select("__bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"))
-    within = F.row_number().over(Window.partitionBy("__bucket").orderBy("__order", tie))
-    placed = rows.withColumn("__within", within).join(F.broadcast(starts), "__bucket")
+    before = Window.partitionBy(*by).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)  # at most 16 ** BUCKET_DIGITS rows a group
+    starts = rows.groupBy(*by, "__bucket").agg(F.count("*").alias("n")).select(*by, "__bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"))
+    within = F.row_number().over(Window.partitionBy(*by, "__bucket").orderBy("__order", tie))
+    # Of one group the counts are known to be few; of many the optimizer chooses how to join them.
+    placed = rows.withColumn("__within", within).join(starts if by else F.broadcast(starts), [*by, "__bucket"])
     return placed.withColumn(to, (F.col("__start") + F.col("__within") - 1).cast("long")).drop("__order", "__bucket", "__start", "__within")
 
 
@@ -29,6 +30,11 @@ def send_order(items: DataFrame, seed: int = 42) -> DataFrame:
     return numbered(items, seeded(seed, "order", F.col("id")), F.col("id"))
 
 
+def folder_order(items: DataFrame, limit: int, seed: int = 42) -> DataFrame:
+    """The send order of each file (``file_name``) by itself, of which the first ``limit`` rows are left; 0 for all."""
+    return limited(numbered(items, seeded(seed, "order", F.col("id")), F.col("id"), by=("file_name",)), limit)
+
+
 def first_in_order(items: DataFrame, limit: int, seed: int = 42) -> DataFrame:
     """The first rows in send order, with ``ord``, without numbering the rest; 0 for all."""
     if limit < 0:

@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+from urllib.parse import quote, unquote
+
+import pyarrow as pa
+from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import file_name
+from ..functions.scalars import file_name, whole_json
 from .sinks import scratch
 
 #: Columns of a CSV pool that are no fields.
 RESERVED = ("id", "group", "stratum", "weight")
 #: Counts of splits are broadcast up to so many rows, and joined by shuffle beyond.
 BROADCAST_SPLITS = 200_000
+#: Bytes of a file that are hashed at a time.
+CHUNK = 8 << 20
 
 
 class ItemsError(ValueError):
@@ -28,9 +36,9 @@ def read_table(spark: SparkSession, path: str, breaks: bool = True, **options) -
     return spark.read.options(header=True, multiLine=breaks, escape='"', **options).csv(path)
 
 
-def read_folder(spark: SparkSession, path: str, breaks: bool = True) -> DataFrame:
+def read_folder(spark: SparkSession, path: str, breaks: bool = True, **options) -> DataFrame:
     """All CSV files of a folder but pool manifests, with ``file_name``; one pass for all files."""
-    rows = read_table(spark, path, breaks, pathGlobFilter="*.csv")
+    rows = read_table(spark, path, breaks, pathGlobFilter="*.csv", **options)
     rows = rows.withColumn("file_name", file_name(F.col("_metadata.file_path")))
     return rows.where(~F.col("file_name").rlike(r"_pool(?:\.[^.]*)?$"))
 
@@ -75,16 +83,30 @@ def positioned(df: DataFrame, to: str = "pos", within: str | None = None) -> Dat
 
 def csv_items(spark: SparkSession, path: str, breaks: bool = True) -> DataFrame:
     """Items from a CSV: reserved columns are lifted out, a missing id is the row's place."""
-    rows = positioned(read_table(spark, path, breaks), "__pos")
+    return lifted(positioned(read_table(spark, path, breaks), "__pos"), F.col("__pos"), ("__pos",))
+
+
+def folder_items(spark: SparkSession, path: str, breaks: bool = True) -> DataFrame:
+    """Items of all CSV pools of a folder, with ``file_name``; a missing id is the row's place in its own file.
+
+    The files must have one header; where they don't, reading them fails.
+    """
+    rows = read_folder(spark, path, breaks, enforceSchema=False)
+    return lifted(positioned(rows, "__pos", within="__at"), F.col("__at.place"), ("__pos", "__at", "file_name"), "file_name")
+
+
+def lifted(rows: DataFrame, place: Column, others: tuple[str, ...], *kept: str) -> DataFrame:
+    """Rows as items; ``others`` are columns that are no fields, of which ``kept`` stay."""
     has = lambda c: F.coalesce(F.col(f"`{c}`"), F.lit("")) if c in rows.columns else F.lit("")
-    fields = [c for c in rows.columns if c not in (*RESERVED, "__pos")]
+    fields = [c for c in rows.columns if c not in (*RESERVED, *others)]
     given = F.when(has("weight") == "", F.lit(None)).otherwise(has("weight")) if "weight" in rows.columns else F.lit("1.0")
     return rows.select(
-        F.coalesce(F.nullif(has("id"), F.lit("")), F.col("__pos").cast("string")).alias("id"),
+        F.coalesce(F.nullif(has("id"), F.lit("")), place.cast("string")).alias("id"),
         F.to_json(F.struct(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in fields])).alias("fields_json"),
         has("group").alias("group"),
         has("stratum").alias("stratum"),
         given.try_cast("double").alias("weight"),
+        *kept,
     )
 
 
@@ -103,16 +125,6 @@ def blank(line: Column) -> Column:
     return ~line.rlike(r"(?U)\S")
 
 
-def whole_json(line: Column) -> Column:
-    """The line if it is one JSON value and nothing else, else null.
-
-    Readers stop at a value's end, so that two records glued together would pass for the first. What may
-    follow a value inside an array can't follow it inside an object, and the other way round.
-    """
-    one = (F.json_array_length(F.concat(F.lit("["), line, F.lit("]"))) == 1) & F.get_json_object(F.concat(F.lit('{"v":'), line, F.lit("}")), "$.v").isNotNull()
-    return F.when(one, line)
-
-
 def json_items(lines: DataFrame, value: Column, *others: str) -> DataFrame:
     """Items from JSON texts; of one that isn't JSON as a whole nothing is read."""
     lines = lines.withColumn("__json", whole_json(value))
@@ -172,8 +184,32 @@ def usable(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return lines.where("key is not null"), counts
 
 
+def opened(path: str):
+    """A stream of a file that Spark has listed."""
+    if path.startswith("file:"):
+        return LocalFileSystem().open_input_stream("/" + path[len("file:") :].lstrip("/"))
+    files, name = FileSystem.from_uri(quote(path, safe="/:@%"))
+    return files.open_input_stream(name)
+
+
 def hashed_files(spark: SparkSession, path: str) -> DataFrame:
-    """(file_name, sha256, lines) of every file, from its bytes."""
-    files = spark.read.format("binaryFile").load(path)
-    newlines = F.length("content") - F.length(F.regexp_replace(F.col("content").cast("string"), "\n", ""))
-    return files.select(file_name(F.col("path")).alias("file_name"), F.sha2("content", 256).alias("sha256"), newlines.cast("long").alias("lines"))
+    """(file_name, sha256, lines) of every file, from its bytes; a file of any size is read CHUNK bytes at a time.
+
+    Files are dealt over tasks one by one; the bytes of one are hashed in their order by one task.
+    """
+    # The scan would pass over empty files, but the driver has listed them all.
+    listed = spark.read.format("binaryFile").load(path).inputFiles()
+    files = spark.createDataFrame([(unquote(p),) for p in listed], "path string")
+    names = "file_name string, sha256 string, lines long"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for place in batch.column(0).to_pylist():
+                sha, lines = hashlib.sha256(), 0
+                with opened(place) as f:
+                    while data := f.read(CHUNK):
+                        sha.update(data)
+                        lines += data.count(b"\n")
+                yield pa.RecordBatch.from_arrays([pa.array([place.rpartition("/")[2]]), pa.array([sha.hexdigest()]), pa.array([lines], pa.int64())], ["file_name", "sha256", "lines"])
+
+    return files.repartition(4 * spark.sparkContext.defaultParallelism, "path").mapInArrow(run, names)

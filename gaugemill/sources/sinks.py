@@ -123,12 +123,12 @@ def locked(spark: SparkSession, path: str, patience: float = 600.0, stale: float
         files.delete(place, False)
 
 
-def append_new(results: DataFrame, path: str, after: int | None = None, buckets: int = BUCKETS) -> int:
+def append_new(results: DataFrame, path: str, after: int | None = None, seen: int | None = None, buckets: int = BUCKETS) -> int:
     """Appends records whose key no one else has recorded meanwhile; how many were appended.
 
-    ``after`` is the last place (``seq``) that the records were planned behind: keys recorded behind it, by a run that
-    overlapped, are left as they are, and the new records are numbered behind those. Without ``after`` any record of a key
-    stands in the way. Records are worked out and written aside first; the lock is held only while keys are compared and
+    The records are numbered behind the place (``seq``) ``after``, and ``seen`` is the last place of all that they were planned
+    with (``after`` unless it is given): keys recorded behind that, by a run that overlapped, are left as they are, and the new
+    records are numbered behind all of those. Without ``after`` any record of a key stands in the way. Records are worked out and written aside first; the lock is held only while keys are compared and
     files are added, so that of runs that overlap each key is recorded once.
     """
     spark = results.sparkSession
@@ -139,9 +139,10 @@ def append_new(results: DataFrame, path: str, after: int | None = None, buckets:
     with locked(spark, f"{path}/_run/lock"):
         there = read_table_of(spark, path)
         if there is not None:
-            newer = there if after is None else there.where(F.col("seq") > after)
+            seen = after if seen is None else seen
+            newer = there if seen is None else there.where(F.col("seq") > seen)
             last = there.agg(F.max("seq")).first()[0]
-            shift = 0 if after is None or last is None else max(0, last - after)
+            shift = last - after if after is not None and last is not None and last > seen else 0
             staged = staged.join(newer.select("key").distinct(), "key", "left_anti").withColumn("seq", F.col("seq") + shift).select(*results.columns)
         n = staged.count()
         if n:
@@ -154,7 +155,7 @@ def append_stream(results: DataFrame, path: str, checkpoint: str, buckets: int =
     """Appends a stream of records, each key once, also where a batch is repeated or another stream has it too."""
 
     def put(batch: DataFrame, _: int) -> None:
-        append_new(batch, path, None, buckets)
+        append_new(batch, path, buckets=buckets)
 
     return results.writeStream.option("checkpointLocation", checkpoint).foreachBatch(put).trigger(availableNow=True).start()
 

@@ -16,7 +16,7 @@ from gaugemill.functions import contract as contracts
 from gaugemill.functions import parse, template
 from gaugemill.operators import log, sampling, summary
 from gaugemill.plans import backends, plan
-from gaugemill.plans.judge import Options, judge, preview, request_example, run_id
+from gaugemill.plans.judge import Options, judge, judge_folder, preview, request_example, run_id
 from gaugemill.sources import config, sinks
 from gaugemill.sources import items as sources
 from gaugemill.streaming import mirror as mirrors
@@ -483,13 +483,13 @@ def test_a_task_that_is_run_again_pays_only_for_what_was_not_recorded(spark, ite
     with pytest.raises(Exception):
         judge(items, out, PROMPT, one, backend=falls, options=Options(preflight=False, probe=0))
     before = requests_of(seen)
-    kept = [json.loads(line) for f in (tmp_path / "run" / "_run" / "journal").glob("*.jsonl") for line in f.read_text().splitlines()]
+    kept = [json.loads(line) for f in (tmp_path / "run" / "_run" / "journal" / "all").glob("*.jsonl") for line in f.read_text().splitlines()]
     assert len(before) == 12 and len(kept) == 8  # whole files of eight replies
     (tmp_path / "mended").write_text("")
     done = judge(items, out, PROMPT, one, backend=falls, options=Options(preflight=False, probe=0))
     assert done.count() == 20 and done.select("key").distinct().count() == 20 and {r.verdict for r in done.collect()} == {"consistent"}
     again = collections.Counter(r[3] for r in requests_of(seen))
-    assert sum(again.values()) == 20 + (len(before) - len(kept)) and not (tmp_path / "run" / "_run" / "journal").exists()
+    assert sum(again.values()) == 20 + (len(before) - len(kept)) and not (tmp_path / "run" / "_run" / "journal" / "all").exists()
 
 
 def test_user_texts_are_templates(spark, items, tmp_path):
@@ -635,3 +635,62 @@ def test_one_scan_for_counts_rates_and_histograms(spark):
         assert doc["by_endpoint"][r.endpoint] == r.asDict()
     assert {(g, s, v): n for g, own in doc["by_group"].items() for s, vs in own["by_stratum"].items() for v, n in vs.items()} == {(r.group, r.stratum, r.verdict): r.rows for r in summary.crosstab(rows).where("group is not null and stratum is not null").collect()}
     assert summary.document(rows.limit(0), catalogue.VALUES)["rows"] == 0
+
+
+def test_two_tiers_parse_alike(spark):
+    """Whatever a text is, built-ins and parsers say the same, and most well-formed replies never reach a worker."""
+    contract = contracts.read_contract('{"verdict": "Consistent" | "not so", "short_reason": "<why>", "sure": true}')
+    good = '{"verdict": "%s", "short_reason": "r é {} 日本", "sure": %s}'
+    texts = [good % (v, s) for v in ("consistent", " NOT SO ", "Not so", "maybe", "ＣＯＮ", "consistent\t") for s in ("true", "false", "null", "1", "1.50", '"x"', "[1]", "{}", "NaN")]
+    texts += [
+        None, "", " ", "null", "[]", "3", '"x"', good, '{"short_reason": "a",\n "sure": true, "verdict" :"consistent"}', good % ("consistent", "true") + " tail", good % ("consistent", "true") + good % ("not so", "true"),
+        '{"verdict": "consistent", "verdict": "not so", "short_reason": "x", "sure": true}', '{"verdict": "consistent", "short_reason": "a\\n\\"b", "sure": true}', '{"verdict": "consistent", "sure": true}',
+        "{'verdict': 'consistent', 'short_reason': 'x', 'sure': true}", '{"verdict": "consistent", "short_reason": "a\nb", "sure": true}', "  " + good % ("consistent", "true") + "\n", '{"verdict": "consistent", "short_reason": null, "sure": true, "more": 1}',
+        "<unused94>so<unused95>" + good % ("consistent", "true"), '{"verdict": "consistent", "short_reason": "<unused94>", "sure": true}', '{"verdict": "consistent", "short_reason": "x", "sure": true,}', '[' + good % ("consistent", "true") + "]", good % ("consistent", "true") + "]", '{"verdict": "consistent", "short_reason": "x", "sure": true} }',
+        '﻿' + good % ("consistent", "true"), '{"verdict": "\\u0063onsistent", "short_reason": "x", "sure": true}', '{"verdict": {"verdict": "consistent"}, "short_reason": "x", "sure": true}', '{"verdict": "consistent", "short_reason": "x", "sure": true // no\n}', "I say " + good % ("not so", "false"),
+    ]
+    texts[texts.index(good)] = good % ("consistent", "tru")
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    names = [c.split()[0] for c in parse.PARSED.split(", ")]
+    for guided, use in ((True, parse.parse_strict), (False, parse.parse_tolerant)):
+        got = rows.select("i", parse.parsed(F.col("t"), contract, guided).alias("p"), parse.proven(F.col("t"), contract).isNotNull().alias("sure")).collect()
+        for r in got:
+            want = use(texts[r.i] or "", contract)
+            assert r.p.asDict() == {n: want.get(n) for n in names}, (texts[r.i], r.p, want)
+        sure = {texts[r.i] for r in got if r.sure}
+        assert good % (" NOT SO ", "false") in sure and good % ("maybe", "true") not in sure and len(sure) >= 14
+    well = catalogue.replies(spark, "/root/testdata/sf0.001").where("doc_id % 5 = 0")
+    assert well.where(parse.proven(F.col("content"), catalogue.CONTRACT).isNull()).isEmpty()
+
+
+def test_hashes_of_files(spark, tmp_path):
+    contents = {"a b.txt": b"x\ny\n", "ä.bin": bytes(range(256)) * 70000, "empty": b"", "no%20break": b"one"}
+    for name, data in contents.items():
+        (tmp_path / name).write_bytes(data)
+    got = {r.file_name: (r.sha256, r.lines) for r in sources.hashed_files(spark, str(tmp_path)).collect()}
+    assert got == {n: (hashlib.sha256(d).hexdigest(), d.count(b"\n")) for n, d in contents.items()}
+
+
+def test_one_run_over_a_folder_is_a_run_for_each_file(spark, tmp_path):
+    folder = tmp_path / "pools"
+    folder.mkdir()
+    for name, n in (("small", 2), ("large", 60), ("mid", 9)):
+        (folder / f"{name}.csv").write_text("id,colour,shape,size\n" + "".join(f"{'' if i % 2 else f'r{i}'},{'red' if i % 3 else 'blue'},disc,{i}\n" for i in range(n)))
+    (folder / "x_pool.csv").write_text("id,colour,shape,size\nz,a,b,c\n")
+    out, options = str(tmp_path / "all"), Options(limit=20)
+    done = judge_folder(spark, str(folder), out, PROMPT, ENDPOINTS, RULED, options, breaks=False)
+    fields = ("id", "key", "seq", "endpoint", "verdict", "short_reason", "weight")
+    got = {n: sorted(tuple(r[f] for f in fields) for r in done.where(F.col("file_name") == f"{n}.csv").collect()) for n in ("small", "large", "mid")}
+    for name in got:
+        one = judge(sources.csv_items(spark, str(folder / f"{name}.csv")), str(tmp_path / name), PROMPT, ENDPOINTS, RULED, options)
+        assert got[name] == sorted(tuple(r[f] for f in fields) for r in one.collect()), name
+    assert {n: len(rows) for n, rows in got.items()} == {"small": 2, "large": 20, "mid": 9}
+    # One file again, with other rules: only its records change.
+    (tmp_path / "again").mkdir()
+    (tmp_path / "again" / "mid.csv").write_text((folder / "mid.csv").read_text())
+    after = judge_folder(spark, str(tmp_path / "again"), out, PROMPT, ENDPOINTS, backends.RuleBackend(otherwise="inconsistent"), options, breaks=False)
+    assert {(r.file_name, r.verdict) for r in after.where("file_name = 'mid.csv'").collect()} == {("mid.csv", "inconsistent")} and after.count() == 31
+    (tmp_path / "again" / "odd.csv").write_text("colour,id,shape,size\nred,q,disc,1\n")
+    with pytest.raises(Exception):
+        judge_folder(spark, str(tmp_path / "again"), out, PROMPT, ENDPOINTS, RULED, options, breaks=False)
+    assert spark.read.parquet(out).count() == 31

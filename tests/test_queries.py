@@ -37,3 +37,44 @@ def test_streaming_summary_on_a_stream(spark, tmp_path):
     assert got[0, "a"] == 2 and got[1, "a"] == 1 and got[0, "b"] == 1 and got[36, "a"] == 1  # the late row of minute 1 isn't counted
     events = spark.createDataFrame([("x", 1), ("x", 2), ("y", 3)], "id string, n int")
     assert streams.deduplicated(events, ["id"]).count() == 2
+
+
+def test_failures_on_a_stream(spark, tmp_path):
+    """The same events as a table and in batches, late ones among them: the same streaks and refusals."""
+    from gaugemill.operators import log
+    from gaugemill.streaming import states
+    from pyspark.sql import functions as F
+
+    rows = [("a" if i % 3 else "b", 60_000_000 * (i + 1440) + i % 7, i, i % 5 > 0 if i > 9 else i % 3 > 0) for i in range(90)]
+    kind = "endpoint string, micros long, id long, failed boolean"
+    mixed = sorted(rows, key=lambda r: r[1] // 1_800_000_000 * 1_800_000_000 + (r[2] * 37 % 30) * 60_000_000)  # out of order within half an hour
+    batches = [mixed[:25], mixed[25:50], mixed[50:], [("z", 60_000_000 * 9000, 9000, False)], [("z", 60_000_000 * 9001, 9001, False)]]
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    events = lambda df: df.withColumn("ts", F.timestamp_micros("micros"))
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        for batch in batches:
+            spark.createDataFrame(batch, kind).coalesce(1).write.mode("append").parquet(source)
+            stream = states.failures(events(spark.readStream.schema(kind).parquet(source)), "endpoint", "ts", "id", F.col("failed"), first=3, late="2 hours")
+            stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination(120)
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    table = spark.createDataFrame(rows, kind)
+    want = {r.id: r.streak for r in log.streaks(table, ["endpoint"], ["micros", "id"], F.col("failed")).collect()}
+    got = spark.read.parquet(out).where("endpoint <> 'z'")
+    assert {r.tie: r.streak for r in got.collect()} == want and got.count() == len(rows)
+    refused = {r.endpoint: r.refuse for r in log.first_all_failed(table, ["endpoint"], ["micros", "id"], F.col("failed"), 3).collect()}
+    assert {r.endpoint: r.refuse for r in got.groupBy("endpoint").agg(F.max("refuse").alias("refuse")).collect()} == refused == {"a": True, "b": False}
+
+
+def test_deduplicated_stream(spark, tmp_path):
+    """Repeats of a key are dropped on a stream too, also across batches."""
+    from gaugemill.streaming import streams
+    from pyspark.sql import functions as F
+
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for batch in ([("a", 1), ("a", 2), ("b", 3)], [("b", 4), ("c", 5)]):
+        spark.createDataFrame(batch, "k string, s long").write.mode("append").parquet(source)
+        events = spark.readStream.schema("k string, s long").parquet(source).withColumn("ts", F.timestamp_seconds("s"))
+        streams.deduplicated(events, ["k"]).writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination(60)
+    assert sorted(r.k for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
