@@ -3,16 +3,19 @@
 import pytest
 
 import __spark_entry__ as entry
-from gaugemill import catalogue
+from gaugemill import catalogue, file_queries
 
 from oracle import by_spark, by_sql
 
 FOLDER = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", sorted(catalogue.ORACLES))
+QUERIES, ORACLES = catalogue.QUERIES | file_queries.QUERIES, catalogue.ORACLES | file_queries.ORACLES
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, name):
-    ours, theirs = by_spark(catalogue.QUERIES[name](spark, FOLDER)), by_sql(catalogue.ORACLES[name], FOLDER)
+    ours, theirs = by_spark(QUERIES[name](spark, FOLDER)), by_sql(ORACLES[name], FOLDER)
     assert ours[0] == theirs[0]
     assert len(ours[1]) == len(theirs[1])
     assert ours[1] == theirs[1]
