@@ -9,12 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .catalogue import ENDPOINTS, ORDER_SQL, PARTS_SQL, PROMPT, RULES, Query, parts, table
-from .operators import sampling
+from .catalogue import ENDPOINTS, ORDER_SQL, PARTS_SQL, PROMPT, RESULTS_SQL, RULES, VALUES, Query, parts, results, table
+from .functions import parse
+from .operators import sampling, summary
 from .plans import plan as plans
-from .plans.judge import Options, judge_folder
+from .plans.judge import Options, judge, judge_folder, preview, taken_over
 from .sources import items as sources
-from .sources.sinks import append_new, read_table_of, scratch, store_of, write_items, write_order
+from .sources.sinks import append_new, read_json, read_table_of, scratch, store_of, write_items, write_json, write_order
 from .streaming import mirror as mirrors
 from .streaming import states
 
@@ -164,6 +165,51 @@ def zipped_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("pos", F.col("row.doc_id").alias("doc_id"), "row.lang", F.col("row.chars").cast("long").alias("chars"), F.col("attr.doc_id").alias("attr_doc"), F.col("attr.quality").cast("int").alias("quality"))
 
 
+def run_taken_over(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run of 100 parts that is mirrored, taken over elsewhere, and ended there: all records, those of there behind those of here."""
+    root, items = scratch(spark, "taken"), parts(spark, sf_dir)
+    judge(items, f"{root}/here", PROMPT, ENDPOINTS[:1], RULES, Options(limit=LIMIT, session="here", buckets=4))
+    mirrors.mirror(spark, f"{root}/here", f"{root}/mirror", f"{root}/state").awaitTermination()
+    there = taken_over(spark, f"{root}/mirror", f"{root}/there")
+    return judge(items, there, PROMPT, ENDPOINTS[:1], RULES, Options(session="there")).select("id", "seq", "session", "verdict")
+
+
+def run_companions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run over all parts, in two sessions, writes beside its records: send order, manifest and summary."""
+    out, items = scratch(spark, "companions"), parts(spark, sf_dir)
+    for limit in (LIMIT, 0):
+        judge(items, out, PROMPT, ENDPOINTS[:1], RULES, Options(limit=limit, session=f"first {limit}", buckets=4))
+    manifest, last = read_json(spark, f"{out}/_run/manifest.json"), read_json(spark, f"{out}/_run/summary.json")
+    noted = {"pool_rows": manifest["items_rows"], "sessions": len(manifest["sessions"]), "prompt_sha": manifest["prompt_sha"], "planned": last["planned"], "missing": last["missing"], "errors": last["errors"]}
+    order = sources.read_table(spark, f"{out}/_run/order", breaks=False)
+    return order.select("id", F.col("order").cast("long").alias("ord"), *[F.lit(v).cast("string" if isinstance(v, str) else "long").alias(n) for n, v in noted.items()])
+
+
+def run_ceiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sessions with a ceiling of 60 requests each over all parts and two endpoints: what was sent."""
+    out, items = scratch(spark, "ceiling"), parts(spark, sf_dir)
+    for _ in range(2):
+        done = judge(items, out, PROMPT, ENDPOINTS, RULES, Options(mode="compare", max_requests=60, probe=0))
+    return done.select("key", "id", "endpoint")
+
+
+def summary_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numbers of a summary of all documents' records, by their path in the document as it is stored."""
+    place = f"{scratch(spark, 'summary')}/summary.json"
+    rows = results(spark, sf_dir)
+    write_json(spark, place, summary.document(rows, VALUES, planned=rows.count() + 5))
+
+    def leaves(value, path: str = ""):
+        for name, inner in value.items():
+            if isinstance(inner, dict):
+                yield from leaves(inner, f"{path}{name}/")
+            elif isinstance(inner, (int, float)) and not isinstance(inner, bool):
+                yield f"{path}{name}", float(inner)
+
+    stored = read_json(spark, place)
+    return spark.createDataFrame([r for r in leaves(stored) if not r[0].startswith("by_endpoint/")], "path string, value double")
+
+
 QUERIES: dict[str, Query] = {
     "items_jsonl": items_jsonl,
     "send_order_csv": send_order_csv,
@@ -174,6 +220,11 @@ QUERIES: dict[str, Query] = {
     "folder_run": folder_run,
     "streamed_failures": streamed_failures,
     "zipped_texts": zipped_texts,
+    "dry_run": lambda s, d: preview(parts(s, d), PROMPT, ENDPOINTS[:1]).select("id", "key", "user"),
+    "run_taken_over": run_taken_over,
+    "run_companions": run_companions,
+    "run_ceiling": run_ceiling,
+    "summary_document": summary_document,
 }
 
 ORACLES: dict[str, str] = {
@@ -194,4 +245,21 @@ s AS (SELECT *, sum(CASE WHEN bad THEN 1 ELSE 0 END) OVER (PARTITION BY user_id,
 SELECT CAST(user_id AS VARCHAR) AS user_id, event_id, CAST(streak AS BIGINT) AS streak, place, place >= 3 AND early >= 3 AS refuse FROM s CROSS JOIN w WHERE epoch_ms(ts) < w""",
     "zipped_texts": """SELECT row_number() OVER (ORDER BY d.doc_id) - 1 AS pos, CAST(d.doc_id AS VARCHAR) AS doc_id, lang, CAST(length(COALESCE(text, '')) AS BIGINT) AS chars, CAST(d.doc_id AS VARCHAR) AS attr_doc, CAST(l.quality AS INTEGER) AS quality
 FROM documents d LEFT JOIN (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id) l ON d.doc_id = l.doc_id""",
+    "dry_run": f"""WITH {PARTS_SQL} SELECT id, substr(sha256(id || '|m1|{PROMPT.sha}|{PROMPT.contract.schema_sha()}|'), 1, 32) AS key, t AS "user" FROM ruled WHERE ord = 0""",
+    "run_taken_over": f"""WITH {PARTS_SQL} SELECT id, CASE WHEN ord < {LIMIT} THEN ord ELSE ord + {LIMIT} END AS seq, CASE WHEN ord < {LIMIT} THEN 'here' ELSE 'there' END AS session, CASE WHEN NOT refused THEN v END AS verdict FROM ruled""",
+    "run_companions": f"""WITH {PARTS_SQL} SELECT id, ord, count(*) OVER () AS pool_rows, CAST(2 AS BIGINT) AS sessions, '{PROMPT.sha}' AS prompt_sha, count(*) OVER () AS planned, CAST(0 AS BIGINT) AS missing,
+  count(*) FILTER (refused) OVER () AS errors FROM ruled""",
+    "run_ceiling": f"""WITH {PARTS_SQL}, t AS (SELECT *, row_number() OVER (ORDER BY sha256(key), key) AS turn FROM records) SELECT key, id, endpoint FROM t WHERE turn <= 120""",
+    "summary_document": f"""WITH {RESULTS_SQL}, c AS (SELECT *, CASE WHEN doc_id % 11 = 0 THEN 'length' WHEN doc_id % 13 = 0 THEN 'timeout' END AS class, row_number() OVER () AS r FROM results),
+g AS (SELECT grp, count(*) AS n, count(*) FILTER (judged) AS j, sum(w) FILTER (judged) AS w FROM c GROUP BY grp),
+h AS (SELECT g.grp, v.verdict, any_value(j) AS j, any_value(g.w) AS w, count(c.doc_id) AS n, sum(c.w) AS hit FROM g CROSS JOIN (VALUES ('consistent'), ('inconsistent'), ('unsure')) AS v(verdict) LEFT JOIN c ON c.grp = g.grp AND c.verdict = v.verdict GROUP BY g.grp, v.verdict),
+p AS (SELECT 'rows' AS path, count(*) AS value FROM c UNION ALL SELECT 'planned', count(*) + 5 FROM c UNION ALL SELECT 'missing', 5 UNION ALL SELECT 'parse_errors', count(*) FILTER (doc_id % 17 = 0) FROM c
+  UNION ALL SELECT 'errors', count(class) FROM c UNION ALL SELECT 'key_order_violations', count(*) FILTER (doc_id % 5 <> 0 AND doc_id % 19 = 0) FROM c
+  UNION ALL SELECT 'replies_with_reasoning', count(*) FILTER (doc_id % 23 = 0) FROM c UNION ALL SELECT 'truncated', count(*) FILTER (class = 'length') FROM c
+  UNION ALL SELECT 'errors_by_class/' || class, count(*) FROM c WHERE class IS NOT NULL GROUP BY class UNION ALL SELECT 'errors_by_endpoint/' || endpoint || '/' || class, count(*) FROM c WHERE class IS NOT NULL GROUP BY endpoint, class
+  UNION ALL SELECT 'parse_notes/{parse.UNCLOSED}', count(*) FROM c WHERE doc_id % 29 = 0 HAVING count(*) > 0
+  UNION ALL SELECT 'by_group/' || grp || '/rows', n FROM g UNION ALL SELECT 'by_group/' || grp || '/judged', j FROM g UNION ALL SELECT 'by_group/' || grp || '/not_judged', n - j FROM g
+  UNION ALL SELECT 'by_group/' || grp || '/by_stratum/' || stratum || '/' || COALESCE(verdict, 'not_judged'), count(*) FROM c GROUP BY grp, stratum, verdict)
+SELECT path, value::DOUBLE AS value FROM p UNION ALL SELECT 'by_group/' || grp || '/rates/' || verdict, round(n::DOUBLE / greatest(1, j), 4) FROM h
+UNION ALL SELECT 'by_group/' || grp || '/rates_weighted/' || verdict, round(COALESCE(hit, 0) / COALESCE(NULLIF(w, 0), 1.0::DOUBLE), 4) FROM h""",
 }

@@ -6,6 +6,7 @@ manifest, the prompt's texts, the send order and the last summary.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 from collections.abc import Callable
@@ -23,6 +24,7 @@ from ..sources.items import folder_items, validated
 from ..operators.log import first_all_failed, latest
 from ..operators.summary import document
 from ..sources.sinks import BUCKETS, absolute, append_new, check_manifest, locked, read_json, read_table_of, remove, scratch, write_json, write_order, write_text
+from ..streaming.mirror import restored
 from . import plan as plans
 from .backends import Backend, RuleBackend, ask, preflight, request_body
 
@@ -116,6 +118,8 @@ def judge(items: DataFrame, out: str, prompt: Prompt, endpoints: list[Endpoint],
     if options.preflight and hasattr(backend, "models") and (first := plan.select("user").first()):
         for endpoint in endpoints:
             preflight(backend, prompt, first.user, endpoint, options.guided)
+        if hasattr(backend, "waiting"):  # what else the servers had to do when the session began
+            session["waiting"] = {e.name: queued(backend, e) for e in endpoints}
     with locked(spark, f"{out}/_run/lock"):  # runs that start at once write these one after another
         note()
     old = read_table_of(spark, out)
@@ -170,6 +174,14 @@ def judge_folder(spark: SparkSession, folder: str, out: str, prompt: Prompt, end
     return spark.read.parquet(out)
 
 
+def queued(backend: Backend, endpoint: Endpoint) -> float | None:
+    """The endpoint's queue by its metrics page; None for a server that has no such page."""
+    try:
+        return backend.waiting(endpoint)
+    except (OSError, ValueError):
+        return None
+
+
 def plan_size(order: DataFrame, endpoints: list[Endpoint], options: Options) -> int:
     return order.count() * (len(endpoints) if options.mode == "compare" else 1)
 
@@ -211,8 +223,17 @@ def preview(items: DataFrame, prompt: Prompt, endpoints: list[Endpoint], options
     return planned(items, prompt, endpoints, options or Options()).orderBy("ord").limit(1)
 
 
+def taken_over(spark: SparkSession, remote: str, home: str) -> str:
+    """The folder below ``home`` in which the run that is mirrored at ``remote`` goes on, with what it lacks restored first.
+
+    The name is the same on any machine, so a run that is taken over twice finds what it has; files that are there
+    already are left alone. Hand the result to ``judge`` as its ``out``.
+    """
+    out = f"{home.rstrip('/')}/{local_copy_name(remote)}"
+    restored(spark, remote, out).write.format("noop").mode("overwrite").save()
+    return out
+
+
 def local_copy_name(path: str) -> str:
     """A folder name that is the same for the same path on any machine."""
-    import hashlib
-
     return f"{os.path.basename(path.rstrip('/'))}-{hashlib.sha256(path.encode()).hexdigest()[:8]}"

@@ -16,7 +16,7 @@ from gaugemill.functions import contract as contracts
 from gaugemill.functions import parse, template
 from gaugemill.operators import log, sampling, summary
 from gaugemill.plans import backends, plan
-from gaugemill.plans.judge import Options, judge, judge_folder, preview, request_example, run_id
+from gaugemill.plans.judge import Options, judge, judge_folder, preview, request_example, run_id, taken_over
 from gaugemill.sources import config, sinks
 from gaugemill.sources import items as sources
 from gaugemill.streaming import mirror as mirrors
@@ -185,6 +185,7 @@ def test_preflight_and_streams(items, served, tmp_path):
     with pytest.raises(config.ConfigError, match="doesn't serve"):
         judge(few, str(tmp_path / "b"), PROMPT, [replace(served, model="other")], backend=backends.HttpBackend())
     assert backends.HttpBackend().waiting(served) == 5
+    assert sinks.read_json(items.sparkSession, f"{tmp_path}/a/_run/manifest.json")["sessions"][0]["waiting"] == {"s": 5}
     example = request_example(few, PROMPT, [served])
     assert example["model"] == "m" and example["messages"][1]["content"].startswith("colour: ")
 
@@ -358,6 +359,20 @@ def test_mirror_of_growing_logs(spark, tmp_path):
     assert copied == {"deep/r.jsonl": len(whole)} and (back / "deep" / "r.jsonl").read_bytes() == whole and (back / "summary.json").read_text() == "mine"
 
 
+def test_a_run_is_taken_over_from_its_mirror(spark, items, tmp_path):
+    here, remote, home = (str(tmp_path / n) for n in ("here", "remote", "home"))
+    first = judge(items, here, PROMPT, ENDPOINTS, RULED, options=Options(limit=12, session="one")).collect()
+    mirrors.mirror(spark, here, remote, str(tmp_path / "state")).awaitTermination(60)
+    out = taken_over(spark, remote, home)
+    assert taken_over(spark, remote + "/", home) != here and taken_over(spark, remote, home) == out  # again: nothing is lacking
+    done = judge(items, out, PROMPT, ENDPOINTS, RULED, options=Options(session="two"))
+    assert done.count() == 20 == done.select("key").distinct().count()
+    assert sorted(r.key for r in done.where("session = 'one'").collect()) == sorted(r.key for r in first)
+    assert [s["session"] for s in sinks.read_json(spark, f"{out}/_run/manifest.json")["sessions"]] == ["one", "two"]
+    with pytest.raises(config.ConfigError, match="other values of seed"):
+        judge(items, out, PROMPT, ENDPOINTS, RULED, options=Options(seed=7))
+
+
 def test_summary_stream(spark, tmp_path):
     rows = spark.createDataFrame([("a", True), ("a", False)], "e string, bad boolean")
     rows.write.parquet(str(tmp_path / "in"))
