@@ -32,6 +32,8 @@ from ..sources.sinks import absolute
 SCHEMA = "file string, start long, data binary"
 #: Bytes of a log that a task reads at a time, and bytes looked through at a time for a line break.
 PIECE, LOOK = 16 << 20, 1 << 16
+#: Pieces of a task, if together they have no more bytes than one may have.
+MOST_PIECES = 32
 #: What isn't mirrored.
 PASSED = re.compile(r"(^|/)(\.|_temporary(/|$))|\.(pid|crc|lock)$")
 
@@ -68,7 +70,7 @@ def mirrored(uri: str) -> dict[str, tuple[int, int]]:
 
 
 @dataclass
-class Piece(InputPartition):
+class Piece:
     """Bytes ``first`` to ``upto`` of a log of which ``end`` are there; ``whole`` for another file."""
 
     file: str
@@ -78,6 +80,26 @@ class Piece(InputPartition):
     whole: bool = False
 
 
+@dataclass
+class Pieces(InputPartition):
+    """What one task reads, piece by piece."""
+
+    pieces: list[Piece]
+
+
+def packed(pieces: list[tuple[int, Piece]], most: int) -> list[Pieces]:
+    """Pieces with their bytes, in their order, as tasks of at most ``most`` bytes or one piece."""
+    out: list[Pieces] = []
+    room = 0
+    for size, piece in pieces:
+        if not out or size > room or len(out[-1].pieces) == MOST_PIECES:
+            out.append(Pieces([]))
+            room = most
+        out[-1].pieces.append(piece)
+        room -= size
+    return out
+
+
 class TailReader(DataSourceStreamReader):
     def __init__(self, options):
         self.source, self.target, self.piece = options["path"], options["target"], int(options.get("piece", PIECE))
@@ -92,20 +114,24 @@ class TailReader(DataSourceStreamReader):
         there = mirrored(self.target)
         return {f: max(size, there.get(f, (0, 0))[0]) if f.endswith(".jsonl") else [size, changed] for f, (size, changed) in listed(self.source).items()}
 
-    def partitions(self, start: dict, end: dict) -> list[Piece]:
+    def partitions(self, start: dict, end: dict) -> list[Pieces]:
         """What the target lacks, which is the truth also where another stream, or a broken batch, went on from ``start``."""
         out, there = [], mirrored(self.target)
         for f, upto in end.items():
             if not f.endswith(".jsonl"):
-                out += [Piece(f, whole=True)] if start.get(f) != upto else []
+                out += [(upto[0], Piece(f, whole=True))] if start.get(f) != upto else []
                 continue
             first = there.get(f, (0, 0))[0]
             cuts = [first, *range((first // self.piece + 1) * self.piece, upto, self.piece), upto] if first < upto else []
-            out += [Piece(f, a, b, upto) for a, b in zip(cuts, cuts[1:])]
-        return out
+            out += [(b - a, Piece(f, a, b, upto)) for a, b in zip(cuts, cuts[1:])]
+        return packed(out, self.piece)
 
-    def read(self, piece: Piece) -> Iterator[tuple]:
+    def read(self, partition: Pieces) -> Iterator[tuple]:
         files, root = FileSystem.from_uri(self.source)
+        for piece in partition.pieces:
+            yield from self.bytes_of(files, root, piece)
+
+    def bytes_of(self, files: FileSystem, root: str, piece: Piece) -> Iterator[tuple]:
         path = f"{root.rstrip('/')}/{piece.file}"
         if files.get_file_info(path).type != FileType.File:
             return

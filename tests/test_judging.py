@@ -359,6 +359,13 @@ def test_mirror_of_growing_logs(spark, tmp_path):
     assert copied == {"deep/r.jsonl": len(whole)} and (back / "deep" / "r.jsonl").read_bytes() == whole and (back / "summary.json").read_text() == "mine"
 
 
+def test_small_logs_share_a_task():
+    pieces = [(n, mirrors.Piece(str(i))) for i, n in enumerate([3, 4, 5, 20, 0, 1, *[0] * 40])]
+    tasks = mirrors.packed(pieces, 10)
+    assert [p.file for t in tasks for p in t.pieces] == [str(i) for i in range(46)]
+    assert [len(t.pieces) for t in tasks] == [2, 1, 1, 32, 10] and not mirrors.packed([], 10)
+
+
 def test_a_run_is_taken_over_from_its_mirror(spark, items, tmp_path):
     here, remote, home = (str(tmp_path / n) for n in ("here", "remote", "home"))
     first = judge(items, here, PROMPT, ENDPOINTS, RULED, options=Options(limit=12, session="one")).collect()
