@@ -194,7 +194,10 @@ def run_ceiling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def summary_document(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The numbers of a summary of all documents' records, by their path in the document as it is stored."""
+    """The numbers of a summary of all documents' records, by their path in the document as it is stored.
+
+    The document rounds the exact binary value, ties to even, as ``format`` does in its SQL; tables of rates round halves up.
+    """
     place = f"{scratch(spark, 'summary')}/summary.json"
     rows = results(spark, sf_dir)
     write_json(spark, place, summary.document(rows, VALUES, planned=rows.count() + 5))
@@ -260,6 +263,6 @@ p AS (SELECT 'rows' AS path, count(*) AS value FROM c UNION ALL SELECT 'planned'
   UNION ALL SELECT 'parse_notes/{parse.UNCLOSED}', count(*) FROM c WHERE doc_id % 29 = 0 HAVING count(*) > 0
   UNION ALL SELECT 'by_group/' || grp || '/rows', n FROM g UNION ALL SELECT 'by_group/' || grp || '/judged', j FROM g UNION ALL SELECT 'by_group/' || grp || '/not_judged', n - j FROM g
   UNION ALL SELECT 'by_group/' || grp || '/by_stratum/' || stratum || '/' || COALESCE(verdict, 'not_judged'), count(*) FROM c GROUP BY grp, stratum, verdict)
-SELECT path, value::DOUBLE AS value FROM p UNION ALL SELECT 'by_group/' || grp || '/rates/' || verdict, round(n::DOUBLE / greatest(1, j), 4) FROM h
-UNION ALL SELECT 'by_group/' || grp || '/rates_weighted/' || verdict, round(COALESCE(hit, 0) / COALESCE(NULLIF(w, 0), 1.0::DOUBLE), 4) FROM h""",
+SELECT path, value::DOUBLE AS value FROM p UNION ALL SELECT 'by_group/' || grp || '/rates/' || verdict, CAST(format('{{:.4f}}', n::DOUBLE / greatest(1, j)) AS DOUBLE) FROM h
+UNION ALL SELECT 'by_group/' || grp || '/rates_weighted/' || verdict, CAST(format('{{:.4f}}', COALESCE(hit, 0) / COALESCE(NULLIF(w, 0), 1.0::DOUBLE)) AS DOUBLE) FROM h""",
 }
