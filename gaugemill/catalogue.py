@@ -396,9 +396,19 @@ def log_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zip_folders(spark: SparkSession, sf_dir: str, whole: bool) -> DataFrame:
-    """Rows and attributes from two folders of files, zipped; not ``whole``: some attributes are missing."""
+    """Rows and attributes from two folders of files, zipped; not ``whole``: some attributes are missing.
+
+    Ranges are cut at places that a sample gives, and each shuffle takes a sample of its own. So rows are dealt
+    once, and both folders are written by the ``piece`` that a row was dealt to.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", part_name(F.col("doc_id")).alias("part"))
-    paths = [in_files(d, "csv", "doc_id") for d in (docs, docs if whole else docs.where("doc_id % 50 <> 1"))]
+    n, path = max(4, int(spark.conf.get("spark.sql.shuffle.partitions"))), scratch(spark, "dealt")
+    dealt = docs.repartitionByRange(n, "part", "doc_id").withColumn("piece", F.lpad(F.spark_partition_id().cast("string"), 9, "0"))
+    dealt.write.parquet(path)
+    docs, paths = spark.read.schema(dealt.schema).parquet(path), []
+    for side in (docs, docs if whole else docs.where("doc_id % 50 <> 1")):
+        paths.append(scratch(spark, "zip-files"))
+        side.repartition("part", "piece").sortWithinPartitions("part", "piece", "doc_id").write.partitionBy("part", "piece").csv(paths[-1], header=True)
     return sampling.zipped(*[sources.read_table(spark, path, breaks=False) for path in paths], by_file=whole)
 
 
