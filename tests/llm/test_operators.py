@@ -311,6 +311,15 @@ def test_topk_is_exact_at_any_size(spark, size, monkeypatch):
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == brute_top(rows, 7, 64)
 
 
+def test_topk_deals_equal_rows_evenly(spark):
+    """Rows that are equal in all go to all cells alike, and a list is made for each query and stripe, not for each tile."""
+    rows = spark.range(90).repartition(3).selectExpr("7L AS id", "cast(array(1, 2) AS array<tinyint>) AS v", "id % 3 = 0 AS q")
+    cells = topk.dealt(rows, 2, 3, "<i1").selectExpr("cell", "side", "octet_length(ids) / 8 AS n").groupBy("cell", "side").sum("n").collect()
+    got = {(r.cell, r.side): r[2] for r in cells}
+    assert set(got) == {(c, s) for c in range(6) for s in (0, 1)}
+    assert all(abs(n - (30 if side else 15)) <= 3 for (_, side), n in got.items())
+
+
 def test_topk_without_scale(spark):
     rows = [(i, [float(i % 5), 0.5 * i]) for i in range(30)]
     got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 2 == 0, k=3, tile=4).collect()
