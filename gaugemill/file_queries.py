@@ -6,6 +6,11 @@ came of it. Files have ``ROWS`` rows, so there are more of them the larger the t
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow.fs import FileSystem
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +20,7 @@ from .operators import sampling, summary
 from .plans import plan as plans
 from .plans.judge import Options, judge, judge_folder, preview, taken_over
 from .sources import items as sources
-from .sources.sinks import append_new, read_json, read_table_of, scratch, store_of, write_items, write_json, write_order
+from .sources.sinks import absolute, append_new, read_json, read_table_of, scratch, write_items, write_json, write_order
 from .streaming import mirror as mirrors
 from .streaming import states
 
@@ -37,23 +42,39 @@ BLOCK_SQL = f"lpad(CAST({{n}} // {ROWS} AS VARCHAR), 9, '0')"
 def named_files(rows: DataFrame, kind: str, order: str, folder: str, name: str) -> None:
     """One file for each ``block``, its rows by ``order``, as ``folder/name`` (a format string of the block).
 
-    A file of that name is replaced, as a log by what it has grown to.
+    A file of that name is replaced, as a log by what it has grown to. Tasks write the files under their names, so the driver touches none.
     """
-    spark, aside = rows.sparkSession, scratch(rows.sparkSession, "blocks")
-    laid = rows.repartition("block").sortWithinPartitions("block", order)
-    laid = laid.select("block", "value") if kind == "text" else laid
-    laid.write.partitionBy("block").format(kind).options(**({} if kind == "text" else {"header": True, "escape": '"'})).save(aside)
-    files, place = store_of(spark, aside)
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    files.mkdirs(path(folder))
-    for one in files.listStatus(place):
-        key = one.getPath().getName().partition("=")[2]
-        for part in files.listStatus(one.getPath()) if key else ():
-            if part.getPath().getName().startswith("part-"):
-                to = path(f"{folder}/{name.format(key)}")
-                files.delete(to, False)
-                files.rename(part.getPath(), to)
-    files.delete(place, True)
+    spark = rows.sparkSession
+    columns = [c for c in rows.columns if c != "block"]
+    head = "" if kind == "text" else ",".join(columns) + "\n"
+    line = F.coalesce("value", F.lit("")) if kind == "text" else F.to_csv(F.struct(*columns), {"escape": '"'})
+    # A number of its own: the rows may be few bytes, the files are many all the same.
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    laid = rows.repartition(tasks, "block").sortWithinPartitions("block", order).select("block", line.alias("line"))
+    target = absolute(spark, folder)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, root = FileSystem.from_uri(target)
+        files.create_dir(root, recursive=True)
+        at = out = part = None
+
+        def end() -> None:
+            if out is not None:
+                out.close()
+                mirrors.replaced(files, part, f"{root.rstrip('/')}/{name.format(at)}")
+
+        for batch in batches:
+            for block, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if block != at or out is None:
+                    end()
+                    at, part = block, f"{root.rstrip('/')}/.{uuid.uuid4().hex}"
+                    out = files.open_output_stream(part)
+                    out.write(head.encode())
+                out.write(f"{text}\n".encode())
+        end()
+        yield from ()
+
+    laid.mapInArrow(write, "block string").write.format("noop").mode("overwrite").save()
 
 
 def items_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:

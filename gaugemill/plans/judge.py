@@ -28,6 +28,9 @@ from ..streaming.mirror import restored
 from . import plan as plans
 from .backends import Backend, RuleBackend, ask, preflight, request_body
 
+#: Records of one pool of a folder that a task writes as one file.
+FILE_ROWS = 1_000_000
+
 
 @dataclass
 class Options:
@@ -162,7 +165,10 @@ def judge_folder(spark: SparkSession, folder: str, out: str, prompt: Prompt, end
     """
     options, backend = options or Options(), backend or RuleBackend()
     refuse_guided_prose(prompt, options)
-    items = folder_items(spark, folder, breaks)
+    # The pools once: they may be many small files, and all that follows reads this table.
+    place, items = scratch(spark, "pools"), folder_items(spark, folder, breaks)
+    items.write.parquet(place)
+    items = spark.read.schema(items.schema).parquet(place)
     # Identifiers are unique within a file.
     validated(items.withColumn("id", F.when(F.col("id") != "", F.concat_ws("\u0000", "file_name", "id"))), placeholders(prompt.user))
     order = plans.folder_order(items, options.limit, options.seed)
@@ -170,7 +176,11 @@ def judge_folder(spark: SparkSession, folder: str, out: str, prompt: Prompt, end
     # Rows of two files may have one key: in a run over both they are two requests.
     plan = plan.withColumn("__key", F.col("key")).withColumn("key", F.sha2(F.concat_ws("|", "file_name", "key"), 256))
     replies = ask(plan, prompt.system, prompt.contract, backend, endpoints).withColumn("key", F.col("__key"))
-    recorded(replies, prompt, options, kept=("file_name",)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("file_name").parquet(out)
+    records = recorded(replies, prompt, options, kept=("file_name",))
+    # A pool's records meet before they are written, or each task would add a file to every pool.
+    piece = F.floor(F.col("seq") / FILE_ROWS)
+    records.repartition("file_name", piece).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("file_name").parquet(out)
+    remove(spark, place)
     return spark.read.parquet(out)
 
 

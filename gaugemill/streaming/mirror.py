@@ -200,6 +200,11 @@ def put(files: FileSystem, place: str, data: bytes) -> None:
     part = f"{folder}/.{name}.{uuid.uuid4().hex}"
     with files.open_output_stream(part) as out:
         out.write(data)
+    replaced(files, part, place)
+
+
+def replaced(files: FileSystem, part: str, place: str) -> None:
+    """Moves ``part`` to ``place``, instead of a file that is there."""
     if files.type_name != "local" and files.get_file_info(place).type == FileType.File:
         files.delete_file(place)  # stores whose renaming replaces nothing
     files.move(part, place)

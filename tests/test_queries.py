@@ -88,3 +88,20 @@ def test_zipped_folders_are_cut_alike(spark):
     folder = "/root/testdata/sf0.1"
     ours, theirs = by_spark(QUERIES["zip_places"](spark, folder)), by_sql(ORACLES["zip_places"], folder)
     assert len(ours[1]) == len(theirs[1]) and ours == theirs
+
+
+def test_a_pool_of_a_folder_has_one_file_of_records(spark, tmp_path):
+    """However many tasks judge a pool's rows, they don't each add a file to it."""
+    from gaugemill.catalogue import ENDPOINTS, PROMPT, RULES
+    from gaugemill.plans.judge import judge_folder
+
+    (tmp_path / "in").mkdir()
+    for name in "ab":
+        (tmp_path / "in" / f"{name}.csv").write_text("id,p_name,p_brand,p_size\n" + "".join(f"{i},bolt,Brand#1,{i}\n" for i in range(60)))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        done = judge_folder(spark, str(tmp_path / "in"), str(tmp_path / "out"), PROMPT, ENDPOINTS[:1], RULES, breaks=False)
+        assert done.count() == 120
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [len(list(p.glob("part-*.parquet"))) for p in sorted((tmp_path / "out").glob("file_name=*"))] == [1, 1]
