@@ -70,6 +70,30 @@ def test_failures_on_a_stream(spark, tmp_path):
     assert {r.endpoint: r.refuse for r in got.groupBy("endpoint").agg(F.max("refuse").alias("refuse")).collect()} == refused == {"a": True, "b": False}
 
 
+def test_state_has_as_many_rows_as_parts(spark, tmp_path):
+    """However many groups there are and events that wait; idle groups are dropped, and start anew."""
+    from gaugemill.streaming import states
+    from pyspark.sql import functions as F
+
+    kind, minute = "endpoint string, micros long, id long, failed boolean", 60_000_000
+    batches = [[(e, minute * (1440 + i), i, True) for e in "ab" for i in range(50)] + [(f"c{i}", minute * 1441, i, i % 2 == 0) for i in range(1500)], [("b", minute * 1500, 50, True)], [("b", minute * 6000, 51, False)], [("a", minute * 6001, 52, True), ("b", minute * 9000, 53, True)]]
+    source, out, waiting = str(tmp_path / "in"), str(tmp_path / "out"), []
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        for batch in batches:
+            spark.createDataFrame(batch, kind).coalesce(1).write.mode("append").parquet(source)
+            events = spark.readStream.schema(kind).parquet(source).withColumn("ts", F.timestamp_micros("micros"))
+            run = states.failures(events, "endpoint", "ts", "id", F.col("failed"), first=3, late="20 minutes").writeStream.format("parquet").option("path", out)
+            run = run.option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+            run.awaitTermination(120)
+            waiting += [max(p["stateOperators"][0]["numRowsTotal"] for p in run.recentProgress if p["stateOperators"])]
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    assert max(waiting) <= states.PARTS and waiting[-1] <= 2
+    got = {(r.endpoint, r.tie): (r.streak, r.place, r.refuse) for r in spark.read.parquet(out).collect()}
+    assert got == {(e, i): (i + 1, i + 1, i >= 2) for e in "ab" for i in range(50)} | {("b", 50): (51, 51, True), ("b", 51): (0, 52, True), ("a", 52): (1, 1, False)} | {(f"c{i}", i): (1 - i % 2, 1, False) for i in range(1500)}
+
+
 def test_deduplicated_stream(spark, tmp_path):
     """Repeats of a key are dropped on a stream too, also across batches."""
     from gaugemill.streaming import streams
