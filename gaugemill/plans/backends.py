@@ -260,7 +260,7 @@ class Journal:
 def ask(plan: DataFrame, system: str, contract: Contract, backend: Backend, endpoints: list[Endpoint], journal: str | None = None) -> DataFrame:
     """``plan`` (with ``key``, ``user`` and ``endpoint``) and the replies.
 
-    Of a backend that is not ``local`` no endpoint ever has more requests in flight than its concurrency, over all
+    A ``local`` backend is called row by row, a batch of rows at a time. Of any other no endpoint ever has more requests in flight than its concurrency, over all
     tasks (but for tasks that Spark runs twice at a time, as in speculation). A slow row holds no other: replies
     are handed on as they come. An exception in one row becomes that row's error; replies cut off at the length limit are errors as well.
 
@@ -270,8 +270,10 @@ def ask(plan: DataFrame, system: str, contract: Contract, backend: Backend, endp
     known = {e.name: e for e in endpoints}
     fields = [c.split() for c in REPLY.split(", ")]
     schema = plan.schema.simpleString()[len("struct<") : -1]
-    columns, width = plan.columns, {e.name: max(1, e.concurrency) for e in endpoints}
-    if not getattr(backend, "local", False):
+    columns, local, names = plan.columns, getattr(backend, "local", False) and not journal, [f[0] for f in fields]
+    if getattr(backend, "local", False):
+        width = {e.name: max(1, e.concurrency) for e in endpoints}
+    else:
         plan, width = in_lanes(plan, endpoints, plan.sparkSession.sparkContext.defaultParallelism)
 
     def one(user: str, name: str) -> tuple:
@@ -285,12 +287,17 @@ def ask(plan: DataFrame, system: str, contract: Contract, backend: Backend, endp
         took = round(time.monotonic() - began, 3)
         return reply.content, reply.finish_reason, took, reply.prompt_tokens, reply.completion_tokens, reply.error_class, reply.error_detail, getattr(reply, "attempts", 1)
 
-    def table(rows: list[tuple]) -> pd.DataFrame:
-        made = pd.DataFrame(rows, columns=[*columns, *(f[0] for f in fields)])
+    def table(rows: list[tuple], columns: list[str]) -> pd.DataFrame:
+        made = pd.DataFrame(rows, columns=[*columns, *names])
         for name in ("prompt_tokens", "completion_tokens"):
             made[name] = made[name].astype("Int64")
         return made
 
+    def here(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            replies = table([one(*row) for row in zip(batch["user"], batch["endpoint"])], [])
+            yield pd.concat([batch[columns].reset_index(drop=True), replies], axis=1)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = (row for batch in batches for row in batch[columns].itertuples(index=False, name=None))
         key, user, name = (columns.index(c) for c in ("key", "user", "endpoint"))
@@ -310,14 +317,14 @@ def ask(plan: DataFrame, system: str, contract: Contract, backend: Backend, endp
                 while len(pending) >= 2 * width[row[name]]:
                     done += taken(pending, log, key)
                 if len(done) >= HANDED:
-                    yield table(done)
+                    yield table(done, columns)
                     done = []
             while pending:
                 done += taken(pending, log, key)
             if log:
                 log.flush()
             if done:
-                yield table(done)
+                yield table(done, columns)
         finally:
             for pool in pools.values():
                 pool.shutdown(cancel_futures=True)
@@ -333,4 +340,4 @@ def ask(plan: DataFrame, system: str, contract: Contract, backend: Backend, endp
             out.append((*row, *reply))
         return out
 
-    return plan.mapInPandas(run, f"{schema},{','.join(':'.join(f) for f in fields)}")
+    return plan.mapInPandas(here if local else run, f"{schema},{','.join(':'.join(f) for f in fields)}")
