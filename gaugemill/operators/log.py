@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-def latest(results: DataFrame, key: str = "key", seq: str = "seq") -> DataFrame:
-    """The last record of each key, by place in the log; maxima combine before the shuffle.
+def latest(results: DataFrame, key: str = "key", seq: str = "seq", columns: tuple[str, ...] = ()) -> DataFrame:
+    """The last record of each key, by place in the log, with all its columns or those named; maxima combine before the shuffle.
 
-    Of records that share a place, which no single log has, always the same one is taken.
+    Of records that share a place, which no single log has, always the same one is taken, whatever the columns.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in results.columns])
+    row = F.struct(*[F.col(f"`{c}`") for c in columns or results.columns])
     place = F.struct(F.col(seq), F.xxhash64(*[F.col(f"`{c}`") for c, k in results.dtypes if "map<" not in k]))
     return results.groupBy(F.col(key).alias("__key")).agg(F.max_by(row, place).alias("row")).select("row.*")
 

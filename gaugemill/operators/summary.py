@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.sinks import scratch
+from ..sources.sinks import remove, scratch
 
 
 def group_name() -> Column:
@@ -197,8 +197,26 @@ def cube(results: DataFrame) -> DataFrame:
     return wide.select(level.alias("level"), *names, "rows", *sums, "latency_s_max", "completion_tokens_max")
 
 
+#: The columns of records that ``document`` reads.
+SUMMED = ("id", "group", "stratum", "weight", "endpoint", "model", "answer_json", "verdict", "reasoning", "parse_note", "key_order_ok", "parse_error", "error", "latency_s", "prompt_tokens", "completion_tokens")
+#: Texts of which it only matters whether they are null or empty.
+MARKS = ("answer_json", "reasoning", "parse_error")
+
+
 def document(results: DataFrame, values: list[str], planned: int | None = None) -> dict:
-    """The whole summary as one nested document: counts, rates and histograms from one scan; quantiles and agreement beside it."""
+    """The whole summary as one nested document: counts, rates and histograms from one scan; quantiles and agreement beside it.
+
+    ``results`` are worked out once: what is read of them, without long texts, is written aside for all scans.
+    """
+    spark, place = results.sparkSession, scratch(results.sparkSession, "summed")
+    narrow = results.select(*[F.substring(c, 1, 1).alias(c) if c in MARKS else F.col(f"`{c}`") for c in SUMMED])
+    narrow.write.parquet(place)
+    found = of_summed(spark.read.schema(narrow.schema).parquet(place), values, planned)
+    remove(spark, place)
+    return found
+
+
+def of_summed(results: DataFrame, values: list[str], planned: int | None) -> dict:
     level: dict[str, list] = {name: [] for name in LEVELS}
     for r in cube(results).orderBy("group", "stratum", "verdict", "class", "note", "endpoint", "model").collect():  # a row a group, stratum and verdict at most
         level[r.level].append(r)
@@ -228,7 +246,8 @@ def document(results: DataFrame, values: list[str], planned: int | None = None)
     for r in quantiles(results, ("endpoint",), {"latency_s": (50, 90), "completion_tokens": (50,), "prompt_tokens": (50,)}).collect():
         ends[r.endpoint] |= r.asDict()
     out["by_endpoint"] = ends
-    out["agreement"] = [r.asDict() for r in agreement(results).orderBy("a", "b").collect()]
+    # Records of one endpoint agree with no other's, and needn't be paired.
+    out["agreement"] = [r.asDict() for r in agreement(results).orderBy("a", "b").collect()] if len(ends) > 1 else []
     if planned is not None:
         out |= {"planned": planned, "missing": planned - out["rows"]}
     return out

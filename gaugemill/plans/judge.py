@@ -22,7 +22,7 @@ from ..functions.template import placeholders, render_json
 from ..sources.config import ConfigError, Endpoint
 from ..sources.items import folder_items, validated
 from ..operators.log import first_all_failed, latest
-from ..operators.summary import document
+from ..operators.summary import SUMMED, document
 from ..sources.sinks import BUCKETS, absolute, append_new, check_manifest, locked, read_json, read_table_of, remove, scratch, write_json, write_order, write_text
 from ..streaming.mirror import restored
 from . import plan as plans
@@ -150,7 +150,7 @@ def judge(items: DataFrame, out: str, prompt: Prompt, endpoints: list[Endpoint],
         plan, seen = plans.remaining(plan, head.select("key")), head.agg(F.max("seq")).first()[0]
     send(plan, after if seen is None else seen)
     done = read_table_of(spark, out)
-    summed = document(latest(done), list(prompt.contract.values), planned=plan_size(order, endpoints, options))
+    summed = document(latest(done, columns=SUMMED), list(prompt.contract.values), planned=plan_size(order, endpoints, options))
     with locked(spark, f"{out}/_run/lock"):
         write_json(spark, f"{out}/_run/summary.json", summed)
     remove(spark, place)

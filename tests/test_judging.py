@@ -738,3 +738,21 @@ def test_local_backends_need_no_threads(items):
     for r in got.values():
         assert r.error_class == {"red": "internal", "blue": "length"}.get(r.user) and r.content == (None if r.user == "red" else "True")
         assert r.prompt_tokens == (None if r.user == "red" else len(r.user)) and r.attempts == 1 and r.key == r.id
+
+
+def test_a_summary_works_records_out_once(spark):
+    rows, seen = catalogue.results(spark, "/root/testdata/sf0.001"), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    doc = summary.document(rows.mapInPandas(counted, rows.schema), catalogue.VALUES)
+    assert seen.value == doc["rows"] == rows.count()
+    one = summary.document(rows.where("endpoint = 'a'"), catalogue.VALUES)
+    assert one["agreement"] == [] and list(one["by_endpoint"]) == ["a"]
+    two = summary.document(rows.unionByName(rows.withColumn("endpoint", F.lit("d"))), catalogue.VALUES)
+    assert [(r["a"], r["b"]) for r in two["agreement"]] == [("a", "d"), ("b", "d"), ("c", "d")]
+    kept = log.latest(catalogue.results(spark, "/root/testdata/sf0.001"), "id", columns=("id", "endpoint"))
+    assert kept.columns == ["id", "endpoint"] and kept.count() == doc["rows"]
